@@ -32,7 +32,7 @@ def _plain(frame: pd.DataFrame) -> list[tuple]:
             return ("bool", str(bool(v)))
         if isinstance(v, str):
             return ("text", v)
-        return ("num", repr(round(float(v), 6) + 0.0))
+        return ("num", repr(round(float(v), 9) + 0.0))
 
     columns = sorted(frame.columns)
     return sorted(tuple(cell(v) for v in row) for row in frame[columns].itertuples(index=False))

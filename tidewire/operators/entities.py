@@ -28,7 +28,8 @@ DEFAULT_GAZETTEER = {
 # Gazetteers up to this size become expressions inside the scan stage; larger ones join.
 MAX_INLINE = 128
 
-_SEED = 3
+# Lengths of the seeds that stand for names in the join.
+_SEED_LENGTHS = (1, 2, 4, 8)
 _WORD = r"[\p{L}\p{N}_]"
 _ENTITY = "struct<text:string,type:string>"
 
@@ -106,33 +107,37 @@ def with_entities(
 def join_entities(items: DataFrame, gazetteer: DataFrame, key: str = "id") -> DataFrame:
     """As ``with_entities`` for a gazetteer table of any size; ``key`` must be unique.
 
-    Every name is represented by one short seed taken from it; texts meet only the names
-    whose seed they contain, by an equi-join whose strategy is left to the optimizer, and
-    each candidate is then verified against the whole text. A name shorter than the seed
-    length is its own seed.
+    Every name is represented by one seed, its longest prefix of a seed length. Texts meet
+    only the names whose seed they contain, by an equi-join whose strategy is left to the
+    optimizer; each candidate is then verified against the whole text.
     """
-    names = gazetteer.select(
-        "ord", "ticker", "company",
-        F.explode(
-            F.array(
-                F.struct(F.lit("company").alias("type"), F.lower("company").alias("needle")),
-                F.struct(F.lit("ticker").alias("type"), F.lower("ticker").alias("needle")),
-            )
-        ).alias("n"),
-    ).select("ord", "ticker", "company", "n.type", "n.needle")
-    seeded = names.withColumn("seed", F.substring("needle", 1, _SEED))
+    shown = F.when(F.col("n.type") == "ticker", F.col("ticker")).otherwise(F.col("company"))
+    needle = F.col("n.needle")
+    seed = F.coalesce(
+        *[F.when(F.length(needle) >= n, F.substring(needle, 1, n))
+          for n in reversed(_SEED_LENGTHS)]
+    )
+    both = F.array(
+        F.struct(F.lit("company").alias("type"), F.lower("company").alias("needle")),
+        F.struct(F.lit("ticker").alias("type"), F.lower("ticker").alias("needle")),
+    )
+    names = gazetteer.withColumn("n", F.explode(both)).select(
+        F.col("ord").cast("bigint").alias("ord"), "n.type", "n.needle",
+        shown.alias("text"), seed.alias("seed"),
+    )
 
     text = F.col("_text")
-    # Overlapping pieces of every length up to the seed's, in one pass over the text each.
+    searched = items.select(key, searched_text(F.col("title"), F.col("body")).alias("_text"))
+    # Overlapping pieces of every seed length, in one pass over the text each.
     grams = F.array_distinct(
         F.concat(*[
-            F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), 1)
-            for n in range(1, _SEED + 1)
+            F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), 1) for n in _SEED_LENGTHS
         ])
     )
-    searched = items.select(key, searched_text(F.col("title"), F.col("body")).alias("_text"))
-    literal = F.regexp_replace("needle", r"([^\p{L}\p{N}_])", r"\\$1")
+    candidates = searched.select(key, F.explode_outer(grams).alias("seed")).join(names, "seed")
+
     needle = F.col("needle")
+    literal = F.regexp_replace("needle", r"([^\p{L}\p{N}_])", r"\\$1")
     left = F.when(needle.rlike(f"^{_WORD}"), F.lit("!")).otherwise(F.lit("="))
     right = F.when(needle.rlike(f"{_WORD}$"), F.lit("!")).otherwise(F.lit("="))
     is_word = F.rlike(
@@ -141,27 +146,16 @@ def join_entities(items: DataFrame, gazetteer: DataFrame, key: str = "id") -> Da
                  F.lit("(?"), right, F.lit(_WORD + ")")),
     )
     hits = (
-        searched.withColumn("seed", F.explode(grams))
-        .join(seeded, "seed")
+        candidates.join(searched, key)
         .filter(
-            F.contains(text, F.col("needle"))
+            F.contains(text, needle)
             & F.when(F.col("type") == "ticker", is_word).otherwise(F.lit(True))
         )
         .groupBy(key)
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct(
-                        "ord", "type",
-                        F.when(F.col("type") == "ticker", F.col("ticker"))
-                        .otherwise(F.col("company")).alias("text"),
-                    )
-                )
-            ).alias("_hits")
-        )
+        .agg(F.array_sort(F.collect_list(F.struct("ord", "type", "text"))).alias("_hits"))
     )
     matched = F.transform(
-        F.coalesce(F.col("_hits"), F.array().cast("array<struct<ord:int,type:string,text:string>>")),
+        F.coalesce(F.col("_hits"), F.array().cast("array<struct<ord:bigint,type:string,text:string>>")),
         lambda h: F.struct(h["text"].alias("text"), h["type"].alias("type")),
     )
     return (

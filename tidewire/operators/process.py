@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewire import schemas as S
 from tidewire.functions import text as X
+from tidewire.functions.columns import compute_once
 from tidewire.operators.contract import raw_error
 
 OUTCOMES = ("emit", "duplicate", "filtered", "error")
@@ -40,11 +41,16 @@ def evaluate(raw: DataFrame, rule: Relevance = Relevance()) -> DataFrame:
     column from decoding is kept; otherwise the contract is checked here.
     """
     error = F.col("error") if "error" in raw.columns else raw_error()
+    checked = raw.withColumn("error", error)
+    normalized = compute_once(
+        checked,
+        {
+            "title": X.normalize_text(F.col("title")),
+            "body": X.normalize_text(F.col("body")),
+        },
+    )
     return (
-        raw.withColumn("error", error)
-        .withColumn("title", X.normalize_text(F.col("title")))
-        .withColumn("body", X.normalize_text(F.col("body")))
-        .withColumn(
+        normalized.withColumn(
             "reason",
             F.when(
                 F.col("error").isNull(),
@@ -73,11 +79,14 @@ def first_arrivals(rows: DataFrame, key: str, seq: str = "arrival_seq") -> DataF
 
 
 def dedup_first(rows: DataFrame, key: str = "content_hash", seq: str = "arrival_seq") -> DataFrame:
-    """Keep the first arrival of each key; ``seq`` must be unique.
+    """Keep the first arrival of each key; rows without a key are left out.
 
-    Joining back on the unique ``seq`` rather than the key spreads copies evenly.
+    One pass: the earliest row travels through partial aggregation, so copies meet inside
+    the map tasks and a hot key sends one row per task.
     """
-    return rows.join(first_arrivals(rows, key, seq), seq, "left_semi")
+    first = F.min_by(F.struct(*[F.col(c) for c in rows.columns]), F.col(seq))
+    kept = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(first.alias("_first"))
+    return kept.select("_first.*")
 
 
 def decide(raw: DataFrame, rule: Relevance = Relevance(), seq: str = "arrival_seq") -> DataFrame:
@@ -150,8 +159,6 @@ def drop_seen(
 ) -> DataFrame:
     """Items of a poll whose key appears neither in ``history`` nor earlier in the poll.
 
-    Both sides are reduced to distinct keys by partial aggregation before they meet.
+    Both sides are reduced to one row per key by partial aggregation before they meet.
     """
-    first = poll.groupBy(key).agg(F.min(seq).alias(seq))
-    fresh = first.join(history.select(key).distinct(), key, "left_anti")
-    return poll.join(fresh.select(seq), seq, "left_semi")
+    return dedup_first(poll, key, seq).join(history.select(key).distinct(), key, "left_anti")

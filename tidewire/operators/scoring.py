@@ -211,7 +211,9 @@ def entity_series(scored: DataFrame, *extra: str) -> DataFrame:
 def _exploded(scored: DataFrame, entities: Column, *extra: str) -> DataFrame:
     return (
         scored.filter("sentiment is not null")
-        .withColumn("_e", F.explode(entities))
+        # The outer form keeps the optimizer from matching the text again in a filter.
+        .withColumn("_e", F.explode_outer(entities))
+        .filter("_e is not null")
         .select(
             F.col("id").alias("item_id"),
             canonical_name(F.col("_e.text"), F.col("_e.type")).alias("entity"),

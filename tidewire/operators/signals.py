@@ -110,57 +110,58 @@ def rolling_velocity_stats(rows: DataFrame, window_seconds: int = WINDOW_SECONDS
     NULL when the predecessor lies outside the window; equal steps have deviation 0.
     """
     width = window_seconds * 1_000_000
-    order = ["_us", "arrival_seq"]
-    timed = _timed(rows, window_seconds)
-    stepped = with_previous(
-        timed, ["entity"], order, ["_us", "_block", "sentiment_score"], "_block"
-    ).withColumn("_step", F.col("sentiment_score") - F.col("prev_sentiment_score"))
-
-    # A step lies inside a block when both its samples do; the first sample of a block
-    # steps across the boundary instead.
-    same_block = F.col("prev__block") == F.col("_block")
-    inner = F.when(same_block, F.col("_step"))
-    crossing = F.when(~same_block, F.col("_step"))
-    head = Window.partitionBy("entity", "_block").orderBy(*order)
+    score = F.col("sentiment_score")
+    head = Window.partitionBy("entity", "_block").orderBy("_us", "arrival_seq")
     before = head.rowsBetween(Window.unboundedPreceding, -1)
     so_far = head.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    probes = (
-        stepped.withColumn("_rank", F.row_number().over(head))
-        .withColumn("_head", _moments(inner, before))
-        # The step into the block, and when it set out.
-        .withColumn("_entry", F.first(crossing).over(so_far))
-        .withColumn("_entry_us", F.first("prev__us").over(so_far))
-        .withColumn("_from", F.col("_us") - F.lit(width))
+    in_block = (
+        _timed(rows, window_seconds)
+        .withColumn("_step", score - F.lag("sentiment_score").over(head))
+        .withColumn("_prev_us", F.lag("_us").over(head))
+        .withColumn("_is_last", F.lead("_us").over(head).isNull())
+        .withColumn("_rank", F.row_number().over(head))
+        .withColumn("_first_score", F.first("sentiment_score").over(so_far))
+        .withColumn("_head", _moments(F.col("_step"), before))
     )
 
-    # Tail of the previous block, in descending time: every step inside that block stands at
-    # the time of its predecessor, and a probe sees the steps at or after its window start.
-    # Steps come before probes at equal times because the bound is inclusive.
-    payload = F.struct(*[c for c in probes.columns if c not in ("entity", "_block")])
-    payload_type = probes.select(payload).schema[0].dataType
-    steps = stepped.filter(same_block).select(
-        "entity", "_block", F.lit(0).alias("_kind"), F.col("prev__us").alias("_at"),
-        F.col("_step").alias("_tail_step"), F.lit(None).cast(payload_type).alias("_row"),
-    )
-    lookups = probes.select(
-        "entity", (F.col("_block") - 1).alias("_block"), F.lit(1).alias("_kind"),
-        F.col("_from").alias("_at"),
-        F.lit(None).cast("double").alias("_tail_step"), payload.alias("_row"),
+    # Second pass over the previous block in descending time. Each row sends a lookup there,
+    # placed at its window start, and stays behind in its own block as a step (at the time of
+    # its predecessor) and, for the last row, as the sample the next block enters from. A
+    # lookup sees what lies at or after its place; it comes last among equal times because
+    # the bound is inclusive.
+    payload = F.struct(*rows.columns, "_step", "_rank", "_first_score", "_head")
+    payload_type = in_block.select(payload).schema[0].dataType
+    nothing, no_row = F.lit(None).cast("double"), F.lit(None).cast(payload_type)
+
+    def record(block: Column, at: Column, kind: int, step: Column, last: Column, row: Column):
+        return F.struct(
+            block.alias("_block"), at.alias("_at"), F.lit(kind).alias("_kind"),
+            step.alias("_tail_step"), last.alias("_tail_last"), row.alias("_row"),
+        )
+
+    records = F.array(
+        record(F.col("_block") - 1, F.col("_us") - F.lit(width), 1, nothing, nothing, payload),
+        F.when(F.col("_step").isNotNull(),
+               record(F.col("_block"), F.col("_prev_us"), 0, F.col("_step"), nothing, no_row)),
+        F.when(F.col("_is_last"),
+               record(F.col("_block"), F.col("_us"), 0, nothing, score, no_row)),
     )
     tail = (
-        Window.partitionBy("entity", "_block")
+        Window.partitionBy("_entity", "_block")
         .orderBy(F.col("_at").desc(), "_kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = (
-        steps.unionByName(lookups)
+        in_block.select(F.col("entity").alias("_entity"), F.inline(records))
+        .filter("_kind is not null")
         .withColumn("_tail", _moments(F.col("_tail_step"), tail))
+        .withColumn("_entered_from", F.max("_tail_last").over(tail))
         .filter("_kind = 1")
-        .select("entity", "_row.*", "_tail")
+        .select("_row.*", "_tail", "_entered_from")
     )
 
-    entered = F.coalesce(F.col("_entry_us") >= F.col("_from"), F.lit(False))
-    entry = F.when(entered & (F.col("_rank") > 1), F.col("_entry"))
+    entered = F.col("_entered_from").isNotNull()
+    entry = F.when(F.col("_rank") > 1, F.col("_first_score") - F.col("_entered_from"))
     step_in = F.struct(
         F.when(entry.isNull(), F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("n"),
         entry.alias("mean"), F.lit(0.0).alias("m2"), entry.alias("lo"), entry.alias("hi"),
@@ -171,7 +172,8 @@ def rolling_velocity_stats(rows: DataFrame, window_seconds: int = WINDOW_SECONDS
     earlier = F.when(entered, F.col("_tail.n") + 1).otherwise(F.lit(0))
     return parts.select(
         *rows.columns,
-        F.when(F.col("prev__us") >= F.col("_from"), F.col("_step")).alias("velocity"),
+        F.when(F.col("_rank") > 1, F.col("_step"))
+        .otherwise(score - F.col("_entered_from")).alias("velocity"),
         (F.col("_rank") + earlier).alias("n_samples"),
         base["n"].alias("n_baseline"),
         base["mean"].alias("mean_velocity"),

@@ -193,7 +193,7 @@ _EVENT_SHOCKS = (
     f"{_shock_rows(B.WINDOW_SECONDS, B.THRESHOLD, 8)}"
 )
 _SHOCK_SHOWN = f"""entity, item_id, round(zscore, 6) AS zscore, round(velocity, 6) AS velocity,
-  round(mean_velocity, 6) AS mean_velocity, round(std_velocity, 6) AS std_velocity,
+  round(mean_velocity, 8) AS mean_velocity, round(std_velocity, 6) AS std_velocity,
   window_seconds::BIGINT AS window_seconds, threshold,
   round(sentiment_score, 6) AS sentiment_score, {_shown('triggered_at')} AS triggered_at"""
 
@@ -436,7 +436,7 @@ FROM news LEFT JOIN mention USING (arrival_seq) GROUP BY id""",
 FROM events""",
     "rolling_velocity_stats": f"""WITH {_SERIES}, {_rolling(B.WINDOW_SECONDS)}
 SELECT item_id, n AS n_samples, nb AS n_baseline, round(v, 6) AS velocity,
-  round(mean, 6) AS mean_velocity, round(sd, 6) AS std_velocity FROM rolled""",
+  round(mean, 8) AS mean_velocity, round(sd, 6) AS std_velocity FROM rolled""",
     "shocks": f"WITH {_EVENT_SHOCKS} SELECT {_SHOCK_SHOWN} FROM shock",
     "document_shocks": f"""WITH {_SCORED}, {_mentions('emitted')}, sample AS (
   SELECT DISTINCT id AS item_id, name AS entity, score, published_at + to_seconds(5) AS t_at,

@@ -21,7 +21,7 @@ def parse_rss(
     kept, parsed = _parsed(documents, S.RSS_DOCUMENT, xml, feed_url)
     items = parsed.select(
         *kept, feed_url, F.col("_d.channel.language").alias("_lang"),
-        F.explode("_d.channel.item").alias("i"),
+        F.explode_outer("_d.channel.item").alias("i"),
     )
     link = X.trim_space(F.coalesce(F.col("i.link"), F.lit("")))
     return _to_raw(
@@ -41,7 +41,7 @@ def parse_atom(
     entries = parsed.select(
         *kept, feed_url,
         F.coalesce(F.col("_d.`_xml:lang`"), F.col("_d._lang")).alias("_lang"),
-        F.explode("_d.entry").alias("i"),
+        F.explode_outer("_d.entry").alias("i"),
     )
     link = atom_link(F.col("i.link"))
     return _to_raw(
@@ -102,6 +102,8 @@ def _to_raw(
     items: DataFrame, kept: list[str], now: Column, feed_url: str, *,
     title: Column, unique: tuple[Column, ...], url: Column, markup: Column, date: Column,
 ) -> DataFrame:
+    # Items come from an outer explode, which keeps the optimizer from parsing the document
+    # again in a filter; documents without items leave a NULL behind.
     trimmed = X.trim_space(F.coalesce(title, F.lit("")))
     by_title = F.concat(F.col(feed_url), F.lit("|"), trimmed)
     return (

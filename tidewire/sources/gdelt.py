@@ -11,11 +11,13 @@ def parse_gdelt(responses: DataFrame, now: Column, value: str = "value") -> Data
     """One raw row per usable article; the headline is the only text there is."""
     kept = [c for c in responses.columns if c != value]
     parsed = F.from_json(F.col(value).cast("string"), S.GDELT_RESPONSE)
-    articles = responses.select(*kept, F.explode(parsed["articles"]).alias("a"))
+    # The outer form keeps the optimizer from parsing the document again in a filter.
+    articles = responses.select(*kept, F.explode_outer(parsed["articles"]).alias("a"))
     title = X.trim_space(F.coalesce(F.col("a.title"), F.lit("")))
     url = F.coalesce(F.col("a.url"), F.lit(""))
     return (
-        articles.withColumn("_title", title)
+        articles.filter("a is not null")
+        .withColumn("_title", title)
         .filter((F.col("_title") != "") & (X.trim_space(url) != ""))
         .select(
             *kept,
