@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SPACE = r"\p{IsWhite_Space}"
-# Runs of whitespace, or a single whitespace character that is not a plain space; single
-# spaces, by far the most frequent match, are left alone.
-_COLLAPSIBLE = rf"{_SPACE}{{2,}}|[{_SPACE}&&[^ ]]"
 _DROPPED_CONTROL = rf"[\p{{Cc}}&&[^{_SPACE}]]"
 # Below U+0300 every string is already in composed form.
 _MAY_COMPOSE = r"[^\x{0}-\x{2FF}]"
@@ -46,13 +43,14 @@ def trim_space(text: Column) -> Column:
 
 
 def collapse_space(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, _COLLAPSIBLE, " "))
+    return F.trim(F.regexp_replace(text, f"{_SPACE}+", " "))
 
 
 def lower_simple(text: Column) -> Column:
     """Lowercase character by character: dotted I and final sigma get no special form."""
-    special = F.contains(text, F.lit("İ")) | F.contains(text, F.lit("Σ"))
-    return F.lower(F.when(special, F.translate(text, "İΣ", "iσ")).otherwise(text))
+    for special, plain in (("İ", "i"), ("Σ", "σ")):
+        text = F.replace(text, F.lit(special), F.lit(plain))
+    return F.lower(text)
 
 
 def normalize_text(text: Column) -> Column:

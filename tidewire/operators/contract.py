@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from tidewire import schemas as S
 from tidewire.functions import text as X
+from tidewire.functions.columns import compute_once
 
 _ZERO_TIME = "0001-01-01 00:00:00"
 _RAW_COLUMNS = [f.name for f in S.RAW]
@@ -115,7 +116,7 @@ def _parse_wire(messages: DataFrame, value: str, shape) -> DataFrame:
     parsed = F.from_json(
         F.col(value).cast("string"), with_corrupt, {"columnNameOfCorruptRecord": "_corrupt"}
     )
-    return messages.withColumn("_w", parsed).withColumn(
+    return compute_once(messages, {"_w": parsed}).withColumn(
         "_broken", F.col("_w").isNull() | F.col("_w._corrupt").isNotNull()
     )
 

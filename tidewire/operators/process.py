@@ -109,11 +109,22 @@ def to_processed(rows: DataFrame, now: Column, *extra: str) -> DataFrame:
     ).select(*[f.name for f in S.PROCESSED], *extra)
 
 
+def relevant_language(language: Column, rule: Relevance) -> Column:
+    """Whether the language alone lets an item through; simple enough to reach the scan."""
+    if not rule.language:
+        return F.lit(True)
+    return language.isNull() | language.isin("", rule.language)
+
+
 def process_news(
     raw: DataFrame, now: Column, rule: Relevance = Relevance(), seq: str = "arrival_seq"
 ) -> DataFrame:
-    """Clean, relevant, first-seen items."""
-    survivors = evaluate(raw, rule).filter("error is null and reason is null")
+    """Clean, relevant, first-seen items.
+
+    Rows that cannot survive whatever their text says are dropped before it is normalized.
+    """
+    candidates = raw.filter(relevant_language(F.col("language"), rule))
+    survivors = evaluate(candidates, rule).filter("error is null and reason is null")
     return to_processed(dedup_first(survivors, "content_hash", seq), now, seq)
 
 

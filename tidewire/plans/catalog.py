@@ -426,7 +426,7 @@ def normalize_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.table(spark, sf_dir, "pages").select(
+    return B.texts(spark, sf_dir, "pages").select(
         "page_id", X.clean_text(F.col("html")).alias("text")
     )
 

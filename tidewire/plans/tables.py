@@ -25,6 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with costly text work ahead.
+
+    A file with one row group is read by one task, however many cores there are. With fewer
+    files than cores the rows are spread first; a table of many files is left as it is.
+    """
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+
+
 def now() -> Column:
     return F.lit(NOW).cast("timestamp")
 
@@ -35,7 +46,7 @@ def _minutes_in(column: str) -> Column:
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as raw news; the first line is the title, the whole text the body."""
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents").select(
         F.lit("1.0.0").alias("schema_version"),
         F.concat(F.lit("doc-"), F.col("doc_id")).alias("id"),
         F.lit("replay").alias("source"),

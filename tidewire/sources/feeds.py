@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewire import schemas as S
 from tidewire.functions import text as X
+from tidewire.functions.columns import compute_once
 from tidewire.operators.contract import raw_error
 
 _HEAD = 256  # the format is recognized within this many leading characters
@@ -95,7 +96,8 @@ def _with_address(files: DataFrame) -> DataFrame:
 
 def _parsed(documents: DataFrame, shape, xml: str, feed_url: str):
     kept = [c for c in documents.columns if c not in (xml, feed_url)]
-    return kept, documents.withColumn("_d", F.from_xml(F.col(xml), shape))
+    parsed = compute_once(documents, {"_d": F.from_xml(F.col(xml), shape)})
+    return kept, parsed.drop(xml)
 
 
 def _to_raw(
@@ -105,22 +107,22 @@ def _to_raw(
     # Items come from an outer explode, which keeps the optimizer from parsing the document
     # again in a filter; documents without items leave a NULL behind.
     trimmed = X.trim_space(F.coalesce(title, F.lit("")))
-    by_title = F.concat(F.col(feed_url), F.lit("|"), trimmed)
-    return (
-        items.filter(trimmed != "")
-        .select(
-            *kept,
-            F.lit(S.SCHEMA_VERSION).alias("schema_version"),
-            X.hash_id("rss", X.first_non_empty(*unique, by_title)).alias("id"),
-            F.lit("rss").alias("source"),
-            F.col(feed_url).alias("feed"),
-            url.alias("url"),
-            trimmed.alias("title"),
-            F.coalesce(F.nullif(X.clean_text(markup), F.lit("")), trimmed).alias("body"),
-            X.normalize_lang(F.col("_lang")).alias("language"),
-            F.coalesce(X.parse_feed_date(date), now).alias("published_at"),
-            now.alias("ingested_at"),
-            F.lit(None).cast("array<string>").alias("tickers"),
-        )
-        .filter(raw_error().isNull())
+    by_title = F.concat(F.col(feed_url), F.lit("|"), F.col("_title"))
+    named = items.withColumn("_title", trimmed).filter("_title != ''")
+    read = compute_once(
+        named, {"_body": X.clean_text(markup), "_date": X.parse_feed_date(date)}
     )
+    return read.select(
+        *kept,
+        F.lit(S.SCHEMA_VERSION).alias("schema_version"),
+        X.hash_id("rss", X.first_non_empty(*unique, by_title)).alias("id"),
+        F.lit("rss").alias("source"),
+        F.col(feed_url).alias("feed"),
+        url.alias("url"),
+        F.col("_title").alias("title"),
+        F.coalesce(F.nullif(F.col("_body"), F.lit("")), F.col("_title")).alias("body"),
+        X.normalize_lang(F.col("_lang")).alias("language"),
+        F.coalesce(F.col("_date"), now).alias("published_at"),
+        now.alias("ingested_at"),
+        F.lit(None).cast("array<string>").alias("tickers"),
+    ).filter(raw_error().isNull())
