@@ -13,6 +13,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The characters with the Unicode property White_Space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _SPACE = r"\p{IsWhite_Space}"
 _DROPPED_CONTROL = rf"[\p{{Cc}}&&[^{_SPACE}]]"
 # Below U+0300 every string is already in composed form.
@@ -39,7 +44,7 @@ def unescape_html(text: Column) -> Column:
 
 def trim_space(text: Column) -> Column:
     """Trim every Unicode whitespace character, not only the plain space."""
-    return F.regexp_replace(text, rf"^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def collapse_space(text: Column) -> Column:
@@ -89,11 +94,8 @@ def first_non_empty(*values: Column) -> Column:
 
 def model_text(title: Column, body: Column) -> Column:
     """Text handed to the sentiment model."""
-    blank = rf"[{_SPACE}\x{{1C}}-\x{{1F}}]+"
-    t, b = (
-        F.regexp_replace(F.coalesce(c, F.lit("")), f"^{blank}|{blank}$", "")
-        for c in (title, body)
-    )
+    blank = F.lit(WHITE_SPACE + "\x1c\x1d\x1e\x1f")
+    t, b = (F.btrim(F.coalesce(c, F.lit("")), blank) for c in (title, body))
     return F.when((t != "") & (b != ""), F.concat(t, F.lit(". "), b)).otherwise(
         F.concat(t, b)
     )

@@ -172,4 +172,5 @@ def drop_seen(
 
     Both sides are reduced to one row per key by partial aggregation before they meet.
     """
-    return dedup_first(poll, key, seq).join(history.select(key).distinct(), key, "left_anti")
+    fresh = dedup_first(poll, key, seq).join(history.select(key).distinct(), key, "left_anti")
+    return fresh.select(*poll.columns)

@@ -1,6 +1,6 @@
 """Score stage: model choice, sentiment per item, and the result rows it appends."""
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -111,7 +111,7 @@ def _batch_probs(model: BatchModel):
     load = model.load
 
     @F.pandas_udf("array<double>")
-    def probs(batches: Iterable[pd.Series]) -> Iterable[pd.Series]:
+    def probs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = load()
 
         def one(text: str):
