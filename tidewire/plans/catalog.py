@@ -1,5 +1,6 @@
 """Every operator as a query over the given tables. ``oracle.py`` has the SQL twins."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,10 @@ from tidewire.functions import sentiment as M
 from tidewire.functions import text as X
 from tidewire.operators import contract, entities, metrics, process, readmodel, scoring, signals
 from tidewire.plans import tables as B
+from tidewire.session import shared_dir, use_rocksdb_state
 from tidewire.sources import feeds, gdelt, registry, replay
+from tidewire.streaming import shocks as stream_state
+from tidewire.streaming import sinks, stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -620,6 +624,16 @@ def recent_shocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readmodel.recent_shocks(_shocks(spark, sf_dir), 100)
 
 
+@query
+def display_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readmodel.display_items(readmodel.recent_results(B.results(spark, sf_dir)))
+
+
+@query
+def display_shocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readmodel.display_shocks(readmodel.recent_shocks(_shocks(spark, sf_dir)))
+
+
 @query
 def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readmodel.label_distribution(B.results(spark, sf_dir))
@@ -656,6 +670,44 @@ def document_sentiment_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readmodel.label_distribution(scoring.sentiment_results(_scored(spark, sf_dir)))
 
 
+# --- Streams: the tables as file streams, drained into a table and read back ---------------
+
+
+def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reader = spark.readStream.schema(B.table(spark, sf_dir, name).schema)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def _drained(rows: DataFrame, name: str) -> DataFrame:
+    spark = rows.sparkSession
+    base = f"{shared_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
+    sinks.to_table(rows, f"{base}/out", f"{base}/checkpoint", every=None).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{base}/out")
+
+
+@query
+def stream_process_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wire messages through the process stage; copies differ in id only."""
+    messages = contract.to_wire(B.as_news(_stream(spark, sf_dir, "documents")))
+    rows = stages.process_stage(messages, B.now(), dedup_within=None)
+    return _drained(rows, "process").select("content_hash", "title", "body", "language")
+
+
+@query
+def stream_shocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_rocksdb_state(spark)
+    samples = B.as_entity_samples(_stream(spark, sf_dir, "events"))
+    found = stream_state.detect_shocks_stream(samples, B.WINDOW_SECONDS, B.THRESHOLD)
+    return _drained(found, "shocks")
+
+
+@query
+def stream_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets the watermark has closed."""
+    results = B.as_results(_stream(spark, sf_dir, "events"))
+    return _drained(stages.timeline_stage(results, "15 minutes"), "timeline")
+
+
 # --- Metrics -----------------------------------------------------------------------------
 
 

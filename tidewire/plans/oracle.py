@@ -455,6 +455,20 @@ FROM (SELECT * FROM results ORDER BY inferred_at DESC, item_id LIMIT 500)""",
     "recent_shocks": f"""WITH {_EVENT_SHOCKS}
 SELECT {_SHOCK_SHOWN} FROM (
   SELECT * FROM shock ORDER BY triggered_at DESC, entity, item_id LIMIT 100)""",
+    "display_items": f"""WITH {_RESULTS}
+SELECT {_shown('inferred_at')} AS inferred_at, source, sentiment_label,
+  round(sentiment_score, 3) AS sentiment_score, item_id
+FROM results ORDER BY results.inferred_at DESC, item_id LIMIT 100""",
+    "display_shocks": f"""WITH {_EVENT_SHOCKS}
+SELECT {_shown('triggered_at')} AS triggered_at, entity, round(zscore, 2) AS zscore,
+  round(velocity, 3) AS velocity, round(sentiment_score, 3) AS sentiment_score, item_id
+FROM (SELECT * FROM shock ORDER BY triggered_at DESC, entity, item_id LIMIT 200)""",
+    "stream_process_news": f"""WITH {_CLEAN_NEWS}
+SELECT content_hash, title, body, language FROM decided WHERE decision = 'emit'""",
+    "stream_timeline": f"""SELECT {_shown('bucket')} AS bucket, round(avg(value), 6) AS avg_sentiment,
+  count(*) AS volume
+FROM (SELECT time_bucket(INTERVAL 15 MINUTES, ts) AS bucket, value FROM events)
+WHERE bucket + to_minutes(15) <= (SELECT max(ts) FROM events) - to_minutes(1) GROUP BY bucket""",
     "label_distribution": f"""WITH {_RESULTS}
 SELECT sentiment_label AS label, count(*) AS count FROM results
 WHERE sentiment_label IS NOT NULL GROUP BY 1""",
@@ -525,3 +539,4 @@ SELECT round(a.p50 / b.p50, 6) AS p50_ratio, round(b.rate / a.rate, 6) AS throug
 FROM s a, s b WHERE a.variant = 'click' AND b.variant = 'view'""",
 }
 ORACLE_SQL["extract_entities_joined"] = ORACLE_SQL["extract_entities"]
+ORACLE_SQL["stream_shocks"] = ORACLE_SQL["shocks"]

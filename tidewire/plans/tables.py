@@ -45,8 +45,12 @@ def _minutes_in(column: str) -> Column:
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_news(texts(spark, sf_dir, "documents"))
+
+
+def as_news(documents: DataFrame) -> DataFrame:
     """Documents as raw news; the first line is the title, the whole text the body."""
-    return texts(spark, sf_dir, "documents").select(
+    return documents.select(
         F.lit("1.0.0").alias("schema_version"),
         F.concat(F.lit("doc-"), F.col("doc_id")).alias("id"),
         F.lit("replay").alias("source"),
@@ -85,8 +89,12 @@ def flawed_news(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_entity_samples(table(spark, sf_dir, "events"))
+
+
+def as_entity_samples(events: DataFrame) -> DataFrame:
     """Events as a sentiment series per event type."""
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.concat(F.lit("ev-"), F.col("event_id")).alias("item_id"),
         F.col("event_type").alias("entity"),
         F.col("value").alias("sentiment_score"),
@@ -96,6 +104,10 @@ def entity_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_results(table(spark, sf_dir, "events"))
+
+
+def as_results(events: DataFrame) -> DataFrame:
     """Events as scored items."""
     kind = F.col("event_type")
     label = (
@@ -112,7 +124,7 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     ts = F.col("ts").cast("timestamp")
     even = F.col("event_id") % 2 == 0
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.concat(F.lit("ev-"), F.col("event_id")).alias("item_id"),
         F.concat(F.lit("sha256:"), F.sha2("props", 256)).alias("content_hash"),
         source.alias("source"),

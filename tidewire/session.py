@@ -29,3 +29,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_FALLBACK.setdefault(
         context.applicationId, tempfile.mkdtemp(prefix="tidewire-")
     )
+
+
+def use_rocksdb_state(spark: SparkSession) -> SparkSession:
+    """State of keyed stream operators on local disk and checkpoint, not in the heap."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    return spark
