@@ -56,7 +56,8 @@ def test_named_series(spark, scores, threshold, expected):
         assert (found[0].window_seconds, found[0].threshold) == (300, threshold)
 
 
-def test_randomized_against_brute_force(spark):
+@pytest.mark.parametrize("slices", [1, 2, 5, 16])
+def test_randomized_against_brute_force(spark, slices):
     rng = random.Random(7)
     rows = []
     for entity, gap in (("dense", 3), ("sparse", 90), ("burst", 0), ("mixed", 20)):
@@ -70,7 +71,7 @@ def test_randomized_against_brute_force(spark):
     rng.shuffle(rows)
     expected = brute_force(rows, 300, 1.5, 5)
     got = {r.item_id: r.zscore for r in
-           signals.detect_shocks(samples(spark, rows), 300, 1.5, 5).collect()}
+           signals.detect_shocks(samples(spark, rows), 300, 1.5, 5, slices).collect()}
     assert set(got) == set(expected) and len(expected) > 30
     assert all(abs(got[k] - expected[k]) <= 1e-9 * abs(expected[k]) for k in expected)
 
@@ -88,7 +89,14 @@ def test_hot_entity_is_split_over_blocks(spark):
     assert stats.count() == 60_000
     plan = stats._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
-    assert "hashpartitioning(entity" in plan and "_block" in plan
+    assert "hashpartitioning(entity" in plan and "_cell" in plan
+
+
+def test_suggested_slices(spark):
+    rows = samples(spark, [("hot", i % 100, .1) for i in range(100)] + [("cold", 5, .1)])
+    assert signals.suggest_slices(rows) == 1
+    assert signals.suggest_slices(rows, rows_per_task=30) == 4
+    assert signals.suggest_slices(rows.filter("false")) == 1
 
 
 def test_velocity_over_block_edges(spark):

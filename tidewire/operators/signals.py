@@ -2,14 +2,14 @@
 
 Samples are ordered by ``(inferred_at, arrival_seq)`` within an entity. One entity may hold
 a large share of all rows, so nothing here puts a whole entity into one task: time is cut
-into blocks of the window's length and ``(entity, block)`` is the unit of work. A window
-that ends in a block starts in that block or in the one before it, hence the baseline of
-every sample is
+into cells and ``(entity, cell)`` is the unit of work. With cells as long as the window, a
+window that ends in a cell starts in the one before it, hence the baseline of a sample is
 
-    tail of the previous block  +  step across the boundary  +  head of its own block
+    tail of the earlier cell  +  step across the boundary  +  head of its own cell
 
-and each part is a running aggregate over a sorted block: work is linear in the rows, and
-no pairs of samples are ever formed.
+and each part is a running aggregate over a sorted cell: work is linear in the rows, and no
+pairs of samples are ever formed. When even one window of one entity is too much for a task,
+it is cut into more cells, and the ones in between enter as summaries.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -101,21 +101,86 @@ def _or_zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0.0))
 
 
-def rolling_velocity_stats(rows: DataFrame, window_seconds: int = WINDOW_SECONDS) -> DataFrame:
+def _moment_struct(n: Column, mean: Column, m2: Column, lo: Column, hi: Column) -> Column:
+    return F.struct(
+        n.cast("bigint").alias("n"), mean.alias("mean"), m2.alias("m2"),
+        lo.alias("lo"), hi.alias("hi"),
+    )
+
+
+def _one_step(step: Column) -> Column:
+    present = F.when(step.isNull(), F.lit(0)).otherwise(F.lit(1))
+    return _moment_struct(present, step, F.lit(0.0), step, step)
+
+
+def _spans(in_cell: DataFrame, slices: int) -> DataFrame:
+    """What lies between a cell and the one a window length earlier, per (entity, cell).
+
+    Every cell sends its summary to the cells of the next window length but one, at most
+    ``slices - 1`` of them; ``_span`` is the array received, in time order.
+    """
+    summary = F.struct(
+        F.col("_cell").alias("cell"), F.col("_rank").alias("samples"),
+        F.col("_first_score").alias("first"), F.col("sentiment_score").alias("last"),
+        F.col("_whole").alias("steps"),
+    )
+    reach = F.sequence(F.col("_cell") + 1, F.col("_cell") + F.lit(slices - 1))
+    return (
+        in_cell.filter("_is_last")
+        .select("entity", F.explode(reach).alias("_cell"), summary.alias("_summary"))
+        .groupBy("entity", "_cell")
+        .agg(F.array_sort(F.collect_list("_summary")).alias("_span"))
+    )
+
+
+def _span_moments(span: Column) -> Column:
+    """Moments of all steps inside a span, those between its cells included."""
+    between = F.filter(
+        F.transform(
+            span, lambda c, i: c["first"] - F.when(i > 0, F.get(span, i - 1)["last"])
+        ),
+        lambda x: x.isNotNull(),
+    )
+    parts = F.concat(F.transform(span, lambda c: c["steps"]), F.transform(between, _one_step))
+
+    def total(value) -> Column:
+        return F.aggregate(F.transform(parts, value), F.lit(0.0), lambda acc, x: acc + x)
+
+    n = total(lambda p: p["n"].cast("double"))
+    mean = total(lambda p: _or_zero(p["mean"]) * p["n"]) / F.greatest(n, F.lit(1.0))
+    m2 = total(
+        lambda p: _or_zero(p["m2"])
+        + (_or_zero(p["mean"]) - mean) * (_or_zero(p["mean"]) - mean) * p["n"]
+    )
+    lows = F.transform(parts, lambda p: p["lo"])
+    highs = F.transform(parts, lambda p: p["hi"])
+    return _moment_struct(n, F.when(n > 0, mean), m2, F.array_min(lows), F.array_max(highs))
+
+
+def rolling_velocity_stats(
+    rows: DataFrame, window_seconds: int = WINDOW_SECONDS, slices: int = 1
+) -> DataFrame:
     """Each sample plus ``velocity``, ``n_samples``, ``mean_velocity``, ``std_velocity``.
 
     ``n_samples`` counts the window of ``window_seconds`` that ends with the sample, both
     bounds included. The baseline is made of the steps between the earlier samples of that
     window, so the current step and the step into the window are left out. ``velocity`` is
     NULL when the predecessor lies outside the window; equal steps have deviation 0.
+
+    ``slices`` cuts the window length into that many cells. One cell is best for most data;
+    raise it when a single window of one entity holds more rows than a task should sort.
     """
     width = window_seconds * 1_000_000
+    if slices < 1 or width % slices:
+        raise ValueError(f"the window length in microseconds must divide into {slices} slices")
     score = F.col("sentiment_score")
-    head = Window.partitionBy("entity", "_block").orderBy("_us", "arrival_seq")
+    us = F.unix_micros("inferred_at")
+    head = Window.partitionBy("entity", "_cell").orderBy("_us", "arrival_seq")
     before = head.rowsBetween(Window.unboundedPreceding, -1)
     so_far = head.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    in_block = (
-        _timed(rows, window_seconds)
+    in_cell = (
+        rows.withColumn("_us", us)
+        .withColumn("_cell", F.floor(us / F.lit(width // slices)))
         .withColumn("_step", score - F.lag("sentiment_score").over(head))
         .withColumn("_prev_us", F.lag("_us").over(head))
         .withColumn("_is_last", F.lead("_us").over(head).isNull())
@@ -123,36 +188,41 @@ def rolling_velocity_stats(rows: DataFrame, window_seconds: int = WINDOW_SECONDS
         .withColumn("_first_score", F.first("sentiment_score").over(so_far))
         .withColumn("_head", _moments(F.col("_step"), before))
     )
-
-    # Second pass over the previous block in descending time. Each row sends a lookup there,
-    # placed at its window start, and stays behind in its own block as a step (at the time of
-    # its predecessor) and, for the last row, as the sample the next block enters from. A
-    # lookup sees what lies at or after its place; it comes last among equal times because
-    # the bound is inclusive.
-    payload = F.struct(*rows.columns, "_step", "_rank", "_first_score", "_head")
-    payload_type = in_block.select(payload).schema[0].dataType
+    carried = [*rows.columns, "_step", "_rank", "_first_score", "_head"]
+    if slices > 1:
+        spans = _spans(in_cell.withColumn("_whole", _moments(F.col("_step"), so_far)), slices)
+        in_cell = in_cell.join(spans, ["entity", "_cell"], "left")
+        carried.append("_span")
+
+    # Second pass over the cell one window length earlier, in descending time. Each row sends
+    # a lookup there, placed at its window start, and stays behind in its own cell as a step
+    # (at the time of its predecessor) and, for the last row, as the sample that later cells
+    # are entered from. A lookup sees what lies at or after its place; it comes last among
+    # equal times because the bound is inclusive.
+    payload = F.struct(*carried)
+    payload_type = in_cell.select(payload).schema[0].dataType
     nothing, no_row = F.lit(None).cast("double"), F.lit(None).cast(payload_type)
 
-    def record(block: Column, at: Column, kind: int, step: Column, last: Column, row: Column):
+    def record(cell: Column, at: Column, kind: int, step: Column, last: Column, row: Column):
         return F.struct(
-            block.alias("_block"), at.alias("_at"), F.lit(kind).alias("_kind"),
+            cell.alias("_cell"), at.alias("_at"), F.lit(kind).alias("_kind"),
             step.alias("_tail_step"), last.alias("_tail_last"), row.alias("_row"),
         )
 
     records = F.array(
-        record(F.col("_block") - 1, F.col("_us") - F.lit(width), 1, nothing, nothing, payload),
+        record(F.col("_cell") - slices, F.col("_us") - F.lit(width), 1, nothing, nothing, payload),
         F.when(F.col("_step").isNotNull(),
-               record(F.col("_block"), F.col("_prev_us"), 0, F.col("_step"), nothing, no_row)),
+               record(F.col("_cell"), F.col("_prev_us"), 0, F.col("_step"), nothing, no_row)),
         F.when(F.col("_is_last"),
-               record(F.col("_block"), F.col("_us"), 0, nothing, score, no_row)),
+               record(F.col("_cell"), F.col("_us"), 0, nothing, score, no_row)),
     )
     tail = (
-        Window.partitionBy("_entity", "_block")
+        Window.partitionBy("_entity", "_cell")
         .orderBy(F.col("_at").desc(), "_kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = (
-        in_block.select(F.col("entity").alias("_entity"), F.inline(records))
+        in_cell.select(F.col("entity").alias("_entity"), F.inline(records))
         .filter("_kind is not null")
         .withColumn("_tail", _moments(F.col("_tail_step"), tail))
         .withColumn("_entered_from", F.max("_tail_last").over(tail))
@@ -160,32 +230,63 @@ def rolling_velocity_stats(rows: DataFrame, window_seconds: int = WINDOW_SECONDS
         .select("_row.*", "_tail", "_entered_from")
     )
 
-    entered = F.col("_entered_from").isNotNull()
-    entry = F.when(F.col("_rank") > 1, F.col("_first_score") - F.col("_entered_from"))
-    step_in = F.struct(
-        F.when(entry.isNull(), F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("n"),
-        entry.alias("mean"), F.lit(0.0).alias("m2"), entry.alias("lo"), entry.alias("hi"),
-    )
-    parts = found.withColumn("_step_in", step_in)
-    base = _merged([F.col("_tail"), F.col("_step_in"), F.col("_head")])
-    # All samples of the previous block but its last are predecessors of a tail step.
+    # The steps between the parts: into the span or else into the own cell, and from the span
+    # into the own cell. A step that ends in the current sample is its velocity instead.
+    entered, is_first = F.col("_entered_from").isNotNull(), F.col("_rank") == 1
+    came_from, skipped, parts = F.col("_entered_from"), F.lit(0), ["_tail", "_head", "_into"]
+    into = F.when(~is_first, F.col("_first_score") - F.col("_entered_from"))
+    if slices > 1:
+        span = F.col("_span")
+        last_seen = F.element_at(span, -1)["last"]
+        came_from = F.coalesce(last_seen, came_from)
+        skipped = F.coalesce(
+            F.aggregate(span, F.lit(0), lambda acc, c: acc + c["samples"]), F.lit(0)
+        )
+        found = found.withColumn(
+            "_middle",
+            F.when(span.isNotNull(), _span_moments(span)).otherwise(_one_step(nothing)),
+        ).withColumn("_out_of", _one_step(F.when(~is_first, F.col("_first_score") - last_seen)))
+        into = F.when(span.isNotNull(), F.get(span, 0)["first"] - F.col("_entered_from")).otherwise(
+            into
+        )
+        parts += ["_middle", "_out_of"]
+    found = found.withColumn("_into", _one_step(into))
+    base = _merged([F.col(p) for p in parts])
+    # All samples of the earlier cell but its last are predecessors of a tail step.
     earlier = F.when(entered, F.col("_tail.n") + 1).otherwise(F.lit(0))
-    return parts.select(
+    return found.select(
         *rows.columns,
-        F.when(F.col("_rank") > 1, F.col("_step"))
-        .otherwise(score - F.col("_entered_from")).alias("velocity"),
-        (F.col("_rank") + earlier).alias("n_samples"),
+        F.when(is_first, score - came_from).otherwise(F.col("_step")).alias("velocity"),
+        (F.col("_rank") + skipped + earlier).alias("n_samples"),
         base["n"].alias("n_baseline"),
         base["mean"].alias("mean_velocity"),
         base["std"].alias("std_velocity"),
     )
 
 
+def suggest_slices(
+    rows: DataFrame, window_seconds: int = WINDOW_SECONDS, rows_per_task: int = 4_000_000
+) -> int:
+    """Number of slices that keeps the densest window of an entity within ``rows_per_task``.
+
+    One partial aggregation; a single number reaches the driver.
+    """
+    cell = F.floor(F.unix_micros("inferred_at") / F.lit(window_seconds * 1_000_000))
+    densest = (
+        rows.groupBy("entity", cell.alias("cell")).count().agg(F.max("count")).first()[0] or 0
+    )
+    slices = 1
+    while slices < 64 and densest > slices * rows_per_task:
+        slices *= 2
+    return slices
+
+
 def detect_shocks(
     rows: DataFrame,
     window_seconds: int = WINDOW_SECONDS,
     threshold: float = THRESHOLD,
     min_samples: int = MIN_SAMPLES,
+    slices: int = 1,
 ) -> DataFrame:
     """Samples whose step is at least ``threshold`` deviations off the recent baseline.
 
@@ -194,7 +295,7 @@ def detect_shocks(
     needed = max(LEAST_SAMPLES, min_samples)
     zscore = (F.col("velocity") - F.col("mean_velocity")) / F.col("std_velocity")
     return (
-        rolling_velocity_stats(rows, window_seconds)
+        rolling_velocity_stats(rows, window_seconds, slices)
         .filter((F.col("n_samples") >= needed) & (F.col("std_velocity") > 0))
         .withColumn("zscore", zscore)
         .filter(F.abs("zscore") >= threshold)

@@ -596,6 +596,14 @@ def shocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shocks(spark, sf_dir)
 
 
+@query
+def shocks_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every window cut into eight cells, as for very dense series."""
+    return signals.detect_shocks(
+        B.entity_samples(spark, sf_dir), B.WINDOW_SECONDS, B.THRESHOLD, signals.MIN_SAMPLES, 8
+    )
+
+
 @query
 def document_shocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From raw news to shocks: process, score, extract, detect."""

@@ -540,3 +540,4 @@ FROM s a, s b WHERE a.variant = 'click' AND b.variant = 'view'""",
 }
 ORACLE_SQL["extract_entities_joined"] = ORACLE_SQL["extract_entities"]
 ORACLE_SQL["stream_shocks"] = ORACLE_SQL["shocks"]
+ORACLE_SQL["shocks_sliced"] = ORACLE_SQL["shocks"]

@@ -50,6 +50,11 @@ def to_json_lines(
     return _writer(lines, checkpoint, every).format("text").option("path", path).start()
 
 
+def to_memory(rows: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
+    """What is there now, collected into the in-memory table ``name``: for tests only."""
+    return _writer(rows, checkpoint, None, name).format("memory").start()
+
+
 def to_batches(
     rows: DataFrame, write: BatchWriter, checkpoint: str, every: str | None = "10 seconds"
 ) -> StreamingQuery:
