@@ -15,6 +15,8 @@ it is cut into more cells, and the ones in between enter as summaries.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewire.functions.columns import compute_once
+
 # Detector defaults, and the least number of samples it accepts.
 WINDOW_SECONDS = 300
 THRESHOLD = 3.0
@@ -117,7 +119,8 @@ def _spans(in_cell: DataFrame, slices: int) -> DataFrame:
     """What lies between a cell and the one a window length earlier, per (entity, cell).
 
     Every cell sends its summary to the cells of the next window length but one, at most
-    ``slices - 1`` of them; ``_span`` is the array received, in time order.
+    ``slices - 1`` of them, where the summaries are merged: ``_middle`` has the moments of
+    all steps, those between the cells included.
     """
     summary = F.struct(
         F.col("_cell").alias("cell"), F.col("_rank").alias("samples"),
@@ -125,36 +128,47 @@ def _spans(in_cell: DataFrame, slices: int) -> DataFrame:
         F.col("_whole").alias("steps"),
     )
     reach = F.sequence(F.col("_cell") + 1, F.col("_cell") + F.lit(slices - 1))
-    return (
+    received = (
         in_cell.filter("_is_last")
         .select("entity", F.explode(reach).alias("_cell"), summary.alias("_summary"))
         .groupBy("entity", "_cell")
         .agg(F.array_sort(F.collect_list("_summary")).alias("_span"))
     )
-
-
-def _span_moments(span: Column) -> Column:
-    """Moments of all steps inside a span, those between its cells included."""
-    between = F.filter(
-        F.transform(
-            span, lambda c, i: c["first"] - F.when(i > 0, F.get(span, i - 1)["last"])
-        ),
-        lambda x: x.isNotNull(),
+    span, parts, mean = F.col("_span"), F.col("_parts"), F.col("_mean")
+    between = F.transform(
+        span, lambda c, i: _one_step(c["first"] - F.when(i > 0, F.get(span, i - 1)["last"]))
     )
-    parts = F.concat(F.transform(span, lambda c: c["steps"]), F.transform(between, _one_step))
 
     def total(value) -> Column:
         return F.aggregate(F.transform(parts, value), F.lit(0.0), lambda acc, x: acc + x)
 
-    n = total(lambda p: p["n"].cast("double"))
-    mean = total(lambda p: _or_zero(p["mean"]) * p["n"]) / F.greatest(n, F.lit(1.0))
-    m2 = total(
-        lambda p: _or_zero(p["m2"])
-        + (_or_zero(p["mean"]) - mean) * (_or_zero(p["mean"]) - mean) * p["n"]
+    def spread(p: Column) -> Column:
+        off = _or_zero(p["mean"]) - mean
+        return _or_zero(p["m2"]) + off * off * p["n"]
+
+    # Level by level, each computed once: the formulas use the level before repeatedly.
+    joined = compute_once(
+        received, {"_parts": F.concat(F.transform(span, lambda c: c["steps"]), between)}
+    )
+    counted = compute_once(joined, {"_n": total(lambda p: p["n"].cast("double"))})
+    centred = compute_once(
+        counted,
+        {"_mean": total(lambda p: _or_zero(p["mean"]) * p["n"]) / F.greatest("_n", F.lit(1.0))},
     )
-    lows = F.transform(parts, lambda p: p["lo"])
-    highs = F.transform(parts, lambda p: p["hi"])
-    return _moment_struct(n, F.when(n > 0, mean), m2, F.array_min(lows), F.array_max(highs))
+    middle = _moment_struct(
+        F.col("_n"), F.when(F.col("_n") > 0, mean), total(spread),
+        F.array_min(F.transform(parts, lambda p: p["lo"])),
+        F.array_max(F.transform(parts, lambda p: p["hi"])),
+    )
+    return compute_once(
+        centred,
+        {
+            "_middle": middle,
+            "_middle_first": F.get(span, 0)["first"],
+            "_middle_last": F.element_at(span, -1)["last"],
+            "_middle_samples": F.aggregate(span, F.lit(0), lambda acc, c: acc + c["samples"]),
+        },
+    ).drop("_span", "_parts", "_n", "_mean")
 
 
 def rolling_velocity_stats(
@@ -192,7 +206,7 @@ def rolling_velocity_stats(
     if slices > 1:
         spans = _spans(in_cell.withColumn("_whole", _moments(F.col("_step"), so_far)), slices)
         in_cell = in_cell.join(spans, ["entity", "_cell"], "left")
-        carried.append("_span")
+        carried += ["_middle", "_middle_first", "_middle_last", "_middle_samples"]
 
     # Second pass over the cell one window length earlier, in descending time. Each row sends
     # a lookup there, placed at its window start, and stays behind in its own cell as a step
@@ -236,19 +250,14 @@ def rolling_velocity_stats(
     came_from, skipped, parts = F.col("_entered_from"), F.lit(0), ["_tail", "_head", "_into"]
     into = F.when(~is_first, F.col("_first_score") - F.col("_entered_from"))
     if slices > 1:
-        span = F.col("_span")
-        last_seen = F.element_at(span, -1)["last"]
+        last_seen, first_seen = F.col("_middle_last"), F.col("_middle_first")
         came_from = F.coalesce(last_seen, came_from)
-        skipped = F.coalesce(
-            F.aggregate(span, F.lit(0), lambda acc, c: acc + c["samples"]), F.lit(0)
-        )
+        skipped = F.coalesce(F.col("_middle_samples"), F.lit(0))
+        out_of = F.when(~is_first, F.col("_first_score") - last_seen)
         found = found.withColumn(
-            "_middle",
-            F.when(span.isNotNull(), _span_moments(span)).otherwise(_one_step(nothing)),
-        ).withColumn("_out_of", _one_step(F.when(~is_first, F.col("_first_score") - last_seen)))
-        into = F.when(span.isNotNull(), F.get(span, 0)["first"] - F.col("_entered_from")).otherwise(
-            into
-        )
+            "_middle", F.coalesce("_middle", _one_step(nothing))
+        ).withColumn("_out_of", _one_step(out_of))
+        into = F.when(first_seen.isNotNull(), first_seen - F.col("_entered_from")).otherwise(into)
         parts += ["_middle", "_out_of"]
     found = found.withColumn("_into", _one_step(into))
     base = _merged([F.col(p) for p in parts])
