@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewire.session import use_utc
 
@@ -21,8 +22,16 @@ WINDOW_SECONDS = 86_400
 THRESHOLD = 2.5
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the files once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    reader = use_utc(spark).read
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = reader.parquet(path).schema
+    return reader.schema(_SCHEMAS[path]).parquet(path)
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
