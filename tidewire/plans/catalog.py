@@ -22,7 +22,7 @@ QUERIES: dict[str, Query] = {}
 
 # Means of few two-digit values can end in a 5 at the seventh place, where rounding to six
 # would depend on the last bit.
-_PLACES = {"mean_velocity": 8}
+_PLACES = {"mean_velocity": 8, "avg_sentiment": 8}
 
 
 def present(rows: DataFrame) -> DataFrame:

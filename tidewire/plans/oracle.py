@@ -380,9 +380,9 @@ SELECT arrival_seq, {_hash('title', 'body')} AS content_hash FROM news""",
     "hash_id": "SELECT page_id, 'gdelt-' || substr(sha1(url), 1, 16) AS id FROM pages",
     "normalize_lang": """SELECT doc_id AS arrival_seq, CASE doc_id % 7 WHEN 0 THEN 'en'
   WHEN 3 THEN '' WHEN 4 THEN '-en' WHEN 5 THEN 'french' ELSE lang END AS language FROM documents""",
-    "clean_text": f"""SELECT page_id, {_collapse('''replace(replace(replace(regexp_replace(
-    regexp_replace(html, '<[^>]*>', ' ', 'g'), '&quot;', '"', 'g'), '&middot;', '·'), '&copy;', '©'),
-    '&amp;', '&')''')} AS text FROM pages""",
+    "clean_text": f"""SELECT page_id, {_collapse('''regexp_replace(replace(replace(replace(
+    regexp_replace(html, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&middot;', '·'), '&copy;', '©'),
+    '&amp;?', '&', 'g')''')} AS text FROM pages""",
     "parse_feed_date": f"""WITH {_NEWS}
 SELECT arrival_seq, {_shown('''CASE arrival_seq % 8
     WHEN 0 THEN published_at WHEN 1 THEN published_at
@@ -465,7 +465,7 @@ SELECT {_shown('triggered_at')} AS triggered_at, entity, round(zscore, 2) AS zsc
 FROM (SELECT * FROM shock ORDER BY triggered_at DESC, entity, item_id LIMIT 200)""",
     "stream_process_news": f"""WITH {_CLEAN_NEWS}
 SELECT content_hash, title, body, language FROM decided WHERE decision = 'emit'""",
-    "stream_timeline": f"""SELECT {_shown('bucket')} AS bucket, round(avg(value), 6) AS avg_sentiment,
+    "stream_timeline": f"""SELECT {_shown('bucket')} AS bucket, round(avg(value), 8) AS avg_sentiment,
   count(*) AS volume
 FROM (SELECT time_bucket(INTERVAL 15 MINUTES, ts) AS bucket, value FROM events)
 WHERE bucket + to_minutes(15) <= (SELECT max(ts) FROM events) - to_minutes(1) GROUP BY bucket""",
@@ -476,13 +476,13 @@ WHERE sentiment_label IS NOT NULL GROUP BY 1""",
 SELECT source, count(*) AS count FROM results WHERE source IS NOT NULL GROUP BY 1""",
     "global_stats": f"""WITH {_EVENT_SHOCKS}
 SELECT (SELECT count(*) FROM events) AS total_scored, (SELECT count(*) FROM shock) AS total_shocks,
-  (SELECT round(avg(value), 6) FROM events) AS avg_sentiment""",
+  (SELECT round(avg(value), 8) FROM events) AS avg_sentiment""",
     "kpis": f"""WITH {_EVENT_SHOCKS}, newest AS (
   SELECT * FROM events ORDER BY ts DESC, event_id LIMIT 1)
 SELECT (SELECT count(*) FROM events) AS total_scored,
   (SELECT count(*) FROM events WHERE ts >= {_NOW} - to_minutes(5)) AS scored_last_5m,
   (SELECT count(*) FROM shock) AS shocks_flagged,
-  (SELECT round(avg(value), 6) FROM events) AS avg_sentiment,
+  (SELECT round(avg(value), 8) FROM events) AS avg_sentiment,
   (SELECT CASE WHEN event_id % 2 = 0 THEN 'lexicon' ELSE 'onnx' END FROM newest) AS model_name,
   (SELECT event_id % 2 <> 0 FROM newest) AS quantized""",
     "sentiment_timeline": f"""WITH agg AS (
@@ -490,7 +490,7 @@ SELECT (SELECT count(*) FROM events) AS total_scored,
   FROM events GROUP BY 1),
  spine AS (SELECT unnest(generate_series(min(bucket), max(bucket), INTERVAL 15 MINUTES)) AS bucket
            FROM agg)
-SELECT {_shown('spine.bucket')} AS bucket, round(coalesce(a, 0), 6) AS avg_sentiment,
+SELECT {_shown('spine.bucket')} AS bucket, round(coalesce(a, 0), 8) AS avg_sentiment,
   coalesce(n, 0) AS volume FROM spine LEFT JOIN agg ON spine.bucket = agg.bucket""",
     "document_sentiment_mix": f"""WITH {_SCORED}
 SELECT label, count(*) AS count FROM lex GROUP BY label""",
