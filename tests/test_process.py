@@ -5,7 +5,7 @@ from tests.test_contract import GOOD, frame
 from tidewire import schemas as S
 from tidewire.operators import process
 
-LONG = "this is a sufficiently long synthetic body for the processor test"
+LONG = "an invented body that is comfortably longer than twenty characters"
 
 
 def news(spark, rows):

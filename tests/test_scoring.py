@@ -38,9 +38,9 @@ def items(spark, texts):
 
 def test_finance_words(spark):
     rows = items(spark, [
-        "Company beats estimates as profit rises to a record high",
-        "Company misses estimates, cuts outlook; shares slide on weak demand",
-        "Company names a new officer effective next month",
+        "A strong quarter: profits rose and margins gained",
+        "A weak quarter: losses, a lawsuit, and guidance cut",
+        "The annual meeting takes place in June",
     ])
     got = scoring.sentiment_results(scoring.score(rows, F.lit(at(1)))).orderBy("item_id").collect()
     assert [r.sentiment_label for r in got] == ["positive", "negative", "neutral"]
@@ -89,11 +89,11 @@ def with_text(spark, cases):
 
 
 CASES = [
-    ("Update", "routine update", ["NMBS"]),
-    ("", "Helios Energy announced a synthetic milestone today", None),
-    ("", "shares of cblt moved", []),
+    ("Notice", "nothing else", ["NMBS"]),
+    ("", "today Helios Energy opened a plant", None),
+    ("", "traders watched cblt closely", []),
     ("", "nmbs nmbs nmbs", ["nmbs", "NMBS"]),
-    ("", "a generic sentence with no known names", None),
+    ("", "nobody known is mentioned here", None),
     ("", "xcblt cblty écblt cblt2", None),
     ("Nimbus", "robotics (NMBS), tranquill softwares", None),
     ("", "", None),

@@ -11,31 +11,26 @@ from tidewire.sources.registry import SourceConfig
 
 RSS = """<?xml version="1.0"?>
 <rss version="2.0"><channel>
-  <title>Market Feed</title>
   <language>en-US</language>
   <item>
-    <title>Gamma Ltd raises guidance</title>
-    <link>https://feed.com/1</link>
-    <description>&lt;p&gt;Profit &lt;b&gt;rises&lt;/b&gt; sharply this quarter.&lt;/p&gt;</description>
-    <pubDate>Mon, 20 Jul 2026 12:00:00 +0000</pubDate>
-    <guid>guid-1</guid>
+    <guid>first</guid><pubDate>Tue, 05 Mar 2024 08:30:00 +0000</pubDate>
+    <title>Harbour rail opens early</title><link>https://rail.example/a</link>
+    <description>&lt;div&gt;Trains &lt;em&gt;run&lt;/em&gt; at dawn.&lt;/div&gt;</description>
   </item>
-  <item><title>Delta Co cuts outlook</title><link>https://feed.com/2</link>
-    <description><![CDATA[Shares <i>slide</i> on the news.]]></description>
+  <item><title>Bridge tolls fall</title><link>https://rail.example/b</link>
+    <description><![CDATA[Cars <i>pay</i> less.]]></description>
     <pubDate>never</pubDate></item>
   <item><title> </title></item>
 </channel></rss>"""
 RSS_ONE = "<rss><channel><item><title>Only one</title></item></channel></rss>"
 ATOM = """<?xml version="1.0" encoding="utf-8"?>
 <feed xmlns="http://www.w3.org/2005/Atom" xml:lang="en">
-  <title>Atom Market</title>
   <entry>
-    <title>Epsilon PLC announces buyback</title>
-    <id>tag:feed.com,2026:1</id>
-    <link href="https://atom.com/self" rel="self"/>
-    <link href="https://atom.com/1" rel="alternate"/>
-    <updated>2026-07-20T12:00:00Z</updated>
-    <summary>The board approved a large buyback program.</summary>
+    <id>urn:ferry:9</id><title>Ferry line extended</title>
+    <updated>2024-03-05T08:30:00Z</updated>
+    <link rel="self" href="https://ferry.example/self"/>
+    <link rel="alternate" href="https://ferry.example/9"/>
+    <summary>Two more piers from May.</summary>
   </entry>
 </feed>"""
 
@@ -46,18 +41,18 @@ def test_feeds(spark):
          ("https://f/broken", "<rss><channel>"), ("https://f/empty", "<rss><channel/></rss>")],
         "feed_url string, xml string")
     rows = {r.title: r for r in feeds.parse_feed(docs, F.lit(at(99))).collect()}
-    assert set(rows) == {"Gamma Ltd raises guidance", "Delta Co cuts outlook", "Only one",
-                         "Epsilon PLC announces buyback"}
-    gamma, delta = rows["Gamma Ltd raises guidance"], rows["Delta Co cuts outlook"]
-    assert gamma.body == "Profit rises sharply this quarter." and gamma.language == "en"
-    assert gamma.source == "rss" and gamma.feed == "https://f/rss"
-    assert delta.body == "Shares slide on the news." and delta.published_at == gamma.ingested_at
+    assert set(rows) == {"Harbour rail opens early", "Bridge tolls fall", "Only one",
+                         "Ferry line extended"}
+    rail, bridge = rows["Harbour rail opens early"], rows["Bridge tolls fall"]
+    assert rail.body == "Trains run at dawn." and rail.language == "en"
+    assert rail.source == "rss" and rail.feed == "https://f/rss"
+    assert bridge.body == "Cars pay less." and bridge.published_at == rail.ingested_at
     one = rows["Only one"]
     assert one.body == "Only one" and one.url == "" and one.language == ""
-    atom = rows["Epsilon PLC announces buyback"]
-    assert atom.url == "https://atom.com/1" and atom.language == "en"
-    assert atom.body == "The board approved a large buyback program."
-    assert atom.published_at == gamma.published_at
+    atom = rows["Ferry line extended"]
+    assert atom.url == "https://ferry.example/9" and atom.language == "en"
+    assert atom.body == "Two more piers from May."
+    assert atom.published_at == rail.published_at
     ids = {r.id for r in rows.values()}
     assert len(ids) == 4 and all(len(i) == len("rss-") + 16 for i in ids)
 
