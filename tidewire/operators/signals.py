@@ -193,13 +193,16 @@ def rolling_velocity_stats(
     before = head.rowsBetween(Window.unboundedPreceding, -1)
     so_far = head.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     in_cell = (
-        rows.withColumn("_us", us)
-        .withColumn("_cell", F.floor(us / F.lit(width // slices)))
-        .withColumn("_step", score - F.lag("sentiment_score").over(head))
-        .withColumn("_prev_us", F.lag("_us").over(head))
-        .withColumn("_is_last", F.lead("_us").over(head).isNull())
-        .withColumn("_rank", F.row_number().over(head))
-        .withColumn("_first_score", F.first("sentiment_score").over(so_far))
+        rows.withColumns({"_us": us, "_cell": F.floor(us / F.lit(width // slices))})
+        .withColumns(
+            {
+                "_step": score - F.lag("sentiment_score").over(head),
+                "_prev_us": F.lag("_us").over(head),
+                "_is_last": F.lead("_us").over(head).isNull(),
+                "_rank": F.row_number().over(head),
+                "_first_score": F.first("sentiment_score").over(so_far),
+            }
+        )
         .withColumn("_head", _moments(F.col("_step"), before))
     )
     carried = [*rows.columns, "_step", "_rank", "_first_score", "_head"]
@@ -238,8 +241,12 @@ def rolling_velocity_stats(
     found = (
         in_cell.select(F.col("entity").alias("_entity"), F.inline(records))
         .filter("_kind is not null")
-        .withColumn("_tail", _moments(F.col("_tail_step"), tail))
-        .withColumn("_entered_from", F.max("_tail_last").over(tail))
+        .withColumns(
+            {
+                "_tail": _moments(F.col("_tail_step"), tail),
+                "_entered_from": F.max("_tail_last").over(tail),
+            }
+        )
         .filter("_kind = 1")
         .select("_row.*", "_tail", "_entered_from")
     )
