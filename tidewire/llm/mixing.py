@@ -154,3 +154,26 @@ def _last_finish(served: DataFrame, budget: float, passes: int) -> float:
             return last if inside is None else inside
         filled, last = filled + words, end
     return last
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` as the mix takes them: dropped, once or repeated; same columns.
+
+    Rows equal in id, source and size share one number of copies, their average rounded up.
+    """
+    key, text, source = (options.get(n, d) for n, d in
+                         (("key", "doc_id"), ("text", "text"), ("source", "source")))
+    taken = (
+        mix(docs, **options).groupBy("doc_id", "source", "size")
+        .agg(F.ceil(F.avg("copies")).cast("int").alias("copies")).filter("copies > 0")
+        .toDF("m_doc_id", "m_source", "m_size", "m_copies")
+    )
+    kept = docs.join(
+        taken,
+        docs[key].cast("long").eqNullSafe(F.col("m_doc_id"))
+        & docs[source].eqNullSafe(F.col("m_source"))
+        & (n_words(docs[text]) == F.col("m_size")),
+    )
+    return kept.select(
+        *[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "m_copies")).alias("m_copy")
+    ).drop("m_copy")

@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import mixing, packing
+from tidewire.llm import line_dedup, mixing, packing, quality_rules
 from tidewire.llm.common import table
 
 
+def op1_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -19,7 +28,9 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_host_quality_rules,
         op2_mix_sources,
+        op6_line_dedup,
         op9_best_fit_packing,
     )
 }
