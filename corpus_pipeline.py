@@ -6,14 +6,43 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewire.llm import mixing, packing
+from tidewire.llm import line_dedup, mixing, near_dedup, packing, quality_rules
 from tidewire.llm.common import table
 from tidewire.session import shared_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is one of ``kept``; columns as they are."""
+    ids = kept.select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
+
+
+def host_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules or their host's verdict reject go."""
+    return _only(docs, quality_rules.judge(docs).filter("kept"))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boilerplate lines go from all documents but their first; every document stays."""
+    cleaned = line_dedup.dedup_lines(docs)
+    changed = cleaned["n_removed"] > 0
+    columns = [
+        F.when(changed, F.length("text")).otherwise(cleaned[c]).cast(kind).alias(c)
+        if c == "n_chars" else cleaned[c] if c in cleaned.columns else docs[c]
+        for c, kind in docs.dtypes
+    ]
+    return cleaned.select(*columns)
+
+
+def near_dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, that with the smallest id."""
+    return _only(docs, near_dedup.near_duplicates(docs).filter("kept"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it; the others go."""
     return mixing.mixed_documents(docs)
@@ -24,6 +53,9 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("host_quality_rules", host_quality_rules),
+    ("line_dedup", dedup_lines),
+    ("minhash_near_dedup", near_dedup_documents),
     ("mix_sources", mix_sources),
     ("best_fit_packing", best_fit_packing),
 ]

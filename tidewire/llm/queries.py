@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import line_dedup, mixing, packing, quality_rules
+from tidewire.llm import line_dedup, mixing, near_dedup, packing, quality_rules
 from tidewire.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "text", "n_lines", "n_removed")
@@ -30,6 +34,7 @@ QUERIES = {
     for f in (
         op1_host_quality_rules,
         op2_mix_sources,
+        op4_minhash_near_dedup,
         op6_line_dedup,
         op9_best_fit_packing,
     )
