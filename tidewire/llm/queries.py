@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import line_dedup, mixing, near_dedup, packing, quality_rules
+from tidewire.llm import lang_id, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules
 from tidewire.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -34,8 +44,10 @@ QUERIES = {
     for f in (
         op1_host_quality_rules,
         op2_mix_sources,
+        op3_language_id,
         op4_minhash_near_dedup,
         op6_line_dedup,
+        op7_quality_classifier,
         op9_best_fit_packing,
     )
 }
