@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import lang_id, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules
+from tidewire.llm import lang_id, license_scan, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules
 from tidewire.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "text", "n_lines", "n_removed")
@@ -46,6 +50,7 @@ QUERIES = {
         op2_mix_sources,
         op3_language_id,
         op4_minhash_near_dedup,
+        op5_license_scan,
         op6_line_dedup,
         op7_quality_classifier,
         op9_best_fit_packing,
