@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import lang_id, license_scan, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules
+from tidewire.llm import (
+    embedding_dedup,
+    lang_id,
+    license_scan,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    quality_model,
+    quality_rules,
+)
 from tidewire.llm.common import table
 
 
@@ -39,6 +49,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -53,6 +67,7 @@ QUERIES = {
         op5_license_scan,
         op6_line_dedup,
         op7_quality_classifier,
+        op8_embedding_near_dedup,
         op9_best_fit_packing,
     )
 }
