@@ -54,13 +54,15 @@ def boilerplate(
     near = F.coalesce(F.col("sites"), F.lit(0)).between(
         min_sites * (1 - BAND) - 1, min_sites * (1 + BAND) + 1
     )
+    # a pair of line and site once per task before lines meet: a very common line is few rows
+    pairs = seen.filter(F.col("site").isNotNull()).select(*by_line, "site").distinct()
     exact = (
-        seen.join(spread.filter(near).select(*by_line), by_line, "left_semi")
-        .groupBy(*by_line).agg(F.countDistinct("site").alias("exact_sites"))
+        pairs.join(spread.filter(near).select(*by_line), by_line, "left_semi")
+        .groupBy(*by_line).agg(F.count(F.lit(1)).alias("exact_sites"))
     )
     wide = (
         spread.join(exact, by_line, "left")
-        .filter(F.coalesce("exact_sites", "sites") >= min_sites).select(*by_line, "first_doc")
+        .filter(F.coalesce("exact_sites", "sites", F.lit(0)) >= min_sites).select(*by_line, "first_doc")
     )
     return seen.join(wide, by_line).filter(
         F.col("first_doc").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first_doc"))
