@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewire.llm import (
     embedding_dedup,
@@ -14,6 +15,7 @@ from tidewire.llm import (
     packing,
     quality_model,
     quality_rules,
+    substring_dedup,
 )
 from tidewire.llm.common import table
 
@@ -57,6 +59,13 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring_dedup.remove_earlier(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -69,6 +78,7 @@ QUERIES = {
         op7_quality_classifier,
         op8_embedding_near_dedup,
         op9_best_fit_packing,
+        op10_suffix_dedup,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
