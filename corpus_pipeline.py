@@ -28,14 +28,14 @@ def host_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go from all documents but their first; every document stays."""
-    cleaned = line_dedup.dedup_lines(docs)
-    changed = cleaned["n_removed"] > 0
-    columns = [
-        F.when(changed, F.length("text")).otherwise(cleaned[c]).cast(kind).alias(c)
-        if c == "n_chars" else cleaned[c] if c in cleaned.columns else docs[c]
+    inside = docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns})
+    cleaned = line_dedup.dedup_lines(inside, key="in_doc_id", text="in_text", site="in_source")
+    length = F.when(F.col("n_removed") > 0, F.length("in_text"))
+    return cleaned.select(*[
+        F.coalesce(length, f"in_{c}").cast(kind).alias(c) if c == "n_chars"
+        else F.col(f"in_{c}").alias(c)
         for c, kind in docs.dtypes
-    ]
-    return cleaned.select(*columns)
+    ])
 
 
 def near_dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,8 @@ class Limits:
     """Documented limits; a rule counts once at its limit and twice at twice the limit.
 
     ``watched`` and ``rejected`` are failure rates of a host after shrinkage. A document of a
-    trusted host goes at two points, of a watched host at one, of a rejected host always.
+    trusted host goes at two points, of a watched host at one, of a rejected host always. The
+    prior weighs as much as ``prior_docs`` documents at least, so that no host is judged by one.
     """
 
     min_words: int = 20
@@ -35,6 +36,7 @@ class Limits:
     word_length: tuple[float, float] = (2.0, 12.0)
     watched: float = 0.5
     rejected: float = 0.8
+    prior_docs: float = 10.0
 
 
 def _repeat_words(hashes: Column) -> Column:
@@ -129,7 +131,7 @@ def host_verdicts(judged: DataFrame, limits: Limits = Limits()) -> DataFrame:
     between = max((square or 0.0) - mean * mean - drawn * groups / max(docs or 1, 1), 0.0)
     # no spread between hosts: a strong prior of as many documents as an average host has
     precision = drawn / between - 1 if between > 0 else (docs or 0) / max(groups, 1)
-    precision = max(precision, 0.0)
+    precision = max(precision, limits.prior_docs)
     shrunk = (F.col("fails") + precision * mean) / (F.col("host_docs") + precision)
     verdict = (
         F.when(F.col("host_rate") > limits.rejected, "rejected")
