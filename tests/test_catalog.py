@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.check_oracle import connect, difference
+from tidewire.plans.catalog import QUERIES
+from tidewire.plans.oracle import ORACLE_SQL
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,13 +16,14 @@ def db():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    ours = entry.queries()[name](spark, SF_DIR).toPandas()
-    assert difference(ours, db.execute(entry.oracle_sql()[name]).df()) is None
+    ours = QUERIES[name](spark, SF_DIR).toPandas()
+    assert difference(ours, db.execute(ORACLE_SQL[name]).df()) is None
 
 
 def test_entry(spark):
