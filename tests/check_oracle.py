@@ -1,6 +1,7 @@
 """Compare catalog queries with their SQL twins: ``python -m tests.check_oracle [sf] [name ...]``."""
 
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -57,7 +58,9 @@ def main() -> None:
     sf_dir = f"/root/testdata/sf{sf}"
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").getOrCreate()
+        .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidewire-oracle-"))
+        .config("spark.tidewire.text.partitions", "8").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     db = connect(sf_dir)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,19 +8,10 @@ from tests.conftest import at
 from tidewire.operators import metrics
 
 
-def interpolated(values, p):
-    """Linear interpolation between closest ranks."""
-    ordered = sorted(values)
-    k = (len(ordered) - 1) * p / 100
-    low = int(k)
-    high = min(low + 1, len(ordered) - 1)
-    return ordered[low] * (1 - (k - low)) + ordered[high] * (k - low)
-
-
 def test_exact_percentiles(spark):
     rng = random.Random(3)
     groups = {
-        "ten": [float(i) for i in range(1, 11)], "one": [4.0], "same": [2.5] * 50,
+        "eleven": [float(3 * i) for i in range(11)], "one": [4.0], "same": [2.5] * 50,
         "wide": [rng.expovariate(1) * 10 ** rng.randint(-3, 3) for _ in range(500)],
         "signed": [rng.uniform(-5, 5) for _ in range(101)] + [0.0, 0.0],
     }
@@ -29,8 +21,8 @@ def test_exact_percentiles(spark):
            for r in metrics.exact_percentiles(rows, "variant", "millis", percents).collect()}
     for g, values in groups.items():
         for p in percents:
-            assert got[g, float(p)] == pytest.approx(interpolated(values, p), rel=1e-12, abs=1e-12), (g, p)
-    assert got["ten", 50.0] == 5.5
+            assert got[g, float(p)] == pytest.approx(np.percentile(values, p), rel=1e-12, abs=1e-12), (g, p)
+    assert got["eleven", 50.0] == 15.0
 
 
 def test_latency_summary(spark):
@@ -65,6 +57,16 @@ def test_counter_rate(spark):
     assert got == pytest.approx([36 / 60, 0.0, 6 / 60])
 
 
+def test_counter_rate_without_label(spark):
+    """Unlabelled and labelled counters over the edge of an hour rise alike."""
+    rows = spark.createDataFrame(
+        [(at(3590), "s", "m", label, 12.0, seq) for label, seq in ((None, 1), ("x", 2))]
+        + [(at(3650), "s", "m", label, 42.0, seq) for label, seq in ((None, 3), ("x", 4))],
+        "ts timestamp, stage string, metric string, label string, value double, seq long")
+    got = metrics.counter_rate(rows, by=("label",)).collect()
+    assert {r.label: r.per_second for r in got} == {None: .5, "x": .5}
+
+
 def test_lag_and_error_rate(spark):
     rows = spark.createDataFrame(
         [(0, 5, 9), (1, 7, 7), (2, -1, 3), (3, None, 3), (4, 12, 10)], "partition int, position long, high_watermark long")

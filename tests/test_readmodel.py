@@ -15,11 +15,11 @@ def results(spark, rows):
 
 def shocks(spark, n=1):
     return spark.createDataFrame(
-        [("NMBS", f"i{k}", 4.2, .9, .1, .19, 300, 3.0, .8, at(k)) for k in range(n)], S.SHOCK)
+        [("KELP", f"i{k}", -5.25, -.7, .05, .14, 600, 2.5, -.6, at(k)) for k in range(n)], S.SHOCK)
 
 
-ROWS = [("1", .9, "positive", 0, "replay"), ("2", -.8, "negative", 10, "gdelt"),
-        ("3", .1, "neutral", 70, "replay"), ("4", .1, None, 310, None), ("5", .3, "mixed", 310, "rss")]
+ROWS = [("1", .6, "positive", 5, "replay"), ("2", -.5, "negative", 50, "gdelt"),
+        ("3", .1, "neutral", 65, "replay"), ("4", .1, None, 310, None), ("5", .3, "mixed", 310, "rss")]
 
 
 def test_timeline(spark):
@@ -47,13 +47,15 @@ def test_distributions(spark):
 
 def test_kpis(spark):
     rows, flagged = results(spark, ROWS), shocks(spark, 3)
-    got = readmodel.kpis(rows, flagged, F.lit(at(370))).first()
+    got = readmodel.kpis(rows, flagged, F.lit(at(365))).first()
     assert (got.total_scored, got.scored_last_5m, got.shocks_flagged) == (5, 3, 3)
-    assert got.avg_sentiment == pytest.approx(.12) and got.model_name == "m-5"
-    stats = readmodel.global_stats(rows, flagged)
-    capped = readmodel.kpis(readmodel.recent_results(rows, 2), readmodel.recent_shocks(flagged, 1),
-                            F.lit(at(370)), stats).first()
-    assert (capped.total_scored, capped.scored_last_5m, capped.shocks_flagged) == (5, 2, 3)
+    assert got.avg_sentiment == pytest.approx(.12) and got.model_name == "m-4"
+    assert readmodel.recent_results(rows, 1).first().model_name == "m-4"
+    many = spark.range(2500).selectExpr("cast(id as string) item_id").crossJoin(
+        rows.filter("item_id = '1'").drop("item_id"))
+    assert readmodel.kpis(many, flagged, F.lit(at(20))).first().scored_last_5m == 2500
+    stats = readmodel.global_stats(rows, flagged).first()
+    assert (stats.total_scored, stats.total_shocks) == (5, 3)
     empty = readmodel.kpis(rows.filter("false"), flagged.filter("false"), F.lit(at(0))).first()
     assert tuple(empty) == (0, 0, 0, 0.0, "-", False)
 
@@ -64,6 +66,6 @@ def test_recent(spark):
     shown = readmodel.display_items(rows, 2)
     assert shown.columns[-1] == "item_id" and shown.count() == 2
     assert [r.item_id for r in readmodel.recent_shocks(shocks(spark, 3), 2).collect()] == ["i2", "i1"]
-    assert readmodel.display_shocks(shocks(spark)).first().zscore == 4.2
+    assert readmodel.display_shocks(shocks(spark)).first().zscore == -5.25
     plan = readmodel.recent_results(rows, 3)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan

@@ -82,27 +82,29 @@ def global_stats(results: DataFrame, shocks: DataFrame) -> DataFrame:
     )
 
 
-def kpis(
-    results: DataFrame, shocks: DataFrame, now: Column, stats: DataFrame | None = None
-) -> DataFrame:
-    """Headline numbers, one row.
+def kpis(results: DataFrame, shocks: DataFrame, now: Column) -> DataFrame:
+    """Headline numbers of the whole tables, one row, one scan of each.
 
-    ``results`` and ``shocks`` may be recent windows; ``stats`` (see ``global_stats``) then
-    supplies the totals of the whole tables. The model is that of the newest row.
+    The model is that of the first row of ``recent_results``: the newest, of equal times the
+    one with the smallest item id. Pass whole tables, not recent windows: a busy five minutes
+    may hold more rows than a window.
     """
     fresh = F.col("inferred_at") >= now - F.expr("interval 5 minutes")
-    window = results.agg(
+    newest_first = F.when(
+        F.col("inferred_at").isNotNull(), F.struct(-F.unix_micros("inferred_at"), F.col("item_id"))
+    )
+    scored = results.agg(
+        F.count(F.lit(1)).alias("total_scored"),
         F.coalesce(F.sum(F.when(fresh, 1)), F.lit(0)).alias("scored_last_5m"),
-        F.max_by(
-            F.struct("model_name", "quantized"), F.struct("inferred_at", "item_id")
-        ).alias("newest"),
+        F.coalesce(F.avg("sentiment_score"), F.lit(0.0)).alias("avg_sentiment"),
+        F.min_by(F.struct("model_name", "quantized"), newest_first).alias("newest"),
     )
-    totals = global_stats(results, shocks) if stats is None else stats
+    flagged = shocks.agg(F.count(F.lit(1)).alias("shocks_flagged"))
     # Two one-row frames become one row.
-    return totals.unionByName(window, allowMissingColumns=True).agg(
+    return scored.unionByName(flagged, allowMissingColumns=True).agg(
         F.max("total_scored").alias("total_scored"),
         F.max("scored_last_5m").alias("scored_last_5m"),
-        F.max("total_shocks").alias("shocks_flagged"),
+        F.max("shocks_flagged").alias("shocks_flagged"),
         F.max("avg_sentiment").alias("avg_sentiment"),
         F.coalesce(F.max("newest.model_name"), F.lit("-")).alias("model_name"),
         F.coalesce(F.max("newest.quantized"), F.lit(False)).alias("quantized"),
@@ -120,9 +122,10 @@ def sentiment_timeline(results: DataFrame, rule: str = "1 minute") -> DataFrame:
         .agg(F.avg("sentiment_score").alias("avg_sentiment"),
              F.count("sentiment_score").alias("volume"))
     )
-    bounds = results.agg(
-        F.min("inferred_at").alias("_lo"), F.max("inferred_at").alias("_hi")
-    ).filter("_lo is not null")
+    # from the aggregate, whose shuffle is reused: no second scan for the bounds
+    bounds = buckets.agg(F.min("bucket").alias("_lo"), F.max("bucket").alias("_hi")).filter(
+        "_lo is not null"
+    )
     step = F.expr(f"interval {rule}")
     us = F.unix_micros(F.timestamp_seconds(F.lit(0)) + step)
     # Two levels, days then buckets, so that no array grows with the covered time span.
@@ -140,7 +143,7 @@ def sentiment_timeline(results: DataFrame, rule: str = "1 minute") -> DataFrame:
             ),
         )
         .filter(
-            (F.col("_us") > F.unix_micros("_lo") - us) & (F.col("_us") <= F.unix_micros("_hi"))
+            (F.col("_us") >= F.unix_micros("_lo")) & (F.col("_us") <= F.unix_micros("_hi"))
         )
         .select(F.timestamp_micros("_us").alias("bucket"))
     )

@@ -12,6 +12,9 @@ pairs of samples are ever formed. When even one window of one entity is too much
 it is cut into more cells, and the ones in between enter as summaries.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +25,8 @@ WINDOW_SECONDS = 300
 THRESHOLD = 3.0
 MIN_SAMPLES = 8
 LEAST_SAMPLES = 4
+# Cells that a window is cut into: the unit of work is one cell of one entity.
+SLICES = 4
 
 
 def with_previous(
@@ -44,12 +49,15 @@ def with_previous(
         .withColumn(
             "_before", F.lag("_last._state").over(Window.partitionBy(*key).orderBy(block))
         )
-        .select(*key, block, "_before")
+        .select(*[F.col(c).alias(f"_at_{c}") for c in (*key, block)], "_before")
     )
     looked_back = rows.withColumn("_inside", F.lag(state).over(inside))
     previous = F.coalesce(F.col("_inside"), F.col("_before"))
-    return looked_back.join(last, [*key, block], "left").select(
-        *rows.columns, *[previous[c].alias(f"prev_{c}") for c in carry]
+    # null-safe: a key column may be unset for a whole series
+    same = [looked_back[c].eqNullSafe(F.col(f"_at_{c}")) for c in (*key, block)]
+    return looked_back.join(last, reduce(and_, same), "left").select(
+        *[looked_back[c] for c in rows.columns],
+        *[previous[c].alias(f"prev_{c}") for c in carry],
     )
 
 
@@ -172,7 +180,7 @@ def _spans(in_cell: DataFrame, slices: int) -> DataFrame:
 
 
 def rolling_velocity_stats(
-    rows: DataFrame, window_seconds: int = WINDOW_SECONDS, slices: int = 1
+    rows: DataFrame, window_seconds: int = WINDOW_SECONDS, slices: int = SLICES
 ) -> DataFrame:
     """Each sample plus ``velocity``, ``n_samples``, ``mean_velocity``, ``std_velocity``.
 
@@ -181,8 +189,9 @@ def rolling_velocity_stats(
     window, so the current step and the step into the window are left out. ``velocity`` is
     NULL when the predecessor lies outside the window; equal steps have deviation 0.
 
-    ``slices`` cuts the window length into that many cells. One cell is best for most data;
-    raise it when a single window of one entity holds more rows than a task should sort.
+    ``slices`` cuts the window length into that many cells, which different tasks take. Raise
+    it for series so dense that one cell holds more rows than a task should sort; one cell is
+    the least work for sparse series. It is a parameter and never derived from the data.
     """
     width = window_seconds * 1_000_000
     if slices < 1 or width % slices:
@@ -267,7 +276,10 @@ def rolling_velocity_stats(
         into = F.when(first_seen.isNotNull(), first_seen - F.col("_entered_from")).otherwise(into)
         parts += ["_middle", "_out_of"]
     found = found.withColumn("_into", _one_step(into))
-    base = _merged([F.col(p) for p in parts])
+    # filters on the merged columns must not repeat the formula
+    merged = _merged([F.col(p) for p in parts])
+    found = compute_once(found, {f"_base_{n}": c for n, c in merged.items()})
+    base = {n: F.col(f"_base_{n}") for n in merged}
     # All samples of the earlier cell but its last are predecessors of a tail step.
     earlier = F.when(entered, F.col("_tail.n") + 1).otherwise(F.lit(0))
     return found.select(
@@ -280,29 +292,12 @@ def rolling_velocity_stats(
     )
 
 
-def suggest_slices(
-    rows: DataFrame, window_seconds: int = WINDOW_SECONDS, rows_per_task: int = 4_000_000
-) -> int:
-    """Number of slices that keeps the densest window of an entity within ``rows_per_task``.
-
-    One partial aggregation; a single number reaches the driver.
-    """
-    cell = F.floor(F.unix_micros("inferred_at") / F.lit(window_seconds * 1_000_000))
-    densest = (
-        rows.groupBy("entity", cell.alias("cell")).count().agg(F.max("count")).first()[0] or 0
-    )
-    slices = 1
-    while slices < 64 and densest > slices * rows_per_task:
-        slices *= 2
-    return slices
-
-
 def detect_shocks(
     rows: DataFrame,
     window_seconds: int = WINDOW_SECONDS,
     threshold: float = THRESHOLD,
     min_samples: int = MIN_SAMPLES,
-    slices: int = 1,
+    slices: int = SLICES,
 ) -> DataFrame:
     """Samples whose step is at least ``threshold`` deviations off the recent baseline.
 

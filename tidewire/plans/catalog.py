@@ -190,13 +190,15 @@ def _atom_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(seq % 2 == 0, _element("id", F.concat(F.lit("tag:"), "id"))).otherwise(""),
             links,
             _element("updated", X.format_rfc3339(F.col("published_at"))),
-            _element("summary", F.concat(F.lit("About "), title)),
+            _element("summary", F.concat(F.lit("About "), body)),
             F.when(seq % 4 == 0, _element("content", body)).otherwise(F.lit("")),
         ),
     )
     xml = F.concat(
-        F.lit('<?xml version="1.0" encoding="utf-8"?>\n'
-              '<feed xmlns="http://www.w3.org/2005/Atom" xml:lang="'),
+        F.lit('<?xml version="1.0" encoding="utf-8"?>\n'),
+        F.when(seq % 8 == 0, F.concat(F.lit("<!-- "), F.repeat(F.lit("<rss> "), 90), F.lit("-->\n")))
+        .otherwise(F.lit("")),
+        F.lit('<feed xmlns="http://www.w3.org/2005/Atom" xml:lang="'),
         "language", F.lit('"><title>t</title>'), entry, F.lit("</feed>"),
     )
     return B.news(spark, sf_dir).select(
@@ -488,7 +490,13 @@ def lexicon_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def softmax_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logits = F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double"))
+    """Three logits, each the sum of every third dimension of the vector."""
+
+    def total(k: int) -> Column:
+        own = F.filter("embedding", lambda x, i: i % 3 == k)
+        return F.aggregate(own, F.lit(0.0), lambda acc, x: acc + x.cast("double"))
+
+    logits = F.array(*[total(k) for k in range(3)])
     rows = B.table(spark, sf_dir, "embeddings").select("vec_id", logits.alias("logits"))
     probs = rows.withColumn("probs", M.softmax(F.col("logits")))
     value = M.label_from_probs(F.col("probs"), ("negative", "neutral", "positive"))
@@ -659,12 +667,9 @@ def global_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = B.results(spark, sf_dir)
-    flagged = _shocks(spark, sf_dir)
-    return readmodel.kpis(
-        readmodel.recent_results(results, 2000), readmodel.recent_shocks(flagged, 200),
-        B.now(), readmodel.global_stats(results, flagged),
-    )
+    """Times are cut to hours, so that many results share the newest one."""
+    hours = B.results(spark, sf_dir).withColumn("inferred_at", F.date_trunc("hour", "inferred_at"))
+    return readmodel.kpis(hours, _shocks(spark, sf_dir), B.now())
 
 
 @query

@@ -260,7 +260,7 @@ _ATOM = f"""atom_rows AS (
               ELSE 'https://atom.example/self/' || id END AS url,
          {_strip('title')} AS title,
          CASE WHEN arrival_seq % 4 = 0 THEN {_collapse('body')}
-              ELSE {_collapse("'About ' || title")} END AS body,
+              ELSE {_collapse("'About ' || body")} END AS body,
          language, published_at
   FROM news),
  atom AS (
@@ -400,8 +400,10 @@ FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z'']+') AS t FROM docum
 SELECT arrival_seq, label, round(score, 6) AS score, round(pp, 6) AS prob_positive,
   round(pn, 6) AS prob_negative, round(pz, 6) AS prob_neutral FROM lex""",
     "softmax_label": """WITH l AS (
-  SELECT vec_id, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b, embedding[3]::DOUBLE AS c
-  FROM embeddings),
+  SELECT vec_id, list_sum(list_filter(v, lambda x, i: i % 3 = 1)) AS a,
+    list_sum(list_filter(v, lambda x, i: i % 3 = 2)) AS b,
+    list_sum(list_filter(v, lambda x, i: i % 3 = 0)) AS c
+  FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)),
  e AS (SELECT vec_id, exp(a - greatest(a, b, c)) AS n, exp(b - greatest(a, b, c)) AS z,
          exp(c - greatest(a, b, c)) AS p FROM l),
  s AS (SELECT vec_id, n / (n + z + p) AS pn, z / (n + z + p) AS pz, p / (n + z + p) AS pp FROM e)
@@ -478,9 +480,9 @@ SELECT source, count(*) AS count FROM results WHERE source IS NOT NULL GROUP BY
 SELECT (SELECT count(*) FROM events) AS total_scored, (SELECT count(*) FROM shock) AS total_shocks,
   (SELECT round(avg(value), 8) FROM events) AS avg_sentiment""",
     "kpis": f"""WITH {_EVENT_SHOCKS}, newest AS (
-  SELECT * FROM events ORDER BY ts DESC, event_id LIMIT 1)
+  SELECT * FROM events ORDER BY date_trunc('hour', ts) DESC, 'ev-' || event_id LIMIT 1)
 SELECT (SELECT count(*) FROM events) AS total_scored,
-  (SELECT count(*) FROM events WHERE ts >= {_NOW} - to_minutes(5)) AS scored_last_5m,
+  (SELECT count(*) FROM events WHERE date_trunc('hour', ts) >= {_NOW} - to_minutes(5)) AS scored_last_5m,
   (SELECT count(*) FROM shock) AS shocks_flagged,
   (SELECT round(avg(value), 8) FROM events) AS avg_sentiment,
   (SELECT CASE WHEN event_id % 2 = 0 THEN 'lexicon' ELSE 'onnx' END FROM newest) AS model_name,

@@ -34,15 +34,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.schema(_SCHEMAS[path]).parquet(path)
 
 
-def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table with costly text work ahead.
+# Session setting: number of partitions that texts are dealt to before costly work. Unset, the
+# sizes of splits decide, which is right for tables of many files or row groups. Set it for a
+# few files of one row group each, which one task each would read.
+TEXT_PARTITIONS = "spark.tidewire.text.partitions"
+
 
-    A file with one row group is read by one task, however many cores there are. With fewer
-    files than cores the rows are spread first; a table of many files is left as it is.
-    """
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with costly text work ahead, as read or dealt out as ``TEXT_PARTITIONS`` says."""
     rows = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+    partitions = int(spark.conf.get(TEXT_PARTITIONS, "0"))
+    return rows.repartition(partitions) if partitions else rows
 
 
 def now() -> Column:
@@ -165,7 +167,8 @@ def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("ts"),
         F.concat(F.lit("stage-"), F.col("user_id") % 3).alias("stage"),
         F.lit("processed").alias("metric"),
-        F.col("event_type").alias("label"),
+        # most counters have no label; here those of the views have none
+        F.when(F.col("event_type") != "view", F.col("event_type")).alias("label"),
         (F.col("event_id") % 1000).cast("double").alias("value"),
         F.col("event_id").alias("seq"),
     )

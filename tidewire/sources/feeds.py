@@ -8,12 +8,14 @@ from tidewire.functions import text as X
 from tidewire.functions.columns import compute_once
 from tidewire.operators.contract import raw_error
 
-_HEAD = 256  # the format is recognized within this many leading characters
+# What may stand before the root element: declarations, comments, a document type.
+_PROLOG = r"(?:\s+|\x{FEFF}|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>\[]*(?:\[.*?\]\s*)?>)*+"
+_ATOM_ROOT = rf"(?s)^{_PROLOG}<(?:[\w.-]+:)?feed[\s/>]"
 
 
 def feed_kind(xml: Column) -> Column:
-    head = F.substring(X.trim_space(xml), 1, _HEAD)
-    return F.when(F.contains(head, F.lit("<feed")), F.lit("atom")).otherwise(F.lit("rss"))
+    """``atom`` if the root element is a feed, whatever precedes it, else ``rss``."""
+    return F.when(xml.rlike(_ATOM_ROOT), F.lit("atom")).otherwise(F.lit("rss"))
 
 
 def parse_rss(
