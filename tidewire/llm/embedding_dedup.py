@@ -22,6 +22,8 @@ SAMPLE_ROWS = 4000
 ROUNDS = 20
 #: Vectors of one bucket that are compared at once with as many others.
 BLOCK = 1024
+#: Blocks up to this size are compared many at a time.
+SMALL = 8
 
 
 def learn_rotations(sample: np.ndarray, bits: int, seed: int = 17) -> np.ndarray:
@@ -107,51 +109,113 @@ def _coded(models: dict[int, tuple[np.ndarray, np.ndarray]]) -> Callable:
     return run
 
 
+class _Entries:
+    """Columns of sorted entries as arrays; all vectors have the same length."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        column = {n: batch.column(batch.schema.get_field_index(n)) for n in _COLUMNS}
+        self.key, self.part, self.side, self.id, self.copies = (
+            column[n].to_numpy() for n in _COLUMNS[:5]
+        )
+        self.unit = np.frombuffer(b"".join(column["unit"].to_pylist())).reshape(len(self.id), -1)
+        self.keys = column["keys"].flatten().to_numpy().reshape(len(self.id), TABLES)
+        change = (np.diff(self.key) != 0) | (np.diff(self.part) != 0)
+        self.starts = np.concatenate([[0], np.flatnonzero(change) + 1])
+        self.ends = np.concatenate([self.starts[1:], [len(self.id)]])
+
+    def first_met(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs for which no table before that of their entry holds both."""
+        table = (self.key[i] >> BITS) & 0xFFFF
+        alive, done = np.arange(len(i)), []
+        for t in range(TABLES):
+            at_end = table[alive] == t
+            done.append(alive[at_end])
+            alive = alive[~at_end]
+            if not len(alive):
+                break
+            alive = alive[self.keys[i[alive], t] != self.keys[j[alive], t]]
+        done = np.concatenate(done)
+        return i[done], j[done]
+
+    def small_pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs at each distance within the blocks of up to SMALL entries, all blocks at once."""
+        sizes = self.ends - self.starts
+        alone = (sizes <= SMALL) & (self.side[self.starts] == 2)
+        end = np.repeat(np.where(alone, self.ends, 0), sizes)
+        at = np.arange(len(self.id))
+        for distance in range(1, SMALL):
+            i = at[at + distance < end]
+            if not len(i):
+                return
+            dots = np.einsum("ij,ij->i", self.unit[i], self.unit[i + distance])
+            i = i[dots >= COSINE]
+            yield i, i + distance
+
+    def large_pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of each larger block: side 0 meets side 1, or side 2 meets itself."""
+        for start, end in zip(self.starts, self.ends):
+            side = self.side[start:end]
+            alone = (side == 2).any()
+            if end - start <= SMALL and alone:
+                continue
+            a = start + np.flatnonzero(side != 1)
+            b = a if alone else start + np.flatnonzero(side == 1)
+            for at in range(0, len(a), 256):
+                own = a[at: at + 256]
+                i, j = np.nonzero(self.unit[own] @ self.unit[b].T >= COSINE)
+                i, j = own[i], b[j]
+                yield (i[i < j], j[i < j]) if alone else (i, j)
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of sorted blocks: partners counted per vector, and edges that connect them.
+    """Links of sorted entries: partners counted per vector, and edges that connect them.
 
-    A pair is counted in the first table it shares. Every vector passes on the links to the
-    smallest of its partners in the block, in either role, which keeps connections but not
-    all pairs: ``id, links, other``.
+    A pair is counted in the first table it shares. Every vector passes on the smallest vector
+    that it reaches here, which keeps connections but not all pairs: ``id, links, other``.
     """
-    for block in _blocks(batches):
-        key, side = block["key"][0], np.array(block["side"])
-        table = (key >> BITS) & 0xFFFF
-        ids = np.array(block["id"])
-        unit = np.frombuffer(b"".join(block["unit"])).reshape(len(ids), -1)
-        codes = np.array(block["keys"], np.int64)
-        weight = np.array(block["copies"])
-        # side 0 meets side 1; a block with side 2 alone meets itself
-        a = np.flatnonzero(side != 1)
-        b = a if (side == 2).any() else np.flatnonzero(side == 1)
-        links = np.zeros(len(ids), np.int64)
-        edges = []
-        for at in range(0, len(a), 256):
-            own = a[at: at + 256]
-            i, j = np.nonzero(unit[own] @ unit[b].T >= COSINE)
-            i, j = own[i], b[j]
-            if b is a:
-                fresh = i < j
-                i, j = i[fresh], j[fresh]
-            if table:
-                fresh = ~(codes[i, :table] == codes[j, :table]).any(axis=1)
-                i, j = i[fresh], j[fresh]
-            np.add.at(links, i, weight[j])
-            np.add.at(links, j, weight[i])
-            edges.append(np.column_stack([i, j]))
-        edges = np.concatenate([np.zeros((0, 2), np.int64), *edges])
-        ordered = np.argsort(ids)
-        place = np.empty(len(ids), np.int64)
-        place[ordered] = np.arange(len(ids))
-        least = _forest(place[edges], len(ids))
-        out = np.flatnonzero(links)
+    for batch in _whole_blocks(batches):
+        entries = _Entries(batch)
+        pairs = [np.zeros((0, 2), np.int64)]
+        for found in (entries.small_pairs(), entries.large_pairs()):
+            pairs += [np.column_stack(entries.first_met(i, j)) for i, j in found]
+        pairs = np.concatenate(pairs)
+        ids, place = np.unique(entries.id[pairs], return_inverse=True)
+        place = place.reshape(-1, 2)
+        links = np.bincount(place[:, 0], entries.copies[pairs[:, 1]], len(ids))
+        links += np.bincount(place[:, 1], entries.copies[pairs[:, 0]], len(ids))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[out]), pa.array(links[out]),
-             pa.array(ids[ordered[least[place[out]]]])],
+            [pa.array(ids), pa.array(links.astype(np.int64)), pa.array(ids[_forest(place, len(ids))])],
             names=["id", "links", "other"],
         )
 
 
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut at ends of blocks, and by the length of vectors."""
+    held = None
+    for batch in batches:
+        batch = batch if held is None else pa.concat_batches([held, batch])
+        key, part = (batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("key", "part"))
+        last = np.flatnonzero((key != key[-1]) | (part != part[-1]))
+        cut = last[-1] + 1 if len(last) else 0
+        held = batch.slice(cut)
+        yield from _one_length(batch.slice(0, cut))
+    if held is not None:
+        yield from _one_length(held)
+
+
+def _one_length(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    length = batch.column(batch.schema.get_field_index("key")).to_numpy() >> 32
+    for start, end in zip(*_runs(length)):
+        yield batch.slice(start, end - start)
+
+
+def _runs(values: np.ndarray) -> tuple[list[int], list[int]]:
+    if not len(values):
+        return [], []
+    edges = (np.flatnonzero(np.diff(values)) + 1).tolist()
+    return [0, *edges], [*edges, len(values)]
+
+
 def _forest(edges: np.ndarray, n: int) -> np.ndarray:
     """Smallest reachable number of 0 .. n - 1 along ``edges``, by repeated minima."""
     label = np.arange(n)
@@ -167,24 +231,6 @@ def _forest(edges: np.ndarray, n: int) -> np.ndarray:
 _COLUMNS = ["key", "part", "side", "id", "copies", "unit", "keys"]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
-    held: dict[str, list] | None = None
-    for batch in batches:
-        columns = [batch.column(batch.schema.get_field_index(n)) for n in _COLUMNS]
-        key, part = columns[0].to_numpy(), columns[1].to_numpy()
-        edges = np.flatnonzero((np.diff(key) != 0) | (np.diff(part) != 0)) + 1
-        for start, end in zip([0, *edges], [*edges, len(key)]):
-            run = {n: c.slice(start, end - start).to_pylist() for n, c in zip(_COLUMNS, columns)}
-            if held and (held["key"][0], held["part"][0]) == (run["key"][0], run["part"][0]):
-                held = {n: held[n] + run[n] for n in _COLUMNS}
-                continue
-            if held:
-                yield held
-            held = run
-    if held:
-        yield held
-
-
 def near_vectors(
     vectors: DataFrame, *, key: str = "vec_id", embedding: str = "embedding"
 ) -> DataFrame:
