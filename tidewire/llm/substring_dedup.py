@@ -23,10 +23,11 @@ SIDE = LENGTH - GRAM
 FILTER_BITS = 1 << 28
 #: Parts that anchors are dealt to by their hash. A part's anchors are in memory together, so
 #: the number follows the corpus: one for every so many bytes, between these bounds.
-BYTES_PER_PART = 1 << 20
+BYTES_PER_PART = 1 << 22
 LEAST_PARTS, MOST_PARTS = 1 << 6, 1 << 16
 #: Anchors a task gathers before it passes them on.
 GATHER = 1 << 19
+CHUNK = 1 << 18
 
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -50,10 +51,11 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return hashing.mixed(h)
 
 
-def _anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of the texts of a chunk."""
+def _anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Places and hashes of the anchors of the texts of a chunk, and the least hash of the
+    string from every place (0 where none fits its text)."""
     if len(data) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     grams = _gram_hashes(data)
     width = LENGTH - GRAM + 1
     least = _sliding_min(grams, width)
@@ -65,7 +67,7 @@ def _anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     edge = np.full(width - 1, _TOP)
     most = ~_sliding_min(np.concatenate([edge, ~least, edge]), width)
     at = np.flatnonzero((grams == most) & (grams != 0))
-    return at, grams[at]
+    return at, grams[at], least
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -84,7 +86,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     met: dict[bytes, int] = {}
     for batch in batches:
         ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for row, data, offsets in hashing.byte_chunks(batch.column(2)):
+        for row, data, offsets in hashing.byte_chunks(batch.column(2), CHUNK):
             stay = []
             for i in range(len(offsets) - 1):
                 if offsets[i + 1] - offsets[i] < LENGTH:
@@ -137,7 +139,7 @@ def _seen(parts: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held, number = [], 0, 0
         for ids, _, data, offsets in _texts(batches):
-            at, grams = _anchors(data, offsets)
+            at, grams, _ = _anchors(data, offsets)
             owner = np.searchsorted(offsets, at, side="right") - 1 + number
             number += len(ids)
             found.append((grams, owner))
@@ -194,7 +196,7 @@ def _shared_bits(parts: int) -> Callable:
     return run
 
 
-_CONTEXT = ("part int, n int, grams binary, ids binary, text_keys binary, starts binary, "
+_CONTEXT = ("part int, n int, ids binary, text_keys binary, starts binary, "
             "lefts binary, rights binary, bytes binary")
 
 
@@ -203,10 +205,10 @@ def _contexts(parts: int, shared) -> Callable:
     shift = np.uint64(64 - parts.bit_length() + 1)
 
     def rows(found: list[tuple]) -> pa.RecordBatch:
-        columns = [np.concatenate(c) for c in zip(*found)]
-        order = np.argsort(columns[0], kind="stable")
+        grams, *columns = [np.concatenate(c) for c in zip(*found)]
+        order = np.argsort(grams, kind="stable")
         columns = [c[order] for c in columns]
-        cut = np.searchsorted(columns[0] >> shift, np.arange(parts + 1, dtype=np.uint64))
+        cut = np.searchsorted(grams[order] >> shift, np.arange(parts + 1, dtype=np.uint64))
         used = np.flatnonzero(np.diff(cut))
         return pa.RecordBatch.from_arrays(
             [pa.array(used.astype(np.int32)),
@@ -221,20 +223,25 @@ def _contexts(parts: int, shared) -> Callable:
         window = np.arange(-SIDE, GRAM + SIDE)
         found, held = [], 0
         for ids, keys, data, offsets in _texts(batches):
-            at, grams = _anchors(data, offsets)
+            at, grams, least = _anchors(data, offsets)
             place = grams >> np.uint64(64 - FILTER_BITS.bit_length() + 1)
             hit = (bits[(place >> np.uint64(3)).astype(np.int64)]
                    >> (place & np.uint64(7)).astype(np.uint8)) & 1
             at, grams = at[hit.astype(bool)], grams[hit.astype(bool)]
             owner = np.searchsorted(offsets, at, side="right") - 1
-            left = np.minimum(at - offsets[owner], SIDE)
-            right = np.minimum(offsets[owner + 1] - at - GRAM, SIDE)
+            # only strings that have their least hash here: others are for their own anchors
+            before = at[:, None] - np.arange(SIDE + 1)
+            own = (before >= 0) & (before < len(least))
+            own &= least[np.clip(before, 0, max(len(least) - 1, 0))] == grams[:, None]
+            left = SIDE - own[:, ::-1].argmax(axis=1)
+            right = SIDE - own.argmax(axis=1)
             around = data[np.clip(at[:, None] + window, 0, max(len(data) - 1, 0))]
             around[(window < -left[:, None]) | (window >= GRAM + right[:, None])] = 0
-            found.append((grams, ids[owner], keys[owner], at - offsets[owner],
+            found.append((grams, ids[owner], (keys[owner] & 0xFFFFFFFF).astype(np.uint32),
+                          (at - offsets[owner]).astype(np.uint32),
                           left.astype(np.uint8), right.astype(np.uint8), around))
             held += len(at)
-            if held >= GATHER // 4:
+            if held >= GATHER // 2:
                 yield rows(found)
                 found, held = [], 0
         if held:
@@ -278,13 +285,14 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def column(name: str, kind: str, width: int = 1) -> np.ndarray:
             return np.concatenate([_unpack(r[name], c, kind, width) for r, c in zip(rows, n)])
 
-        grams, ids, keys = column("grams", "<u8"), column("ids", "<i8"), column("text_keys", "<i8")
+        ids, keys = column("ids", "<i8"), column("text_keys", "<u4").astype(np.int64)
         around = column("bytes", "u1", LENGTH + SIDE).reshape(-1, LENGTH + SIDE)
-        starts, lefts, rights = column("starts", "<i8"), column("lefts", "u1"), column("rights", "u1")
+        starts = column("starts", "<u4").astype(np.int64)
+        lefts, rights = column("lefts", "u1"), column("rights", "u1")
         # the whole q-gram is the initial bucket, not its hash
         middle = np.ascontiguousarray(around[:, SIDE: SIDE + GRAM]).view("<u8")
-        order = np.lexsort([middle[:, 0], middle[:, 1], grams])
-        change = (np.diff(grams[order]) != 0) | (np.diff(middle[order], axis=0) != 0).any(axis=1)
+        order = np.lexsort([middle[:, 0], middle[:, 1]])
+        change = (middle[order][1:] != middle[order][:-1]).any(axis=1)
         group = np.empty(len(ids), np.int64)
         group[order] = np.concatenate([[0], np.cumsum(change)])
         after = list(_refined(group, around[:, SIDE + GRAM:]))
@@ -383,7 +391,7 @@ def remove_earlier(
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
-        F.col(key).cast("long").alias("doc_id"), F.xxhash64(whole).alias("text_key"),
+        F.col(key).cast("long").alias("doc_id"), F.xxhash64(whole).bitwiseAND(F.lit(0xFFFFFFFF)).alias("text_key"),
         whole.alias("text"),
     )
     known = rows.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
