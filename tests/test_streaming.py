@@ -44,13 +44,13 @@ def drain(query):
     assert query.exception() is None
 
 
-@pytest.mark.parametrize("dedup_within", ["1 hour", None])
-def test_process_stage(spark, work_dir, dedup_within):
+@pytest.mark.parametrize("live_seconds", [3600, None])
+def test_process_stage(spark, work_dir, live_seconds):
     source = os.path.join(work_dir, "in")
     os.makedirs(source)
     write_files(source, [[m] for m in MESSAGES])
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(source)
-    rows = stages.process_stage(stream, F.lit(at(60)), dedup_within=dedup_within, observe="process")
+    rows = stages.process_stage(stream, F.lit(at(60)), live_seconds=live_seconds, observe="process")
     query = sinks.to_table(rows, f"{work_dir}/out", f"{work_dir}/cp", every=None)
     drain(query)
     counted = [p["observedMetrics"]["process"] for p in map(json.loads, (x.json for x in query.recentProgress))
@@ -98,7 +98,7 @@ def test_ingest_to_score_end_to_end(spark, work_dir):
 
     messages = spark.readStream.schema("key string, value string").parquet(f"{work_dir}/processed")
     scored = stages.score_stage(messages, F.col("published_at"))
-    write = sinks.write_scored(f"{work_dir}/tables")
+    write = sinks.write_scored(f"{work_dir}/tables", "a")
     drain(sinks.to_batches(scored, write, f"{work_dir}/cp3", every=None))
     drain(sinks.to_json_lines(scored, f"{work_dir}/log", f"{work_dir}/cp4", every=None))
 
@@ -122,39 +122,60 @@ def test_ingest_to_score_end_to_end(spark, work_dir):
     assert readmodel.label_distribution(total).agg(F.sum("count")).first()[0] >= 8
 
 
-def test_stream_shocks_equal_batch(spark, work_dir):
+def test_dedup_keeps_items_that_come_out_of_time_order(spark, work_dir):
+    source = os.path.join(work_dir, "in")
+    os.makedirs(source)
+    hours = ["12:00", "20:00", "12:05", "20:01", "12:06"]
+    write_files(source, [
+        [raw_json(str(i), f"Notice {i}", f"{LONG} {i}", ingested_at=f"2026-07-20T{h}:00Z")]
+        for i, h in enumerate(hours)
+    ] + [[raw_json("9", "Notice 0", f"{LONG} 0", ingested_at="2026-07-21T09:00:00Z")]])
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(source)
+    rows = stages.process_stage(stream, F.lit(at(60)))
+    drain(sinks.to_table(rows, f"{work_dir}/out", f"{work_dir}/cp", every=None))
+    assert {r.id for r in spark.read.parquet(f"{work_dir}/out").collect()} == set("01234")
+
+
+def test_shocks_of_interleaved_files_equal_batch(spark, work_dir):
+    """Files that overlap in time, a repeated batch, and a late sample that undoes a shock."""
     samples = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
         F.col("event_id").cast("string").alias("item_id"), F.col("event_type").alias("entity"),
         F.col("value").alias("sentiment_score"), F.col("ts").cast("timestamp").alias("inferred_at"),
         F.col("event_id").alias("arrival_seq"),
     )
-    source = os.path.join(work_dir, "in")
-    for i in range(4):
-        part = samples.filter((F.col("arrival_seq") >= 250 * i) & (F.col("arrival_seq") < 250 * (i + 1)))
-        part.coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    out = shocks.detect_shocks_stream(stream, 5 * 86_400, 2.0, 8)
-    drain(sinks.to_table(out, f"{work_dir}/out", f"{work_dir}/cp", every=None))
+    settings = (5 * 86_400, 2.0, 8)
+    write = shocks.shock_writer(f"{work_dir}/tables", *settings)
+    for i in range(5):
+        write(samples.filter(F.col("arrival_seq") % 5 == i), i)
+    write(samples.filter(F.col("arrival_seq") % 5 == 4), 4)
+    write(samples.filter("false"), 5)
 
     def plain(frame):
         return sorted((r.item_id, r.entity, round(r.zscore, 8), round(r.std_velocity, 8))
                       for r in frame.collect())
 
-    streamed = plain(spark.read.parquet(f"{work_dir}/out"))
-    assert streamed == plain(signals.detect_shocks(samples, 5 * 86_400, 2.0, 8))
+    streamed = plain(shocks.current_shocks(spark, f"{work_dir}/tables"))
+    assert streamed == plain(signals.detect_shocks(samples, *settings))
     assert len(streamed) > 10
+    assert shocks.current_shocks(spark, f"{work_dir}/none").count() == 0
 
 
-def test_timeline_stage(spark, work_dir):
+def test_timeline_counts_late_rows(spark, work_dir):
     rows = spark.createDataFrame(
-        [(at(0), 1.0), (at(10), 0.0), (at(70), 0.5), (at(600), 0.5), (at(1200), 0.1)],
-        "inferred_at timestamp, sentiment_score double",
+        [(at(0), 1.0, 0), (at(1200), 0.1, 0), (at(10), 0.0, 1), (at(70), 0.5, 1), (at(5), None, 1)],
+        "inferred_at timestamp, sentiment_score double, batch int",
     )
-    rows.coalesce(1).write.parquet(f"{work_dir}/in")
-    stream = spark.readStream.schema(rows.schema).parquet(f"{work_dir}/in")
-    drain(sinks.to_table(stages.timeline_stage(stream), f"{work_dir}/out", f"{work_dir}/cp", every=None))
-    volumes = [r.volume for r in spark.read.parquet(f"{work_dir}/out").orderBy("bucket").collect()]
-    assert volumes[:3] == [2, 1, 1]
+    write = sinks.write_batches(f"{work_dir}/t", "a", stages.partial_timeline)
+    for i in (0, 1, 1):
+        write(rows.filter(F.col("batch") == i), i)
+    got = stages.merge_timeline(spark.read.parquet(f"{work_dir}/t")).orderBy("bucket").collect()
+    assert [(r.volume, r.avg_sentiment) for r in got] == [(2, .5), (1, .5), (1, .1)]
+
+
+def test_arrival_ordinals(spark):
+    rows = spark.range(100).repartition(4)
+    found = [r.n for i in (0, 7) for r in rows.select(stages.arrived(rows, i).alias("n")).collect()]
+    assert len(set(found)) == 200 and max(found[:100]) < min(found[100:])
 
 
 def test_replay_stream_rate(spark, work_dir):

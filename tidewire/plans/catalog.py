@@ -7,11 +7,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewire import schemas as S
 from tidewire.functions import sentiment as M
 from tidewire.functions import text as X
 from tidewire.operators import contract, entities, metrics, process, readmodel, scoring, signals
 from tidewire.plans import tables as B
-from tidewire.session import shared_dir, use_rocksdb_state
+from tidewire.session import shared_dir
 from tidewire.sources import feeds, gdelt, registry, replay
 from tidewire.streaming import shocks as stream_state
 from tidewire.streaming import sinks, stages
@@ -515,12 +516,19 @@ def label_sign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     processed = process.process_news(B.news(spark, sf_dir), B.now())
-    hinted = processed.withColumn(
-        "tickers",
-        F.when(F.col("arrival_seq") % 10 == 0, F.array(F.lit("von"), F.upper("feed"), F.lit("Von"))),
+    return scoring.score(
+        processed.withColumn("tickers", _hint()), _arrival(), _lexicon(), B.GAZETTEER
+    )
+
+
+def _hint() -> Column:
+    return F.when(
+        F.col("arrival_seq") % 10 == 0, F.array(F.lit("von"), F.upper("feed"), F.lit("Von"))
     )
-    arrival = F.col("published_at") + F.expr("interval 5 seconds")
-    return scoring.score(hinted, arrival, _lexicon(), B.GAZETTEER)
+
+
+def _arrival() -> Column:
+    return F.col("published_at") + F.expr("interval 5 seconds")
 
 
 @query
@@ -683,42 +691,99 @@ def document_sentiment_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readmodel.label_distribution(scoring.sentiment_results(_scored(spark, sf_dir)))
 
 
-# --- Streams: the tables as file streams, drained into a table and read back ---------------
-
+# --- Streams: the tables dealt over files, drained batch by batch, and read back -----------
 
-def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    reader = spark.readStream.schema(B.table(spark, sf_dir, name).schema)
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+_FILES = 6
+_DRAIN_SECONDS = 1800
 
 
-def _drained(rows: DataFrame, name: str) -> DataFrame:
+def _interleaved(rows: DataFrame, by: Column, name: str) -> tuple[DataFrame, str]:
+    """``rows`` as a stream of files that each hold every ``_FILES``-th one; three in a batch."""
     spark = rows.sparkSession
     base = f"{shared_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
-    sinks.to_table(rows, f"{base}/out", f"{base}/checkpoint", every=None).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(f"{base}/out")
+    dealt = rows.withColumn("file", F.pmod(by, F.lit(_FILES)).cast("int"))
+    dealt.repartition(_FILES, "file").write.partitionBy("file").parquet(f"{base}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).option(
+        "recursiveFileLookup", True
+    ).parquet(f"{base}/in")
+    return stream, base
+
+
+def _finish(query) -> None:
+    if not query.awaitTermination(_DRAIN_SECONDS):
+        query.stop()
+        raise TimeoutError(f"the stream was not drained in {_DRAIN_SECONDS} seconds")
+
+
+def _drained(rows: DataFrame, base: str) -> DataFrame:
+    _finish(sinks.to_table(rows, f"{base}/out", f"{base}/checkpoint", every=None))
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{base}/out")
+
+
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    news = B.news(spark, sf_dir)
+    wire = F.to_json(F.struct(*[
+        X.format_rfc3339(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "timestamp"
+        else F.col(f.name) for f in S.RAW
+    ]))
+    return news.select("arrival_seq", wire.alias("value"))
+
+
+def _by_content() -> Column:
+    """Copies of a text share a file, so that the first of them does not depend on chance."""
+    return F.xxhash64(F.get_json_object("value", "$.body"))
 
 
 @query
 def stream_process_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wire messages through the process stage; copies differ in id only."""
-    messages = contract.to_wire(B.as_news(_stream(spark, sf_dir, "documents")))
-    rows = stages.process_stage(messages, B.now(), dedup_within=None)
-    return _drained(rows, "process").select("content_hash", "title", "body", "language")
+    stream, base = _interleaved(_messages(spark, sf_dir), _by_content(), "process")
+    rows = stages.process_stage(stream, B.now(), live_seconds=None, order="arrival_seq")
+    return _drained(rows, base).select("content_hash", "title", "body", "language")
+
+
+@query
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with marks that live for a day; items come in no order of their times."""
+    stream, base = _interleaved(_messages(spark, sf_dir), F.col("arrival_seq"), "dedup")
+    rows = stages.process_stage(stream, B.now(), live_seconds=86_400)
+    return _drained(rows, base).select("content_hash", F.length("body").alias("body_chars"))
 
 
 @query
 def stream_shocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_rocksdb_state(spark)
-    samples = B.as_entity_samples(_stream(spark, sf_dir, "events"))
-    found = stream_state.detect_shocks_stream(samples, B.WINDOW_SECONDS, B.THRESHOLD)
-    return _drained(found, "shocks")
+    stream, base = _interleaved(B.entity_samples(spark, sf_dir), F.col("arrival_seq"), "shocks")
+    write = stream_state.shock_writer(f"{base}/tables", B.WINDOW_SECONDS, B.THRESHOLD)
+    _finish(sinks.to_batches(stream, write, f"{base}/checkpoint", every=None))
+    return stream_state.current_shocks(spark, f"{base}/tables")
+
+
+@query
+def stream_news_shocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From raw messages to shocks: process, score, extract, detect, batch by batch."""
+    stream, base = _interleaved(_messages(spark, sf_dir), _by_content(), "news")
+    processed = stages.process_stage(stream, B.now(), live_seconds=None, order="arrival_seq")
+    hinted = processed.withColumn("tickers", _hint())
+    scored = scoring.score(hinted, _arrival(), _lexicon(), B.GAZETTEER)
+    write = stream_state.shock_writer(f"{base}/tables", 6 * 3600, 2.0, 8)
+
+    def series(batch: DataFrame, batch_id: int) -> None:
+        write(scoring.entity_series(batch, "arrival_seq"), batch_id)
+
+    _finish(sinks.to_batches(scored, series, f"{base}/checkpoint", every=None))
+    return stream_state.current_shocks(spark, f"{base}/tables")
 
 
 @query
 def stream_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Buckets the watermark has closed."""
-    results = B.as_results(_stream(spark, sf_dir, "events"))
-    return _drained(stages.timeline_stage(results, "15 minutes"), "timeline")
+    """All buckets; every batch adds partial rows, late ones too."""
+    results = B.results(spark, sf_dir).withColumn("seq", F.substring("item_id", 4, 20).cast("long"))
+    stream, base = _interleaved(results, F.col("seq"), "timeline")
+    write = sinks.write_batches(
+        f"{base}/timeline", "a", lambda batch: stages.partial_timeline(batch, "15 minutes")
+    )
+    _finish(sinks.to_batches(stream, write, f"{base}/checkpoint", every=None))
+    return stages.merge_timeline(spark.read.parquet(f"{base}/timeline"))
 
 
 # --- Metrics -----------------------------------------------------------------------------

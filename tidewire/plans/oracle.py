@@ -469,8 +469,9 @@ FROM (SELECT * FROM shock ORDER BY triggered_at DESC, entity, item_id LIMIT 200)
 SELECT content_hash, title, body, language FROM decided WHERE decision = 'emit'""",
     "stream_timeline": f"""SELECT {_shown('bucket')} AS bucket, round(avg(value), 8) AS avg_sentiment,
   count(*) AS volume
-FROM (SELECT time_bucket(INTERVAL 15 MINUTES, ts) AS bucket, value FROM events)
-WHERE bucket + to_minutes(15) <= (SELECT max(ts) FROM events) - to_minutes(1) GROUP BY bucket""",
+FROM (SELECT time_bucket(INTERVAL 15 MINUTES, ts) AS bucket, value FROM events) GROUP BY bucket""",
+    "stream_dedup": f"""WITH {_CLEAN_NEWS}
+SELECT content_hash, length(body) AS body_chars FROM decided WHERE decision = 'emit'""",
     "label_distribution": f"""WITH {_RESULTS}
 SELECT sentiment_label AS label, count(*) AS count FROM results
 WHERE sentiment_label IS NOT NULL GROUP BY 1""",
@@ -542,4 +543,5 @@ FROM s a, s b WHERE a.variant = 'click' AND b.variant = 'view'""",
 }
 ORACLE_SQL["extract_entities_joined"] = ORACLE_SQL["extract_entities"]
 ORACLE_SQL["stream_shocks"] = ORACLE_SQL["shocks"]
+ORACLE_SQL["stream_news_shocks"] = ORACLE_SQL["document_shocks"]
 ORACLE_SQL["shocks_sliced"] = ORACLE_SQL["shocks"]

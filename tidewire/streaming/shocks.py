@@ -1,85 +1,102 @@
-"""Shock detection with keyed state: one list of recent samples per entity."""
+"""Shocks of a stream of samples that arrive in any order.
 
-from collections.abc import Iterator
+Every batch appends its samples to a table, and judges again the stretch of each entity that
+they can change: from the first of them to one window after the last. A later batch's verdict
+on a stretch replaces earlier ones, so the table of current shocks always equals the batch
+operator over all samples that have arrived, whatever their order. Nothing is held back and
+no row is too late. The work of a batch is the batch operator over the touched stretches.
+"""
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tidewire import schemas as S
-from tidewire.operators.signals import LEAST_SAMPLES, MIN_SAMPLES, THRESHOLD, WINDOW_SECONDS
-
-_SAMPLE = "us long, seq long, score double"
-
-
-class _ShockProcessor(StatefulProcessor):
-    """Judges each new sample against those of the window that ends with it."""
-
-    def __init__(self, window_seconds: int, threshold: float, min_samples: int):
-        self.window_seconds = window_seconds
-        self.threshold = threshold
-        self.needed = max(LEAST_SAMPLES, min_samples)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.samples = handle.getListState("samples", _SAMPLE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        fresh = pd.concat(list(rows)).sort_values(["us", "arrival_seq"], kind="stable")
-        kept = list(self.samples.get()) if self.samples.exists() else []
-        us = np.array([s[0] for s in kept] + fresh["us"].tolist(), dtype=np.int64)
-        seq = [s[1] for s in kept] + fresh["arrival_seq"].tolist()
-        score = np.array([s[2] for s in kept] + fresh["sentiment_score"].tolist())
-        steps = np.diff(score)
-        width = self.window_seconds * 1_000_000
-
-        found = []
-        for offset, row in enumerate(fresh.itertuples(index=False)):
-            at = len(kept) + offset
-            start = int(np.searchsorted(us[: at + 1], us[at] - width, side="left"))
-            baseline = steps[start: at - 1]
-            if at - start + 1 < self.needed or baseline.min() == baseline.max():
-                continue
-            mean, std = float(baseline.mean()), float(baseline.std())
-            zscore = (float(steps[at - 1]) - mean) / std
-            if abs(zscore) >= self.threshold:
-                found.append((
-                    key[0], row.item_id, zscore, float(steps[at - 1]), mean, std,
-                    self.window_seconds, self.threshold, row.sentiment_score, row.inferred_at,
-                ))
-
-        alive = int(np.searchsorted(us, us[-1] - width, side="left"))
-        self.samples.put([
-            (int(u), int(s), float(v)) for u, s, v in zip(us[alive:], seq[alive:], score[alive:])
-        ])
-        yield pd.DataFrame(found, columns=[f.name for f in S.SHOCK])
-
-    def close(self) -> None:
-        pass
-
-
-def detect_shocks_stream(
-    samples: DataFrame,
+from tidewire.operators.signals import (
+    MIN_SAMPLES,
+    SLICES,
+    THRESHOLD,
+    WINDOW_SECONDS,
+    detect_shocks,
+)
+
+_SAMPLE = ["entity", "item_id", "sentiment_score", "inferred_at", "arrival_seq"]
+_STRETCH = "entity string, since timestamp, until timestamp, batch_id long"
+
+
+def _day(column: str):
+    return F.to_date(column)
+
+
+def shock_writer(
+    base: str,
     window_seconds: int = WINDOW_SECONDS,
     threshold: float = THRESHOLD,
     min_samples: int = MIN_SAMPLES,
-) -> DataFrame:
-    """Streaming twin of ``detect_shocks``; needs the RocksDB state store provider.
+    slices: int = SLICES,
+) -> Callable[[DataFrame, int], None]:
+    """Batch writer that keeps ``base/samples``, ``base/shocks`` and ``base/stretches``.
 
-    Equal to the batch operator as long as an entity's samples arrive in the order of
-    ``(inferred_at, arrival_seq)`` from batch to batch; within a batch they are sorted. The
-    state of an entity is the samples of one window.
+    Samples are partitioned by batch and day, so that only touched days are read. A repeated
+    batch replaces its own folders. ``base`` belongs to one query and its checkpoint.
     """
-    return (
-        samples.selectExpr(
-            "entity", "item_id", "unix_micros(inferred_at) us", "arrival_seq",
-            "sentiment_score", "inferred_at",
+    window = F.expr(f"interval {int(window_seconds)} seconds")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.select(*_SAMPLE, _day("inferred_at").alias("day"))
+        own = f"{base}/samples/batch_id={batch_id}"
+        fresh.write.mode("overwrite").partitionBy("day").parquet(own)
+        fresh = spark.read.schema(fresh.schema).parquet(own)
+        bounds = fresh.agg(F.min("inferred_at").alias("lo"), F.max("inferred_at").alias("hi")).first()
+        if bounds.lo is None:
+            return
+        stretches = fresh.groupBy("entity").agg(
+            F.min("inferred_at").alias("since"), (F.max("inferred_at") + window).alias("until")
+        ).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        stretches.write.mode("overwrite").parquet(f"{base}/stretches/part={batch_id}")
+        stretches = spark.read.schema(_STRETCH).parquet(f"{base}/stretches/part={batch_id}")
+        touched = stretches.select(
+            F.col("entity").alias("t_entity"), "since", "until",
+            (F.col("since") - window).alias("from"),
         )
-        .groupBy("entity")
-        .transformWithStateInPandas(
-            statefulProcessor=_ShockProcessor(window_seconds, float(threshold), min_samples),
-            outputStructType=S.SHOCK,
-            outputMode="Append",
-            timeMode="None",
+        lo, hi = F.lit(bounds.lo) - window, F.lit(bounds.hi) + window
+        stored = (
+            spark.read.schema(f"{_ddl(fresh)}, batch_id long").parquet(f"{base}/samples")
+            .filter((F.col("batch_id") <= batch_id)
+                    & F.col("day").between(F.to_date(lo), F.to_date(hi)))
         )
+        near = stored.join(touched, F.col("entity") == F.col("t_entity")).filter(
+            F.col("inferred_at").between(F.col("from"), F.col("until"))
+        ).select(*_SAMPLE)
+        found = detect_shocks(near, window_seconds, threshold, min_samples, slices)
+        judged = found.join(touched, F.col("entity") == F.col("t_entity")).filter(
+            F.col("triggered_at").between(F.col("since"), F.col("until"))
+        )
+        judged.select(*[f.name for f in S.SHOCK], F.lit(batch_id).cast("long").alias("batch_id")
+                      ).write.mode("overwrite").parquet(f"{base}/shocks/part={batch_id}")
+
+    return write
+
+
+def _ddl(frame: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema)
+
+
+def current_shocks(spark: SparkSession, base: str) -> DataFrame:
+    """Shocks whose stretch no later batch has judged again."""
+    try:
+        shocks = spark.read.parquet(f"{base}/shocks")
+        stretches = spark.read.schema(_STRETCH).parquet(f"{base}/stretches")
+    except AnalysisException:  # no batch had a sample yet
+        return spark.createDataFrame([], S.SHOCK)
+    later = stretches.select(
+        F.col("entity").alias("l_entity"), F.col("since").alias("l_since"),
+        F.col("until").alias("l_until"), F.col("batch_id").alias("l_batch"),
     )
+    return shocks.join(
+        later, (F.col("entity") == F.col("l_entity")) & (F.col("l_batch") > F.col("batch_id"))
+        & F.col("triggered_at").between(F.col("l_since"), F.col("l_until")), "left_anti",
+    ).select(*[f.name for f in S.SHOCK])

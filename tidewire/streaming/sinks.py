@@ -6,11 +6,14 @@ batch writers overwrite the folder of their batch, so a replayed batch replaces
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewire.operators import scoring
 
+_NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -26,46 +29,76 @@ def _writer(
     return writer.trigger(processingTime=every)
 
 
+def _start(writer: DataStreamWriter, spark: SparkSession, every: str | None) -> StreamingQuery:
+    """A stream that only drains runs no batches without data: marks with a time to live would
+    ask for one more after each, for ever. The setting holds for this query alone."""
+    if every is not None:
+        return writer.start()
+    before = spark.conf.get(_NO_DATA, "true")
+    spark.conf.set(_NO_DATA, "false")
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(_NO_DATA, before)
+
+
 def to_topic(
     messages: DataFrame, servers: str, topic: str, checkpoint: str, every: str | None = "1 second"
 ) -> StreamingQuery:
     """Keyed messages to a topic; the key keeps an item on one partition."""
-    return (
+    writer = (
         _writer(messages, checkpoint, every).format("kafka")
         .option("kafka.bootstrap.servers", servers).option("kafka.acks", "all")
-        .option("topic", topic).start()
+        .option("topic", topic)
     )
+    return _start(writer, messages.sparkSession, every)
 
 
 def to_table(
     rows: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds"
 ) -> StreamingQuery:
-    return _writer(rows, checkpoint, every).format("parquet").option("path", path).start()
+    writer = _writer(rows, checkpoint, every).format("parquet").option("path", path)
+    return _start(writer, rows.sparkSession, every)
 
 
 def to_json_lines(
     scored: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds"
 ) -> StreamingQuery:
     lines = scoring.result_json(scored)
-    return _writer(lines, checkpoint, every).format("text").option("path", path).start()
+    writer = _writer(lines, checkpoint, every).format("text").option("path", path)
+    return _start(writer, lines.sparkSession, every)
 
 
 def to_memory(rows: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
     """What is there now, collected into the in-memory table ``name``: for tests only."""
-    return _writer(rows, checkpoint, None, name).format("memory").start()
+    return _start(_writer(rows, checkpoint, None, name).format("memory"), rows.sparkSession, None)
 
 
 def to_batches(
     rows: DataFrame, write: BatchWriter, checkpoint: str, every: str | None = "10 seconds"
 ) -> StreamingQuery:
     """Any callable of (batch frame, batch id) as a sink."""
-    return _writer(rows, checkpoint, every).foreachBatch(write).start()
+    return _start(_writer(rows, checkpoint, every).foreachBatch(write), rows.sparkSession, every)
+
+
+def write_batches(path: str, run: str, make: Callable[[DataFrame], DataFrame] | None = None) -> BatchWriter:
+    """Writer of ``make(batch)`` into ``path/run=<run>/batch_id=<id>``.
+
+    A repeated batch replaces its own folder. ``run`` names one checkpoint: give a new
+    checkpoint, whose batches count from 0 again, a new name, and no history is overwritten.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = make(batch) if make else batch
+        rows.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
+
+    return write
 
 
-def write_scored(base: str, *extra: str) -> BatchWriter:
-    """Writer of scored items into ``base/results`` and ``base/entities``.
+def write_scored(base: str, run: str, *extra: str) -> BatchWriter:
+    """Writer of scored items into ``base/results`` and ``base/entities``, by run, batch and day.
 
-    The batch is scored once for both tables.
+    The batch is scored once for both tables. See ``write_batches`` for ``run``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -76,7 +109,9 @@ def write_scored(base: str, *extra: str) -> BatchWriter:
                 "entities": scoring.entity_sentiments(batch, *extra),
             }
             for name, rows in tables.items():
-                rows.write.mode("overwrite").parquet(f"{base}/{name}/batch_id={batch_id}")
+                rows.withColumn("day", F.to_date("inferred_at")).write.mode("overwrite").partitionBy(
+                    "day"
+                ).parquet(f"{base}/{name}/run={run}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 

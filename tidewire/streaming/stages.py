@@ -1,7 +1,8 @@
 """The pipeline as streaming stages; every stage is a DataFrame in, a DataFrame out.
 
-The row-wise operators are the batch ones. Only deduplication and shock detection keep
-state, and both key it, so a stage is one streaming query with at most one shuffle.
+The row-wise operators are the batch ones. Deduplication keeps keyed state; shocks and the
+timeline are tables that every batch extends and that tolerate rows in any order. No stage
+drops a row for being late, so none needs a side table for late rows.
 """
 
 from collections.abc import Mapping
@@ -9,9 +10,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire import schemas as S
 from tidewire.operators import contract, process, scoring
+from tidewire.session import use_rocksdb_state
 from tidewire.sources.kafka import PROCESSED_TOPIC, RAW_TOPIC
 from tidewire.sources.registry import fan_in
+from tidewire.streaming.dedup import first_seen
 
 
 def ingest_stage(sources: list[DataFrame]) -> DataFrame:
@@ -48,25 +52,29 @@ def process_stage(
     now: Column,
     rule: process.Relevance = process.Relevance(),
     *,
-    event_time: str = "ingested_at",
-    dedup_within: str | None = "1 hour",
+    live_seconds: int | None = 3600,
+    order: str | None = None,
     observe: str | None = None,
 ) -> DataFrame:
     """Raw messages to processed rows, each content once.
 
     State is keyed by content hash and therefore global. It is bounded by time: a copy is
-    recognized while it arrives within ``dedup_within`` of the first; None keeps every hash.
-    The copy of an earlier batch wins; among copies that different partitions deliver in one
-    batch there is no arrival order, and any one of them is kept.
+    recognized while it arrives within ``live_seconds`` of the first one's arrival; None keeps
+    every hash. Rows are never dropped for being late. The copy of an earlier batch wins, and
+    within a batch the least ``order``, a column of the messages such as their offset; it is
+    carried along. The query needs the RocksDB state store, which is set here.
     """
+    use_rocksdb_state(messages.sparkSession)
     rows = evaluate_stage(messages, rule, observe).filter("error is null and reason is null")
-    if dedup_within is None:
-        unique = rows.dropDuplicates(["content_hash"])
-    else:
-        unique = rows.withWatermark(event_time, dedup_within).dropDuplicatesWithinWatermark(
-            ["content_hash"]
-        )
-    return process.to_processed(unique, now)
+    extra = [order] if order else []
+    narrow = rows.select(*_columns_of(rows), "content_hash", *extra)
+    unique = first_seen(narrow, "content_hash", order, live_seconds)
+    return process.to_processed(unique, now, *extra)
+
+
+def _columns_of(rows: DataFrame) -> list[str]:
+    made = ("content_hash", "processed_at", "schema_version")
+    return [f.name for f in S.PROCESSED if f.name in rows.columns and f.name not in made]
 
 
 def quarantine_stage(messages: DataFrame, topic: str = RAW_TOPIC) -> DataFrame:
@@ -83,17 +91,39 @@ def score_stage(
     model: scoring.Model | None = None,
     gazetteer: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Processed messages to scored items; undecodable ones are left to quarantine."""
+    """Processed messages to scored items; undecodable ones are left to quarantine.
+
+    Columns beside ``value``, such as an arrival ordinal, are carried along.
+    """
     good, _ = contract.split_bad(contract.decode_processed(messages))
     return scoring.score(good, inferred_at, model, gazetteer)
 
 
-def timeline_stage(results: DataFrame, rule: str = "1 minute", late: str = "1 minute") -> DataFrame:
-    """Finished buckets of a result stream. Gaps are filled when the table is read."""
-    return (
-        results.withWatermark("inferred_at", late)
-        .groupBy(F.window("inferred_at", rule).alias("w"))
-        .agg(F.avg("sentiment_score").alias("avg_sentiment"),
-             F.count("sentiment_score").alias("volume"))
-        .select(F.col("w.start").alias("bucket"), "avg_sentiment", "volume")
+def partial_timeline(results: DataFrame, rule: str = "1 minute") -> DataFrame:
+    """Sum and volume per bucket of one batch of results.
+
+    Partial rows of all batches add up (``merge_timeline``), so late rows need no bucket that
+    is still open: they are one more partial row of theirs.
+    """
+    return results.filter("inferred_at is not null").groupBy(
+        F.window("inferred_at", rule)["start"].alias("bucket")
+    ).agg(F.sum("sentiment_score").alias("total"), F.count("sentiment_score").alias("volume"))
+
+
+def merge_timeline(partials: DataFrame) -> DataFrame:
+    """Average and volume per bucket from the partial rows of all batches."""
+    merged = partials.groupBy("bucket").agg(
+        F.sum("total").alias("total"), F.sum("volume").alias("volume")
     )
+    average = F.when(F.col("volume") > 0, F.col("total") / F.col("volume"))
+    return merged.select("bucket", average.alias("avg_sentiment"), "volume")
+
+
+def arrived(batch: DataFrame, batch_id: int) -> Column:
+    """Ordinal of the rows of a batch: after all earlier batches, by task and row within.
+
+    Room for 2 ** 13 tasks of 2 ** 26 rows in each of 2 ** 24 batches.
+    """
+    row = F.monotonically_increasing_id()
+    task, place = F.shiftright(row, 33), row.bitwiseAND(F.lit((1 << 33) - 1))
+    return F.lit(batch_id << 39) + task * (1 << 26) + place
