@@ -1,9 +1,12 @@
 """The pipeline stage by stage against plain versions, and its queries on the given tables."""
 
+import pytest
+
 import corpus_pipeline
+from tests.check_oracle import connect, difference
 from tests.llm import helpers as H
 from tests.llm.test_documents import ODD, clashing, plain_lines, sample_rows
-from tidewire.llm.queries import QUERIES
+from tidewire.llm.queries import ORACLE_SQL, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -71,3 +74,9 @@ def test_queries_read_whole_tables(spark):
         frame = query(spark, SF_DIR)
         key = "vec_id" if "vec_id" in frame.columns else "doc_id"
         assert frame.select(key).distinct().count() == (vectors if key == "vec_id" else n), name
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_equals_its_sql(spark, name):
+    ours = QUERIES[name](spark, SF_DIR).toPandas()
+    assert difference(ours, connect(SF_DIR).execute(ORACLE_SQL[name]).df()) is None

@@ -18,10 +18,14 @@ from tidewire.llm import (
     substring_dedup,
 )
 from tidewire.llm.common import table
+from tidewire.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
 
 def op1_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(table(spark, sf_dir, "documents"))
+    return quality_rules.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "points", "host_verdict",
+    )
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,4 +85,3 @@ QUERIES = {
         op10_suffix_dedup,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
