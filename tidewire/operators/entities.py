@@ -25,9 +25,6 @@ DEFAULT_GAZETTEER = {
     "SABL": "Sable Retail",
     "TSSL": "Tessellate Cloud",
 }
-# Gazetteers up to this size become expressions inside the scan stage; larger ones join.
-MAX_INLINE = 128
-
 # Lengths of the seeds that stand for names in the join.
 _SEED_LENGTHS = (1, 2, 4, 8)
 _WORD = r"[\p{L}\p{N}_]"
@@ -74,17 +71,16 @@ def canonical_name(text: Column, kind: Column) -> Column:
 
 
 def with_entities(
-    items: DataFrame, gazetteer: Mapping[str, str] | None = None
+    items: DataFrame, gazetteer: Mapping[str, str] | DataFrame | None = None
 ) -> DataFrame:
     """Items plus ``entities``, an array of (text, type) in first-seen order.
 
-    A mapping of up to ``MAX_INLINE`` names is matched by expressions, without any join.
+    A mapping is matched by expressions inside the scan stage, two per name: right for the
+    names of a watch list. A table of any size is joined (see ``join_entities``).
     """
+    if isinstance(gazetteer, DataFrame):
+        return join_entities(items, gazetteer)
     names = DEFAULT_GAZETTEER if gazetteer is None else gazetteer
-    if len(names) > MAX_INLINE:
-        raise ValueError(
-            f"{len(names)} names: pass a gazetteer DataFrame to join_entities instead"
-        )
     text = F.col("_text")
     found = []
     for ticker, company in names.items():

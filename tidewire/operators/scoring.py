@@ -30,12 +30,13 @@ class LexiconModel:
 
 @dataclass(frozen=True)
 class BatchModel:
-    """Any loaded model; an Arrow batch is its batch."""
+    """Any loaded model; ``batch_size`` texts of like length are predicted at once."""
 
     name: str
     load: ModelFactory
     quantized: bool = False
     labels: tuple[str, ...] = field(default=M.LABELS)
+    batch_size: int = 16
 
 
 Model = LexiconModel | BatchModel
@@ -108,26 +109,28 @@ def onnx_model(
 
 
 def _batch_probs(model: BatchModel):
-    load = model.load
+    load, size = model.load, model.batch_size
 
     @F.pandas_udf("array<double>")
     def probs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = load()
 
-        def one(text: str):
+        def several(some: list[str]) -> list:
+            """Predictions; a text that fails alone has none, and takes no other along."""
             try:
-                return predict([text])[0]
+                return predict(some)
+            except MemoryError:
+                raise
             except Exception:
-                return None
+                return [None] if len(some) == 1 else [p for t in some for p in several([t])]
 
         for texts in batches:
             present = texts.dropna()
-            try:
-                rows = predict(present.tolist()) if len(present) else []
-            except Exception:
-                # One bad text must not take its batch along: it becomes a NULL score.
-                rows = [one(t) for t in present]
-            yield pd.Series(rows, index=present.index, dtype=object).reindex(texts.index)
+            by_length = present.loc[present.str.len().sort_values(kind="stable").index]
+            rows: list = []
+            for at in range(0, len(by_length), size):
+                rows += several(by_length.iloc[at: at + size].tolist())
+            yield pd.Series(rows, index=by_length.index, dtype=object).reindex(texts.index)
 
     return probs
 
@@ -154,7 +157,7 @@ def score(
     processed: DataFrame,
     inferred_at: Column,
     model: Model | None = None,
-    gazetteer: Mapping[str, str] | None = None,
+    gazetteer: Mapping[str, str] | DataFrame | None = None,
 ) -> DataFrame:
     """Processed items plus ``sentiment``, ``entities``, model columns and ``inferred_at``.
 
@@ -189,6 +192,13 @@ def sentiment_results(scored: DataFrame, *extra: str) -> DataFrame:
     )
 
 
+def unscorable(scored: DataFrame) -> DataFrame:
+    """``item_id, error`` of the items that the model could not score; no table holds them."""
+    return scored.filter("sentiment is null").select(
+        F.col("id").alias("item_id"), F.lit("model error").alias("error")
+    )
+
+
 def entity_sentiments(scored: DataFrame, *extra: str) -> DataFrame:
     """One row per item and entity: the time series signals are computed from."""
     return _exploded(scored, F.col("entities"), *extra)

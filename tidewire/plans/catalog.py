@@ -237,6 +237,47 @@ def feed_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _feed_documents(spark, sf_dir).select("arrival_seq", kind)
 
 
+@query
+def quarantine_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cut off before their end, a fifth of all, next to whole ones."""
+    cut = F.col("arrival_seq") % 5 == 0
+    half = F.expr("substring(xml, 1, length(xml) - 9)")
+    documents = _feed_documents(spark, sf_dir).withColumn(
+        "xml", F.when(cut, half).otherwise(F.col("xml"))
+    )
+    return feeds.broken_feeds(documents).select("arrival_seq", "error")
+
+
+@query
+def quarantine_gdelt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = F.col("arrival_seq") % 7 == 0
+    value = F.to_json(F.struct(F.array(F.struct(
+        "title", F.col("body").alias("url"), F.col("feed").alias("domain"), "language"
+    )).alias("articles")))
+    responses = B.news(spark, sf_dir).select("arrival_seq", F.when(
+        cut, F.concat(F.lit("<html>"), "body")).otherwise(value).alias("value"))
+    return gdelt.broken_gdelt(responses).select("arrival_seq", "error")
+
+
+@query
+def unscorable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batched model that fails on some texts: every item is a result or listed here."""
+
+    def load():
+        def predict(texts):
+            if any(len(t) % 11 == 0 for t in texts):
+                raise ValueError("text refused")
+            return [[0.2, 0.3, 0.5]] * len(texts)
+
+        return predict
+
+    model = scoring.BatchModel("stub", load)
+    scored = scoring.score(B.news(spark, sf_dir).withColumn("content_hash", F.lit("-")), B.now(), model)
+    found = scoring.unscorable(scored).select("item_id", "error")
+    results = scoring.sentiment_results(scored).select("item_id", F.lit("-").alias("error"))
+    return found.unionByName(results)
+
+
 @query
 def fan_in_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sources in one bag, counted per source."""

@@ -304,6 +304,13 @@ SELECT error, count(*) AS rows, min(arrival_seq) AS first_seq FROM labelled GROU
     "atom_entries": f"WITH {_NEWS}, {_ATOM} SELECT {_FEED_SHOWN} FROM atom",
     "feed_kind": """SELECT doc_id AS arrival_seq,
   CASE WHEN doc_id % 2 = 1 THEN 'rss' ELSE 'atom' END AS kind FROM documents""",
+    "quarantine_feeds": """SELECT doc_id AS arrival_seq, 'decode error' AS error FROM documents
+WHERE doc_id % 5 = 0""",
+    "quarantine_gdelt": """SELECT doc_id AS arrival_seq, 'decode error' AS error FROM documents
+WHERE doc_id % 7 = 0""",
+    "unscorable": f"""WITH {_NEWS}
+SELECT id AS item_id, CASE WHEN length({_model_text('title', 'body')}) % 11 = 0 THEN 'model error'
+  ELSE '-' END AS error FROM news""",
     "fan_in_sources": f"""WITH {_NEWS}, {_LINES}, {_GDELT}, {_RSS}, {_ATOM}
 SELECT source, language, count(*) AS items, sum(length(body))::BIGINT AS body_chars FROM (
   SELECT source, language, body FROM lines WHERE error IS NULL

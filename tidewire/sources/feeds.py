@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewire import schemas as S
 from tidewire.functions import text as X
@@ -69,13 +70,28 @@ def atom_link(links: Column) -> Column:
 def parse_feed(
     documents: DataFrame, now: Column, xml: str = "xml", feed_url: str = "feed_url"
 ) -> DataFrame:
-    """Documents of either format; a broken document yields no rows."""
+    """Documents of either format; a broken one yields no rows and is one of ``broken_feeds``."""
     kind = feed_kind(F.col(xml))
     return parse_rss(documents.filter(kind == "rss"), now, xml, feed_url).unionByName(
         parse_atom(documents.filter(kind == "atom"), now, xml, feed_url)
     )
 
 
+def broken_feeds(documents: DataFrame, xml: str = "xml") -> DataFrame:
+    """The documents that are not well formed, with ``error``; ``parse_feed`` yields no row of them."""
+    corrupt = T.StructField("_corrupt", T.StringType())
+    options = {"columnNameOfCorruptRecord": "_corrupt"}
+
+    def fails(shape: T.StructType) -> Column:
+        read = F.from_xml(F.col(xml), T.StructType([*shape.fields, corrupt]), options)
+        return read.isNull() | read["_corrupt"].isNotNull()
+
+    kind = feed_kind(F.col(xml))
+    broken = F.when(kind == "atom", fails(S.ATOM_DOCUMENT)).otherwise(fails(S.RSS_DOCUMENT))
+    judged = compute_once(documents, {"error": F.when(broken, F.lit("decode error"))})
+    return judged.filter("error is not null")
+
+
 def read_feeds(spark: SparkSession, path: str, now: Column) -> DataFrame:
     """Landed feed documents, one per file; the file stands for the feed address."""
     return parse_feed(_with_address(spark.read.text(path, wholetext=True)), now)

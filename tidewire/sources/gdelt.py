@@ -2,9 +2,11 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewire import schemas as S
 from tidewire.functions import text as X
+from tidewire.functions.columns import compute_once
 
 
 def parse_gdelt(responses: DataFrame, now: Column, value: str = "value") -> DataFrame:
@@ -36,6 +38,17 @@ def parse_gdelt(responses: DataFrame, now: Column, value: str = "value") -> Data
     )
 
 
+def broken_gdelt(responses: DataFrame, value: str = "value") -> DataFrame:
+    """The responses that are no JSON document of the expected shape, with ``error``."""
+    shape = T.StructType([*S.GDELT_RESPONSE.fields, T.StructField("_corrupt", T.StringType())])
+    read = F.from_json(
+        F.col(value).cast("string"), shape, {"columnNameOfCorruptRecord": "_corrupt"}
+    )
+    broken = read.isNull() | read["_corrupt"].isNotNull()
+    judged = compute_once(responses, {"error": F.when(broken, F.lit("decode error"))})
+    return judged.filter("error is not null")
+
+
 def read_gdelt(spark: SparkSession, path: str, now: Column) -> DataFrame:
     """Landed responses, one JSON document per file."""
     return parse_gdelt(spark.read.text(path, wholetext=True), now)
