@@ -106,12 +106,17 @@ def fit(docs: DataFrame, label: str, keep: Column, key: str, text: str) -> Model
     share = SAMPLE_ROWS / languages
     draw = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     calibrates = F.pmod(F.xxhash64("id", F.lit("calibrate")), F.lit(4)) == 0
+    # ids are drawn from narrow rows, so that no text is shuffled; there are 2 * SAMPLE_ROWS at most
+    drawn = (
+        labelled.select("lang", "id").join(counts, F.col("lang") == F.col("counted"))
+        .filter(draw < share / F.col("n")).select(F.col("id").alias("drawn")).distinct()
+        .limit(2 * SAMPLE_ROWS)
+    )
     rows = (
-        labelled.join(counts, F.col("lang") == F.col("counted"))
-        .filter(draw < share / F.col("n")).limit(2 * SAMPLE_ROWS)
+        labelled.join(F.broadcast(drawn), F.col("id").eqNullSafe(F.col("drawn")), "left_semi")
         .select("lang", calibrates.alias("calibrates"), "text")
         .mapInArrow(_bags, "lang string, calibrates boolean, buckets binary, counts binary")
-        .collect()
+        .limit(2 * SAMPLE_ROWS).collect()
     )
     rows.sort(key=lambda r: (r.lang, bytes(r.buckets)))
     names = tuple(sorted({r.lang for r in rows}))
