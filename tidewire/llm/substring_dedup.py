@@ -70,6 +70,11 @@ def _anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return at, grams[at], least
 
 
+def _spread(grams: np.ndarray) -> np.ndarray:
+    """Hashes of anchors dealt out evenly: those of anchors are small, as the least of many."""
+    return hashing.mixed(grams ^ hashing.STEP)
+
+
 def _pack(values: np.ndarray) -> bytes:
     raw = np.ascontiguousarray(values).tobytes()
     return pa.compress(raw, codec="zstd", asbytes=True) if raw else b""
@@ -142,7 +147,7 @@ def _seen(parts: int) -> Callable:
             at, grams, _ = _anchors(data, offsets)
             owner = np.searchsorted(offsets, at, side="right") - 1 + number
             number += len(ids)
-            found.append((grams, owner))
+            found.append((_spread(grams), owner))
             held += len(at)
             if held >= GATHER:
                 yield rows(found)
@@ -224,10 +229,11 @@ def _contexts(parts: int, shared) -> Callable:
         found, held = [], 0
         for ids, keys, data, offsets in _texts(batches):
             at, grams, least = _anchors(data, offsets)
-            place = grams >> np.uint64(64 - FILTER_BITS.bit_length() + 1)
+            even = _spread(grams)
+            place = even >> np.uint64(64 - FILTER_BITS.bit_length() + 1)
             hit = (bits[(place >> np.uint64(3)).astype(np.int64)]
                    >> (place & np.uint64(7)).astype(np.uint8)) & 1
-            at, grams = at[hit.astype(bool)], grams[hit.astype(bool)]
+            at, grams, even = (x[hit.astype(bool)] for x in (at, grams, even))
             owner = np.searchsorted(offsets, at, side="right") - 1
             # only strings that have their least hash here: others are for their own anchors
             before = at[:, None] - np.arange(SIDE + 1)
@@ -237,7 +243,7 @@ def _contexts(parts: int, shared) -> Callable:
             right = SIDE - own.argmax(axis=1)
             around = data[np.clip(at[:, None] + window, 0, max(len(data) - 1, 0))]
             around[(window < -left[:, None]) | (window >= GRAM + right[:, None])] = 0
-            found.append((grams, ids[owner], (keys[owner] & 0xFFFFFFFF).astype(np.uint32),
+            found.append((even, ids[owner], (keys[owner] & 0xFFFFFFFF).astype(np.uint32),
                           (at - offsets[owner]).astype(np.uint32),
                           left.astype(np.uint8), right.astype(np.uint8), around))
             held += len(at)
