@@ -1,5 +1,6 @@
 """DuckDB twins of the corpus queries that SQL can express, written from the contracts."""
 
+from tidewire.llm.license_scan import COVERAGE, DRIFT, GRAM, PHRASES, TEMPLATES
 from tidewire.llm.line_dedup import MIN_SITES
 from tidewire.llm.near_dedup import PERCENT
 from tidewire.llm.quality_rules import Limits
@@ -17,6 +18,13 @@ def _rule(value: str, limit: float) -> str:
     return f"CASE WHEN {value} > {2 * limit} THEN 2 WHEN {value} > {limit} THEN 1 ELSE 0 END"
 
 
+_PHRASES = ", ".join(f"('{p}', {len(p.split())}, '{label}')" for p, label in PHRASES)
+_GRAMS = ", ".join(
+    f"({i}, '{label}', {len(ws) - GRAM + 1}, {at}, '{' '.join(ws[at: at + GRAM])}')"
+    for i, (label, ws) in enumerate((label, text.split()) for label, text in TEMPLATES)
+    for at in range(len(ws) - GRAM + 1)
+)
+
 ORACLE_SQL: dict[str, str] = {
     "op1_host_quality_rules": f"""WITH t AS (
   SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
@@ -73,6 +81,32 @@ FROM p JOIN v ON p.source IS NOT DISTINCT FROM v.source""",
 SELECT w.doc_id, coalesce(size, 0) AS n_shingles, coalesce(root, w.doc_id) AS component_id,
   coalesce(root, w.doc_id) = w.doc_id AS kept
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)""",
+    "op5_license_scan": f"""WITH phrases(phrase, k, label) AS (VALUES {_PHRASES}),
+ grams(template, label, n_grams, gram_at, gram) AS (VALUES {_GRAMS}),
+ w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+ places AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+ base AS (SELECT doc_id, i - 1 AS place, label FROM places JOIN phrases
+          ON array_to_string(ws[i:i + k - 1], ' ') = phrase),
+ b AS (SELECT doc_id, count(*) AS n, min(place) AS first_word, max(place) AS last_word,
+         list_distinct(list(label)) AS labels FROM base GROUP BY doc_id),
+ votes AS (SELECT DISTINCT doc_id, template, label, n_grams, gram_at, i - 1 - gram_at AS diagonal FROM places
+           JOIN grams ON array_to_string(ws[i:i + {GRAM - 1}], ' ') = gram),
+ diagonals AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w <= {DRIFT} THEN 0 ELSE 1 END AS starts
+   FROM (SELECT DISTINCT doc_id, template, diagonal FROM votes)
+   WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)),
+ spans AS (SELECT doc_id, template, diagonal,
+   sum(starts) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM diagonals),
+ held AS (SELECT doc_id, label, count(DISTINCT gram_at) / n_grams AS share
+   FROM votes JOIN spans USING (doc_id, template, diagonal) GROUP BY doc_id, template, label, n_grams, span),
+ m AS (SELECT doc_id, list_distinct(list(label)) AS labels, max(share) AS share FROM held
+       WHERE share >= {COVERAGE} GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(b.n, 0) AS n_base, first_word, last_word,
+  coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_concat(coalesce(b.labels, []), coalesce(m.labels, []))), ','), '')
+    AS labels,
+  CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM w LEFT JOIN b USING (doc_id) LEFT JOIN m USING (doc_id)""",
     "op6_line_dedup": f"""WITH l AS (
   SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
     unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
