@@ -121,9 +121,14 @@ def test_entities_joined_equal_inline(spark):
         ("B.C", "ticker"), ("of", "company"), ("é", "ticker")]
 
 
-def test_large_mapping_is_refused(spark):
-    with pytest.raises(ValueError):
-        entities.with_entities(with_text(spark, CASES), {f"T{i}": f"c{i}" for i in range(1000)})
+def test_score_with_a_table_of_ten_thousand_names(spark):
+    names = spark.range(10_000).selectExpr(
+        "cast(id as int) ord", "concat('tk', id) ticker", "concat('company no ', id, ' of many') company")
+    rows = with_text(spark, [("On TK4711 today", "and Company No 12 of many", None), ("none", "here", None)])
+    scored = scoring.score(rows, F.lit(at(0)), gazetteer=names).orderBy("id").collect()
+    assert [tuple(e) for e in scored[0].entities] == [
+        ("company no 12 of many", "company"), ("tk4711", "ticker")]
+    assert scored[1].entities == []
 
 
 def test_entity_rows(spark):
