@@ -119,6 +119,28 @@ def test_vectors(spark, monkeypatch, block):
     assert right >= 0.95 * len(rows)
 
 
+@pytest.mark.parametrize("shared", [0.0, 0.5, 0.7])
+def test_vectors_with_a_common_mean(spark, shared):
+    draw = np.random.default_rng(8)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    n, mean = 1000, unit(draw.standard_normal(64))
+    x = unit(np.sqrt(shared) * mean + np.sqrt(1 - shared) * unit(draw.standard_normal((n, 64))))
+    aside = draw.standard_normal((n, 64))
+    aside = unit(aside - (aside * x).sum(axis=1)[:, None] * x)
+    y = 0.9001 * x + np.sqrt(1 - 0.9001**2) * aside
+    rows = np.concatenate([x, y])
+    table = spark.createDataFrame(
+        [(i, r) for i, r in enumerate(rows.tolist())], "vec_id long, embedding array<double>"
+    )
+    found = {r.vec_id: r for r in embedding_dedup.near_vectors(table).collect()}
+    links, _ = plain_links(rows)
+    assert links.sum() >= 2 * n and all(found[i].n_links <= links[i] for i in found)
+    assert sum(r.n_links for r in found.values()) >= 0.9 * links.sum()
+
+
 def test_vectors_odd(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]),

@@ -12,11 +12,16 @@ from pyspark.sql import functions as F
 from tidewire.llm.common import components, settle
 
 COSINE = 0.9
-#: Tables and bits of each. Two vectors meet if the bits of one table agree. At a cosine of
-#: 0.95 a bit of a random rotation differs in one of ten cases, 16 agree in 18 %, and one of
-#: 32 tables agrees in 99.8 % of the cases; at 0.9 in 94 %. Learned rotations do no worse.
+#: Tables and most bits of each. Two vectors meet if the bits of one table agree. At a cosine
+#: of 0.95 a bit of a random rotation differs in one of ten cases, 16 agree in 18 %, and one of
+#: 32 tables agrees in 99.8 % of the cases; at 0.9 in 94 %. That holds for vectors around the
+#: origin: if they share an offset, centred ones at a cosine of 0.9 are further apart, and
+#: ``table_bits`` takes fewer bits.
 TABLES = 32
 BITS = 16
+#: Least share of links at COSINE that the tables must find, in each fifth of the vectors by
+#: distance from the centre.
+RECALL = 0.9
 #: Vectors that the rotations are fitted on (chosen by a hash of the id), and rounds of it.
 SAMPLE_ROWS = 4000
 ROUNDS = 20
@@ -50,6 +55,50 @@ def learn_rotations(sample: np.ndarray, bits: int, seed: int = 17) -> np.ndarray
     return np.concatenate(parts, axis=1)[:, :bits]
 
 
+def _codes(x: np.ndarray, center: np.ndarray, planes: np.ndarray) -> np.ndarray:
+    """The BITS bits of every table as a number, first bit lowest."""
+    bits = ((x - center) @ planes > 0).reshape(len(x), TABLES, BITS)
+    return (bits * (np.int64(1) << np.arange(BITS, dtype=np.int64))).sum(axis=2)
+
+
+def _shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """First bits that pairs of codes have in common, in the table where these are most."""
+    apart = (a ^ b) | (np.int64(1) << BITS)
+    return np.log2((apart & -apart).max(axis=1)).astype(int)
+
+
+def table_bits(
+    test: np.ndarray, sample: np.ndarray, center: np.ndarray, planes: np.ndarray, seed: int = 23
+) -> int:
+    """Most bits a table (up to BITS) that find RECALL of the links at COSINE.
+
+    Links are defined on the vectors as they are, bits on centred ones, so the share is
+    measured: on partners planted at COSINE from ``test``, in random directions and towards
+    other vectors, and on the links between ``test`` and ``sample``.
+    """
+    random = np.random.default_rng(seed)
+    codes = _codes(test, center, planes)
+    by_distance = np.argsort(np.linalg.norm(test - center, axis=1))
+    groups = []
+    for planted in (lambda: random.standard_normal(test.shape),
+                    lambda: sample[random.integers(0, len(sample), len(test))]):
+        met = []
+        for _ in range(4):
+            aside = planted()
+            aside = aside - (aside * test).sum(axis=1)[:, None] * test
+            length = np.linalg.norm(aside, axis=1)[:, None]
+            partner = COSINE * test + np.sqrt(1 - COSINE**2) * aside / np.maximum(length, 1e-12)
+            own = _shared_bits(codes, _codes(partner, center, planes))
+            met.append(np.where(length[:, 0] > 1e-6, own, BITS)[by_distance])
+        groups += np.array_split(np.array(met), 5, axis=1)
+    linked = np.argwhere((test @ sample.T >= COSINE) & (test @ sample.T < 1 - 1e-9))
+    linked = linked[:: len(linked) // 50_000 + 1]
+    groups.append(_shared_bits(codes[linked[:, 0]], _codes(sample, center, planes)[linked[:, 1]]))
+    groups = [g for g in groups if g.size]
+    enough = [b for b in range(1, BITS + 1) if all((g >= b).mean() >= RECALL for g in groups)]
+    return max(enough, default=1)
+
+
 def _unit(column: pa.Array) -> list[np.ndarray | None]:
     """Vectors of length one in double precision; None for those that link with nothing."""
     out: list[np.ndarray | None] = []
@@ -77,13 +126,11 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _coded(models: dict[int, tuple[np.ndarray, np.ndarray]]) -> Callable:
+def _coded(models: dict[int, tuple[np.ndarray, np.ndarray, int]]) -> Callable:
     """``id, copies, unit, keys``: the buckets of every vector, one of each table.
 
     The dimension is part of a bucket's key.
     """
-    weight = np.int64(1) << np.arange(BITS, dtype=np.int64)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             groups: dict[int, list[int]] = {}
@@ -92,11 +139,12 @@ def _coded(models: dict[int, tuple[np.ndarray, np.ndarray]]) -> Callable:
                 groups.setdefault(len(unit) // 8, []).append(i)
             for size, at in groups.items():
                 if size not in models:
-                    models[size] = (np.zeros(size), learn_rotations(np.zeros((0, size)), TABLES * BITS))
-                center, planes = models[size]
+                    planes = learn_rotations(np.zeros((0, size)), TABLES * BITS)
+                    models[size] = (np.zeros(size), planes, BITS)
+                center, planes, used = models[size]
                 x = np.frombuffer(b"".join(raw[i] for i in at)).reshape(-1, size)
-                bits = ((x - center) @ planes > 0).reshape(len(x), TABLES, BITS)
-                code = (bits * weight).sum(axis=2) | (np.arange(TABLES, dtype=np.int64) << BITS)
+                code = _codes(x, center, planes) & ((np.int64(1) << used) - 1)
+                code |= np.arange(TABLES, dtype=np.int64) << BITS
                 code |= np.int64(size) << 32
                 some = batch.take(pa.array(at))
                 starts = pa.array(np.arange(len(at) + 1, dtype=np.int32) * TABLES)
@@ -236,8 +284,8 @@ def near_vectors(
 ) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``.
 
-    Equal vectors collapse to the smallest id with a number of copies. Codes of TABLES times
-    BITS learned bits index all of them; the vectors of a bucket are compared by cosine in
+    Equal vectors collapse to the smallest id with a number of copies. TABLES codes of up to
+    BITS learned bits, as many as keep RECALL of the links (``table_bits``), index all of them; the vectors of a bucket are compared by cosine in
     double precision, each pair in the first table that they share. Buckets of one vector are
     dropped before the vectors are moved. A bucket over BLOCK vectors is cut into blocks, and
     every two blocks meet in a task of their own, so nothing is left out of a large bucket.
@@ -311,10 +359,12 @@ def near_vectors(
     )
 
 
-def _models(distinct: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Centre and projections per length, fitted on SAMPLE_ROWS vectors by hash of the id.
+def _models(distinct: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, int]]:
+    """Centre, projections and bits a table per length, from SAMPLE_ROWS vectors by hash of the id.
 
-    At most eight lengths are learned; vectors of others get unlearned random rotations.
+    A fifth of a sample that is large enough is held out to find the bits. At most eight
+    lengths are learned; vectors of others get unlearned random rotations without a centre,
+    whose bits depend on the cosine alone.
     """
     sizes = distinct.groupBy((F.length("unit") / 8).cast("int").alias("size")).agg(
         F.count(F.lit(1)).alias("n")
@@ -326,6 +376,9 @@ def _models(distinct: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
             "unit").limit(2 * SAMPLE_ROWS).collect()
         units = sorted(bytes(r.unit) for r in sample)
         x = np.frombuffer(b"".join(units)).reshape(-1, size)
-        center = np.median(x, axis=0) if len(x) else np.zeros(size)
-        models[size] = (center, learn_rotations(x - center, TABLES * BITS))
+        held = np.arange(len(x)) % 5 == 0 if len(x) >= 500 else np.zeros(len(x), bool)
+        center = np.median(x[~held], axis=0) if len(x) else np.zeros(size)
+        planes = learn_rotations(x[~held] - center, TABLES * BITS)
+        test = x[held] if held.any() else x
+        models[size] = (center, planes, table_bits(test, x, center, planes) if len(x) else BITS)
     return models
