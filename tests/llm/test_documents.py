@@ -295,6 +295,25 @@ def test_pack_round_trip(docs, rows):
     assert found.sequence_id.nunique() <= found.length.sum() / 256 * 1.1 + 1
 
 
+def test_pack_added_tokens(spark):
+    import zlib
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [f"a{end}b", end, f" {end} \n x", f"  {end}'s", end * 2, f"one  {end}  two {end}",
+             "<|endoftext|", "plain 'tis", f"é{end}\n\n{end}ü", ""]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found = packing.pack(H.documents(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()
+    ids = [[*tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert ids[0] == [64, 50256, 65, 0]
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in found} == {
+        i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(ids)
+    }
+
+
 def test_plan_fills_every_rank_once():
     draw = random.Random(5)
     counts = {n: draw.randint(1, 400) for n in draw.sample(range(1, 101), 60)}

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,8 +32,12 @@ def default_tokenizer() -> str:
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str):
-    """The byte-level BPE of a tokenizers file; a token's id is also the rank of its merge."""
+def _encoder(path: str) -> Callable[[str], list[int]]:
+    """The byte-level BPE of a tokenizers file; a token's id is also the rank of its merge.
+
+    Texts are split at the added tokens of the file (the longest at a place), which give their
+    own ids, as ``tokenizers`` does without ``add_special_tokens``.
+    """
     import tiktoken
 
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -40,17 +45,34 @@ def _encoder(path: str):
     to_byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
     with open(path, encoding="utf-8") as file:
         model = json.load(file)
-    special = {t["content"] for t in model["added_tokens"]}
+    special = {t["content"]: t["id"] for t in model["added_tokens"]}
+    if any(t.get(k) for t in model["added_tokens"] for k in ("lstrip", "rstrip", "single_word")):
+        raise ValueError(f"added tokens that strip or stand as single words are not read: {path}")
     ranks = {
         bytes(to_byte[c] for c in token): rank
         for token, rank in model["model"]["vocab"].items() if token not in special
     }
-    return tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    ordinary = tiktoken.Encoding(
+        "file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}
+    ).encode_ordinary
+    if not special:
+        return ordinary
+    added = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
+
+    def encode(text: str) -> list[int]:
+        first, *rest = added.split(text)
+        ids = ordinary(first)
+        for token, between in zip(rest[::2], rest[1::2]):
+            ids.append(special[token])
+            ids += ordinary(between)
+        return ids
+
+    return encode
 
 
 def _pieces(capacity: int, path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path or default_tokenizer()).encode_ordinary
+        encode = _encoder(path or default_tokenizer())
         part = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch in batches:
