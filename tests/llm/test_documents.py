@@ -371,6 +371,80 @@ def test_periodic_and_touching_strings(spark):
     assert got == H.without_earlier(rows)
 
 
+def lost_bytes(rows, parts=64, tasks=3):
+    """Lost bytes per document, contexts moved and number of hot q-grams, by the steps of
+    ``earlier_runs`` in this process."""
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute
+
+    tables = [
+        pa.RecordBatch.from_arrays(
+            [pa.array([i for i, _ in own]), pa.array([i % 7 for i, _ in own]),
+             pa.array([t for _, t in own])], names=["doc_id", "text_key", "text"])
+        for own in (rows[k::tasks] for k in range(tasks))
+    ]
+
+    def shuffled(step):
+        found = [b for t in tables for b in step(iter([t]))]
+        return pa.Table.from_batches(found).sort_by("part").to_batches()
+
+    shared = list(substring_dedup._shared_bits(parts)(iter(shuffled(substring_dedup._seen(parts)))))
+    shared = [r for b in shared for r in b.to_pylist()]
+    stretch = substring_dedup.FILTER_BITS // parts // 8
+    bits = np.zeros((parts, stretch), np.uint8)
+    for r in shared:
+        bits[r["part"]] = substring_dedup._unpack(r["bits"], stretch, "u1")
+    hot = np.concatenate([np.frombuffer(r["hot"], "<u8") for r in shared])
+    contexts = shuffled(substring_dedup._contexts(
+        parts, SimpleNamespace(value=bits.tobytes()), SimpleNamespace(value=hot)))
+    moved = sum(pa.compute.sum(b.column(1)).as_py() for b in contexts)
+    gone = {i: set() for i, _ in rows}
+    for r in (r for b in substring_dedup._matched(iter(contexts)) for r in b.to_pylist()):
+        gone[r["m_id"]].update(range(r["start"], r["end"]))
+    return {i: len(x) for i, x in gone.items()}, moved, len(hot)
+
+
+def test_passage_of_many_documents():
+    draw = random.Random(12)
+
+    def text(k):
+        return "".join(draw.choices("abcdefgh ", k=k))
+
+    # its inner contexts are equal, those at its end differ by document
+    passage = text(1000)
+    rows = [(i, passage + text(80)) for i in range(600)]
+    draw.shuffle(rows)
+    lost, moved, _ = lost_bytes(rows)
+    assert lost == {i: r[1] for i, r in H.without_earlier(rows).items()}
+    assert moved < 600 * 12  # before: every anchor of every copy, over 600 * 40
+
+
+@pytest.mark.parametrize("settings", [
+    {"HOT": 4, "HOT_HERE": 2},
+    {"HOT": 4, "HOT_HERE": 2, "SLICE": 7, "GATHER": 64, "CHUNK": 128},
+    {"HOT": 1, "HOT_HERE": 1, "SLICE": 16, "CHUNK": 100},
+])
+def test_hot_grams_and_long_texts(monkeypatch, settings):
+    draw = random.Random(3)
+
+    def text(k):
+        return "".join(draw.choices("abcdefgh ", k=k))
+
+    short, long = text(60), text(300)
+    rows = [(i, text(draw.randint(30, 90)) + [short, long, ""][i % 3] + text(draw.randint(30, 90)))
+            for i in range(150)]
+    rows += [(900, "-" * 3000 + "q" * 60), (901, "k" * 10 + "-" * 500), (902, "x" + "ab" * 60)]
+    rows += [(903, "y" * 55 + "ab" * 30)]
+    draw.shuffle(rows)
+    for name, value in settings.items():
+        monkeypatch.setattr(substring_dedup, name, value)
+    lost, _, hot = lost_bytes(rows)
+    assert hot and lost == {i: r[1] for i, r in H.without_earlier(rows).items()}
+
+
 def test_strings_odd(odd, empty):
     found = substring_dedup.remove_earlier(clashing(odd)).collect()
     assert len(found) == len(ODD)

@@ -28,7 +28,13 @@ LEAST_PARTS, MOST_PARTS = 1 << 6, 1 << 16
 #: Anchors a task gathers before it passes them on.
 GATHER = 1 << 19
 CHUNK = 1 << 18
+#: A q-gram of so many documents is dealt string by string. Only flushes where it has at least
+#: HOT_HERE documents count it.
+HOT, HOT_HERE = 1 << 17, 32
+#: Anchors whose surroundings are looked at together.
+SLICE = 1 << 13
 
+_ROW = hashing.multipliers(11, 31)
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -87,7 +93,9 @@ def _unpack(packed: bytes, count: int, kind: str, width: int = 1) -> np.ndarray:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """``ids, text keys, bytes, offsets`` of chunks, without later copies that a task meets."""
+    """``ids, text keys, bytes, offsets, documents before, first place`` of chunks, without
+    later copies that a task meets. A long text comes in slices that share no string."""
+    number = 0
     met: dict[bytes, int] = {}
     for batch in batches:
         ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -109,14 +117,20 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
                 data = np.concatenate([data[offsets[i]: offsets[i + 1]] for i in stay])
                 offsets = np.concatenate([[0], np.cumsum([offsets[i + 1] - offsets[i] for i in stay])])
             at = row + np.array(stay)
-            yield ids[at], keys[at], data, offsets
+            for first in range(0, len(data) - LENGTH + 1 if len(at) == 1 else 1, CHUNK):
+                piece, inside = data, offsets
+                if len(at) == 1:
+                    piece = data[first: first + CHUNK + LENGTH - 1]
+                    inside = np.array([0, len(piece)])
+                yield ids[at], keys[at], piece, inside, number, first
+            number += len(at)
 
 
 def _seen(parts: int) -> Callable:
-    """Rows ``part, n, grams, several`` of q-grams a task has met, each once.
+    """Rows ``part, n, grams, several, hot, hot_docs`` of q-grams a task has met, each once.
 
     ``several`` marks those of more than one document; a q-gram of two tasks, or of two rows
-    of this output, has several documents anyway.
+    of this output, has several documents anyway. ``hot`` are those of HOT_HERE documents.
     """
     shift = np.uint64(64 - parts.bit_length() + 1)
 
@@ -128,25 +142,29 @@ def _seen(parts: int) -> Callable:
         starts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
         ends = np.concatenate([starts[1:], [len(grams)]]) - 1
         several = docs[starts] != docs[ends]
+        fresh = np.concatenate([[True], (grams[1:] != grams[:-1]) | (docs[1:] != docs[:-1])])
+        n_docs = np.add.reduceat(fresh.astype(np.uint32), starts)
         grams = grams[starts]
         cut = np.searchsorted(grams >> shift, np.arange(parts + 1, dtype=np.uint64))
         used = np.flatnonzero(np.diff(cut))
         spans = [(cut[p], cut[p + 1]) for p in used]
         # the top 48 bits are kept: a false twin only adds an anchor to refine
         low = (grams >> np.uint64(16)).astype("<u8").view("<u2").reshape(-1, 4)[:, :3]
+        often = [a + np.flatnonzero(n_docs[a:b] >= HOT_HERE) for a, b in spans]
         return pa.RecordBatch.from_arrays(
             [pa.array(used.astype(np.int32)), pa.array([int(b - a) for a, b in spans], pa.int32()),
              pa.array([low[a:b].tobytes() for a, b in spans], pa.binary()),
-             pa.array([np.packbits(several[a:b]).tobytes() for a, b in spans], pa.binary())],
-            names=["part", "n", "grams", "several"],
+             pa.array([np.packbits(several[a:b]).tobytes() for a, b in spans], pa.binary()),
+             pa.array([grams[o].astype("<u8").tobytes() for o in often], pa.binary()),
+             pa.array([n_docs[o].astype("<u4").tobytes() for o in often], pa.binary())],
+            names=["part", "n", "grams", "several", "hot", "hot_docs"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, held, number = [], 0, 0
-        for ids, _, data, offsets in _texts(batches):
+        found, held = [], 0
+        for _, _, data, offsets, number, _ in _texts(batches):
             at, grams, _ = _anchors(data, offsets)
             owner = np.searchsorted(offsets, at, side="right") - 1 + number
-            number += len(ids)
             found.append((_spread(grams), owner))
             held += len(at)
             if held >= GATHER:
@@ -172,7 +190,8 @@ def _parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
 
 
 def _shared_bits(parts: int) -> Callable:
-    """``part, bits``: the part's stretch of the filter, a bit for every shared q-gram."""
+    """``part, bits, hot``: the part's stretch of the filter, a bit for every shared q-gram,
+    and the q-grams of HOT documents."""
     stretch = FILTER_BITS // parts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,66 +211,159 @@ def _shared_bits(parts: int) -> Callable:
             bits = np.zeros(stretch, bool)
             place = grams[several] >> np.uint64(48 - FILTER_BITS.bit_length() + 1)
             bits[(place % np.uint64(stretch)).astype(np.int64)] = True
+            often, place = np.unique(
+                np.concatenate([np.frombuffer(r["hot"], "<u8") for r in rows]), return_inverse=True
+            )
+            docs = np.concatenate([np.frombuffer(r["hot_docs"], "<u4") for r in rows])
+            often = often[np.bincount(place, docs, len(often)) >= HOT]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([rows[0]["part"]], pa.int32()),
-                 pa.array([_pack(np.packbits(bits, bitorder="little"))], pa.binary())],
-                names=["part", "bits"],
+                 pa.array([_pack(np.packbits(bits, bitorder="little"))], pa.binary()),
+                 pa.array([often.tobytes()], pa.binary())],
+                names=["part", "bits", "hot"],
             )
 
     return run
 
 
-_CONTEXT = ("part int, n int, ids binary, text_keys binary, starts binary, "
-            "lefts binary, rights binary, bytes binary")
+def _collapsed(block: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class of every context, its row with the least id, and a hash of every context.
 
-
-def _contexts(parts: int, shared) -> Callable:
-    """Anchors with shared q-grams and the SIDE bytes on both sides, packed by part."""
+    Contexts of a class are equal byte by byte; equal ones are apart only if hashes clash.
+    """
+    words = block.view("<u8")
+    hashes = hashing.mixed((words * _ROW).sum(axis=1, dtype=np.uint64))
+    order = np.lexsort((ids, hashes))
+    new = np.ones(len(ids), bool)
+    new[1:] = (words[order[1:]] != words[order[:-1]]).any(axis=1)
+    of = np.empty(len(ids), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return of, order[new], hashes
+
+
+def _blocks(around: np.ndarray, lefts: np.ndarray, rights: np.ndarray) -> np.ndarray:
+    """Contexts as rows of 88 bytes; bytes outside of a context's own strings are zero."""
+    window = np.arange(-SIDE, GRAM + SIDE)
+    block = np.zeros((len(around), 88), np.uint8)
+    own = (window >= -lefts[:, None].astype(int)) & (window < GRAM + rights[:, None].astype(int))
+    block[:, : len(window)] = around * own
+    block[:, -2], block[:, -1] = lefts, rights
+    return block
+
+
+def _merged(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple:
+    """Runs of the same text that overlap or touch as one."""
+    if not len(ids):
+        return ids, keys, starts, ends
+    order = np.lexsort((starts, keys, ids))
+    ids, keys, starts, ends = (x[order] for x in (ids, keys, starts, ends))
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
+    text = np.cumsum(new) << 40
+    reach = np.maximum.accumulate(text + ends)
+    new[1:] |= (text + starts)[1:] > reach[:-1]
+    heads = np.flatnonzero(new)
+    return ids[heads], keys[heads], starts[heads], (reach - text)[np.append(heads[1:], len(ids)) - 1]
+
+
+_CONTEXT = ("part int, n int, m int, ids binary, counts binary, bytes binary, "
+            "text_keys binary, starts binary, ends binary")
+
+
+def _contexts(parts: int, shared, hot) -> Callable:
+    """Anchors with shared q-grams and the SIDE bytes on both sides, packed by part.
+
+    Of equal contexts only those of the least id go on, as one context with its members: the
+    others have lost all their strings, whatever other tasks have. What they lost is in rows
+    with no context (``n`` = 0). A hot q-gram's contexts are first cut to single strings,
+    which are dealt by all their bytes. So the rows of one context, or of one string of a hot
+    q-gram, grow with the tasks that meet it, not with its documents.
+    """
     shift = np.uint64(64 - parts.bit_length() + 1)
 
-    def rows(found: list[tuple]) -> pa.RecordBatch:
-        grams, *columns = [np.concatenate(c) for c in zip(*found)]
-        order = np.argsort(grams, kind="stable")
-        columns = [c[order] for c in columns]
-        cut = np.searchsorted(grams[order] >> shift, np.arange(parts + 1, dtype=np.uint64))
-        used = np.flatnonzero(np.diff(cut))
+    def rows(at: list, n: list, m: list, columns: list[list[bytes]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(used.astype(np.int32)),
-             pa.array([int(cut[p + 1] - cut[p]) for p in used], pa.int32()),
-             *[pa.array([_pack(c[cut[p]: cut[p + 1]]) for p in used], pa.binary())
-               for c in columns]],
+            [*[pa.array([int(x) for x in c], pa.int32()) for c in (at, n, m)],
+             *[pa.array(c, pa.binary()) for c in columns]],
             names=[c.split()[0] for c in _CONTEXT.split(", ")],
         )
 
+    def dealt(even, ids, keys, starts, block, single: bool) -> Iterator[pa.RecordBatch]:
+        """Rows of contexts, and of runs that are lost."""
+        of, heads, hashes = _collapsed(block, ids)
+        gone = ids > ids[heads][of]
+        lost = _merged(ids[gone], keys[gone].astype(np.int64),
+                       starts[gone].astype(np.int64) - block[gone, -2],
+                       starts[gone].astype(np.int64) - SIDE + block[gone, -1] + LENGTH)
+        if len(lost[0]):
+            some = int(hashing.mixed(hashes[:1])[0] >> shift)
+            yield rows([some], [0], [len(lost[0])],
+                       [[_pack(lost[0])], [b""], [b""], *[[_pack(x)] for x in lost[1:]]])
+        stay = np.flatnonzero(~gone)
+        if not single and len(hot.value):
+            often = np.isin(even, hot.value)
+            yield from strings(*[x[stay[often[stay]]] for x in (ids, keys, starts, block)])
+            stay = stay[~often[stay]]
+        counts = np.bincount(of[stay], minlength=len(heads))
+        heads, counts, number = heads[counts > 0], counts[counts > 0], np.cumsum(counts > 0) - 1
+        if not len(heads):
+            return
+        deal = hashes if single else even
+        order = np.argsort(deal[heads], kind="stable")
+        rank = np.empty(len(heads), np.int64)
+        rank[order] = np.arange(len(heads))
+        stay = stay[np.argsort(rank[number[of[stay]]], kind="stable")]
+        heads, counts = heads[order], counts[order].astype(np.uint32)
+        cut = np.searchsorted(deal[heads] >> shift, np.arange(parts + 1, dtype=np.uint64))
+        ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        used = np.flatnonzero(np.diff(cut))
+        spans = [slice(cut[p], cut[p + 1]) for p in used]
+        own = [slice(ends[x.start], ends[x.stop]) for x in spans]
+        yield rows(used, [x.stop - x.start for x in spans], [x.stop - x.start for x in own],
+                   [*[[_pack(c[x]) for x in spans] for c in (ids[heads], counts, block[heads])],
+                    *[[_pack(c[x]) for x in own] for c in (keys[stay], starts[stay])],
+                    [b""] * len(used)])
+
+    def strings(ids, keys, starts, block) -> Iterator[pa.RecordBatch]:
+        for first in range(0, len(ids), SLICE):
+            some = block[first: first + SLICE]
+            at, left = np.nonzero((some[:, -2, None] >= np.arange(SIDE + 1))
+                                  & (some[:, -1, None] >= SIDE - np.arange(SIDE + 1)))
+            left = left.astype(np.uint8)
+            cut = _blocks(some[at, : LENGTH + SIDE], left, np.uint8(SIDE) - left)
+            at += first
+            yield from dealt(None, ids[at], keys[at], starts[at], cut, True)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         window = np.arange(-SIDE, GRAM + SIDE)
         found, held = [], 0
-        for ids, keys, data, offsets in _texts(batches):
-            at, grams, least = _anchors(data, offsets)
-            even = _spread(grams)
-            place = even >> np.uint64(64 - FILTER_BITS.bit_length() + 1)
+        for ids, keys, data, offsets, _, ahead in _texts(batches):
+            every, all_grams, least = _anchors(data, offsets)
+            all_even = _spread(all_grams)
+            place = all_even >> np.uint64(64 - FILTER_BITS.bit_length() + 1)
             hit = (bits[(place >> np.uint64(3)).astype(np.int64)]
                    >> (place & np.uint64(7)).astype(np.uint8)) & 1
-            at, grams, even = (x[hit.astype(bool)] for x in (at, grams, even))
-            owner = np.searchsorted(offsets, at, side="right") - 1
-            # only strings that have their least hash here: others are for their own anchors
-            before = at[:, None] - np.arange(SIDE + 1)
-            own = (before >= 0) & (before < len(least))
-            own &= least[np.clip(before, 0, max(len(least) - 1, 0))] == grams[:, None]
-            left = SIDE - own[:, ::-1].argmax(axis=1)
-            right = SIDE - own.argmax(axis=1)
-            around = data[np.clip(at[:, None] + window, 0, max(len(data) - 1, 0))]
-            around[(window < -left[:, None]) | (window >= GRAM + right[:, None])] = 0
-            found.append((even, ids[owner], (keys[owner] & 0xFFFFFFFF).astype(np.uint32),
-                          (at - offsets[owner]).astype(np.uint32),
-                          left.astype(np.uint8), right.astype(np.uint8), around))
-            held += len(at)
-            if held >= GATHER // 2:
-                yield rows(found)
-                found, held = [], 0
+            every, all_grams, all_even = (x[hit.astype(bool)] for x in (every, all_grams, all_even))
+            for first in range(0, len(every), SLICE):
+                at, grams, even = (x[first: first + SLICE] for x in (every, all_grams, all_even))
+                owner = np.searchsorted(offsets, at, side="right") - 1
+                # only strings that have their least hash here: others are for their own anchors
+                before = at[:, None] - np.arange(SIDE + 1)
+                own = (before >= 0) & (before < len(least))
+                own &= least[np.clip(before, 0, max(len(least) - 1, 0))] == grams[:, None]
+                left = SIDE - own[:, ::-1].argmax(axis=1)
+                right = SIDE - own.argmax(axis=1)
+                around = data[np.clip(at[:, None] + window, 0, max(len(data) - 1, 0))]
+                found.append((even, ids[owner], (keys[owner] & 0xFFFFFFFF).astype(np.uint32),
+                              (at - offsets[owner] + ahead).astype(np.uint32),
+                              _blocks(around, left.astype(np.uint8), right.astype(np.uint8))))
+                held += len(at)
+                if held >= GATHER // 2:
+                    yield from dealt(*[np.concatenate(c) for c in zip(*found)], False)
+                    found, held = [], 0
         if held:
-            yield rows(found)
+            yield from dealt(*[np.concatenate(c) for c in zip(*found)], False)
 
     return run
 
@@ -271,7 +383,7 @@ def _refined(groups: np.ndarray, sides: np.ndarray) -> Iterator[np.ndarray]:
     differs = ordered[1:] != ordered[:-1]
     depth = np.where(differs.any(axis=1), differs.argmax(axis=1), SIDE)
     depth[grouped[1:] != grouped[:-1]] = -1
-    ids = np.empty(len(groups), np.int64)
+    ids = np.empty(len(groups), np.int32)
     for length in range(SIDE + 1):
         ids[order] = np.concatenate([[0], np.cumsum(depth < length)])
         yield ids.copy()
@@ -285,44 +397,62 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     smallest of a pair lose the string. All strings hold the anchor, so an anchor's lost
     bytes are one run.
     """
+    names = ["m_id", "m_key", "start", "end"]
     for rows in _parts_of(batches):
-        n = [r["n"] for r in rows]
-
-        def column(name: str, kind: str, width: int = 1) -> np.ndarray:
-            return np.concatenate([_unpack(r[name], c, kind, width) for r, c in zip(rows, n)])
-
-        ids, keys = column("ids", "<i8"), column("text_keys", "<u4").astype(np.int64)
-        around = column("bytes", "u1", LENGTH + SIDE).reshape(-1, LENGTH + SIDE)
-        starts = column("starts", "<u4").astype(np.int64)
-        lefts, rights = column("lefts", "u1"), column("rights", "u1")
-        # the whole q-gram is the initial bucket, not its hash
-        middle = np.ascontiguousarray(around[:, SIDE: SIDE + GRAM]).view("<u8")
-        order = np.lexsort([middle[:, 0], middle[:, 1]])
-        change = (middle[order][1:] != middle[order][:-1]).any(axis=1)
-        group = np.empty(len(ids), np.int64)
-        group[order] = np.concatenate([[0], np.cumsum(change)])
-        after = list(_refined(group, around[:, SIDE + GRAM:]))
-        first = np.full(len(ids), -1, np.int64)  # most bytes before, fewest: the run's ends
-        last = np.full(len(ids), -1, np.int64)
-        for left, before in enumerate(_refined(group, around[:, :SIDE][:, ::-1])):
-            right = SIDE - left
-            valid = np.flatnonzero((lefts >= left) & (rights >= right))
-            if not len(valid):
-                continue
-            pair = (before[valid] << 32) | after[right][valid]
-            order = np.argsort(pair)
-            pair, some = pair[order], valid[order]
-            heads = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
-            least = np.minimum.reduceat(ids[some], heads)
-            later = some[ids[some] > np.repeat(least, np.diff([*heads, len(some)]))]
-            first[later] = left
-            last[later[last[later] < 0]] = left
-        lost = np.flatnonzero(first >= 0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[lost]), pa.array(keys[lost]), pa.array(starts[lost] - first[lost]),
-             pa.array(starts[lost] - last[lost] + LENGTH)],
-            names=["m_id", "m_key", "start", "end"],
-        )
+        for r in rows:
+            if not r["n"]:
+                kinds = {"ids": "<i8", "text_keys": "<i8", "starts": "<i8", "ends": "<i8"}
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_unpack(r[c], r["m"], k)) for c, k in kinds.items()], names=names
+                )
+        rows = [r for r in rows if r["n"]]
+        if not rows:
+            continue
+
+        def column(name: str, of: str, kind: str, width: int = 1) -> np.ndarray:
+            return np.concatenate([_unpack(r[name], r[of], kind, width) for r in rows])
+
+        ids, counts = column("ids", "n", "<i8"), column("counts", "n", "<u4")
+        block = column("bytes", "n", "u1", 88).reshape(-1, 88)
+        of, heads, _ = _collapsed(block, ids)
+        # contexts of a later id than an equal one lose all their strings
+        later = ids > ids[heads][of]
+        first, last = _judged(ids[heads], block[heads])
+        first = np.where(later, block[:, -2], first[of])
+        last = np.where(later, SIDE - block[:, -1].astype(np.int64), last[of])
+        member = np.repeat(np.arange(len(ids)), counts)
+        lost = np.flatnonzero(first[member] >= 0)
+        keys = column("text_keys", "m", "<u4")[lost].astype(np.int64)
+        starts, member = column("starts", "m", "<u4")[lost].astype(np.int64), member[lost]
+        runs = _merged(ids[member], keys, starts - first[member], starts - last[member] + LENGTH)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in runs], names=names)
+
+
+def _judged(ids: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Most and fewest bytes before the anchor of the strings that contexts lose; -1 for none."""
+    around, lefts, rights = block[:, : LENGTH + SIDE], block[:, -2], block[:, -1]
+    # the whole q-gram is the initial bucket, not its hash
+    middle = np.ascontiguousarray(around[:, SIDE: SIDE + GRAM]).view("<u8")
+    order = np.lexsort([middle[:, 0], middle[:, 1]])
+    change = (middle[order][1:] != middle[order][:-1]).any(axis=1)
+    group = np.empty(len(ids), np.int64)
+    group[order] = np.concatenate([[0], np.cumsum(change)])
+    after = list(_refined(group, around[:, SIDE + GRAM:]))
+    first, last = np.full((2, len(ids)), -1, np.int64)
+    for left, before in enumerate(_refined(group, around[:, :SIDE][:, ::-1])):
+        right = SIDE - left
+        valid = np.flatnonzero((lefts >= left) & (rights >= right))
+        if not len(valid):
+            continue
+        pair = (before[valid].astype(np.int64) << 32) | after[right][valid]
+        order = np.argsort(pair)
+        pair, some = pair[order], valid[order]
+        heads = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        least = np.minimum.reduceat(ids[some], heads)
+        later = some[ids[some] > np.repeat(least, np.diff([*heads, len(some)]))]
+        first[later] = left
+        last[later[last[later] < 0]] = left
+    return first, last
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,16 +496,20 @@ def earlier_runs(docs: DataFrame) -> DataFrame:
     parts = min(max(parts, LEAST_PARTS), MOST_PARTS)
     rows = docs.select("doc_id", "text_key", "text")
     stretches = (
-        rows.mapInArrow(_seen(parts), "part int, n int, grams binary, several binary")
+        rows.mapInArrow(_seen(parts), "part int, n int, grams binary, several binary, "
+                                     "hot binary, hot_docs binary")
         .repartition("part").sortWithinPartitions("part")
-        .mapInArrow(_shared_bits(parts), "part int, bits binary")
+        .mapInArrow(_shared_bits(parts), "part int, bits binary, hot binary")
     )
     bits = np.zeros((parts, FILTER_BITS // parts // 8), np.uint8)
-    for part, packed in stretches.collect():
+    often = [np.zeros(0, "<u8")]
+    for part, packed, hot in stretches.collect():
         bits[part] = _unpack(packed, bits.shape[1], "u1")
+        often.append(np.frombuffer(hot, "<u8"))
     shared = spark.sparkContext.broadcast(bits.tobytes())
+    hot = spark.sparkContext.broadcast(np.concatenate(often))
     return (
-        rows.mapInArrow(_contexts(parts, shared), _CONTEXT)
+        rows.mapInArrow(_contexts(parts, shared, hot), _CONTEXT)
         .repartition("part").sortWithinPartitions("part")
         .mapInArrow(_matched, "m_id long, m_key long, start long, end long")
     )
