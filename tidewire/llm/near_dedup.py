@@ -13,7 +13,7 @@ from tidewire.llm import hashing
 from tidewire.llm.common import components, settle
 
 #: Coordinates of a signature, and how many two documents must share to be compared. At a
-#: similarity of 0.75 the shared ones are binomial (32, 0.75): fewer than 12 in one of a
+#: similarity of 0.75 the shared ones are binomial (32, 0.75): fewer than 12 in 1.5 of a
 #: million pairs.
 COORDINATES = 32
 MATCHES = 12
