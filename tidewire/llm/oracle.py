@@ -1,5 +1,6 @@
 """DuckDB twins of the corpus queries that SQL can express, written from the contracts."""
 
+from tidewire.llm import divergence, filter_audit
 from tidewire.llm.license_scan import COVERAGE, DRIFT, GRAM, PHRASES, TEMPLATES
 from tidewire.llm.line_dedup import MIN_SITES
 from tidewire.llm.near_dedup import PERCENT
@@ -119,4 +120,64 @@ SELECT doc_id,
   count(*) FILTER (bare <> '') AS n_lines,
   count(*) FILTER (first_doc IS NOT NULL AND first_doc <> doc_id) AS n_removed
 FROM b LEFT JOIN wide USING (bare) GROUP BY doc_id""",
+    "op11_filter_interaction_audit": f"""WITH RECURSIVE t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+ l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+       FROM labels GROUP BY doc_id),
+ w AS (SELECT t.*, {_words('text')} AS ws,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS copy FROM t),
+ f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(ws) < {filter_audit.MIN_WORDS} THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(ws)) < {filter_audit.DISTINCT_PERCENT} * len(ws)
+            THEN 'B' ELSE '' END
+         || CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > {filter_audit.UPPER_PERCENT}
+            * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '{filter_audit.SYMBOLS}') THEN 'D' ELSE '' END
+         || CASE WHEN copy THEN 'E' ELSE '' END AS fails
+       FROM w LEFT JOIN l USING (doc_id)),
+ cells AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+           FROM f GROUP BY part, fails),
+ letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+ orders AS (SELECT '' AS filter_order UNION ALL
+            SELECT filter_order || x FROM orders, letters WHERE NOT contains(filter_order, x)),
+ s AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders WHERE length(filter_order) = 5),
+ c AS (SELECT part, filter_order, step, n, good, toxic, fails, filter_order[step] AS x,
+         length(translate(filter_order[1:step - 1], fails, '')) = step - 1 AS reaches FROM s, cells),
+ m AS (SELECT part, filter_order, step::INT AS step, x,
+         coalesce(sum(n) FILTER (reaches AND NOT contains(fails, x)), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (reaches AND contains(fails, x)), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (NOT reaches AND contains(fails, x)), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (fails = x), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (reaches AND contains(fails, x)), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (reaches AND contains(fails, x)), 0)::BIGINT AS toxic_lost
+       FROM c GROUP BY ALL)
+SELECT * EXCLUDE (x), (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM m""",
+    "op12_source_divergence_audit": f"""WITH t AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+ w AS (SELECT d, lang, source,
+         unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM t),
+ kept AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term
+          HAVING count(DISTINCT d) >= {divergence.MIN_DOCS}),
+ v AS (SELECT lang, count(*) AS v, sum(lang_n) AS total FROM kept GROUP BY lang),
+ g AS (SELECT DISTINCT lang, source FROM t),
+ c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+ totals AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source)
+            GROUP BY lang, source),
+ p AS (SELECT lang, source, term, coalesce(n, 0) AS n,
+         1 + {divergence.SCALE}::HUGEINT * (coalesce(n, 0) + 1) // (totals.total + v) AS p,
+         1 + {divergence.SCALE}::HUGEINT * (lang_n + 1) // (v.total + v) AS q
+       FROM totals JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+ sums AS (SELECT lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+          FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+ pairs AS (SELECT lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+           FROM g a JOIN g b USING (lang) LEFT JOIN sums s
+             ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+           WHERE a.source <> b.source),
+ terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value
+           FROM p WHERE n > 0 AND p > q),
+ ranked AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT
+              AS rank FROM (FROM pairs UNION ALL FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}""",
 }

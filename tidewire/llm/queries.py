@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.llm import (
+    divergence,
     embedding_dedup,
+    filter_audit,
     lang_id,
     license_scan,
     line_dedup,
@@ -70,6 +72,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,5 +93,7 @@ QUERIES = {
         op8_embedding_near_dedup,
         op9_best_fit_packing,
         op10_suffix_dedup,
+        op11_filter_interaction_audit,
+        op12_source_divergence_audit,
     )
 }
