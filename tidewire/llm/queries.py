@@ -17,6 +17,7 @@ from tidewire.llm import (
     packing,
     quality_model,
     quality_rules,
+    secret_scan,
     substring_dedup,
 )
 from tidewire.llm.common import table
@@ -80,6 +81,10 @@ def op12_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergences(table(spark, sf_dir, "documents"))
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -95,5 +100,6 @@ QUERIES = {
         op10_suffix_dedup,
         op11_filter_interaction_audit,
         op12_source_divergence_audit,
+        op13_secret_scan,
     )
 }
