@@ -22,7 +22,7 @@ BITS = 16
 #: Least share of links at COSINE that the tables must find, in each fifth of the vectors by
 #: distance from the centre.
 RECALL = 0.9
-#: Vectors that the rotations are fitted on (chosen by a hash of the id), and rounds of it.
+#: Vectors that the rotations are fitted on (chosen by their hash), and rounds of it.
 SAMPLE_ROWS = 4000
 ROUNDS = 20
 #: Vectors of one bucket that are compared at once with as many others.
@@ -96,7 +96,8 @@ def table_bits(
     groups.append(_shared_bits(codes[linked[:, 0]], _codes(sample, center, planes)[linked[:, 1]]))
     groups = [g for g in groups if g.size]
     enough = [b for b in range(1, BITS + 1) if all((g >= b).mean() >= RECALL for g in groups)]
-    return max(enough, default=1)
+    # no bits: one bucket of all vectors, which finds every link
+    return max(enough, default=0)
 
 
 def _unit(column: pa.Array) -> list[np.ndarray | None]:
@@ -138,9 +139,6 @@ def _coded(models: dict[int, tuple[np.ndarray, np.ndarray, int]]) -> Callable:
             for i, unit in enumerate(raw):
                 groups.setdefault(len(unit) // 8, []).append(i)
             for size, at in groups.items():
-                if size not in models:
-                    planes = learn_rotations(np.zeros((0, size)), TABLES * BITS)
-                    models[size] = (np.zeros(size), planes, BITS)
                 center, planes, used = models[size]
                 x = np.frombuffer(b"".join(raw[i] for i in at)).reshape(-1, size)
                 code = _codes(x, center, planes) & ((np.int64(1) << used) - 1)
@@ -285,15 +283,16 @@ def near_vectors(
     """One row per vector: ``vec_id, n_links, component_id, kept``.
 
     Equal vectors collapse to the smallest id with a number of copies. TABLES codes of up to
-    BITS learned bits, as many as keep RECALL of the links (``table_bits``), index all of them; the vectors of a bucket are compared by cosine in
-    double precision, each pair in the first table that they share. Buckets of one vector are
-    dropped before the vectors are moved. A bucket over BLOCK vectors is cut into blocks, and
+    BITS learned bits, as many as keep RECALL of the links (``table_bits``), index all of them;
+    the vectors of a bucket are compared by cosine in double precision, each pair in the first
+    table that they share. Buckets of one vector are dropped before the vectors are moved. A bucket over BLOCK vectors is cut into blocks, and
     every two blocks meet in a task of their own, so nothing is left out of a large bucket.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with
     nothing and are kept, as are null ids. Vectors of different length link with nothing
     across lengths. Rows repeated with the same id and vector count as copies of each other;
-    every row gets the result of its vector.
+    every row gets the result of its vector. Rows with one id and different vectors are
+    vectors of their own, linked through nothing but their cosines.
     """
     spark = vectors.sparkSession
     rows = settle(
@@ -303,11 +302,12 @@ def near_vectors(
     )
     usable = rows.filter("unit is not null and vec_id is not null")
     same = ["same", "same_2"]
+    # a class has a number of its own: one id may have several vectors
     classes = settle(usable.groupBy(*same).agg(
-        F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")
-    ))
+        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")
+    ).withColumn("id", F.monotonically_increasing_id()))
     distinct = settle(
-        usable.join(classes, same).filter("vec_id = id").select("id", "copies", "unit")
+        usable.join(classes, same).filter("vec_id = rep").select("id", "copies", "unit")
         .dropDuplicates(["id"])
     )
     models = _models(distinct)
@@ -316,15 +316,15 @@ def near_vectors(
         .mapInArrow(_coded(models), "id long, copies long, unit binary, keys array<long>")
     )
     posts = coded.select("id", F.explode("keys").alias("key"))
-    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    parts = F.ceil(F.col("n") / BLOCK)
     lists = posts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
         F.col("key").alias("l_key"), parts.alias("parts")
     )
-    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    own = F.pmod(F.xxhash64("id"), F.col("parts"))
     meeting = F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
+        F.sequence(F.lit(0).cast("long"), F.col("parts") - 1),
         lambda x: F.struct(
-            (F.least(own, x) * F.col("parts") + F.greatest(own, x)).cast("int").alias("part"),
+            (F.least(own, x) * F.col("parts") + F.greatest(own, x)).alias("part"),
             F.when(x == own, 2).when(own < x, 0).otherwise(1).cast("int").alias("side"),
         ),
     )
@@ -340,12 +340,16 @@ def near_vectors(
     )
     counts = found.groupBy(F.col("id").alias("c_id")).agg(F.sum("links").alias("links"))
     roots = components(found, "id", "other")
-    of_class = (
+    placed = (
         classes.join(counts, F.col("id") == F.col("c_id"), "left")
         .join(roots, F.col("id") == F.col("node"), "left")
-        .select(*[F.col(c).alias(f"c_{c}") for c in same],
+        .select(*same, "rep",
                 (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                F.coalesce("root", "id").alias("root"))
+                F.coalesce("root", "id").alias("component"))
+    )
+    least = placed.groupBy(F.col("component").alias("l_component")).agg(F.min("rep").alias("root"))
+    of_class = placed.join(least, F.col("component") == F.col("l_component")).select(
+        *[F.col(c).alias(f"c_{c}") for c in same], "n_links", "root"
     )
     joined = rows.join(
         of_class, F.col("unit").isNotNull() & F.col("vec_id").isNotNull()
@@ -360,18 +364,17 @@ def near_vectors(
 
 
 def _models(distinct: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, int]]:
-    """Centre, projections and bits a table per length, from SAMPLE_ROWS vectors by hash of the id.
+    """Centre, projections and bits a table per length, from SAMPLE_ROWS vectors by their hash.
 
-    A fifth of a sample that is large enough is held out to find the bits. At most eight
-    lengths are learned; vectors of others get unlearned random rotations without a centre,
-    whose bits depend on the cosine alone.
+    A fifth of a sample that is large enough is held out to find the bits. Every length that
+    occurs is learned, one after the other; its model takes 4 KB a dimension.
     """
     sizes = distinct.groupBy((F.length("unit") / 8).cast("int").alias("size")).agg(
         F.count(F.lit(1)).alias("n")
-    ).orderBy(F.desc("n"), "size").limit(8).collect()
+    ).orderBy("size").collect()
     models = {}
     for size, n in sizes:
-        draw = F.pmod(F.xxhash64("id", F.lit("rotation")), F.lit(1 << 30)) / float(1 << 30)
+        draw = F.pmod(F.xxhash64("unit", F.lit("rotation")), F.lit(1 << 30)) / float(1 << 30)
         sample = distinct.filter((F.length("unit") == 8 * size) & (draw < SAMPLE_ROWS / n)).select(
             "unit").limit(2 * SAMPLE_ROWS).collect()
         units = sorted(bytes(r.unit) for r in sample)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm import hashing
-from tidewire.llm.common import components, settle
+from tidewire.llm.common import WORD_CLASS, components, settle
 
 #: Coordinates of a signature, and how many two documents must share to be compared. At a
 #: similarity of 0.75 the shared ones are binomial (32, 0.75): fewer than 12 in 1.5 of a
@@ -27,6 +27,8 @@ FILTER_BITS = 1 << 22
 _XOR = hashing.multipliers(COORDINATES, 21)
 _TIMES = hashing.multipliers(COORDINATES, 22)
 _HIGH = np.uint64(32)
+#: What identifies a shingle set.
+_SAME = ["n_shingles", "set_sum", "set_cross"]
 
 
 def _shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -36,6 +38,15 @@ def _shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
             yield hashing.shingles(words[start:end])
 
 
+def _set_sums(sets: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
+    """Two sums that, with the size, identify each set."""
+    sums = np.array([np.add.reduce(x, dtype=np.uint64) for x in sets], np.uint64)
+    crosses = np.array(
+        [np.add.reduce(hashing.mixed(x ^ _XOR[0]), dtype=np.uint64) for x in sets], np.uint64
+    )
+    return pa.array(sums.view(np.int64)), pa.array(crosses.view(np.int64))
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Set size, two sums that identify the set, and the signature of every text."""
     for batch in batches:
@@ -54,11 +65,11 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 least[k] = (((own ^ _XOR[k]) * _TIMES[k]) >> _HIGH).min()
             signatures.append(least.tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.array(sizes, np.int64)),
+            [batch.column(0), batch.column(2), pa.array(np.array(sizes, np.int64)),
              pa.array(np.array(sums, np.uint64).view(np.int64)),
              pa.array(np.array(crosses, np.uint64).view(np.int64)),
              pa.array(signatures, pa.binary())],
-            names=["doc_id", "n_shingles", "set_sum", "set_cross", "signature"],
+            names=["doc_id", "tag", *_SAME, "signature"],
         )
 
 
@@ -138,7 +149,7 @@ def _involved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(at):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block[n][i] for i in at], t) for n, t in zip(
-                    _ENTRY, [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(),
+                    _ENTRY, [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(),
                              pa.int64(), pa.int64(), pa.binary()])],
                 names=_ENTRY,
             )
@@ -170,13 +181,13 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _posts(reps: DataFrame) -> DataFrame:
+def _posts(classes: DataFrame) -> DataFrame:
     """``key, id, n_shingles, mask, signature``: each document under its rarest coordinates.
 
     A coordinate value of one document joins nothing. Of the others, a document that shares
     MATCHES with another one shares one of all but its MATCHES - 1 most frequent ones.
     """
-    every = reps.select("id", "signature").mapInArrow(_explode_coordinates, "key long, id long")
+    every = classes.select("id", "signature").mapInArrow(_explode_coordinates, "key long, id long")
     shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     own = (
         every.join(shared, "key").groupBy("id")
@@ -192,7 +203,7 @@ def _posts(reps: DataFrame) -> DataFrame:
                                                        F.shiftright(k, 32).cast("int"))),
     )
     posted = own.select("id", keys.alias("keys")).withColumn("mask", mask)
-    return posted.join(reps, "id").select(
+    return posted.join(classes, "id").select(
         F.explode("keys").alias("key"), "id", "n_shingles", "mask", "signature"
     )
 
@@ -217,9 +228,12 @@ def _wanted_sets(bits: np.ndarray) -> Callable:
             if not wanted.any():
                 continue
             some = batch.filter(pa.array(wanted))
-            sets = [s.tobytes() for s in _shingle_sets(some.column(1))]
+            sets = list(_shingle_sets(some.column(1)))
+            sums, crosses = _set_sums(sets)
             yield pa.RecordBatch.from_arrays(
-                [some.column(0), pa.array(sets, pa.binary())], names=["set_id", "shingles"]
+                [some.column(0), pa.array([len(x) for x in sets], pa.int64()), sums, crosses,
+                 pa.array([x.tobytes() for x in sets], pa.binary())],
+                names=["set_doc", "set_size", "own_sum", "own_cross", "shingles"],
             )
 
     return run
@@ -227,7 +241,7 @@ def _wanted_sets(bits: np.ndarray) -> Callable:
 
 def _links(entries: DataFrame, sets: DataFrame) -> DataFrame:
     """``a, b`` of confirmed links. Only entries with a pair to compare meet their sets."""
-    types = ("key long, part int, id long, asks boolean, component long, n_shingles long, "
+    types = ("key long, part long, id long, asks boolean, component long, n_shingles long, "
              "mask long, signature binary")
     involved = (
         entries.repartition("key", "part").sortWithinPartitions("key", "part")
@@ -244,10 +258,10 @@ def _star_entries(posts: DataFrame) -> DataFrame:
     """Every list with its smallest document asking; parts spread a long list over tasks."""
     lists = posts.groupBy("key").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("n"))
     lists = lists.filter("n > 1")
-    part = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).cast("int")
+    part = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK))
     rows = posts.join(lists, "key").withColumn("asks", F.col("id") == F.col("center"))
     parts = F.when(
-        F.col("asks"), F.sequence(F.lit(0), (F.ceil(F.col("n") / BLOCK) - 1).cast("int"))
+        F.col("asks"), F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / BLOCK) - 1)
     ).otherwise(F.array(part))
     return rows.withColumn("component", F.col("id")).select(
         "key", F.explode(parts).alias("part"), "id", "asks", "component", "n_shingles", "mask",
@@ -270,20 +284,20 @@ def _cross_entries(posts: DataFrame, groups: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("groups"),
     ).filter("groups > 1").select(
         "key", F.col("most.component").alias("largest"),
-        F.ceil(F.col("total") / BLOCK).cast("int").alias("rows_of"),
-        F.ceil((F.col("total") - F.col("most.n")) / BLOCK).cast("int").alias("asking"),
+        F.ceil(F.col("total") / BLOCK).alias("rows_of"),
+        F.ceil((F.col("total") - F.col("most.n")) / BLOCK).alias("asking"),
     )
     rows = rows.join(lists, "key").withColumn("outside", F.col("component") != F.col("largest"))
     spread = F.xxhash64("id")
     other = F.transform(
-        F.sequence(F.lit(0), F.col("asking") - 1),
-        lambda x: F.struct((x * F.col("rows_of") + F.pmod(spread, F.col("rows_of")).cast("int"))
-                           .cast("int").alias("part"), F.lit(False).alias("asks")),
+        F.sequence(F.lit(0).cast("long"), F.col("asking") - 1),
+        lambda x: F.struct((x * F.col("rows_of") + F.pmod(spread, F.col("rows_of"))).alias("part"),
+                           F.lit(False).alias("asks")),
     )
     asking = F.transform(
-        F.sequence(F.lit(0), F.col("rows_of") - 1),
-        lambda y: F.struct((F.pmod(spread, F.col("asking")).cast("int") * F.col("rows_of") + y)
-                           .cast("int").alias("part"), F.lit(True).alias("asks")),
+        F.sequence(F.lit(0).cast("long"), F.col("rows_of") - 1),
+        lambda y: F.struct((F.pmod(spread, F.col("asking")) * F.col("rows_of") + y).alias("part"),
+                           F.lit(True).alias("asks")),
     )
     both = F.when(F.col("outside"), F.concat(other, asking)).otherwise(other)
     return rows.select("*", F.explode(both).alias("at")).select(
@@ -291,59 +305,104 @@ def _cross_entries(posts: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``.
-
-    Equal shingle sets collapse first: one document stands for all. Each of them is posted
-    under the values of its signature coordinates, rarest first and only as many as a pair
-    with MATCHES common ones must share; the frequent rest is skipped, and read only to count
-    a pair's matches. Every list first compares all its documents with one (a star), which
-    joins most of a group in linear work; then only documents of different components meet,
-    in blocks. A pair is compared in the first list it shares, on the full sets, so links are
-    exact, and none between candidates is left out. No task holds a list or a group.
+def _grouped(rows: DataFrame) -> DataFrame:
+    """``doc_id, tag, n_shingles, component, component_id`` of rows of ``doc_id, text, tag``.
 
-    Words are split at blanks and controls 9 to 13, A-Z in lower case. Texts under five words
-    are one shingle; null or wordless texts have none, are linked with nothing and kept. Rows
-    with a null id keep a null component and are kept. Repeated rows share one component and
-    the mark of their id; a row of another text under the same id gets that text's component.
+    A class is all rows with one shingle set, whatever their ids; it has a number of its own,
+    and everything up to the components is keyed by it. ``component`` is the number of the
+    component's class with the least number (null: no words), ``component_id`` its least id.
     """
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = settle(rows.mapInArrow(
+    signed = settle(rows.select("doc_id", "text", "tag").mapInArrow(
         _signatures,
-        "doc_id long, n_shingles long, set_sum long, set_cross long, signature binary",
+        "doc_id long, tag binary, n_shingles long, set_sum long, set_cross long, signature binary",
     ))
-    same = ["n_shingles", "set_sum", "set_cross"]
     classes = settle(
-        signed.filter("n_shingles > 0 and doc_id is not null").groupBy(*same)
-        .agg(F.min("doc_id").alias("rep"))
-    )
-    reps = settle(
-        signed.join(classes, same).filter("doc_id = rep")
-        .select(F.col("doc_id").alias("id"), "n_shingles", "signature")
-        .dropDuplicates(["id", "n_shingles"])
+        signed.filter("n_shingles > 0").groupBy(*_SAME)
+        .agg(F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature"))
+        .withColumn("id", F.monotonically_increasing_id())
     )
-    posts = settle(_posts(reps))
-    bits = _id_filter(posts.select("id"))
+    posts = settle(_posts(classes))
+    posted = classes.drop("signature").join(posts.select("id").distinct(), "id", "left_semi")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    bits = _id_filter(posted.select(F.col("rep").alias("id")))
     sets = settle(
-        rows.filter("doc_id is not null").withColumn("place", place)
-        .mapInArrow(_wanted_sets(bits), "set_id long, shingles binary")
-        .join(posts.select(F.col("id").alias("set_id")).distinct(), "set_id", "left_semi")
-        .dropDuplicates(["set_id"])
+        rows.select("doc_id", "text").withColumn("place", place)
+        .mapInArrow(
+            _wanted_sets(bits),
+            "set_doc long, set_size long, own_sum long, own_cross long, shingles binary",
+        )
+        .join(posted, F.col("set_doc").eqNullSafe(F.col("rep"))
+              & (F.col("set_size") == F.col("n_shingles"))
+              & (F.col("own_sum") == F.col("set_sum")) & (F.col("own_cross") == F.col("set_cross")))
+        .select(F.col("id").alias("set_id"), "shingles").dropDuplicates(["set_id"])
     )
     star = settle(_links(_star_entries(posts), sets))
     cross = settle(_links(_cross_entries(posts, components(star)), sets))
     roots = components(star.unionByName(cross))
-    of_class = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
-        *[F.col(c).alias(f"c_{c}") for c in same], F.coalesce("root", "rep").alias("root")
+    placed = classes.join(roots, F.col("id") == F.col("node"), "left").select(
+        *_SAME, "rep", F.coalesce("root", "id").alias("component")
+    )
+    least = placed.groupBy(F.col("component").alias("l_component")).agg(
+        F.min("rep").alias("component_id")
+    )
+    of_class = placed.join(least, F.col("component") == F.col("l_component")).select(
+        *[F.col(c).alias(f"c_{c}") for c in _SAME], "component", "component_id"
     )
-    joined = signed.join(
-        of_class, (F.col("n_shingles") == F.col("c_n_shingles"))
-        & (F.col("set_sum") == F.col("c_set_sum")) & (F.col("set_cross") == F.col("c_set_cross")),
-        "left",
+    same = [F.col(c) == F.col(f"c_{c}") for c in _SAME]
+    return signed.join(of_class, same, "left").select(
+        "doc_id", "tag", "n_shingles", "component", "component_id"
+    )
+
+
+def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+
+    Equal shingle sets collapse first: one document stands for all. Each of them is posted
+    under the values of its signature coordinates, rarest first and only as many as a pair
+    with MATCHES common ones must share; the frequent rest is skipped, and read only to count
+    a pair's matches. Every list first compares all its documents with one (a star), which
+    joins most of a group in linear work; then only documents of different components meet,
+    in blocks. A pair is compared in the first list it shares, on the full sets, so links are
+    exact, and none between candidates is left out. No task holds a list or a group.
+
+    Words are split at blanks and controls 9 to 13, A-Z in lower case. Texts under five words
+    are one shingle; null or wordless texts have none, are linked with nothing and kept.
+
+    Links are between rows: rows with one id and different texts are documents of their own,
+    each with its text's component and linked through nothing but their texts. A row with a
+    null id is linked like any other; it is kept only if its component has no id at all
+    (``component_id`` null). Repeated rows get equal results; ``keep_one`` picks one of them.
+    """
+    rows = docs.select(
+        F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"),
+        F.lit(None).cast("binary").alias("tag"),
     )
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
-    return joined.select(
+    component = F.coalesce("component_id", "doc_id")
+    return _grouped(rows).select(
         "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, one for each component: that with the smallest id.
+
+    Of rows with the same id (or without any id) one is taken by a 128-bit digest of all its
+    columns, of rows alike in all columns any. Rows without words are linked with nothing and
+    stay. Texts are shuffled once, by that digest.
+    """
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    # hashes skip nulls: where they are is hashed too
+    where = F.concat(*[F.isnull(c).cast("string") for c in names])
+    tag = F.concat(*[
+        F.unhex(F.lpad(F.hex(F.xxhash64(F.lit(seed), *names, where)), 16, "0")) for seed in (1, 2)
+    ])
+    has_words = F.coalesce(F.col(text), F.lit("")).rlike(WORD_CLASS)
+    tagged = docs.filter(has_words).select(F.struct(*names).alias("row"), tag.alias("tag"))
+    grouped = _grouped(tagged.select(
+        F.col(f"row.`{key}`").cast("long").alias("doc_id"), F.col(f"row.`{text}`").alias("text"), "tag",
+    ))
+    first = F.min(F.struct(F.isnull("doc_id"), "doc_id", "tag"))["tag"]
+    winners = grouped.groupBy("component").agg(first.alias("tag")).select("tag")
+    kept = tagged.join(winners, "tag", "left_semi").dropDuplicates(["tag"]).select("row.*")
+    return kept.unionByName(docs.filter(~has_words))
