@@ -39,8 +39,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, that with the smallest id."""
-    return _only(docs, near_dedup.near_duplicates(docs).filter("kept"))
+    """One row of each group of near duplicates stays, that with the smallest id."""
+    return near_dedup.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,12 +64,25 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each written as Parquet to the shared folder and read again."""
+    """All stages in order, each written as Parquet to the shared folder and read again.
+
+    What a stage wrote goes when the next one has been written, so that a run leaves its
+    result only.
+    """
     docs = table(spark, sf_dir, "documents")
     base = f"{shared_dir(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
+    before = None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{base}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            _delete(spark, before)
+        before = path
     return docs
