@@ -319,6 +319,8 @@ def _grouped(rows: DataFrame) -> DataFrame:
     classes = settle(
         signed.filter("n_shingles > 0").groupBy(*_SAME)
         .agg(F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature"))
+        # numbers in the order of ids: originals come first, and lists agree on their center
+        .repartitionByRange("rep").sortWithinPartitions("rep")
         .withColumn("id", F.monotonically_increasing_id())
     )
     posts = settle(_posts(classes))
@@ -336,9 +338,11 @@ def _grouped(rows: DataFrame) -> DataFrame:
               & (F.col("own_sum") == F.col("set_sum")) & (F.col("own_cross") == F.col("set_cross")))
         .select(F.col("id").alias("set_id"), "shingles").dropDuplicates(["set_id"])
     )
-    star = settle(_links(_star_entries(posts), sets))
-    cross = settle(_links(_cross_entries(posts, components(star)), sets))
-    roots = components(star.unionByName(cross))
+    near_star = components(_links(_star_entries(posts), sets))
+    cross = _links(_cross_entries(posts, near_star), sets)
+    # the star's components stand for its links: one pair per document
+    joined = near_star.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = components(joined.unionByName(cross))
     placed = classes.join(roots, F.col("id") == F.col("node"), "left").select(
         *_SAME, "rep", F.coalesce("root", "id").alias("component")
     )
