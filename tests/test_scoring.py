@@ -1,9 +1,13 @@
+import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import at
 from tidewire.functions import sentiment as M
 from tidewire.operators import entities, scoring
+from tidewire.operators import gazetteer as gazetteer_names
 
 
 # (positive words, negative words): label, score. By hand: with t words in all, the share of a
@@ -108,7 +112,10 @@ def test_entities(spark):
     assert [[tuple(e) for e in r.entities] for r in got] == EXPECTED
 
 
-def test_entities_joined_equal_inline(spark):
+@pytest.mark.parametrize("most", [50_000, 0])
+def test_entities_joined_equal_inline(spark, monkeypatch, most):
+    """The automaton in the row, and the join by seeds of tables beyond its limit."""
+    monkeypatch.setattr(gazetteer_names, "MOST_NAMES", most)
     rows = [(i, t, c) for i, (t, c) in enumerate(entities.DEFAULT_GAZETTEER.items())]
     rows += [(50, "B.C", "x"), (51, "é", "of")]
     gazetteer = spark.createDataFrame(rows, "ord int, ticker string, company string")
@@ -121,6 +128,42 @@ def test_entities_joined_equal_inline(spark):
         ("B.C", "ticker"), ("of", "company"), ("é", "ticker")]
 
 
+@pytest.mark.parametrize("most", [50_000, 0])
+def test_names_in_rows_of_one_id(spark, monkeypatch, most):
+    monkeypatch.setattr(gazetteer_names, "MOST_NAMES", most)
+    rows = spark.createDataFrame(
+        [("x", "Alpha Works today", "", None), ("x", "Beta Works today", "", ["zz"]), (None, None, "b", None)],
+        "id string, title string, body string, tickers array<string>")
+    table = spark.createDataFrame(
+        [(1, "AW", "Alpha Works"), (2, "BW", "Beta Works"), (3, None, "today"), (4, "", "")],
+        "ord int, ticker string, company string")
+    got = {r.title: [e.text for e in r.entities] for r in entities.join_entities(rows, table).collect()}
+    assert got == {"Alpha Works today": ["Alpha Works", "today"], None: [],
+                   "Beta Works today": ["ZZ", "Beta Works", "today"]}
+    nothing = entities.join_entities(rows, table.limit(0)).collect()
+    assert [len(r.entities) for r in nothing] == [0, 1, 0]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text("abAB_é .-1٣中", max_size=40), st.lists(st.text("abAB_é.-1中", min_size=1, max_size=9), min_size=1, max_size=6))
+def test_automaton_equals_plain(text, names):
+    """Against a regular expression per name, as the expressions of a mapping have it."""
+    import regex
+
+    text = text.lower()
+    rows = [(k, kind, n, n.lower()) for k, n in enumerate(names) for kind in ("company", "ticker")]
+    found = gazetteer_names._matcher(rows).func(iter([pd.Series([text, None], dtype=object)]))
+    got = [(h["ord"], h["type"]) for h in list(found)[0][0]]
+
+    def alone(needle):
+        is_word = [bool(regex.match(r"[\p{L}\p{N}_]", c)) for c in (needle[0], needle[-1])]
+        left, right = ("!" if w else "=" for w in is_word)
+        word = r"[\p{L}\p{N}_]"
+        return regex.search(f"(?<{left}{word}){regex.escape(needle)}(?{right}{word})", text)
+
+    assert got == [(k, kind) for k, kind, _, n in rows if (n in text if kind == "company" else alone(n))]
+
+
 def test_score_with_a_table_of_ten_thousand_names(spark):
     names = spark.range(10_000).selectExpr(
         "cast(id as int) ord", "concat('tk', id) ticker", "concat('company no ', id, ' of many') company")

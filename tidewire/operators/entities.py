@@ -10,6 +10,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.operators.gazetteer import WORD, with_hits
+
 # Default gazetteer.
 DEFAULT_GAZETTEER = {
     "NMBS": "Nimbus Robotics",
@@ -25,9 +27,6 @@ DEFAULT_GAZETTEER = {
     "SABL": "Sable Retail",
     "TSSL": "Tessellate Cloud",
 }
-# Lengths of the seeds that stand for names in the join.
-_SEED_LENGTHS = (1, 2, 4, 8)
-_WORD = r"[\p{L}\p{N}_]"
 _ENTITY = "struct<text:string,type:string>"
 
 
@@ -44,7 +43,7 @@ def _word(ticker: str) -> str:
     needle = ticker.lower()
     left = "!" if needle[:1].isalnum() or needle[:1] == "_" else "="
     right = "!" if needle[-1:].isalnum() or needle[-1:] == "_" else "="
-    return f"(?<{left}{_WORD}){re.escape(needle)}(?{right}{_WORD})"
+    return f"(?<{left}{WORD}){re.escape(needle)}(?{right}{WORD})"
 
 
 def _hints(tickers: Column) -> Column:
@@ -76,7 +75,7 @@ def with_entities(
     """Items plus ``entities``, an array of (text, type) in first-seen order.
 
     A mapping is matched by expressions inside the scan stage, two per name: right for the
-    names of a watch list. A table of any size is joined (see ``join_entities``).
+    names of a watch list. A table may have any size (see ``join_entities``).
     """
     if isinstance(gazetteer, DataFrame):
         return join_entities(items, gazetteer)
@@ -100,62 +99,14 @@ def with_entities(
     )
 
 
-def join_entities(items: DataFrame, gazetteer: DataFrame, key: str = "id") -> DataFrame:
-    """As ``with_entities`` for a gazetteer table of any size; ``key`` must be unique.
-
-    Every name is represented by one seed, its longest prefix of a seed length. Texts meet
-    only the names whose seed they contain, by an equi-join whose strategy is left to the
-    optimizer; each candidate is then verified against the whole text.
-    """
-    shown = F.when(F.col("n.type") == "ticker", F.col("ticker")).otherwise(F.col("company"))
-    needle = F.col("n.needle")
-    seed = F.coalesce(
-        *[F.when(F.length(needle) >= n, F.substring(needle, 1, n))
-          for n in reversed(_SEED_LENGTHS)]
-    )
-    both = F.array(
-        F.struct(F.lit("company").alias("type"), F.lower("company").alias("needle")),
-        F.struct(F.lit("ticker").alias("type"), F.lower("ticker").alias("needle")),
-    )
-    names = gazetteer.withColumn("n", F.explode(both)).select(
-        F.col("ord").cast("bigint").alias("ord"), "n.type", "n.needle",
-        shown.alias("text"), seed.alias("seed"),
-    )
-
-    text = F.col("_text")
-    searched = items.select(key, searched_text(F.col("title"), F.col("body")).alias("_text"))
-    # Overlapping pieces of every seed length, in one pass over the text each.
-    grams = F.array_distinct(
-        F.concat(*[
-            F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), 1) for n in _SEED_LENGTHS
-        ])
-    )
-    candidates = searched.select(key, F.explode_outer(grams).alias("seed")).join(names, "seed")
-
-    needle = F.col("needle")
-    literal = F.regexp_replace("needle", r"([^\p{L}\p{N}_])", r"\\$1")
-    left = F.when(needle.rlike(f"^{_WORD}"), F.lit("!")).otherwise(F.lit("="))
-    right = F.when(needle.rlike(f"{_WORD}$"), F.lit("!")).otherwise(F.lit("="))
-    is_word = F.rlike(
-        text,
-        F.concat(F.lit("(?<"), left, F.lit(_WORD + ")"), literal,
-                 F.lit("(?"), right, F.lit(_WORD + ")")),
-    )
-    hits = (
-        candidates.join(searched, key)
-        .filter(
-            F.contains(text, needle)
-            & F.when(F.col("type") == "ticker", is_word).otherwise(F.lit(True))
-        )
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("ord", "type", "text"))).alias("_hits"))
-    )
+def join_entities(items: DataFrame, gazetteer: DataFrame) -> DataFrame:
+    """As ``with_entities`` for a gazetteer table of any size (see ``gazetteer.with_hits``)."""
+    text = searched_text(F.col("title"), F.col("body"))
     matched = F.transform(
-        F.coalesce(F.col("_hits"), F.array().cast("array<struct<ord:bigint,type:string,text:string>>")),
-        lambda h: F.struct(h["text"].alias("text"), h["type"].alias("type")),
+        "_hits", lambda h: F.struct(h["text"].alias("text"), h["type"].alias("type"))
     )
     return (
-        items.join(hits, key, "left")
+        with_hits(items, gazetteer, text, "_hits")
         .withColumn("_found", F.concat(_hints(F.col("tickers")), matched))
         .withColumn("entities", _dedup_tickers(F.col("_found")))
         .drop("_hits", "_found")

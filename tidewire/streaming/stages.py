@@ -89,11 +89,13 @@ def score_stage(
     messages: DataFrame,
     inferred_at: Column,
     model: scoring.Model | None = None,
-    gazetteer: Mapping[str, str] | None = None,
+    gazetteer: Mapping[str, str] | DataFrame | None = None,
 ) -> DataFrame:
     """Processed messages to scored items; undecodable ones are left to quarantine.
 
-    Columns beside ``value``, such as an arrival ordinal, are carried along.
+    Columns beside ``value``, such as an arrival ordinal, are carried along. A gazetteer table
+    is read when the stage is built; one that is too large for the rows' own task is an error
+    here and is joined in batch writers (``scoring.score`` on the batch).
     """
     good, _ = contract.split_bad(contract.decode_processed(messages))
     return scoring.score(good, inferred_at, model, gazetteer)
