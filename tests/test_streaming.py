@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import at
 from tidewire.operators import process, readmodel, scoring, signals
 from tidewire.sources import registry, replay
-from tidewire.streaming import lag, shocks, sinks, stages
+from tidewire.streaming import committed, dedup, lag, shocks, sinks, stages
 
 LONG = "an invented body that is comfortably longer than twenty characters"
 
@@ -102,19 +102,19 @@ def test_ingest_to_score_end_to_end(spark, work_dir):
     drain(sinks.to_batches(scored, write, f"{work_dir}/cp3", every=None))
     drain(sinks.to_json_lines(scored, f"{work_dir}/log", f"{work_dir}/cp4", every=None))
 
-    results = spark.read.parquet(f"{work_dir}/tables/results")
-    assert results.count() == 8
+    tables = sinks.scored_tables(f"{work_dir}/tables", "a")
+    assert tables.read(spark, "results").count() == 8
     assert spark.read.text(f"{work_dir}/log").count() == 8
-    # A replayed batch replaces its own output.
+    # A replayed batch changes nothing.
     again = stages.score_stage(
         spark.read.schema("key string, value string").parquet(f"{work_dir}/processed"),
         F.col("published_at"),
     )
     write(again, 0)
-    total = spark.read.parquet(f"{work_dir}/tables/results")
-    assert total.filter("batch_id = 0").count() == 8
+    total = tables.read(spark, "results")
+    assert total.count() == 8
 
-    entities = spark.read.parquet(f"{work_dir}/tables/entities").filter("batch_id = 0")
+    entities = tables.read(spark, "entities")
     assert {r.entity for r in entities.collect()} == {"NMBS"}
     series = entities.withColumn("arrival_seq", F.substring("item_id", 3, 5).cast("bigint"))
     found = signals.detect_shocks(series, 3600, 1.0, 3)
@@ -136,30 +136,212 @@ def test_dedup_keeps_items_that_come_out_of_time_order(spark, work_dir):
     assert {r.id for r in spark.read.parquet(f"{work_dir}/out").collect()} == set("01234")
 
 
-def test_shocks_of_interleaved_files_equal_batch(spark, work_dir):
-    """Files that overlap in time, a repeated batch, and a late sample that undoes a shock."""
-    samples = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
+def event_samples(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
         F.col("event_id").cast("string").alias("item_id"), F.col("event_type").alias("entity"),
         F.col("value").alias("sentiment_score"), F.col("ts").cast("timestamp").alias("inferred_at"),
         F.col("event_id").alias("arrival_seq"),
     )
+
+
+def plain_shocks(frame):
+    return sorted((r.item_id, r.entity, round(r.zscore, 8), round(r.std_velocity, 8))
+                  for r in frame.collect())
+
+
+@pytest.mark.parametrize("compact_every", [None, 2])
+def test_shocks_of_interleaved_files_equal_batch(spark, work_dir, compact_every):
+    """Files that overlap in time, a repeated batch, and samples that are delivered again."""
+    samples = event_samples(spark)
     settings = (5 * 86_400, 2.0, 8)
-    write = shocks.shock_writer(f"{work_dir}/tables", *settings)
+    write = shocks.shock_writer(f"{work_dir}/tables", *settings, compact_every=compact_every)
     for i in range(5):
         write(samples.filter(F.col("arrival_seq") % 5 == i), i)
     write(samples.filter(F.col("arrival_seq") % 5 == 4), 4)
     write(samples.filter("false"), 5)
+    redelivered = samples.filter("arrival_seq < 100").withColumn("arrival_seq", F.col("arrival_seq") + 10**6)
+    write(redelivered.union(samples.limit(1).withColumn("entity", F.lit(None).cast("string"))), 6)
 
-    def plain(frame):
-        return sorted((r.item_id, r.entity, round(r.zscore, 8), round(r.std_velocity, 8))
-                      for r in frame.collect())
-
-    streamed = plain(shocks.current_shocks(spark, f"{work_dir}/tables"))
-    assert streamed == plain(signals.detect_shocks(samples, *settings))
+    streamed = plain_shocks(shocks.current_shocks(spark, f"{work_dir}/tables"))
+    assert streamed == plain_shocks(signals.detect_shocks(samples, *settings))
     assert len(streamed) > 10
     assert shocks.current_shocks(spark, f"{work_dir}/none").count() == 0
 
 
+def test_what_a_shock_batch_reads_does_not_grow(spark, work_dir, monkeypatch):
+    """Samples in the order of time, batch by batch: each reads its own stretches."""
+    read = []
+    once = shocks._once
+
+    def counting(near):
+        read.append(near.count())
+        return once(near)
+
+    monkeypatch.setattr(shocks, "_once", counting)
+    n = 12
+    rows = spark.range(600 * n).select(
+        F.col("id").cast("string").alias("item_id"), F.lit("one").alias("entity"),
+        (F.hash("id") % 100 / 100.0).alias("sentiment_score"),
+        F.timestamp_seconds(F.lit(1_784_548_800) + F.col("id") * 6).alias("inferred_at"),
+        F.col("id").alias("arrival_seq"),
+    )
+    write = shocks.shock_writer(f"{work_dir}/tables", 300, 2.0, 8, compact_every=4)
+    for i in range(n):
+        write(rows.filter(F.floor(F.col("arrival_seq") / 600) == i), i)
+    assert max(read[1:]) <= 600 + 2 * 50 and len(set(read[1:])) == 1
+    found = plain_shocks(shocks.current_shocks(spark, f"{work_dir}/tables"))
+    assert found == plain_shocks(signals.detect_shocks(rows, 300, 2.0, 8)) and found
+
+
+# --- Committed tables --------------------------------------------------------------------
+
+
+def number_tables(base, run="a"):
+    return committed.CommittedTables(base, {"a": ("n long, k int", ("k",)), "b": ("n long", ())}, run)
+
+
+def test_readers_see_whole_batches(spark, work_dir):
+    tables = number_tables(f"{work_dir}/t")
+    assert tables.read(spark, "a").count() == 0
+    rows = spark.range(10).selectExpr("id n", "cast(id % 3 as int) k")
+    tables.put("a", 0, rows)
+    tables.put("b", 0, rows)
+    assert tables.read(spark, "a").count() == 0 and tables.own(spark, "a", 0).count() == 10
+    tables.commit(spark, 0)
+    assert tables.read(spark, "a").count() == tables.read(spark, "b").count() == 10
+    tables.put("a", 1, rows.limit(0))
+    tables.put("b", 1, rows)
+    assert tables.read(spark, "b").count() == 10
+    tables.commit(spark, 1)
+    assert sorted(r.n for r in tables.read(spark, "b").collect()) == sorted(2 * list(range(10)))
+
+
+def test_a_batch_counts_once(spark, work_dir):
+    tables = number_tables(f"{work_dir}/t")
+    rows = spark.range(4).selectExpr("id n", "0 k")
+    write = committed.writer(tables, lambda batch, _: {"a": batch, "b": batch})
+    for batch_id in (0, 0, 1):
+        write(rows, batch_id)
+    assert tables.read(spark, "a").count() == 8
+    # another checkpoint counts from 0 again
+    committed.writer(number_tables(f"{work_dir}/t", "b"), lambda batch, _: {"a": batch, "b": batch})(rows, 0)
+    assert tables.read(spark, "a").count() == 12
+
+
+def test_compaction(spark, work_dir):
+    tables = number_tables(f"{work_dir}/t")
+    write = committed.writer(tables, lambda batch, _: {"a": batch, "b": batch}, compact_every=3)
+    for i in range(7):
+        write(spark.range(20).selectExpr(f"id + {100 * i} n", "cast(id % 2 as int) k"), i)
+    assert [(c.first, c.last) for c in tables.commits(spark)] == [(0, 2), (3, 5), (6, 6)]
+    before = sorted(r.n for r in tables.read(spark, "a").collect())
+    files = os.listdir(f"{work_dir}/t/a/run=a/batches=0-2/k=0")
+    assert len([f for f in files if f.endswith(".parquet")]) == 1
+    write(spark.range(20).selectExpr("id n", "0 k"), 1)
+    assert tables.clean(spark) == 6 and not os.path.exists(f"{work_dir}/t/a/run=a/batches=0-0")
+    assert sorted(r.n for r in tables.read(spark, "a").collect()) == before and len(before) == 140
+    assert tables.is_committed(spark, 4) and not tables.is_committed(spark, 7)
+    kept = tables.compact(spark, 1, {"b": lambda rows: rows.filter("n > 605")})
+    assert kept is None  # one batch is not compacted
+
+
+def test_late_rows_go_aside(spark, work_dir):
+    rows = spark.createDataFrame(
+        [(0, at(0)), (0, at(500)), (1, at(300)), (1, at(390)), (1, at(400)), (1, None), (2, at(1000)),
+         (2, at(399)), (3, at(899)), (3, at(900))], "batch int, ts timestamp")
+    tables = committed.late_tables(f"{work_dir}/t", rows.schema)
+    write = committed.late_writer(tables, "ts", 100, compact_every=2)
+    for i in (0, 1, 1, 2, 3, 4):
+        write(rows.filter(F.col("batch") == i), i)
+    late = {(r.batch, r.ts and r.ts.timestamp() - at(0).timestamp())
+            for r in tables.read(spark, "late").collect()}
+    # marks: none, 400, 400, 900
+    assert late == {(1, 300), (1, 390), (1, None), (2, 399), (3, 899)}
+    assert tables.read(spark, "timely").count() == 5
+
+
+# --- First copies ------------------------------------------------------------------------
+
+
+def test_first_of_batch(spark):
+    rows = spark.createDataFrame(
+        [("a", 3, "x"), ("a", 1, "y"), ("a", None, "z"), ("b", None, "p"), ("b", None, "p"),
+         (None, 0, "q"), ("c", 5, "r"), ("c", 5, "r")], "key string, place int, text string")
+    found = sorted((r.key, r.text) for r in dedup.first_of_batch(rows, "key", "place").collect())
+    assert found == [("a", "y"), ("b", "p"), ("c", "r")]
+    assert dedup.first_of_batch(rows.limit(0), "key", "place").count() == 0
+
+
+@pytest.mark.parametrize("live_seconds", [None, 3600])
+def test_first_seen_writer(spark, work_dir, live_seconds):
+    shape = "key string, place long, text string"
+    batches = [[("a", 2, "late"), ("a", 1, "early"), ("b", None, "only")], [],
+               [("a", 0, "again"), ("c", 9, "new")], [("b", 1, "again"), (None, 1, "no key")]]
+    passed = {}
+
+    def write(batch, batch_id):
+        passed[batch_id] = sorted(r.text for r in batch.collect())
+
+    first = dedup.first_seen_writer(write, f"{work_dir}/m", "key", "place", live_seconds, compact_every=2)
+    for i, rows in enumerate(batches):
+        for _ in range(2):  # a repeated batch passes on the same rows
+            first(spark.createDataFrame(rows, shape), i)
+    assert passed == {0: ["early", "only"], 1: [], 2: ["new"], 3: []}
+
+
+def test_marks_expire(spark, work_dir):
+    passed = []
+    first = dedup.first_seen_writer(
+        lambda batch, _: passed.append(batch.count()), f"{work_dir}/m", "key", "place", 0)
+    rows = spark.createDataFrame([("a", 1)], "key string, place long")
+    for i in range(2):
+        first(rows, i)
+    assert passed == [1, 1]
+
+
+def test_process_writer_and_its_summary(spark, work_dir):
+    source = os.path.join(work_dir, "in")
+    os.makedirs(source)
+    write_files(source, [MESSAGES[:4], MESSAGES[4:], [MESSAGES[0], MESSAGES[2]]])
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(source).withColumn(
+        "place", -F.length("value"))
+    seen = []
+
+    def write(batch, batch_id):
+        seen.extend((batch_id, r.id) for r in batch.collect())
+
+    process_batch = stages.process_writer(write, f"{work_dir}/p", F.lit(at(60)), order="place")
+    drain(sinks.to_batches(stream, process_batch, f"{work_dir}/cp", every=None))
+    # the longer of two equal messages has the lesser ordinal
+    assert sorted(seen) == [(0, "2"), (1, "5")]
+    assert stages.run_summary(spark, f"{work_dir}/p").first().asDict() == {
+        "consumed": 8, "processed": 2, "duplicates": 2, "filtered": 3, "errors": 1}
+
+
+def test_no_python_in_the_state(spark, work_dir):
+    source = os.path.join(work_dir, "in")
+    os.makedirs(source)
+    write_files(source, [[m] for m in MESSAGES])
+    rows = dedup.first_seen(spark.readStream.text(source).withColumn("key", F.sha2("value", 256)), "key", 60)
+    query = sinks.to_table(rows, f"{work_dir}/out", f"{work_dir}/cp", every=None)
+    drain(query)
+    plan = query._jsq.explainInternal(False) if hasattr(query._jsq, "explainInternal") else ""
+    assert "Pandas" not in plan and "Python" not in plan
+
+
+def test_score_stage_takes_a_table(spark, work_dir):
+    source = os.path.join(work_dir, "in")
+    os.makedirs(source)
+    body = json.dumps({**json.loads(raw_json("1", "On Zed Works", LONG)), "content_hash": "sha256:x",
+                       "processed_at": "2026-07-20T12:00:02Z", "tickers": None})
+    write_files(source, [[body]])
+    table = spark.createDataFrame([(0, "ZW", "Zed Works")], "ord int, ticker string, company string")
+    scored = stages.score_stage(spark.readStream.text(source), F.col("published_at"), None, table)
+    found = []
+    drain(sinks.to_batches(scored, lambda b, _: found.extend(b.collect()), f"{work_dir}/cp", every=None))
+    assert [[tuple(e) for e in r.entities] for r in found] == [[("Zed Works", "company")]]
+
+
 def test_timeline_counts_late_rows(spark, work_dir):
     rows = spark.createDataFrame(
         [(at(0), 1.0, 0), (at(1200), 0.1, 0), (at(10), 0.0, 1), (at(70), 0.5, 1), (at(5), None, 1)],
@@ -178,6 +360,14 @@ def test_arrival_ordinals(spark):
     assert len(set(found)) == 200 and max(found[:100]) < min(found[100:])
 
 
+def test_no_ordinal_is_given_twice(spark):
+    with pytest.raises(ValueError):
+        stages.arrived(spark.range(1), 1 << 24)
+    many = spark.range(20_000).repartition(1 << 14).select(stages.arrived(spark.range(1), 0).alias("n"))
+    with pytest.raises(Exception, match="too many tasks"):
+        many.agg(F.max("n")).collect()
+
+
 def test_replay_stream_rate(spark, work_dir):
     source = os.path.join(work_dir, "in")
     os.makedirs(source)

@@ -15,7 +15,8 @@ from tidewire.plans import tables as B
 from tidewire.session import shared_dir
 from tidewire.sources import feeds, gdelt, registry, replay
 from tidewire.streaming import shocks as stream_state
-from tidewire.streaming import sinks, stages
+from tidewire.streaming import committed, sinks, stages
+from tidewire.streaming.committed import CommittedTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -619,9 +620,12 @@ def extract_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def extract_entities_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with the gazetteer as a table to join."""
+    return _entity_text(entities.join_entities(_hinted_news(spark, sf_dir), _gazetteer(spark)))
+
+
+def _gazetteer(spark: SparkSession) -> DataFrame:
     rows = [(i, t, c) for i, (t, c) in enumerate(B.GAZETTEER.items())]
-    gazetteer = spark.createDataFrame(rows, "ord int, ticker string, company string")
-    return _entity_text(entities.join_entities(_hinted_news(spark, sf_dir), gazetteer))
+    return spark.createDataFrame(rows, "ord int, ticker string, company string")
 
 
 # --- Signals -----------------------------------------------------------------------------
@@ -735,6 +739,8 @@ def document_sentiment_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Streams: the tables dealt over files, drained batch by batch, and read back -----------
 
 _FILES = 6
+_BATCHES = 8
+_SEQ = T.StructField("arrival_seq", T.LongType())
 _DRAIN_SECONDS = 1800
 
 
@@ -761,13 +767,35 @@ def _drained(rows: DataFrame, base: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(f"{base}/out")
 
 
-def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    news = B.news(spark, sf_dir)
-    wire = F.to_json(F.struct(*[
+def _in_order(rows: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``rows`` as a stream of ``_BATCHES`` batches, in the order of ``arrival_seq``."""
+    spark = rows.sparkSession
+    base = f"{shared_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
+    size = (rows.agg(F.max("arrival_seq")).first()[0] or 0) + 1
+    number = F.floor(F.col("arrival_seq") * _BATCHES / F.lit(size))
+    # folders of their own, written one after the other, so that modification times tell the order
+    for k in range(_BATCHES):
+        rows.filter(number == k).coalesce(1).write.parquet(f"{base}/in/{k}")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option(
+        "recursiveFileLookup", True
+    ).parquet(f"{base}/in")
+    return stream, base
+
+
+def _messages(spark: SparkSession, sf_dir: str, source: Query = B.news) -> DataFrame:
+    return source(spark, sf_dir).select("arrival_seq", _wire(S.RAW).alias("value"))
+
+
+def _processed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    processed = process.process_news(B.news(spark, sf_dir), B.now()).withColumn("tickers", _hint())
+    return processed.select("arrival_seq", _wire(S.PROCESSED).alias("value"))
+
+
+def _wire(shape: T.StructType) -> Column:
+    return F.to_json(F.struct(*[
         X.format_rfc3339(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "timestamp"
-        else F.col(f.name) for f in S.RAW
+        else F.col(f.name) for f in shape
     ]))
-    return news.select("arrival_seq", wire.alias("value"))
 
 
 def _by_content() -> Column:
@@ -777,20 +805,99 @@ def _by_content() -> Column:
 
 @query
 def stream_process_news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wire messages through the process stage; copies differ in id only."""
+    """Wire messages through the process stage, first copies only, into a committed table."""
     stream, base = _interleaved(_messages(spark, sf_dir), _by_content(), "process")
-    rows = stages.process_stage(stream, B.now(), live_seconds=None, order="arrival_seq")
-    return _drained(rows, base).select("content_hash", "title", "body", "language")
+    out = CommittedTables(f"{base}/out", {"items": (T.StructType([*S.PROCESSED, _SEQ]), ())})
+    write = committed.writer(out, lambda batch, _: {"items": batch})
+    process_batch = stages.process_writer(
+        write, f"{base}/process", B.now(), live_seconds=None, order="arrival_seq"
+    )
+    _finish(sinks.to_batches(stream, process_batch, f"{base}/checkpoint", every=None))
+    return out.read(spark, "items").select("content_hash", "title", "body", "language")
+
+
+@query
+def stream_process_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run summary of the same stage over flawed messages, duplicates included."""
+    stream, base = _interleaved(
+        _messages(spark, sf_dir, B.flawed_news), F.col("arrival_seq"), "stats"
+    )
+    process_batch = stages.process_writer(
+        _ignored, f"{base}/process", B.now(), order="arrival_seq", live_seconds=86_400
+    )
+    _finish(sinks.to_batches(stream, process_batch, f"{base}/checkpoint", every=None))
+    return stages.run_summary(spark, f"{base}/process")
+
+
+def _ignored(batch: DataFrame, batch_id: int) -> None:
+    """A sink of nothing."""
 
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with marks that live for a day; items come in no order of their times."""
+    """Marks that live for a day in the state store; items come in no order of their times."""
     stream, base = _interleaved(_messages(spark, sf_dir), F.col("arrival_seq"), "dedup")
     rows = stages.process_stage(stream, B.now(), live_seconds=86_400)
     return _drained(rows, base).select("content_hash", F.length("body").alias("body_chars"))
 
 
+@query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """News by event time, an hour behind at most; what comes later goes to a side table."""
+    minutes = F.when(F.col("arrival_seq") % 7 == 0, 4320).when(
+        F.col("arrival_seq") % 5 == 0, 75
+    ).otherwise(0)
+    rows = B.news(spark, sf_dir).select(
+        "id", "arrival_seq",
+        F.timestamp_seconds(F.unix_seconds("published_at") - 60 * minutes).alias("published_at"),
+    )
+    stream, base = _in_order(rows, "late")
+    tables = committed.late_tables(f"{base}/tables", rows.schema)
+    write = committed.late_writer(tables, "published_at", 3600, compact_every=3)
+    _finish(sinks.to_batches(stream, write, f"{base}/checkpoint", every=None))
+    both = [
+        tables.read(spark, name).withColumn("late", F.lit(name == "late"))
+        for name in ("timely", "late")
+    ]
+    return both[0].unionByName(both[1]).select("id", "late")
+
+
+@query
+def stream_scored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages scored into committed tables, one batch delivered twice, then compacted."""
+    stream, base = _interleaved(_processed_messages(spark, sf_dir), F.col("arrival_seq"), "score")
+    scored = stages.score_stage(stream, _arrival(), _lexicon(), _gazetteer(spark))
+    write = sinks.write_scored(f"{base}/tables", "a", compact_every=None)
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        write(batch, batch_id)
+
+    _finish(sinks.to_batches(scored, twice, f"{base}/checkpoint", every=None))
+    tables = sinks.scored_tables(f"{base}/tables", "a")
+    tables.compact(spark, 2)
+    tables.clean(spark)
+    entity_count = tables.read(spark, "entities").groupBy("item_id").agg(
+        F.count(F.lit(1)).alias("n_entities")
+    )
+    return tables.read(spark, "results").join(entity_count, "item_id", "left").select(
+        "item_id", "sentiment_label", "sentiment_score",
+        F.coalesce("n_entities", F.lit(0)).alias("n_entities"),
+    )
+
+
+@query
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replay lines through the ingest stage: the keyed messages of the valid ones."""
+    lines = _replay_lines(spark, sf_dir).withColumn("seq", F.monotonically_increasing_id())
+    stream, base = _interleaved(lines, F.col("seq"), "ingest")
+    wire = stages.ingest_stage([replay.parse_replay(stream.select("value"), B.now())])
+    return _drained(wire, base).select(
+        F.col("key").cast("string").alias("key"),
+        F.get_json_object(F.col("value").cast("string"), "$.source").alias("source"),
+    )
+
+
 @query
 def stream_shocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream, base = _interleaved(B.entity_samples(spark, sf_dir), F.col("arrival_seq"), "shocks")
@@ -803,15 +910,17 @@ def stream_shocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_news_shocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From raw messages to shocks: process, score, extract, detect, batch by batch."""
     stream, base = _interleaved(_messages(spark, sf_dir), _by_content(), "news")
-    processed = stages.process_stage(stream, B.now(), live_seconds=None, order="arrival_seq")
-    hinted = processed.withColumn("tickers", _hint())
-    scored = scoring.score(hinted, _arrival(), _lexicon(), B.GAZETTEER)
-    write = stream_state.shock_writer(f"{base}/tables", 6 * 3600, 2.0, 8)
+    shocks_of = stream_state.shock_writer(f"{base}/tables", 6 * 3600, 2.0, 8)
 
-    def series(batch: DataFrame, batch_id: int) -> None:
-        write(scoring.entity_series(batch, "arrival_seq"), batch_id)
+    def series(processed: DataFrame, batch_id: int) -> None:
+        hinted = processed.withColumn("tickers", _hint())
+        scored = scoring.score(hinted, _arrival(), _lexicon(), B.GAZETTEER)
+        shocks_of(scoring.entity_series(scored, "arrival_seq"), batch_id)
 
-    _finish(sinks.to_batches(scored, series, f"{base}/checkpoint", every=None))
+    write = stages.process_writer(
+        series, f"{base}/process", B.now(), live_seconds=None, order="arrival_seq"
+    )
+    _finish(sinks.to_batches(stream, write, f"{base}/checkpoint", every=None))
     return stream_state.current_shocks(spark, f"{base}/tables")
 
 

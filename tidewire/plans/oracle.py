@@ -477,6 +477,19 @@ SELECT content_hash, title, body, language FROM decided WHERE decision = 'emit'"
     "stream_timeline": f"""SELECT {_shown('bucket')} AS bucket, round(avg(value), 8) AS avg_sentiment,
   count(*) AS volume
 FROM (SELECT time_bucket(INTERVAL 15 MINUTES, ts) AS bucket, value FROM events) GROUP BY bucket""",
+    "stream_late_rows": """WITH r AS (
+  SELECT doc_id, TIMESTAMP '2024-01-01' + to_minutes(doc_id - CASE WHEN doc_id % 7 = 0 THEN 4320
+    WHEN doc_id % 5 = 0 THEN 75 ELSE 0 END) AS ts,
+    doc_id * 8 // (SELECT max(doc_id) + 1 FROM documents) AS batch FROM documents),
+ w AS (SELECT batch, max(max(ts)) OVER (
+         ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR AS mark
+       FROM r GROUP BY batch)
+SELECT 'doc-' || doc_id AS id, coalesce(ts < mark, false) AS late FROM r JOIN w USING (batch)""",
+    "stream_scored_tables": f"""WITH {_SCORED}, {_mentions('emitted')}
+SELECT id AS item_id, label AS sentiment_label, round(score, 6) AS sentiment_score,
+  (SELECT count(*) FROM mention m WHERE m.arrival_seq = lex.arrival_seq) AS n_entities FROM lex""",
+    "stream_ingest": f"""WITH {_NEWS}, {_LINES}
+SELECT id AS key, source FROM lines WHERE error IS NULL""",
     "stream_dedup": f"""WITH {_CLEAN_NEWS}
 SELECT content_hash, length(body) AS body_chars FROM decided WHERE decision = 'emit'""",
     "label_distribution": f"""WITH {_RESULTS}
@@ -550,5 +563,6 @@ FROM s a, s b WHERE a.variant = 'click' AND b.variant = 'view'""",
 }
 ORACLE_SQL["extract_entities_joined"] = ORACLE_SQL["extract_entities"]
 ORACLE_SQL["stream_shocks"] = ORACLE_SQL["shocks"]
+ORACLE_SQL["stream_process_stats"] = ORACLE_SQL["process_stats"]
 ORACLE_SQL["stream_news_shocks"] = ORACLE_SQL["document_shocks"]
 ORACLE_SQL["shocks_sliced"] = ORACLE_SQL["shocks"]

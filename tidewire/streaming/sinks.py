@@ -1,18 +1,19 @@
 """Where streams end: topics, tables, JSON lines, and idempotent multi-table batches.
 
-Output is committed before offsets: file tables are exactly-once, topics at-least-once, and
-batch writers overwrite the folder of their batch, so a replayed batch replaces itself.
+Output is committed before offsets: file tables are exactly-once, topics at-least-once.
+Batch writers replace the folder of their batch, or skip a batch that they have committed.
 """
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidewire import schemas as S
 from tidewire.operators import scoring
-
-_NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+from tidewire.streaming.committed import CommittedTables, writer
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -29,19 +30,6 @@ def _writer(
     return writer.trigger(processingTime=every)
 
 
-def _start(writer: DataStreamWriter, spark: SparkSession, every: str | None) -> StreamingQuery:
-    """A stream that only drains runs no batches without data: marks with a time to live would
-    ask for one more after each, for ever. The setting holds for this query alone."""
-    if every is not None:
-        return writer.start()
-    before = spark.conf.get(_NO_DATA, "true")
-    spark.conf.set(_NO_DATA, "false")
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(_NO_DATA, before)
-
-
 def to_topic(
     messages: DataFrame, servers: str, topic: str, checkpoint: str, every: str | None = "1 second"
 ) -> StreamingQuery:
@@ -51,14 +39,14 @@ def to_topic(
         .option("kafka.bootstrap.servers", servers).option("kafka.acks", "all")
         .option("topic", topic)
     )
-    return _start(writer, messages.sparkSession, every)
+    return writer.start()
 
 
 def to_table(
     rows: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds"
 ) -> StreamingQuery:
     writer = _writer(rows, checkpoint, every).format("parquet").option("path", path)
-    return _start(writer, rows.sparkSession, every)
+    return writer.start()
 
 
 def to_json_lines(
@@ -66,19 +54,19 @@ def to_json_lines(
 ) -> StreamingQuery:
     lines = scoring.result_json(scored)
     writer = _writer(lines, checkpoint, every).format("text").option("path", path)
-    return _start(writer, lines.sparkSession, every)
+    return writer.start()
 
 
 def to_memory(rows: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
     """What is there now, collected into the in-memory table ``name``: for tests only."""
-    return _start(_writer(rows, checkpoint, None, name).format("memory"), rows.sparkSession, None)
+    return _writer(rows, checkpoint, None, name).format("memory").start()
 
 
 def to_batches(
     rows: DataFrame, write: BatchWriter, checkpoint: str, every: str | None = "10 seconds"
 ) -> StreamingQuery:
     """Any callable of (batch frame, batch id) as a sink."""
-    return _start(_writer(rows, checkpoint, every).foreachBatch(write), rows.sparkSession, every)
+    return _writer(rows, checkpoint, every).foreachBatch(write).start()
 
 
 def write_batches(path: str, run: str, make: Callable[[DataFrame], DataFrame] | None = None) -> BatchWriter:
@@ -95,24 +83,31 @@ def write_batches(path: str, run: str, make: Callable[[DataFrame], DataFrame] |
     return write
 
 
-def write_scored(base: str, run: str, *extra: str) -> BatchWriter:
-    """Writer of scored items into ``base/results`` and ``base/entities``, by run, batch and day.
+def scored_tables(base: str, run: str, *extra: T.StructField) -> CommittedTables:
+    """Tables ``results`` and ``entities``, cut by the day of inference."""
+    day = T.StructField("day", T.DateType())
+    return CommittedTables(base, {
+        "results": (T.StructType([*S.SCORED, *extra, day]), ("day",)),
+        "entities": (T.StructType([*S.ENTITY, *extra, day]), ("day",)),
+    }, run)
+
 
-    The batch is scored once for both tables. See ``write_batches`` for ``run``.
+def write_scored(
+    base: str, run: str, *extra: T.StructField, compact_every: int | None = 32
+) -> BatchWriter:
+    """Writer of scored items into the committed tables of ``scored_tables``.
+
+    The batch is scored once for both tables, which come into force together; a repeated batch
+    changes nothing. Every ``compact_every`` batches their small files become one per day.
+    ``run`` names one checkpoint.
     """
+    names = [f.name for f in extra]
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            tables = {
-                "results": scoring.sentiment_results(batch, *extra),
-                "entities": scoring.entity_sentiments(batch, *extra),
-            }
-            for name, rows in tables.items():
-                rows.withColumn("day", F.to_date("inferred_at")).write.mode("overwrite").partitionBy(
-                    "day"
-                ).parquet(f"{base}/{name}/run={run}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+    def make(batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
+        tables = {
+            "results": scoring.sentiment_results(batch, *names),
+            "entities": scoring.entity_sentiments(batch, *names),
+        }
+        return {n: rows.withColumn("day", F.to_date("inferred_at")) for n, rows in tables.items()}
 
-    return write
+    return writer(scored_tables(base, run, *extra), make, compact_every)
