@@ -69,14 +69,41 @@ def test_batch_model_with_failures(spark):
     assert scored.filter("sentiment is null").count() == 1
 
 
-def test_model_fallback(work_dir):
-    missing = lambda: scoring.onnx_model(work_dir, "classifier")
+def test_model_fallback(spark, work_dir):
+    missing = lambda: scoring.onnx_model(spark, work_dir, "classifier")
     assert isinstance(scoring.choose_model(missing), scoring.LexiconModel)
     assert isinstance(scoring.choose_model(missing, force_lexicon=True), scoring.LexiconModel)
     stub = scoring.BatchModel("stub", lambda: None)
     assert scoring.choose_model(lambda: stub) is stub
 
 
+def test_shipped_model(spark, work_dir):
+    import hashlib
+
+    import numpy as np
+
+    words = {"rise": 0, "fall": 1}
+    n = 97
+    weights = np.zeros((n, 2))
+    for word, label in words.items():
+        bucket = int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % n
+        weights[bucket, label] = 4.0
+    path = f"{work_dir}/linear.npz"
+    np.savez(path, weights=weights, bias=np.zeros(2), labels=np.array(["positive", "negative"]))
+    model = scoring.linear_model(spark, path)
+    got = scoring.sentiment_results(
+        scoring.score(items(spark, ["RISE", "fall fall", "rise fall", " "]), F.lit(at(1)), model)
+    ).orderBy("item_id").collect()
+    high = 1 / (1 + np.exp(-4))
+    assert [(r.sentiment_label, round(r.prob_positive, 9)) for r in got] == [
+        ("positive", round(high, 9)), ("negative", round(1 - high, 9)), ("positive", 0.5), ("positive", 0.5)]
+    assert got[0].model_name == "linear.npz" and got[0].prob_neutral == 0.0
+    with pytest.raises(FileNotFoundError):
+        scoring.ship(spark, f"{work_dir}/none")
+    with pytest.raises(ValueError):
+        scoring.ship(spark, path, f"{work_dir}/other/linear.npz")
+
+
 def test_softmax_ties_and_missing_label(spark):
     rows = spark.createDataFrame([([1000.0, 1000.0],), ([0.0, 5.0],)], "l array<double>")
     s = M.label_from_probs(M.softmax(F.col("l")), ("negative", "positive"))

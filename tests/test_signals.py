@@ -110,3 +110,20 @@ def test_recent_samples(spark):
     as_of = F.lit(at(100))
     assert [r.sentiment_score for r in signals.recent_entity_samples(rows, "a", 60, as_of).collect()] == [.2]
     assert signals.recent_entity_samples(rows, "a", 100, as_of).count() == 2
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_recent_samples_of_many_asks(spark, slices):
+    draw = random.Random(3)
+    samples = [(draw.choice(["a", "a", "a", "b", None]), at(draw.randint(0, 4000)), k, draw.random())
+               for k in range(400)] + [("a", None, 900, 0.5)]
+    asks = [(draw.choice(["a", "b", "c", None]), at(draw.randint(-100, 4500)), k) for k in range(60)]
+    asks += [asks[0], ("a", None, 99)]
+    found = signals.recent_samples_bulk(
+        spark.createDataFrame(samples, "entity string, inferred_at timestamp, arrival_seq long, sentiment_score double"),
+        spark.createDataFrame(asks, "entity string, as_of timestamp, ask long"), 300, slices)
+    expected = sorted(
+        (k, n) for e, t, k in asks for s, u, n, _ in samples
+        if e and t and u and s == e and 0 <= (t - u).total_seconds() <= 300
+    )
+    assert sorted((r.ask, r.arrival_seq) for r in found.collect()) == expected and expected

@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -325,8 +326,8 @@ def test_no_python_in_the_state(spark, work_dir):
     rows = dedup.first_seen(spark.readStream.text(source).withColumn("key", F.sha2("value", 256)), "key", 60)
     query = sinks.to_table(rows, f"{work_dir}/out", f"{work_dir}/cp", every=None)
     drain(query)
-    plan = query._jsq.explainInternal(False) if hasattr(query._jsq, "explainInternal") else ""
-    assert "Pandas" not in plan and "Python" not in plan
+    plan = query._jsq.explainInternal(False)
+    assert "DeduplicateWithinWatermark" in plan and "Python" not in plan and "Pandas" not in plan
 
 
 def test_score_stage_takes_a_table(spark, work_dir):
@@ -391,3 +392,71 @@ def test_lag_positions():
     assert [r[2:] for r in rows] == [
         ("news.raw", 0, 5, 9), ("news.raw", 1, 7, 7), ("news.raw", 2, -1, 3)
     ]
+
+
+def test_progress_is_buffered_and_flushed(spark, work_dir):
+    source = os.path.join(work_dir, "in")
+    os.makedirs(source)
+    write_files(source, [[m] for m in MESSAGES])
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(source)
+    reporter = lag.LagReporter()
+    spark.streams.addListener(reporter)
+    try:
+        for name in ("one", "two"):
+            rows = stages.evaluate_stage(stream, observe="counts").filter("error is null").select("id")
+            query = sinks.to_memory(rows, name, f"{work_dir}/cp-{name}")
+            drain(query)
+            spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+            for _ in range(100):
+                if len(reporter.held) >= 6:
+                    break
+                time.sleep(0.1)
+            assert reporter.flush(spark, f"{work_dir}/log") >= 6
+    finally:
+        spark.streams.removeListener(reporter)
+    assert reporter.flush(spark, f"{work_dir}/log") == 0
+    files = [f for f in os.listdir(f"{work_dir}/log/progress") if f.endswith(".parquet")]
+    assert len(files) == 2  # one a flush
+    log = spark.read.parquet(f"{work_dir}/log/progress")
+    sums = {r["query"]: r["n"] for r in log.groupBy("query").agg(F.sum("input_rows").alias("n")).collect()}
+    assert sums == {"one": 6, "two": 6}
+    consumed = log.selectExpr("cast(get_json_object(observed, '$.counts.consumed') as int) n")
+    assert consumed.agg(F.sum("n")).first()[0] == 12
+    assert spark.read.schema(lag.POSITIONS).parquet(f"{work_dir}/log/positions").count() == 0
+
+
+def test_reporter_forgets_the_oldest():
+    reporter = lag.LagReporter(every=2, most=3)
+
+    class Event:
+        def __init__(self, k):
+            self.progress = type("P", (), {"json": json.dumps({
+                "id": "q", "timestamp": "2026-07-20T12:00:00.000Z", "sources": [], "batchId": k})})
+
+    for k in range(10):
+        reporter.onQueryProgress(Event(k))
+    assert [p["batchId"] for p in reporter.held] == [4, 6, 8] and reporter.dropped == 2
+
+
+def test_replay_at_a_rate_goes_on_after_a_stop(spark, work_dir):
+    source = os.path.join(work_dir, "in")
+    os.makedirs(source)
+    write_files(source, [[f"{i}-{k}" for k in range(7)] for i in range(3)])
+    total = replay.number_lines(spark, source, f"{work_dir}/numbered")
+    assert total == 21
+    seen, fail = {}, [True]
+
+    def write(batch, batch_id):
+        if batch_id == 2 and fail:
+            fail.pop()
+            raise RuntimeError("lost")
+        seen[batch_id] = [(r.n, r.value) for r in batch.orderBy("n").collect()]
+
+    args = (spark, f"{work_dir}/numbered", total, write, f"{work_dir}/cp", 4, "0 seconds")
+    with pytest.raises(Exception, match="lost"):
+        replay.run_at_rate(*args)
+    replay.run_at_rate(*args)
+    lines = [x for k in sorted(seen) for x in seen[k]]
+    assert [n for n, _ in lines] == list(range(21)) and max(map(len, seen.values())) == 4
+    assert [v for _, v in lines] == [f"{i}-{k}" for i in range(3) for k in range(7)]
+    replay.run_at_rate(spark, f"{work_dir}/numbered", 0, write, f"{work_dir}/cp-none", 4)

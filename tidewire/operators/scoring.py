@@ -1,10 +1,14 @@
 """Score stage: model choice, sentiment per item, and the result rows it appends."""
 
+import hashlib
+import json
+import os
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire import schemas as S
@@ -12,8 +16,8 @@ from tidewire.functions import sentiment as M
 from tidewire.functions import text as X
 from tidewire.operators.entities import canonical_name, with_entities
 
-# A model takes a batch of texts and returns one row of probabilities per text, in the
-# order of its labels. The factory runs once per Python worker and loads the model there.
+# A model takes a batch of texts and returns one row of probabilities (or logits) per text,
+# in the order of its labels. The factory runs once per Python worker and loads the model there.
 Predict = Callable[[list[str]], "list[list[float]]"]
 ModelFactory = Callable[[], Predict]
 
@@ -30,13 +34,17 @@ class LexiconModel:
 
 @dataclass(frozen=True)
 class BatchModel:
-    """Any loaded model; ``batch_size`` texts of like length are predicted at once."""
+    """Any loaded model; ``batch_size`` texts of like length are predicted at once.
+
+    With ``logits`` the model gives raw scores, and probabilities are made of them natively.
+    """
 
     name: str
     load: ModelFactory
     quantized: bool = False
     labels: tuple[str, ...] = field(default=M.LABELS)
     batch_size: int = 16
+    logits: bool = False
 
 
 Model = LexiconModel | BatchModel
@@ -52,17 +60,66 @@ def choose_model(preferred: Callable[[], Model] | None, force_lexicon: bool = Fa
         return LexiconModel()
 
 
+def ship(spark: SparkSession, *paths: str) -> None:
+    """Send files to all executors; ``shipped`` finds them there by name.
+
+    Names must differ, also from those of files shipped before, unless the path is the same.
+    """
+    names = [os.path.basename(p) for p in paths]
+    if len(set(names)) < len(names):
+        raise ValueError(f"files of one name cannot be shipped together: {sorted(names)}")
+    for path in paths:
+        if not os.path.isfile(path):
+            raise FileNotFoundError(path)
+        spark.sparkContext.addFile(path)
+
+
+def shipped(name: str) -> str:
+    """Path of a shipped file, on the driver or in a worker."""
+    return SparkFiles.get(name)
+
+
+def linear_model(spark: SparkSession, path: str, name: str | None = None) -> BatchModel:
+    """A linear classifier over hashed words, from a NumPy archive that is shipped.
+
+    The archive holds ``weights`` (buckets, labels), ``bias`` (labels) and ``labels``. A text's
+    logits are the bias and the mean weight of its words in lower case; a word's bucket is the
+    first 16 bits of its MD5 digest, modulo the buckets.
+    """
+    import numpy as np
+
+    with np.load(path) as archive:
+        labels = tuple(str(x) for x in archive["labels"])
+    ship(spark, path)
+    file = os.path.basename(path)
+
+    def load() -> Predict:
+        with np.load(shipped(file)) as archive:
+            weights, bias = archive["weights"], archive["bias"]
+
+        def predict(texts: list[str]) -> list[list[float]]:
+            rows = []
+            for text in texts:
+                digests = [hashlib.md5(w.encode(), usedforsecurity=False).digest()
+                           for w in text.lower().split()]
+                at = [int.from_bytes(d[:2], "big") % len(weights) for d in digests]
+                rows.append(bias + weights[at].mean(axis=0) if at else bias)
+            return [r.tolist() for r in rows]
+
+        return predict
+
+    return BatchModel(name or file, load, False, labels, logits=True)
+
+
 def onnx_model(
-    model_dir: str, name: str, quantized: bool = True, max_length: int = 256
+    spark: SparkSession, model_dir: str, name: str, quantized: bool = True, max_length: int = 256
 ) -> BatchModel:
     """A sequence classifier exported to ONNX, with its tokenizer and label order beside it.
 
-    Files are checked here, so that a missing model falls back before any job starts. One
-    session per Python worker runs on one thread: executors provide the parallelism.
+    Files are checked here, so that a missing model falls back before any job starts, and are
+    shipped to the executors. One session per Python worker runs on
+    one thread: executors provide the parallelism. The model gives logits.
     """
-    import json
-    import os
-
     import onnxruntime  # noqa: F401
     import tokenizers  # noqa: F401
 
@@ -78,18 +135,22 @@ def onnx_model(
             by_id = json.load(handle).get("id2label") or {}
         if by_id:
             labels = tuple(label.lower() for _, label in sorted(by_id.items(), key=lambda p: int(p[0])))
+    ship(spark, path, tokenizer_path)
+    model_file, tokenizer_file = os.path.basename(path), os.path.basename(tokenizer_path)
 
     def load() -> Predict:
         import numpy as np
         import onnxruntime as ort
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_path)
+        tokenizer = Tokenizer.from_file(shipped(tokenizer_file))
         tokenizer.enable_truncation(max_length)
         tokenizer.enable_padding()
         options = ort.SessionOptions()
         options.intra_op_num_threads = 1
-        session = ort.InferenceSession(path, options, providers=["CPUExecutionProvider"])
+        session = ort.InferenceSession(
+            shipped(model_file), options, providers=["CPUExecutionProvider"]
+        )
         wanted = {i.name for i in session.get_inputs()}
 
         def predict(texts: list[str]) -> list[list[float]]:
@@ -99,13 +160,11 @@ def onnx_model(
                 "attention_mask": np.array([e.attention_mask for e in encoded], dtype=np.int64),
                 "token_type_ids": np.array([e.type_ids for e in encoded], dtype=np.int64),
             }
-            logits = session.run(None, {k: v for k, v in inputs.items() if k in wanted})[0]
-            exps = np.exp(logits - logits.max(axis=1, keepdims=True))
-            return (exps / exps.sum(axis=1, keepdims=True)).tolist()
+            return session.run(None, {k: v for k, v in inputs.items() if k in wanted})[0].tolist()
 
         return predict
 
-    return BatchModel(name, load, quantized, labels)
+    return BatchModel(name, load, quantized, labels, logits=True)
 
 
 def _batch_probs(model: BatchModel):
@@ -149,6 +208,8 @@ def add_sentiment(items: DataFrame, model: Model, text: Column) -> DataFrame:
         )
         return scored.drop("_tokens", "_pos", "_neg")
     probs = items.withColumn("_probs", _batch_probs(model)(text))
+    if model.logits:
+        probs = probs.withColumn("_probs", M.softmax(F.col("_probs")))
     value = M.label_from_probs(F.col("_probs"), model.labels)
     return probs.withColumn("sentiment", F.when(F.col("_probs").isNotNull(), value)).drop("_probs")
 

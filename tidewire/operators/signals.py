@@ -330,3 +330,32 @@ def recent_entity_samples(
         .select("inferred_at", "arrival_seq", "sentiment_score")
         .orderBy("inferred_at", "arrival_seq")
     )
+
+
+def recent_samples_bulk(
+    rows: DataFrame, asks: DataFrame, window_seconds: int, slices: int = 1
+) -> DataFrame:
+    """For every row of ``asks`` the samples of its entity in the window that ends at ``as_of``.
+
+    One row per ask and sample: the columns of ``asks`` with ``inferred_at``, ``arrival_seq``
+    and ``sentiment_score``; both bounds are included, and asks without samples have no row.
+    Time is cut into cells, an ask looks into the ``slices + 1`` cells that its window
+    touches, and the join is on (entity, cell), so an entity that holds most rows is spread
+    over its cells. More ``slices`` make smaller cells for denser series. Null entities and
+    null times meet nothing.
+    """
+    width = F.lit(window_seconds * 1_000_000 // slices)
+    us, end = F.unix_micros("inferred_at"), F.unix_micros("as_of")
+    begin = end - F.lit(window_seconds * 1_000_000)
+    looking = asks.select("*", F.explode(
+        F.sequence(F.floor(begin / width), F.floor(end / width))
+    ).alias("ask_cell"))
+    samples = rows.select(
+        F.col("entity").alias("sample_entity"), "inferred_at", "arrival_seq", "sentiment_score",
+        F.floor(us / width).alias("sample_cell"),
+    )
+    near = (F.col("entity") == F.col("sample_entity")) & (F.col("ask_cell") == F.col("sample_cell"))
+    return (
+        looking.join(samples, near & us.between(begin, end))
+        .select(*asks.columns, "inferred_at", "arrival_seq", "sentiment_score")
+    )

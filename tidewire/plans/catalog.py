@@ -1,8 +1,10 @@
 """Every operator as a query over the given tables. ``oracle.py`` has the SQL twins."""
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -531,6 +533,19 @@ def lexicon_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("arrival_seq", "sentiment.*")
 
 
+@query
+def model_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of a model whose file is shipped to the executors and gives logits."""
+    path = f"{tempfile.mkdtemp(prefix='tidewire-model-')}/linear-{uuid.uuid4().hex}.npz"
+    bucket, label = np.mgrid[0:64, 0:3]
+    np.savez(path, weights=((bucket * 37 + label * 11) % 23 - 11) / 2, bias=np.array([0.25, 0.0, 0.25]),
+             labels=np.array(["negative", "neutral", "positive"]))
+    text = X.model_text(F.col("title"), F.col("body"))
+    model = scoring.linear_model(spark, path, "linear")
+    scored = scoring.add_sentiment(B.news(spark, sf_dir), model, text)
+    return scored.select("arrival_seq", "sentiment.*")
+
+
 @query
 def softmax_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three logits, each the sum of every third dimension of the vector."""
@@ -672,6 +687,14 @@ def document_shocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals.detect_shocks(series, 6 * 3600, 2.0, 8)
 
 
+@query
+def recent_samples_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two hours before every full hour that an entity has samples in."""
+    samples = B.entity_samples(spark, sf_dir)
+    asks = samples.select("entity", F.date_trunc("hour", "inferred_at").alias("as_of")).distinct()
+    return signals.recent_samples_bulk(samples, asks, 2 * 3600, slices=2)
+
+
 @query
 def recent_entity_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_of = F.lit("2024-01-20 12:00:00").cast("timestamp")
@@ -886,6 +909,27 @@ def stream_scored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stream_replay_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replay lines at a rate by rows: every line once, in order, so many a batch at most."""
+    base = f"{shared_dir(spark)}/stream-rate-{uuid.uuid4().hex}"
+    lines = _replay_lines(spark, sf_dir)
+    lines.select(F.to_json(F.struct("arrival_seq", "value")).alias("value")).write.text(f"{base}/in")
+    total = replay.number_lines(spark, f"{base}/in", f"{base}/numbered")
+    most = -(-total // 5)
+    out = CommittedTables(f"{base}/out", {"lines": ("n long, value string, batch_id long", ())})
+    write = committed.writer(out, lambda batch, batch_id: {
+        "lines": batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    })
+    replay.run_at_rate(spark, f"{base}/numbered", total, write, f"{base}/checkpoint", most, "0 seconds")
+    shape = "arrival_seq long, value string"
+    read = out.read(spark, "lines").withColumn("line", F.from_json("value", shape))
+    parsed = replay.parse_replay(
+        read.select(F.col("line.arrival_seq").alias("arrival_seq"), F.col("line.value").alias("value"),
+                    (F.col("n") < (F.col("batch_id") + 1) * most).alias("in_rate")), B.now())
+    return parsed.select("arrival_seq", "in_rate", "id", "error")
+
+
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replay lines through the ingest stage: the keyed messages of the valid ones."""

@@ -477,6 +477,28 @@ SELECT content_hash, title, body, language FROM decided WHERE decision = 'emit'"
     "stream_timeline": f"""SELECT {_shown('bucket')} AS bucket, round(avg(value), 8) AS avg_sentiment,
   count(*) AS volume
 FROM (SELECT time_bucket(INTERVAL 15 MINUTES, ts) AS bucket, value FROM events) GROUP BY bucket""",
+    "model_sentiment": f"""WITH {_NEWS}, w AS (
+  SELECT arrival_seq, unnest(list_filter(string_split_regex(lower({_model_text('title', 'body')}),
+    '\\s+'), lambda x: x <> '')) AS word FROM news),
+ b AS (SELECT arrival_seq, ('0x' || substr(md5(word), 1, 4))::INT % 64 AS bucket FROM w),
+ l AS (SELECT arrival_seq, 0.25 + avg(((bucket * 37) % 23 - 11) / 2.0) AS neg,
+         avg(((bucket * 37 + 11) % 23 - 11) / 2.0) AS neu,
+         0.25 + avg(((bucket * 37 + 22) % 23 - 11) / 2.0) AS pos FROM b GROUP BY arrival_seq),
+ p AS (SELECT arrival_seq, coalesce(neg, 0.25) AS neg, coalesce(neu, 0.0) AS neu, coalesce(pos, 0.25) AS pos
+       FROM news LEFT JOIN l USING (arrival_seq))
+SELECT arrival_seq, CASE WHEN neg >= neu AND neg >= pos THEN 'negative' WHEN neu >= pos THEN 'neutral'
+    ELSE 'positive' END AS label,
+  round((exp(pos) - exp(neg)) / (exp(neg) + exp(neu) + exp(pos)), 6) AS score,
+  round(exp(pos) / (exp(neg) + exp(neu) + exp(pos)), 6) AS prob_positive,
+  round(exp(neg) / (exp(neg) + exp(neu) + exp(pos)), 6) AS prob_negative,
+  round(exp(neu) / (exp(neg) + exp(neu) + exp(pos)), 6) AS prob_neutral FROM p""",
+    "stream_replay_rate": f"""WITH {_NEWS}, {_LINES}
+SELECT arrival_seq, true AS in_rate, id, error FROM lines""",
+    "recent_samples_bulk": f"""WITH asks AS (
+  SELECT DISTINCT event_type AS entity, date_trunc('hour', ts) AS as_of FROM events)
+SELECT entity, {_shown('as_of')} AS as_of, {_shown('ts')} AS inferred_at, event_id AS arrival_seq,
+  round(value, 6) AS sentiment_score
+FROM asks JOIN events ON event_type = entity AND ts BETWEEN as_of - INTERVAL 2 HOURS AND as_of""",
     "stream_late_rows": """WITH r AS (
   SELECT doc_id, TIMESTAMP '2024-01-01' + to_minutes(doc_id - CASE WHEN doc_id % 7 = 0 THEN 4320
     WHEN doc_id % 5 = 0 THEN 75 ELSE 0 END) AS ts,
