@@ -538,7 +538,7 @@ def model_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of a model whose file is shipped to the executors and gives logits."""
     path = f"{tempfile.mkdtemp(prefix='tidewire-model-')}/linear-{uuid.uuid4().hex}.npz"
     bucket, label = np.mgrid[0:64, 0:3]
-    np.savez(path, weights=((bucket * 37 + label * 11) % 23 - 11) / 2, bias=np.array([0.25, 0.0, 0.25]),
+    np.savez(path, weights=((bucket * 37 + label * 11) % 23 - 11) / 2, bias=np.array([0.3141, 0.0, 0.1234]),
              labels=np.array(["negative", "neutral", "positive"]))
     text = X.model_text(F.col("title"), F.col("body"))
     model = scoring.linear_model(spark, path, "linear")

@@ -481,10 +481,10 @@ FROM (SELECT time_bucket(INTERVAL 15 MINUTES, ts) AS bucket, value FROM events)
   SELECT arrival_seq, unnest(list_filter(string_split_regex(lower({_model_text('title', 'body')}),
     '\\s+'), lambda x: x <> '')) AS word FROM news),
  b AS (SELECT arrival_seq, ('0x' || substr(md5(word), 1, 4))::INT % 64 AS bucket FROM w),
- l AS (SELECT arrival_seq, 0.25 + avg(((bucket * 37) % 23 - 11) / 2.0) AS neg,
+ l AS (SELECT arrival_seq, 0.3141 + avg(((bucket * 37) % 23 - 11) / 2.0) AS neg,
          avg(((bucket * 37 + 11) % 23 - 11) / 2.0) AS neu,
-         0.25 + avg(((bucket * 37 + 22) % 23 - 11) / 2.0) AS pos FROM b GROUP BY arrival_seq),
- p AS (SELECT arrival_seq, coalesce(neg, 0.25) AS neg, coalesce(neu, 0.0) AS neu, coalesce(pos, 0.25) AS pos
+         0.1234 + avg(((bucket * 37 + 22) % 23 - 11) / 2.0) AS pos FROM b GROUP BY arrival_seq),
+ p AS (SELECT arrival_seq, coalesce(neg, 0.3141) AS neg, coalesce(neu, 0.0) AS neu, coalesce(pos, 0.1234) AS pos
        FROM news LEFT JOIN l USING (arrival_seq))
 SELECT arrival_seq, CASE WHEN neg >= neu AND neg >= pos THEN 'negative' WHEN neu >= pos THEN 'neutral'
     ELSE 'positive' END AS label,

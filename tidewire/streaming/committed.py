@@ -116,7 +116,9 @@ class CommittedTables:
 
     def _write(self, name: str, commit: Commit, rows: DataFrame) -> None:
         kind, cuts = self.tables[name]
-        writer = rows.select(*kind.names).write.mode("overwrite")
+        # the rows of a cut meet, so that it gets a file and not one per task; large cuts are split
+        rows = rows.select(*kind.names).hint("rebalance", *cuts) if cuts else rows.select(*kind.names)
+        writer = rows.write.mode("overwrite")
         (writer.partitionBy(*cuts) if cuts else writer).parquet(f"{self.base}/{name}/{commit.folder}")
 
     def commit(self, spark: SparkSession, batch_id: int) -> None:
@@ -139,8 +141,7 @@ class CommittedTables:
         for name, (_, cuts) in self.tables.items():
             rows = self._folders(spark, name, single).drop("run", "batches")
             rows = (reduce or {}).get(name, lambda x: x)(rows)
-            # AQE may split a cut of very many rows over several tasks
-            self._write(name, whole, rows.hint("rebalance", *cuts) if cuts else rows.hint("rebalance"))
+            self._write(name, whole, rows if cuts else rows.hint("rebalance"))
         self._mark(spark, whole)
         return whole
 
