@@ -227,6 +227,32 @@ def test_license_scan(spark):
     assert found[6]["n_words"] == 0 and found[6]["labels"] == ""
 
 
+def test_license_wording_of_another(spark):
+    """The better template holds where spans overlap; chained or shuffled grams are no span."""
+    by_label = {}
+    for label, text in license_scan.TEMPLATES:
+        by_label.setdefault(label, text)
+    gpl = by_label["gpl-notice"].split()
+    chained = " ".join(" ".join(gpl[i: i + 3]) for i in range(len(gpl) - 2))
+    mit = by_label["mit-body"].split()
+    texts = {
+        1: " ".join(gpl), 2: by_label["lgpl-notice"], 3: chained, 4: by_label["mit-body"],
+        5: " ".join(gpl[::-1]), 6: "released under the under the mit the mit license".replace("mit license", "mit"),
+        # ten words put into the middle of a body, and a fifth of it lost
+        7: " ".join(mit[:60] + [f"x{i}" for i in range(10)] + mit[60:130]),
+        8: " ".join(gpl + [f"w{i}" for i in range(300)] + by_label["lgpl-notice"].split()),
+        9: " ".join(gpl) + " and " + " ".join(gpl),
+        10: " ".join(mit[100:] + mit[:100]),
+    }
+    found = by_id(license_scan.scan(H.documents(spark, [(i, t, "a") for i, t in texts.items()])))
+    labels = {i: r["labels"] for i, r in found.items()}
+    assert labels[1] == "gpl,gpl-notice" and labels[2] == "lgpl-notice"
+    assert labels[3] == "" and labels[5] == "" and labels[6] == "" and found[3]["score"] == 0.0
+    assert "mit-body" in labels[4] and "isc" not in labels[4] and found[4]["score"] == 1.0
+    assert "mit-body" in labels[7] and 0.6 <= found[7]["score"] < 1
+    assert labels[8] == "gpl,gpl-notice,lgpl-notice" and labels[9] == "gpl,gpl-notice"
+
+
 def test_license_odd(odd, empty):
     assert license_scan.scan(clashing(odd)).count() == len(ODD)
     assert license_scan.scan(empty).count() == 0

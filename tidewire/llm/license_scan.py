@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,13 +43,68 @@ TEMPLATES = (
     ("cc0-notice", "to the extent possible under law the author has waived all copyright and "
      "related or neighboring rights to this work"),
     ("all-rights-reserved", "all rights reserved"),
+    ("mit-body", "permission is hereby granted free of charge to any person obtaining a copy of this "
+     "software and associated documentation files the software to deal in the software without "
+     "restriction including without limitation the rights to use copy modify merge publish "
+     "distribute sublicense and or sell copies of the software and to permit persons to whom the "
+     "software is furnished to do so subject to the following conditions the above copyright "
+     "notice and this permission notice shall be included in all copies or substantial portions "
+     "of the software the software is provided as is without warranty of any kind express or "
+     "implied including but not limited to the warranties of merchantability fitness for a "
+     "particular purpose and noninfringement in no event shall the authors or copyright holders "
+     "be liable for any claim damages or other liability whether in an action of contract tort or "
+     "otherwise arising from out of or in connection with the software or the use or other "
+     "dealings in the software"),
+    ("isc-body", "permission to use copy modify and or distribute this software for any purpose with "
+     "or without fee is hereby granted provided that the above copyright notice and this "
+     "permission notice appear in all copies the software is provided as is and the author "
+     "disclaims all warranties with regard to this software including all implied warranties of "
+     "merchantability and fitness in no event shall the author be liable for any special direct "
+     "indirect or consequential damages or any damages whatsoever resulting from loss of use data "
+     "or profits whether in an action of contract negligence or other tortious action arising out "
+     "of or in connection with the use or performance of this software"),
+    ("bsd-2-body", "redistribution and use in source and binary forms with or without modification "
+     "are permitted provided that the following conditions are met 1 redistributions of source "
+     "code must retain the above copyright notice this list of conditions and the following "
+     "disclaimer 2 redistributions in binary form must reproduce the above copyright notice this "
+     "list of conditions and the following disclaimer in the documentation and or other materials "
+     "provided with the distribution this software is provided by the copyright holders and "
+     "contributors as is and any express or implied warranties including but not limited to the "
+     "implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("zlib-body", "this software is provided as is without any express or implied warranty in no "
+     "event will the authors be held liable for any damages arising from the use of this software "
+     "permission is granted to anyone to use this software for any purpose including commercial "
+     "applications and to alter it and redistribute it freely subject to the following "
+     "restrictions 1 the origin of this software must not be misrepresented you must not claim "
+     "that you wrote the original software if you use this software in a product an "
+     "acknowledgment in the product documentation would be appreciated but is not required 2 "
+     "altered source versions must be plainly marked as such and must not be misrepresented as "
+     "being the original software 3 this notice may not be removed or altered from any source "
+     "distribution"),
+    ("unlicense-body", "this is free and unencumbered software released into the public domain anyone "
+     "is free to copy modify publish use compile sell or distribute this software either in "
+     "source code form or as a compiled binary for any purpose commercial or non commercial and "
+     "by any means"),
+    ("gpl-body", "this program is distributed in the hope that it will be useful but without any "
+     "warranty without even the implied warranty of merchantability or fitness for a particular "
+     "purpose see the gnu general public license for more details you should have received a copy "
+     "of the gnu general public license along with this program"),
 )
 
-#: Words of a rolling gram, diagonals that are merged, and the share of a template's grams
-#: that a span must hold.
+#: Words of a rolling gram.
 GRAM = 3
-DRIFT = 2
+#: Diagonals that are merged, by the template's grams: (fewer grams than, diagonals further).
+#: A span's words may be that many more or less than the template's.
+DRIFTS = ((8, 2), (40, 4), (1 << 30, 24))
+#: Share of a template's grams that a span must hold in order, and the grams it must hold at
+#: least unless the template has fewer.
 COVERAGE = 0.6
+LEAST_HELD = 4
+
+#: Words of a cell: no span is longer.
+CELL = max(len(t.split()) for _, t in TEMPLATES) + DRIFTS[-1][1]
+
+_DOCUMENT = ["doc_id", "text_key"]
 
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -58,7 +117,7 @@ def _words(text: Column) -> Column:
 
 
 def template_grams(spark: SparkSession) -> DataFrame:
-    """``gram, template, label, at, of``: every k-gram of every template; a few hundred rows."""
+    """``gram, template, label, at, of``: every k-gram of every template; some hundred rows."""
     rows = spark.createDataFrame(
         [(i, label, text) for i, (label, text) in enumerate(TEMPLATES)],
         "template int, label string, text string",
@@ -87,10 +146,13 @@ def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFra
     Base labels are phrases whose words stand consecutively. The labels of license wording
     come from diagonals: every rolling k-gram of a text is joined by hash to its positions in
     the templates, matches are counted by document, template and offset (text position minus
-    template position), and diagonals no more than DRIFT apart are merged, so a few words more
-    or less do not break a span. A span is verified if it holds COVERAGE of the template's
-    distinct grams (k-grams are compared as words after the hash, and a span is no longer than
-    its template and the drift). ``score`` is the best verified share, and 1 with a base label.
+    template position), and a diagonal is merged with those up to a drift further (DRIFTS), so
+    a few words more or less do not break a span, and a span is no longer than its template and
+    the drift. A span is verified on its words: of the template's grams, COVERAGE must stand
+    in it in the template's order (LEAST_HELD at least, or all of a short template). Where
+    verified spans of different labels overlap, the one with more grams, then with the greater
+    share, then of the earlier template holds, so wording that licenses have in common does
+    not name the wrong one. ``score`` is the best share that holds, and 1 with a base label.
 
     A null text is an empty one: no words, empty labels, score 0, null places. Repeated rows
     are scanned each. The templates are a fixed table of some hundred rows, small enough to
@@ -148,33 +210,103 @@ def _base(rows: DataFrame) -> DataFrame:
     )
 
 
-def _verified(rows: DataFrame, templates: DataFrame) -> DataFrame:
-    """``doc_id, text_key, found, share``: labels of the verified spans and the best share."""
-    document = ["doc_id", "text_key"]
+def _least() -> Column:
+    return F.greatest(F.ceil(F.col("of") * COVERAGE), F.least("of", F.lit(LEAST_HELD)))
+
+
+def _drift(by_drift: Callable[[int], Column]) -> Column:
+    """The value that belongs to the drift of a template of ``of`` grams."""
+    return F.coalesce(*[F.when(F.col("of") < below, by_drift(drift)) for below, drift in DRIFTS])
+
+
+def _hits(rows: DataFrame, templates: DataFrame) -> DataFrame:
+    """``doc_id, text_key, template, label, of, at, diagonal`` of every gram that is a template's."""
     grams = F.when(
         F.size("tw_words") >= GRAM,
         F.transform(F.sequence(F.lit(1), F.size("tw_words") - GRAM + 1),
                     lambda i: F.array_join(F.slice("tw_words", i, GRAM), " ")),
     )
-    rolling = rows.select(*document, F.posexplode(grams).alias("place", "words")).withColumn(
+    rolling = rows.select(*_DOCUMENT, F.posexplode(grams).alias("place", "words")).withColumn(
         "hash", F.xxhash64("words")
     )
     known = F.broadcast(templates.withColumn("t_hash", F.xxhash64("gram")))
-    votes = (
+    return (
         rolling.join(known, (F.col("hash") == F.col("t_hash")) & (F.col("words") == F.col("gram")))
-        .groupBy(*document, "template", "label", "of",
-                 (F.col("place") - F.col("at")).alias("diagonal"))
-        .agg(F.collect_set("at").alias("hits"))
+        .select(*_DOCUMENT, "template", "label", "of", "at",
+                (F.col("place") - F.col("at")).alias("diagonal"))
+        .distinct()
     )
-    along = Window.partitionBy(*document, "template").orderBy("diagonal")
-    step = F.col("diagonal") - F.lag("diagonal").over(along)
-    started = votes.withColumn("starts", F.when(step <= DRIFT, 0).otherwise(1))
-    spans = (
-        started.withColumn("span", F.sum("starts").over(along))
-        .groupBy(*document, "template", "label", "of", "span")
-        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("held"))
-        .withColumn("share", F.col("held") / F.col("of")).filter(F.col("share") >= COVERAGE)
+
+
+def _spans(hits: DataFrame) -> DataFrame:
+    """Verified spans: ``template, label, first, last, held, share`` of a document.
+
+    Only diagonals whose band has enough votes meet their hits again. Of a template's gram the
+    place nearest to the band's fullest diagonal counts, and only if it lies behind those of
+    all earlier grams.
+    """
+    votes = hits.groupBy(*_DOCUMENT, "template", "label", "of", "diagonal").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    along = Window.partitionBy(*_DOCUMENT, "template").orderBy("diagonal")
+    in_band = _drift(lambda drift: F.sum("n").over(along.rangeBetween(0, drift)))
+    key = [*_DOCUMENT, "template", "diagonal"]
+    fullest = _drift(lambda drift: F.max_by("diagonal", F.struct("n", -F.col("diagonal"))).over(
+        along.rangeBetween(0, drift)))
+    bands = votes.withColumns({"votes": in_band, "main": fullest}).filter(
+        F.col("votes") >= _least()
+    ).select(
+        *_DOCUMENT, "template", "main", F.col("diagonal").alias("band"),
+        F.explode(F.sequence("diagonal", F.col("diagonal") + _drift(F.lit))).alias("diagonal"),
+    ).select("band", "main", *[F.col(c).alias(f"b_{c}") for c in key])
+    band = [*_DOCUMENT, "template", "label", "of", "band"]
+    placed = (
+        hits.join(bands, reduce(and_, [F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in key]))
+        .groupBy(*band, "at").agg((F.col("at") + F.min_by(
+            "diagonal", F.struct(F.abs(F.col("diagonal") - F.col("main")), "diagonal")
+        )).alias("place"))
+    )
+    earlier = Window.partitionBy(*band).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = placed.withColumn("reached", F.max("place").over(earlier)).filter(
+        F.col("reached").isNull() | (F.col("place") > F.col("reached"))
+    )
+    return (
+        in_order.groupBy(*band).agg(
+            F.count(F.lit(1)).alias("held"), F.min("place").alias("first"),
+            (F.max("place") + (GRAM - 1)).alias("last"),
+        )
+        .filter(F.col("held") >= _least())
+        .withColumn("share", F.col("held") / F.col("of"))
+    )
+
+
+def _verified(rows: DataFrame, templates: DataFrame) -> DataFrame:
+    """``doc_id, text_key, found, share``: labels of the spans that hold, and the best share.
+
+    A span is no longer than CELL words, so it can only overlap spans of the cells it touches;
+    a text with very many spans compares them within its cells.
+    """
+    spans = settle(_spans(settle(_hits(rows, templates))))
+    cells = F.explode(F.array_distinct(F.array(
+        F.floor(F.col("first") / CELL), F.floor(F.col("last") / CELL)
+    )))
+    better = spans.select(
+        cells.alias("b_cell"), *[F.col(c).alias(f"b_{c}") for c in (
+            *_DOCUMENT, "template", "label", "first", "last", "held", "share")],
+    ).distinct()
+    order = (
+        (F.col("b_held") > F.col("held"))
+        | ((F.col("b_held") == F.col("held")) & (F.col("b_share") > F.col("share")))
+        | ((F.col("b_share") == F.col("share")) & (F.col("b_held") == F.col("held"))
+           & (F.col("b_template") < F.col("template")))
     )
-    return spans.groupBy(*document).agg(
+    beaten = spans.withColumn("cell", cells).join(
+        better, reduce(and_, [F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in _DOCUMENT])
+        & (F.col("cell") == F.col("b_cell")) & (F.col("label") != F.col("b_label"))
+        & (F.col("first") <= F.col("b_last")) & (F.col("b_first") <= F.col("last")) & order,
+        "left_semi",
+    ).select(*[F.col(c).alias(f"x_{c}") for c in (*_DOCUMENT, "template", "band")])
+    gone = [F.col(c).eqNullSafe(F.col(f"x_{c}")) for c in (*_DOCUMENT, "template", "band")]
+    return spans.join(beaten, reduce(and_, gone), "left_anti").groupBy(*_DOCUMENT).agg(
         F.collect_set("label").alias("found"), F.max("share").alias("share")
     )

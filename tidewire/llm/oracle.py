@@ -1,7 +1,7 @@
 """DuckDB twins of the corpus queries that SQL can express, written from the contracts."""
 
 from tidewire.llm import divergence, filter_audit
-from tidewire.llm.license_scan import COVERAGE, DRIFT, GRAM, PHRASES, TEMPLATES
+from tidewire.llm.license_scan import COVERAGE, DRIFTS, GRAM, LEAST_HELD, PHRASES, TEMPLATES
 from tidewire.llm.line_dedup import MIN_SITES
 from tidewire.llm.near_dedup import PERCENT
 from tidewire.llm.quality_rules import Limits
@@ -26,6 +26,9 @@ _GRAMS = ", ".join(
     for at in range(len(ws) - GRAM + 1)
 )
 
+_DRIFT = "CASE " + " ".join(
+    f"WHEN n_grams < {below} THEN {drift}" for below, drift in DRIFTS) + " END"
+
 ORACLE_SQL: dict[str, str] = {
     "op1_host_quality_rules": f"""WITH t AS (
   SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
@@ -91,17 +94,33 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)""",
           ON array_to_string(ws[i:i + k - 1], ' ') = phrase),
  b AS (SELECT doc_id, count(*) AS n, min(place) AS first_word, max(place) AS last_word,
          list_distinct(list(label)) AS labels FROM base GROUP BY doc_id),
- votes AS (SELECT DISTINCT doc_id, template, label, n_grams, gram_at, i - 1 - gram_at AS diagonal FROM places
-           JOIN grams ON array_to_string(ws[i:i + {GRAM - 1}], ' ') = gram),
- diagonals AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w <= {DRIFT} THEN 0 ELSE 1 END AS starts
-   FROM (SELECT DISTINCT doc_id, template, diagonal FROM votes)
-   WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)),
- spans AS (SELECT doc_id, template, diagonal,
-   sum(starts) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM diagonals),
- held AS (SELECT doc_id, label, count(DISTINCT gram_at) / n_grams AS share
-   FROM votes JOIN spans USING (doc_id, template, diagonal) GROUP BY doc_id, template, label, n_grams, span),
+ hits AS (SELECT DISTINCT doc_id, template, label, n_grams, gram_at, i - 1 - gram_at AS diagonal,
+     {_DRIFT} AS drift,
+     greatest(ceil({COVERAGE} * n_grams), least(n_grams, {LEAST_HELD})) AS least
+   FROM places JOIN grams ON array_to_string(ws[i:i + {GRAM - 1}], ' ') = gram),
+ votes AS (SELECT doc_id, template, drift, diagonal, count(*) AS n FROM hits GROUP BY ALL),
+ bands AS (SELECT a.doc_id, a.template, a.diagonal AS band,
+     arg_max(v.diagonal, 1000 * v.n - (v.diagonal - a.diagonal)) AS main
+   FROM votes a JOIN votes v ON a.doc_id = v.doc_id AND a.template = v.template
+     AND v.diagonal BETWEEN a.diagonal AND a.diagonal + a.drift
+   GROUP BY a.doc_id, a.template, a.diagonal),
+ placed AS (SELECT h.doc_id, h.template, label, n_grams, least, band, gram_at,
+     gram_at + arg_min(diagonal, 1000 * abs(diagonal - main) + diagonal - band) AS place
+   FROM hits h JOIN bands b ON h.doc_id = b.doc_id AND h.template = b.template
+     AND h.diagonal BETWEEN band AND band + drift
+   GROUP BY h.doc_id, h.template, label, n_grams, least, band, gram_at),
+ ordered AS (SELECT *, max(place) OVER (PARTITION BY doc_id, template, band ORDER BY gram_at
+     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM placed),
+ spans AS (SELECT doc_id, template, label, band, n_grams, count(*) AS held, min(place) AS first,
+     max(place) + {GRAM - 1} AS last, count(*) / n_grams AS share
+   FROM ordered WHERE reached IS NULL OR place > reached
+   GROUP BY doc_id, template, label, band, n_grams, least HAVING count(*) >= least),
+ held AS (SELECT * FROM spans s WHERE NOT EXISTS (SELECT 1 FROM spans t
+   WHERE t.doc_id = s.doc_id AND t.label <> s.label AND s.first <= t.last AND t.first <= s.last
+     AND (t.held > s.held OR (t.share > s.share AND t.held = s.held)
+       OR (t.share = s.share AND t.held = s.held AND t.template < s.template)))),
  m AS (SELECT doc_id, list_distinct(list(label)) AS labels, max(share) AS share FROM held
-       WHERE share >= {COVERAGE} GROUP BY doc_id)
+       GROUP BY doc_id)
 SELECT doc_id, len(ws) AS n_words, coalesce(b.n, 0) AS n_base, first_word, last_word,
   coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
   coalesce(array_to_string(list_sort(list_concat(coalesce(b.labels, []), coalesce(m.labels, []))), ','), '')
