@@ -75,6 +75,33 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return mixed(np.add.reduceat(terms, starts) * _powers(inverse, len(data))[starts]), before
 
 
+def _pieces(data: np.ndarray) -> Iterator[np.ndarray]:
+    """A long text cut at blanks into pieces of about CHUNK bytes; words are never cut."""
+    blanks = np.flatnonzero((data == 32) | ((data >= 9) & (data <= 13)))
+    start = 0
+    while len(data) - start > CHUNK:
+        at = int(np.searchsorted(blanks, start + CHUNK))
+        if at == len(blanks):
+            break
+        yield data[start: blanks[at]]
+        start = int(blanks[at])
+    yield data[start:]
+
+
+def text_words(texts: pa.Array) -> Iterator[np.ndarray]:
+    """Word hashes of every text. Texts over two chunks are hashed piece by piece, so that
+    memory beyond the text and eight bytes a word depends on CHUNK (or the longest word)."""
+    for _, data, offsets in byte_chunks(texts):
+        if len(data) > 2 * CHUNK and len(offsets) == 2:
+            yield np.concatenate([
+                word_hashes(piece, np.array([0, len(piece)]))[0] for piece in _pieces(data)
+            ])
+            continue
+        words, before = word_hashes(data, offsets)
+        for start, end in zip(before[:-1], before[1:]):
+            yield words[start:end]
+
+
 SHINGLE = 5
 _PLACES = multipliers(SHINGLE, 11)
 

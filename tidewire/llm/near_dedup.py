@@ -32,10 +32,8 @@ _SAME = ["n_shingles", "set_sum", "set_cross"]
 
 
 def _shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
-    for _, data, offsets in hashing.byte_chunks(texts):
-        words, before = hashing.word_hashes(data, offsets)
-        for start, end in zip(before[:-1], before[1:]):
-            yield hashing.shingles(words[start:end])
+    for words in hashing.text_words(texts):
+        yield hashing.shingles(words)
 
 
 def _set_sums(sets: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
