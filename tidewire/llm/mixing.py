@@ -159,21 +159,35 @@ def _last_finish(served: DataFrame, budget: float, passes: int) -> float:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: dropped, once or repeated; same columns.
 
-    Rows equal in id, source and size share one number of copies, their average rounded up.
+    Rows equal in id, source and size share their copies as evenly as whole numbers go, so the
+    mix has as many words as ``mix`` takes, repeated rows or not; which of them has one copy
+    more is not fixed.
     """
     key, text, source = (options.get(n, d) for n, d in
                          (("key", "doc_id"), ("text", "text"), ("source", "source")))
-    taken = (
+    n, copies = F.count(F.lit(1)), F.sum("copies")
+    taken = settle(
         mix(docs, **options).groupBy("doc_id", "source", "size")
-        .agg(F.ceil(F.avg("copies")).cast("int").alias("copies")).filter("copies > 0")
-        .toDF("m_doc_id", "m_source", "m_size", "m_copies")
+        .agg(F.floor(copies / n).alias("each"), (copies % n).alias("more")).filter("each + more > 0")
+        .toDF("m_doc_id", "m_source", "m_size", "m_each", "m_more")
     )
     kept = docs.join(
         taken,
         docs[key].cast("long").eqNullSafe(F.col("m_doc_id"))
         & docs[source].eqNullSafe(F.col("m_source"))
         & (n_words(docs[text]) == F.col("m_size")),
-    )
-    return kept.select(
-        *[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "m_copies")).alias("m_copy")
-    ).drop("m_copy")
+    ).select(*[docs[c].alias(f"d_{c}") for c in docs.columns], *taken.columns)
+
+    def repeated(rows: DataFrame, copies: Column) -> DataFrame:
+        return rows.filter(copies > 0).select(
+            *[F.col(f"d_{c}").alias(c) for c in docs.columns],
+            F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("m_copy"),
+        ).drop("m_copy")
+
+    even = repeated(kept.filter("m_more = 0"), F.col("m_each"))
+    if taken.filter("m_more > 0").isEmpty():
+        return even
+    group = Window.partitionBy("m_doc_id", "m_source", "m_size").orderBy(F.lit(0))
+    uneven = kept.filter("m_more > 0").withColumn("m_place", F.row_number().over(group))
+    more = F.when(F.col("m_place") <= F.col("m_more"), 1).otherwise(0)
+    return even.unionByName(repeated(uneven, F.col("m_each") + more))
