@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ import corpus_pipeline
 from tests.llm import helpers as H
 from tests.llm.test_documents import clashing, sample_rows
 from tests.llm.test_models import plain_links, vectors
-from tidewire.llm import embedding_dedup, near_dedup
+from tidewire.llm import embedding_dedup, hashing, lang_id, mixing, near_dedup
 
 
 def words(name, n=60, changed=0):
@@ -93,6 +94,48 @@ def test_equal_rows_leave_one(spark):
     assert near_dedup.keep_one(H.documents(spark, [])).count() == 0
 
 
+def test_the_mix_of_repeated_rows(spark):
+    """Rows equal in id, source and size have as many copies together as the mix takes."""
+    draw = random.Random(5)
+    rows = [(i // 7 if i % 3 else None, "w " * (4 + i % 2), f"s{i % 5}") for i in range(700)]
+    rows += [(9000 + i, "w " * draw.randint(1, 40), f"s{i % 9}") for i in range(400)]
+    docs = H.documents(spark, rows)
+    taken = {}
+    for r in mixing.mix(docs).collect():
+        taken[r.doc_id, r.source, r.size] = taken.get((r.doc_id, r.source, r.size), 0) + r.copies
+    mixed = {}
+    for r in mixing.mixed_documents(clashing(docs)).collect():
+        key = r.doc_id, r.source, len(H.words(r.text))
+        mixed[key] = mixed.get(key, 0) + 1
+    assert mixed == {k: n for k, n in taken.items() if n}
+
+
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    draw = random.Random(1)
+    texts = ["".join(draw.choices("aBé \n\tß", k=n)) for n in (0, 5, 90, 400, 3000)] + ["x" * 500, " " * 300]
+    texts += [" ".join("w" * draw.randint(1, 90) for _ in range(60))]
+    whole = [x.tolist() for x in hashing.text_words(pa.array(texts))]
+    monkeypatch.setattr(hashing, "CHUNK", 32)
+    monkeypatch.setattr(hashing.byte_chunks, "__defaults__", (32,))
+    assert [x.tolist() for x in hashing.text_words(pa.array(texts))] == whole
+    assert [len(x) for x in whole] == [len(H.words(t)) for t in texts]
+
+
+def test_languages_of_repeated_ids(spark):
+    """One id on very many rows: the fit is bounded and the same in every run."""
+    words = {"en": "the of and to in".split(), "de": "der und die ist nicht".split()}
+    draw = random.Random(3)
+    rows = [(1 if i % 2 else i, " ".join(draw.choices(words[lang], k=12)), lang)
+            for i in range(600) for lang in words] + [(7, " ".join(f"long{i}" for i in range(30_000)), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs = docs.selectExpr("*", "'x' held_out", "'x' letters", "'x' score", "'x' id", "'x' n")
+    first, second = ([tuple(r) for r in lang_id.identify(d).orderBy("doc_id", "score", "lang_pred").collect()]
+                     for d in (docs, docs.repartition(7)))
+    assert first == second and len(first) == len(rows)
+    right = lang_id.identify(docs).join(docs.select("doc_id", "lang").distinct(), "doc_id")
+    assert right.filter("doc_id <> 1 and lang = lang_pred").count() > 0.45 * right.filter("doc_id <> 1").count()
+
+
 def test_vectors_of_one_id(spark):
     a, b = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0]
     near_a, near_b = [0.95, 0.31, 0.0, 0.0], [0.0, 0.95, 0.31, 0.0]

@@ -17,6 +17,8 @@ BUCKETS = 1 << 16
 DIMENSIONS = 16
 #: Labelled rows that are fitted, shared evenly by the languages.
 SAMPLE_ROWS = 3000
+#: Most frequent buckets of a text that is fitted, at most: 32 KB a row on the driver.
+BAG = 4096
 EPOCHS = 8
 RATE = 0.5
 #: Least share of right answers among accepted ones, on the calibration fold.
@@ -59,13 +61,16 @@ def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct buckets of every text with their counts."""
+    """Distinct buckets of every text with their counts, the BAG most frequent at most."""
     for batch in batches:
         found, counts = [], []
         for _, data, offsets in byte_chunks(batch.column(2)):
             pair, starts = subwords(data, offsets)
             for start, end in zip(starts, [*starts[1:], len(pair)]):
                 bucket, count = np.unique(pair[start:end], return_counts=True)
+                if len(bucket) > BAG:
+                    most = np.sort(np.argsort(-count, kind="stable")[:BAG])
+                    bucket, count = bucket[most], count[most]
                 found.append(bucket.astype("<i4").tobytes())
                 counts.append(count.astype("<i4").tobytes())
         yield pa.RecordBatch.from_arrays(
@@ -93,8 +98,9 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, label: str, keep: Column, key: str, text: str) -> Model | None:
     """Model of the rows where ``keep``; one of four calibrates. None without labelled rows.
 
-    At most about SAMPLE_ROWS rows, chosen by a hash of the id, reach the driver, as counts of
-    at most BUCKETS buckets each.
+    About SAMPLE_ROWS rows, chosen by a hash of the id, reach the driver, as counts of BAG
+    buckets at most. Where ids are repeated, so that more rows have a drawn id, the 2 *
+    SAMPLE_ROWS that come first by a hash of their counts do, the same in every run.
     """
     labelled = docs.filter(keep & F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(label).alias("lang"), F.col(key).alias("id"), F.col(text).alias("text")
@@ -110,15 +116,16 @@ def fit(docs: DataFrame, label: str, keep: Column, key: str, text: str) -> Model
     drawn = (
         labelled.select("lang", "id").join(counts, F.col("lang") == F.col("counted"))
         .filter(draw < share / F.col("n")).select(F.col("id").alias("drawn")).distinct()
-        .limit(2 * SAMPLE_ROWS)
+        .orderBy(F.xxhash64("drawn"), "drawn").limit(2 * SAMPLE_ROWS)
     )
     rows = (
         labelled.join(F.broadcast(drawn), F.col("id").eqNullSafe(F.col("drawn")), "left_semi")
         .select("lang", calibrates.alias("calibrates"), "text")
         .mapInArrow(_bags, "lang string, calibrates boolean, buckets binary, counts binary")
+        .orderBy(F.xxhash64("lang", "calibrates", "buckets", "counts"))
         .limit(2 * SAMPLE_ROWS).collect()
     )
-    rows.sort(key=lambda r: (r.lang, bytes(r.buckets)))
+    rows.sort(key=lambda r: (r.lang, bytes(r.buckets), bytes(r.counts), r.calibrates))
     names = tuple(sorted({r.lang for r in rows}))
     target = np.array([names.index(r.lang) for r in rows])
     bags = [(np.frombuffer(r.buckets, "<i4"), np.frombuffer(r.counts, "<i4")) for r in rows]
@@ -206,7 +213,8 @@ def identify(
     ``accepted`` is false below the score at which the calibration fold stops being right in
     PRECISION of the cases, and with ``reject`` such predictions become ``und``. A null text,
     one without a letter, and every text if nothing is labelled, is ``und`` with score 0. A
-    null id counts as an empty one for the fold. Repeated rows are predicted each.
+    null id counts as an empty one for the fold. Repeated rows are predicted each. Extra
+    columns are ignored. A text takes about 50 times its size of a worker's memory.
     """
     out = "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean"
     held = fold(F.col(key)) == 0
