@@ -1,7 +1,10 @@
 """Document operators against plain versions, and on odd rows."""
 
 import bisect
+import hashlib
+import itertools
 import random
+from collections import Counter
 
 import pytest
 
@@ -157,6 +160,41 @@ def test_mix_targets(spark):
     assert sorted(map(str, again)) == sorted(map(str, found))
 
 
+def plain_mix(rows, targets):
+    """Copies by ``(doc_id, source, size)``, playing the queues entry by entry."""
+    queues = {}
+    for i, text, source in rows:
+        if H.words(text):
+            place = hashlib.md5((mixing.SEED + ("" if i is None else str(i))).encode()).hexdigest()
+            bucket = int(place[:8], 16) % mixing.QUEUE_BUCKETS
+            queues.setdefault(source, []).append((bucket, place, i, len(H.words(text))))
+    entries, total = [], 0
+    for source, queue in queues.items():
+        size, played = sum(q[3] for q in queue), 0
+        total += size
+        for _, _, i, n in sorted(queue):
+            played += n
+            entries += [((played + size * p) / targets[source], n, (i, source, n)) for p in (0, 1)]
+    entries.sort(key=lambda e: e[0])
+    copies, spent = Counter(), 0
+    for _, same in itertools.groupby(entries, key=lambda e: e[0]):
+        same = list(same)
+        spent += sum(e[1] for e in same)
+        if spent > 1.5 * total:
+            break
+        copies.update(e[2] for e in same)
+    return copies
+
+
+def test_mix_takes_what_the_queues_serve(spark):
+    draw = random.Random(12)
+    rows = [(i, "w " * draw.randint(0, 30), draw.choice(["s1", "s1", "s1", "s2", "s3", None]))
+            for i in range(800)]
+    found = mixing.mix(H.documents(spark, rows)).collect()
+    expected = plain_mix(rows, {r.source: r.target for r in found})
+    assert {(r.doc_id, r.source, r.size): r.copies for r in found if r.copies} == dict(expected)
+
+
 def test_mix_odd(odd, empty):
     found = mixing.mix(clashing(odd)).collect()
     assert len(found) == len(ODD)

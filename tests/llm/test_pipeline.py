@@ -72,6 +72,11 @@ def test_queries_read_whole_tables(spark):
     vectors = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").count()
     for name, query in QUERIES.items():
         frame = query(spark, SF_DIR)
+        if name.startswith(("op11_", "op12_")):  # a row per part or group; their SQL has the totals
+            part = "part" if name.startswith("op11_") else "source"
+            parts = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("source").distinct().count()
+            assert frame.select(part).distinct().count() == parts
+            continue
         key = "vec_id" if "vec_id" in frame.columns else "doc_id"
         assert frame.select(key).distinct().count() == (vectors if key == "vec_id" else n), name
 
