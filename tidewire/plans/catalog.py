@@ -1,5 +1,6 @@
 """Every operator as a query over the given tables. ``oracle.py`` has the SQL twins."""
 
+import dataclasses
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -294,6 +295,26 @@ def fan_in_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def source_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed replay lines and a source that the library does not know, chosen by mode."""
+    base = f"{shared_dir(spark)}/sources-{uuid.uuid4().hex}"
+    _replay_lines(spark, sf_dir).select("value").write.text(f"{base}/replay")
+    _gdelt_responses(spark, sf_dir).select("value").write.text(f"{base}/responses")
+    registry.register_source("response_lines", lambda session, config, now: gdelt.parse_gdelt(
+        session.read.text(config.gdelt_path), now
+    ))
+    config = registry.SourceConfig(replay_path=f"{base}/replay", gdelt_path=f"{base}/responses")
+    frames = [
+        frame.filter("error is null") if "error" in frame.columns else frame
+        for mode in ("replay", "response_lines")
+        for frame in registry.build_sources(spark, dataclasses.replace(config, mode=mode), B.now())
+    ]
+    return registry.fan_in(*frames).groupBy("source", "language").agg(
+        F.count(F.lit(1)).alias("items"), F.sum(F.length("body")).alias("body_chars")
+    )
+
+
 # --- Contract ----------------------------------------------------------------------------
 
 
@@ -533,6 +554,16 @@ def lexicon_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("arrival_seq", "sentiment.*")
 
 
+@query
+def model_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A classifier whose files are missing gives way to the word lists."""
+    missing = f"{shared_dir(spark)}/no-model-{uuid.uuid4().hex}"
+    chosen = scoring.choose_model(lambda: scoring.onnx_model(spark, missing, "classifier"))
+    model = dataclasses.replace(chosen, positive=B.POSITIVE, negative=B.NEGATIVE)
+    scored = scoring.score(B.news(spark, sf_dir), B.now(), model, {})
+    return scored.select("arrival_seq", "model_name", "sentiment.label", "sentiment.score")
+
+
 @query
 def model_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of a model whose file is shipped to the executors and gives logits."""

@@ -318,6 +318,10 @@ SELECT source, language, count(*) AS items, sum(length(body))::BIGINT AS body_ch
   UNION ALL SELECT source, language, body FROM rss WHERE arrival_seq % 2 = 1
   UNION ALL SELECT source, language, body FROM atom WHERE arrival_seq % 2 = 0)
 GROUP BY source, language""",
+    "source_modes": f"""WITH {_NEWS}, {_LINES}, {_GDELT}
+SELECT source, language, count(*) AS items, sum(length(body))::BIGINT AS body_chars FROM (
+  SELECT source, language, body FROM lines WHERE error IS NULL
+  UNION ALL SELECT source, language, body FROM gdelt) GROUP BY source, language""",
     "validate_raw": f"WITH {_FLAWED} SELECT arrival_seq, {_RAW_ERROR} AS error FROM flawed",
     "validate_processed": f"""WITH {_FLAWED}
 SELECT arrival_seq, CASE WHEN schema_version <> '1.0.0' THEN 'schema_version is not 1.0.0'
@@ -477,6 +481,8 @@ SELECT content_hash, title, body, language FROM decided WHERE decision = 'emit'"
     "stream_timeline": f"""SELECT {_shown('bucket')} AS bucket, round(avg(value), 8) AS avg_sentiment,
   count(*) AS volume
 FROM (SELECT time_bucket(INTERVAL 15 MINUTES, ts) AS bucket, value FROM events) GROUP BY bucket""",
+    "model_fallback": f"""WITH {_NEWS}, {_lexicon('news')}
+SELECT arrival_seq, 'heuristic-lexicon-v1' AS model_name, label, round(score, 6) AS score FROM lex""",
     "model_sentiment": f"""WITH {_NEWS}, w AS (
   SELECT arrival_seq, unnest(list_filter(string_split_regex(lower({_model_text('title', 'body')}),
     '\\s+'), lambda x: x <> '')) AS word FROM news),
