@@ -22,42 +22,60 @@ def feed_kind(xml: Column) -> Column:
 def parse_rss(
     documents: DataFrame, now: Column, xml: str = "xml", feed_url: str = "feed_url"
 ) -> DataFrame:
-    kept, parsed = _parsed(documents, S.RSS_DOCUMENT, xml, feed_url)
-    items = parsed.select(
-        *kept, feed_url, F.col("_d.channel.language").alias("_lang"),
-        F.explode_outer("_d.channel.item").alias("i"),
-    )
-    link = X.trim_space(F.coalesce(F.col("i.link"), F.lit("")))
-    return _to_raw(
-        items, kept, now, feed_url,
-        title=F.col("i.title"),
-        unique=(F.col("i.guid"), F.col("i.link")),
-        url=link,
-        markup=F.coalesce(F.col("i.description"), F.lit("")),
-        date=F.col("i.pubDate"),
-    )
+    read = {"_rss": F.from_xml(F.col(xml), S.RSS_DOCUMENT)}
+    return _to_raw(documents, read, _rss_items(F.col("_rss")), now, xml, feed_url)
 
 
 def parse_atom(
     documents: DataFrame, now: Column, xml: str = "xml", feed_url: str = "feed_url"
 ) -> DataFrame:
-    kept, parsed = _parsed(documents, S.ATOM_DOCUMENT, xml, feed_url)
-    entries = parsed.select(
-        *kept, feed_url,
-        F.coalesce(F.col("_d.`_xml:lang`"), F.col("_d._lang")).alias("_lang"),
-        F.explode_outer("_d.entry").alias("i"),
-    )
-    link = atom_link(F.col("i.link"))
-    return _to_raw(
-        entries, kept, now, feed_url,
-        title=F.col("i.title"),
-        unique=(F.col("i.id"), link),
-        url=link,
-        markup=X.first_non_empty(F.col("i.content"), F.col("i.summary")),
-        date=F.col("i.updated"),
+    read = {"_atom": F.from_xml(F.col(xml), S.ATOM_DOCUMENT)}
+    return _to_raw(documents, read, _atom_items(F.col("_atom")), now, xml, feed_url)
+
+
+def parse_feed(
+    documents: DataFrame, now: Column, xml: str = "xml", feed_url: str = "feed_url"
+) -> DataFrame:
+    """Documents of either format; a broken one yields no rows and is one of ``broken_feeds``.
+
+    One pass: a document's kind is found once, it is parsed as what it is, and its items have
+    one shape from there on.
+    """
+    told = compute_once(documents, {"_kind": feed_kind(F.col(xml))})
+    is_atom = F.col("_kind") == "atom"
+    read = {
+        "_rss": F.when(~is_atom, F.from_xml(F.col(xml), S.RSS_DOCUMENT)),
+        "_atom": F.when(is_atom, F.from_xml(F.col(xml), S.ATOM_DOCUMENT)),
+    }
+    items = F.when(is_atom, _atom_items(F.col("_atom"))).otherwise(_rss_items(F.col("_rss")))
+    return _to_raw(told, read, items, now, xml, feed_url).drop("_kind")
+
+
+def _item(language: Column, title: Column, own: Column, second: Column, url: Column,
+          markup: Column, date: Column) -> Column:
+    return F.struct(
+        language.alias("lang"), title.alias("title"), own.alias("own_id"),
+        second.alias("second_id"), url.alias("url"), markup.alias("markup"), date.alias("date"),
     )
 
 
+def _rss_items(document: Column) -> Column:
+    channel = document["channel"]
+    return F.transform(channel["item"], lambda i: _item(
+        channel["language"], i["title"], i["guid"], i["link"],
+        X.trim_space(F.coalesce(i["link"], F.lit(""))), F.coalesce(i["description"], F.lit("")),
+        i["pubDate"],
+    ))
+
+
+def _atom_items(document: Column) -> Column:
+    language = F.coalesce(document["_xml:lang"], document["_lang"])
+    return F.transform(document["entry"], lambda i: _item(
+        language, i["title"], i["id"], atom_link(i["link"]), atom_link(i["link"]),
+        X.first_non_empty(i["content"], i["summary"]), i["updated"],
+    ))
+
+
 def atom_link(links: Column) -> Column:
     """The alternate link, else the first one, else ''."""
     alternate = F.filter(
@@ -67,16 +85,6 @@ def atom_link(links: Column) -> Column:
     return X.trim_space(F.coalesce(chosen["_href"], F.lit("")))
 
 
-def parse_feed(
-    documents: DataFrame, now: Column, xml: str = "xml", feed_url: str = "feed_url"
-) -> DataFrame:
-    """Documents of either format; a broken one yields no rows and is one of ``broken_feeds``."""
-    kind = feed_kind(F.col(xml))
-    return parse_rss(documents.filter(kind == "rss"), now, xml, feed_url).unionByName(
-        parse_atom(documents.filter(kind == "atom"), now, xml, feed_url)
-    )
-
-
 def broken_feeds(documents: DataFrame, xml: str = "xml") -> DataFrame:
     """The documents that are not well formed, with ``error``; ``parse_feed`` yields no row of them."""
     corrupt = T.StructField("_corrupt", T.StringType())
@@ -112,34 +120,34 @@ def _with_address(files: DataFrame) -> DataFrame:
     )
 
 
-def _parsed(documents: DataFrame, shape, xml: str, feed_url: str):
-    kept = [c for c in documents.columns if c not in (xml, feed_url)]
-    parsed = compute_once(documents, {"_d": F.from_xml(F.col(xml), shape)})
-    return kept, parsed.drop(xml)
-
-
 def _to_raw(
-    items: DataFrame, kept: list[str], now: Column, feed_url: str, *,
-    title: Column, unique: tuple[Column, ...], url: Column, markup: Column, date: Column,
+    documents: DataFrame, read: dict[str, Column], items: Column, now: Column, xml: str,
+    feed_url: str,
 ) -> DataFrame:
-    # Items come from an outer explode, which keeps the optimizer from parsing the document
-    # again in a filter; documents without items leave a NULL behind.
-    trimmed = X.trim_space(F.coalesce(title, F.lit("")))
+    """Raw rows of the ``items`` of documents; ``read`` names the parsed documents."""
+    kept = [c for c in documents.columns if c not in (xml, feed_url)]
+    parsed = compute_once(documents, read).drop(xml)
+    # an outer explode keeps the optimizer from parsing the document again in a filter;
+    # documents without items leave a NULL behind
+    each = parsed.select(*kept, feed_url, F.explode_outer(items).alias("i"))
+    trimmed = X.trim_space(F.coalesce(F.col("i.title"), F.lit("")))
     by_title = F.concat(F.col(feed_url), F.lit("|"), F.col("_title"))
-    named = items.withColumn("_title", trimmed).filter("_title != ''")
-    read = compute_once(
-        named, {"_body": X.clean_text(markup), "_date": X.parse_feed_date(date)}
-    )
-    return read.select(
+    named = each.withColumn("_title", trimmed).filter("_title != ''")
+    cleaned = compute_once(named, {
+        "_body": X.clean_text(F.col("i.markup")), "_date": X.parse_feed_date(F.col("i.date")),
+    })
+    return cleaned.select(
         *kept,
         F.lit(S.SCHEMA_VERSION).alias("schema_version"),
-        X.hash_id("rss", X.first_non_empty(*unique, by_title)).alias("id"),
+        X.hash_id(
+            "rss", X.first_non_empty(F.col("i.own_id"), F.col("i.second_id"), by_title)
+        ).alias("id"),
         F.lit("rss").alias("source"),
         F.col(feed_url).alias("feed"),
-        url.alias("url"),
+        F.col("i.url").alias("url"),
         F.col("_title").alias("title"),
         F.coalesce(F.nullif(F.col("_body"), F.lit("")), F.col("_title")).alias("body"),
-        X.normalize_lang(F.col("_lang")).alias("language"),
+        X.normalize_lang(F.col("i.lang")).alias("language"),
         F.coalesce(F.col("_date"), now).alias("published_at"),
         now.alias("ingested_at"),
         F.lit(None).cast("array<string>").alias("tickers"),
