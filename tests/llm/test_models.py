@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import helpers as H
@@ -155,3 +156,32 @@ def test_vectors_odd(spark):
     assert at[7].n_links == 3 and at[9].n_links == 3 and at[9].component_id == 7
     assert at[None].n_links == 0 and at[None].kept
     assert embedding_dedup.near_vectors(table.limit(0)).count() == 0
+
+
+def test_only_near_codes_move_vectors():
+    """Of entries that share buckets, those with a partner of a near code, once a pair."""
+    draw = np.random.default_rng(4)
+    size, n = 32, 300
+    x = draw.standard_normal((n, size))
+    x[200:] = x[100:200] + draw.standard_normal((100, size)) * 0.2
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    center, planes = np.zeros(size), embedding_dedup.learn_rotations(x, 512)
+    codes = embedding_dedup._codes(x, center, planes)
+    bits, far = 6, 120
+    keys = (codes & 63) | np.arange(32) << 16 | size << 32
+    rows = sorted((int(keys[i, t]), i) for i in range(n) for t in range(32))
+    batch = pa.table({
+        "key": [k for k, _ in rows], "part": pa.array([0] * len(rows), pa.int64()),
+        "side": pa.array([2] * len(rows), pa.int32()), "id": [i for _, i in rows],
+        "code": [codes[i].astype("<u2").tobytes() for _, i in rows],
+    }).combine_chunks().to_batches()
+    found = embedding_dedup._candidates({size: (bits, far)})(iter(batch))
+    got = sorted((r["key"], r["id"]) for b in found for r in b.to_pylist())
+    apart = (codes[:, None, :] ^ codes[None, :, :]).astype(np.uint64)
+    near = np.bitwise_count(apart).sum(axis=2) <= far
+    want = set()
+    for i, j in np.argwhere(near):
+        shared = np.flatnonzero(keys[i] == keys[j])
+        if i < j and len(shared):
+            want |= {(int(keys[i, shared[0]]), int(i)), (int(keys[j, shared[0]]), int(j))}
+    assert got == sorted(want) and 150 < len(got) < len(rows) / 8

@@ -165,7 +165,7 @@ def test_vectors_of_many_lengths(spark):
 
 def test_no_bits_find_every_link(spark, monkeypatch):
     """Where no number of bits finds enough, all vectors share a bucket: slow, but exact."""
-    monkeypatch.setattr(embedding_dedup, "table_bits", lambda *_: 0)
+    monkeypatch.setattr(embedding_dedup, "table_bits", lambda *_: (0, 512))
     monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
     rows = vectors()[:80]
     table = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ BITS = 16
 #: Least share of links at COSINE that the tables must find, in each fifth of the vectors by
 #: distance from the centre.
 RECALL = 0.9
+#: Bits beyond the furthest planted partner by which the whole codes of a pair may differ.
+SPARE_BITS = 16
 #: Vectors that the rotations are fitted on (chosen by their hash), and rounds of it.
 SAMPLE_ROWS = 4000
 ROUNDS = 20
@@ -29,6 +32,8 @@ ROUNDS = 20
 BLOCK = 1024
 #: Blocks up to this size are compared many at a time.
 SMALL = 8
+#: How the bits of a table are stored in a whole code.
+_CODE = np.dtype("<u2")
 
 
 def learn_rotations(sample: np.ndarray, bits: int, seed: int = 17) -> np.ndarray:
@@ -67,19 +72,26 @@ def _shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.log2((apart & -apart).max(axis=1)).astype(int)
 
 
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which the whole codes of pairs differ."""
+    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+
+
 def table_bits(
     test: np.ndarray, sample: np.ndarray, center: np.ndarray, planes: np.ndarray, seed: int = 23
-) -> int:
-    """Most bits a table (up to BITS) that find RECALL of the links at COSINE.
+) -> tuple[int, int]:
+    """Most bits a table (up to BITS) that find RECALL of the links at COSINE, and the most
+    bits in which the whole codes of a pair may differ to be compared.
 
     Links are defined on the vectors as they are, bits on centred ones, so the share is
     measured: on partners planted at COSINE from ``test``, in random directions and towards
-    other vectors, and on the links between ``test`` and ``sample``.
+    other vectors, and on the links between ``test`` and ``sample``. No partner is further
+    away than the bits returned, SPARE_BITS less.
     """
     random = np.random.default_rng(seed)
     codes = _codes(test, center, planes)
     by_distance = np.argsort(np.linalg.norm(test - center, axis=1))
-    groups = []
+    groups, furthest = [], 0
     for planted in (lambda: random.standard_normal(test.shape),
                     lambda: sample[random.integers(0, len(sample), len(test))]):
         met = []
@@ -88,16 +100,28 @@ def table_bits(
             aside = aside - (aside * test).sum(axis=1)[:, None] * test
             length = np.linalg.norm(aside, axis=1)[:, None]
             partner = COSINE * test + np.sqrt(1 - COSINE**2) * aside / np.maximum(length, 1e-12)
-            own = _shared_bits(codes, _codes(partner, center, planes))
-            met.append(np.where(length[:, 0] > 1e-6, own, BITS)[by_distance])
+            other, apart = _codes(partner, center, planes), length[:, 0] > 1e-6
+            met.append(np.where(apart, _shared_bits(codes, other), BITS)[by_distance])
+            furthest = max(furthest, _distance(codes, other)[apart].max(initial=0))
         groups += np.array_split(np.array(met), 5, axis=1)
     linked = np.argwhere((test @ sample.T >= COSINE) & (test @ sample.T < 1 - 1e-9))
     linked = linked[:: len(linked) // 50_000 + 1]
-    groups.append(_shared_bits(codes[linked[:, 0]], _codes(sample, center, planes)[linked[:, 1]]))
+    ends = codes[linked[:, 0]], _codes(sample, center, planes)[linked[:, 1]]
+    groups.append(_shared_bits(*ends))
+    furthest = max(furthest, _distance(*ends).max(initial=0))
     groups = [g for g in groups if g.size]
     enough = [b for b in range(1, BITS + 1) if all((g >= b).mean() >= RECALL for g in groups)]
     # no bits: one bucket of all vectors, which finds every link
-    return max(enough, default=0)
+    return (max(enough), int(furthest) + SPARE_BITS) if enough else (0, TABLES * BITS)
+
+
+@dataclass(frozen=True)
+class _Model:
+    center: np.ndarray
+    planes: np.ndarray
+    #: Bits a table, and most bits in which codes of compared pairs differ.
+    bits: int
+    far: int
 
 
 def _unit(column: pa.Array) -> list[np.ndarray | None]:
@@ -127,10 +151,9 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _coded(models: dict[int, tuple[np.ndarray, np.ndarray, int]]) -> Callable:
-    """``id, copies, unit, keys``: the buckets of every vector, one of each table.
-
-    The dimension is part of a bucket's key.
+def _coded(models: dict[int, _Model]) -> Callable:
+    """``id, copies, unit, code, keys``: the whole code of every vector and its buckets, one of
+    each table. The dimension is part of a bucket's key.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,36 +162,53 @@ def _coded(models: dict[int, tuple[np.ndarray, np.ndarray, int]]) -> Callable:
             for i, unit in enumerate(raw):
                 groups.setdefault(len(unit) // 8, []).append(i)
             for size, at in groups.items():
-                center, planes, used = models[size]
+                model = models[size]
                 x = np.frombuffer(b"".join(raw[i] for i in at)).reshape(-1, size)
-                code = _codes(x, center, planes) & ((np.int64(1) << used) - 1)
-                code |= np.arange(TABLES, dtype=np.int64) << BITS
-                code |= np.int64(size) << 32
+                code = _codes(x, model.center, model.planes)
+                whole = [row.tobytes() for row in code.astype(_CODE)]
+                key = code & ((np.int64(1) << model.bits) - 1)
+                key |= np.arange(TABLES, dtype=np.int64) << BITS
+                key |= np.int64(size) << 32
                 some = batch.take(pa.array(at))
                 starts = pa.array(np.arange(len(at) + 1, dtype=np.int32) * TABLES)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), some.column(2), some.column(1),
-                     pa.ListArray.from_arrays(starts, pa.array(code.ravel()))],
-                    names=["id", "copies", "unit", "keys"],
+                    [some.column(0), some.column(2), some.column(1), pa.array(whole, pa.binary()),
+                     pa.ListArray.from_arrays(starts, pa.array(key.ravel()))],
+                    names=["id", "copies", "unit", "code", "keys"],
                 )
 
     return run
 
 
-class _Entries:
-    """Columns of sorted entries as arrays; all vectors have the same length."""
+class _Codes:
+    """Sorted entries as arrays, compared by their whole codes; vectors have one length."""
+
+    def __init__(self, batch: pa.RecordBatch, bits: int, far: int):
+        def column(name: str) -> pa.Array:
+            return batch.column(batch.schema.get_field_index(name))
 
-    def __init__(self, batch: pa.RecordBatch):
-        column = {n: batch.column(batch.schema.get_field_index(n)) for n in _COLUMNS}
-        self.key, self.part, self.side, self.id, self.copies = (
-            column[n].to_numpy() for n in _COLUMNS[:5]
+        self.column, self.far = column, far
+        self.key, self.part, self.side, self.id = (
+            column(n).to_numpy() for n in ("key", "part", "side", "id")
         )
-        self.unit = np.frombuffer(b"".join(column["unit"].to_pylist())).reshape(len(self.id), -1)
-        self.keys = column["keys"].flatten().to_numpy().reshape(len(self.id), TABLES)
+        self.code = np.frombuffer(b"".join(column("code").to_pylist()), _CODE).reshape(-1, TABLES)
+        self.used = _CODE.type((1 << bits) - 1)
         change = (np.diff(self.key) != 0) | (np.diff(self.part) != 0)
         self.starts = np.concatenate([[0], np.flatnonzero(change) + 1])
         self.ends = np.concatenate([self.starts[1:], [len(self.id)]])
 
+    def near(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the codes of the pairs are near enough."""
+        return _distance(self.code[i], self.code[j]) <= self.far
+
+    def near_grid(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``near`` of all of ``a`` with all of ``b``."""
+        wide_a, wide_b = self.code[a].view(np.uint64), self.code[b].view(np.uint64)
+        apart = np.zeros((len(a), len(b)), np.uint16)
+        for x, y in zip(wide_a.T, wide_b.T):
+            apart += np.bitwise_count(x[:, None] ^ y[None, :])
+        return apart <= self.far
+
     def first_met(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pairs for which no table before that of their entry holds both."""
         table = (self.key[i] >> BITS) & 0xFFFF
@@ -179,7 +219,7 @@ class _Entries:
             alive = alive[~at_end]
             if not len(alive):
                 break
-            alive = alive[self.keys[i[alive], t] != self.keys[j[alive], t]]
+            alive = alive[((self.code[i[alive], t] ^ self.code[j[alive], t]) & self.used) != 0]
         done = np.concatenate(done)
         return i[done], j[done]
 
@@ -193,8 +233,7 @@ class _Entries:
             i = at[at + distance < end]
             if not len(i):
                 return
-            dots = np.einsum("ij,ij->i", self.unit[i], self.unit[i + distance])
-            i = i[dots >= COSINE]
+            i = i[self.near(i, i + distance)]
             yield i, i + distance
 
     def large_pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -208,35 +247,76 @@ class _Entries:
             b = a if alone else start + np.flatnonzero(side == 1)
             for at in range(0, len(a), 256):
                 own = a[at: at + 256]
-                i, j = np.nonzero(self.unit[own] @ self.unit[b].T >= COSINE)
+                i, j = np.nonzero(self.near_grid(own, b))
                 i, j = own[i], b[j]
                 yield (i[i < j], j[i < j]) if alone else (i, j)
 
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All near pairs, each in the first table that it shares."""
+        for found in (self.small_pairs(), self.large_pairs()):
+            for i, j in found:
+                yield self.first_met(i, j)
+
+
+class _Vectors(_Codes):
+    """Entries compared by the cosine of their vectors, and by their codes."""
+
+    def __init__(self, batch: pa.RecordBatch, bits: int, far: int):
+        super().__init__(batch, bits, far)
+        self.copies = self.column("copies").to_numpy()
+        self.unit = np.frombuffer(b"".join(self.column("unit").to_pylist()))
+        self.unit = self.unit.reshape(len(self.id), -1)
+
+    def near(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        dots = np.einsum("ij,ij->i", self.unit[i], self.unit[j])
+        return (dots >= COSINE) & super().near(i, j)
+
+    def near_grid(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (self.unit[a] @ self.unit[b].T >= COSINE) & super().near_grid(a, b)
+
+
+def _candidates(limits: dict[int, tuple[int, int]]) -> Callable:
+    """The entries with a partner of a near code: ``key, part, side, id``.
+
+    A pair asks for its vectors in the first table that it shares only.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, size in _whole_blocks(batches):
+            entries = _Codes(batch, *limits[size])
+            wanted = np.zeros(len(entries.id), bool)
+            for i, j in entries.pairs():
+                wanted[i] = wanted[j] = True
+            yield batch.select(["key", "part", "side", "id"]).filter(pa.array(wanted))
+
+    return run
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _compare(limits: dict[int, tuple[int, int]]) -> Callable:
     """Links of sorted entries: partners counted per vector, and edges that connect them.
 
     A pair is counted in the first table it shares. Every vector passes on the smallest vector
     that it reaches here, which keeps connections but not all pairs: ``id, links, other``.
     """
-    for batch in _whole_blocks(batches):
-        entries = _Entries(batch)
-        pairs = [np.zeros((0, 2), np.int64)]
-        for found in (entries.small_pairs(), entries.large_pairs()):
-            pairs += [np.column_stack(entries.first_met(i, j)) for i, j in found]
-        pairs = np.concatenate(pairs)
-        ids, place = np.unique(entries.id[pairs], return_inverse=True)
-        place = place.reshape(-1, 2)
-        links = np.bincount(place[:, 0], entries.copies[pairs[:, 1]], len(ids))
-        links += np.bincount(place[:, 1], entries.copies[pairs[:, 0]], len(ids))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(links.astype(np.int64)), pa.array(ids[_forest(place, len(ids))])],
-            names=["id", "links", "other"],
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, size in _whole_blocks(batches):
+            entries = _Vectors(batch, *limits[size])
+            pairs = [np.zeros((0, 2), np.int64)]
+            pairs = np.concatenate(pairs + [np.column_stack(p) for p in entries.pairs()])
+            ids, place = np.unique(entries.id[pairs], return_inverse=True)
+            place = place.reshape(-1, 2)
+            links = np.bincount(place[:, 0], entries.copies[pairs[:, 1]], len(ids))
+            links += np.bincount(place[:, 1], entries.copies[pairs[:, 0]], len(ids))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(links.astype(np.int64)),
+                 pa.array(ids[_forest(place, len(ids))])],
+                names=["id", "links", "other"],
+            )
+
+    return run
 
 
-def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches cut at ends of blocks, and by the length of vectors."""
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """The batches cut at ends of blocks and by the length of vectors, with that length."""
     held = None
     for batch in batches:
         batch = batch if held is None else pa.concat_batches([held, batch])
@@ -249,10 +329,10 @@ def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from _one_length(held)
 
 
-def _one_length(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def _one_length(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, int]]:
     length = batch.column(batch.schema.get_field_index("key")).to_numpy() >> 32
     for start, end in zip(*_runs(length)):
-        yield batch.slice(start, end - start)
+        yield batch.slice(start, end - start), int(length[start])
 
 
 def _runs(values: np.ndarray) -> tuple[list[int], list[int]]:
@@ -274,9 +354,6 @@ def _forest(edges: np.ndarray, n: int) -> np.ndarray:
             return label
 
 
-_COLUMNS = ["key", "part", "side", "id", "copies", "unit", "keys"]
-
-
 def near_vectors(
     vectors: DataFrame, *, key: str = "vec_id", embedding: str = "embedding"
 ) -> DataFrame:
@@ -284,9 +361,11 @@ def near_vectors(
 
     Equal vectors collapse to the smallest id with a number of copies. TABLES codes of up to
     BITS learned bits, as many as keep RECALL of the links (``table_bits``), index all of them;
-    the vectors of a bucket are compared by cosine in double precision, each pair in the first
-    table that they share. Buckets of one vector are dropped before the vectors are moved. A bucket over BLOCK vectors is cut into blocks, and
-    every two blocks meet in a task of their own, so nothing is left out of a large bucket.
+    the vectors of a bucket are compared by their whole codes first, and only those with a
+    partner of a near code move their vectors, to the first table that they share, where
+    cosines in double precision decide. How far codes may differ is measured like the bits
+    (``table_bits``). A bucket over BLOCK vectors is cut into blocks, and every two blocks meet
+    in a task of their own, so nothing is left out of a large bucket.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with
     nothing and are kept, as are null ids. Vectors of different length link with nothing
@@ -311,9 +390,11 @@ def near_vectors(
         .dropDuplicates(["id"])
     )
     models = _models(distinct)
+    limits = {size: (model.bits, model.far) for size, model in models.items()}
     coded = settle(
-        distinct.select("id", "unit", "copies")
-        .mapInArrow(_coded(models), "id long, copies long, unit binary, keys array<long>")
+        distinct.select("id", "unit", "copies").mapInArrow(
+            _coded(models), "id long, copies long, unit binary, code binary, keys array<long>"
+        )
     )
     posts = coded.select("id", F.explode("keys").alias("key"))
     parts = F.ceil(F.col("n") / BLOCK)
@@ -331,12 +412,17 @@ def near_vectors(
     entries = (
         posts.join(lists, F.col("key") == F.col("l_key"))
         .select("key", "id", F.explode(meeting).alias("at"))
-        .join(coded, "id")
-        .select("key", "at.part", "at.side", "id", "copies", "unit", "keys")
+        .join(coded.select("id", "code"), "id")
+        .select("key", "at.part", "at.side", "id", "code")
     )
-    found = settle(
+    wanted = (
         entries.repartition("key", "part").sortWithinPartitions("key", "part")
-        .mapInArrow(_compare, "id long, links long, other long")
+        .mapInArrow(_candidates(limits), "key long, part long, side int, id long")
+    )
+    found = settle(
+        wanted.join(coded.drop("keys"), "id")
+        .repartition("key", "part").sortWithinPartitions("key", "part")
+        .mapInArrow(_compare(limits), "id long, links long, other long")
     )
     counts = found.groupBy(F.col("id").alias("c_id")).agg(F.sum("links").alias("links"))
     roots = components(found, "id", "other")
@@ -363,8 +449,8 @@ def near_vectors(
     )
 
 
-def _models(distinct: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, int]]:
-    """Centre, projections and bits a table per length, from SAMPLE_ROWS vectors by their hash.
+def _models(distinct: DataFrame) -> dict[int, _Model]:
+    """Centre, projections and bits per length, from SAMPLE_ROWS vectors by their hash.
 
     A fifth of a sample that is large enough is held out to find the bits. Every length that
     occurs is learned, one after the other; its model takes 4 KB a dimension.
@@ -383,5 +469,6 @@ def _models(distinct: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, int]
         center = np.median(x[~held], axis=0) if len(x) else np.zeros(size)
         planes = learn_rotations(x[~held] - center, TABLES * BITS)
         test = x[held] if held.any() else x
-        models[size] = (center, planes, table_bits(test, x, center, planes) if len(x) else BITS)
+        bits = table_bits(test, x, center, planes) if len(x) else (BITS, TABLES * BITS)
+        models[size] = _Model(center, planes, *bits)
     return models
