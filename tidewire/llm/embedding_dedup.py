@@ -377,17 +377,19 @@ def near_vectors(
     rows = settle(
         vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(embedding).alias("embedding"))
         .mapInArrow(_units, "vec_id long, unit binary")
-        .withColumns({"same": F.xxhash64("unit"), "same_2": F.crc32("unit")})
+        .withColumns({"same": F.xxhash64("unit"), "same_2": F.crc32("unit"),
+                      "usable": F.expr("unit is not null and vec_id is not null")})
     )
-    usable = rows.filter("unit is not null and vec_id is not null")
+    usable = rows.filter("usable")
     same = ["same", "same_2"]
     # a class has a number of its own: one id may have several vectors
     classes = settle(usable.groupBy(*same).agg(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")
     ).withColumn("id", F.monotonically_increasing_id()))
     distinct = settle(
-        usable.join(classes, same).filter("vec_id = rep").select("id", "copies", "unit")
-        .dropDuplicates(["id"])
+        # by what the join is dealt by: vectors move once
+        usable.join(classes, same).filter("vec_id = rep").dropDuplicates(same)
+        .select("id", "copies", "unit")
     )
     models = _models(distinct)
     limits = {size: (model.bits, model.far) for size, model in models.items()}
@@ -437,8 +439,8 @@ def near_vectors(
     of_class = placed.join(least, F.col("component") == F.col("l_component")).select(
         *[F.col(c).alias(f"c_{c}") for c in same], "n_links", "root"
     )
-    joined = rows.join(
-        of_class, F.col("unit").isNotNull() & F.col("vec_id").isNotNull()
+    joined = rows.select("vec_id", "usable", *same).join(
+        of_class, F.col("usable")
         & (F.col("same") == F.col("c_same")) & (F.col("same_2") == F.col("c_same_2")), "left",
     )
     component = F.coalesce("root", "vec_id")
