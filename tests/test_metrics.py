@@ -25,6 +25,27 @@ def test_exact_percentiles(spark):
     assert got["eleven", 50.0] == 15.0
 
 
+@pytest.mark.parametrize("cuts", [1, 7, 4096])
+def test_percentiles_within_a_bin(spark, monkeypatch, cuts):
+    """All values share a power-of-two bin; narrower bins and ties change nothing."""
+    monkeypatch.setattr(metrics, "_CUTS", cuts)
+    rng = random.Random(5)
+    near = [1.0 + rng.randint(0, 5000) * 1e-7 for _ in range(3000)]
+    below = [-v for v in near[:700]]
+    ends = [1.0, 2.0, float("inf"), float("inf")]
+    rows = [("near", v) for v in near] + [("below", v) for v in below] + [("ends", v) for v in ends]
+    rows += [("near", None), ("near", float("nan")), ("none", None)]
+    table = spark.createDataFrame(rows, "variant string, millis double")
+    percents = (0, 12.5, 50, 99, 100)
+    got = {(r.variant, r.percent): r.result
+           for r in metrics.exact_percentiles(table, "variant", "millis", percents).collect()}
+    for p in percents:
+        assert got["near", p] == pytest.approx(np.percentile(near, p), rel=1e-15, abs=0)
+        assert got["below", p] == pytest.approx(np.percentile(below, p), rel=1e-15, abs=0)
+    assert got["ends", 0] == 1.0 and got["ends", 100] == float("inf")
+    assert not any(variant == "none" for variant, _ in got)
+
+
 def test_latency_summary(spark):
     rows = spark.createDataFrame(
         [("a", 10.0, 1), ("a", 20.0, 1), ("b", 5.0, 2), ("b", 10.0, 2)], "variant string, millis double, items int")

@@ -13,6 +13,8 @@ LATENCY_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5)
 QUANTILES = (0.50, 0.95, 0.99)
 
 _BINS_PER_OCTAVE = 256
+#: Narrower bins that a bin with a wanted rank is cut into.
+_CUTS = 4096
 
 
 def latency_histogram(
@@ -129,30 +131,44 @@ def consumer_lag(positions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _counted_upto(counts: DataFrame, within: list[str], order: str) -> DataFrame:
+    """``_upto``: the values counted by ``_n`` up to and with each row, ``_n`` kept."""
+    return counts.withColumn("_upto", F.sum("_n").over(Window.partitionBy(*within).orderBy(order)))
+
+
+def _reached(ranks: DataFrame) -> DataFrame:
+    """The rows whose values hold rank ``_at``, which is counted from their first value on."""
+    start = F.col("_upto") - F.col("_n")
+    return ranks.filter((F.col("_at") >= start) & (F.col("_at") < F.col("_upto"))).withColumn(
+        "_at", F.col("_at") - start
+    )
+
+
 def exact_percentiles(
     samples: DataFrame, by: str, value: str, percents: Sequence[float]
 ) -> DataFrame:
     """Exact linearly interpolated percentiles: ``by``, percent, result.
 
     The built-in exact percentile keeps all distinct values of a group in one buffer. Here a
-    first pass counts values per narrow bin (256 per power of two), which locates the bins
-    holding the wanted ranks; a second pass counts distinct values in just those bins. Both
-    are partial aggregations, so a group of any size is spread over all tasks.
+    first pass counts values per bin (256 per power of two), which locates the bins holding
+    the wanted ranks; a second pass cuts just those into narrower ones between their least and
+    largest value, and a third counts the distinct values in the narrow bins that are left,
+    about one in a million of a power of two. All are partial aggregations, so a group of any
+    size is spread over all tasks. Null and NaN values are left out.
     """
     x = F.col(value).cast("double")
-    magnitude = F.floor(F.log2(F.greatest(F.abs(x), F.lit(1e-300))) * _BINS_PER_OCTAVE)
+    size = F.least(F.greatest(F.abs(x), F.lit(1e-300)), F.lit(1e308))
+    magnitude = F.floor(F.log2(size) * _BINS_PER_OCTAVE)
     shifted = magnitude + F.lit(_BINS_PER_OCTAVE * 1100)
     bin_of = F.when(x == 0, F.lit(0)).when(x > 0, shifted).otherwise(-shifted)
-    binned = samples.filter(x.isNotNull()).select(
+    binned = samples.filter(x.isNotNull() & ~F.isnan(x)).select(
         by, bin_of.cast("bigint").alias("_bin"), x.alias("_x")
     )
-    counts = binned.groupBy(by, "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    ordered = Window.partitionBy(by).orderBy("_bin")
-    whole = Window.partitionBy(by)
-    placed = (
-        counts.withColumn("_total", F.sum("_n").over(whole))
-        .withColumn("_upto", F.sum("_n").over(ordered))
-        .withColumn("_start", F.col("_upto") - F.col("_n"))
+    counts = binned.groupBy(by, "_bin").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
+    )
+    placed = _counted_upto(counts, [by], "_bin").withColumn(
+        "_total", F.sum("_n").over(Window.partitionBy(by))
     )
     # Wanted ranks: the two neighbours of (total - 1) * p / 100, counted from 0.
     wanted = placed.withColumn(
@@ -160,37 +176,51 @@ def exact_percentiles(
     ).withColumn("_k", (F.col("_total") - 1) * (F.col("percent") / 100.0))
     low = F.floor("_k")
     high = F.least(low + 1, F.col("_total") - 1)
-    ranks = wanted.withColumn(
-        "_rank",
-        F.explode(
-            F.array(
-                F.struct(F.lit("lo").alias("end"), low.alias("at")),
-                F.struct(F.lit("hi").alias("end"), high.alias("at")),
-            )
-        ),
-    ).filter((F.col("_rank.at") >= F.col("_start")) & (F.col("_rank.at") < F.col("_upto")))
-    ranks = ranks.select(
-        by, "_bin", "percent", (F.col("_k") - low).alias("_fraction"),
-        F.col("_rank.end").alias("_end"), (F.col("_rank.at") - F.col("_start")).alias("_at"),
-    )
-    bins = ranks.select(by, "_bin").distinct()
+    ranks = _reached(
+        wanted.withColumn("_fraction", F.col("_k") - low).withColumn(
+            "_rank",
+            F.explode(
+                F.array(
+                    F.struct(F.lit("lo").alias("end"), low.alias("at")),
+                    F.struct(F.lit("hi").alias("end"), high.alias("at")),
+                )
+            ),
+        ).withColumns({"_end": F.col("_rank.end"), "_at": F.col("_rank.at")})
+    ).select(by, "_bin", "_lo", "_hi", "percent", "_fraction", "_end", "_at")
+
+    # Rounding keeps the order of values, so narrower bins are in order too.
+    width = F.col("_hi") - F.col("_lo")
+    inner = F.when(
+        (width > 0) & (width < float("inf")),
+        F.least(F.floor((F.col("_x") - F.col("_lo")) / width * _CUTS), F.lit(_CUTS - 1)),
+    ).otherwise(F.lit(0))
+    chosen = ranks.select(by, "_bin", "_lo", "_hi").distinct()
+    inside = binned.join(chosen, [by, "_bin"]).select(
+        by, "_bin", inner.cast("bigint").alias("_cut"), "_x"
+    )
+    narrow = inside.groupBy(by, "_bin", "_cut").agg(F.count(F.lit(1)).alias("_n"))
+    ranks = _reached(
+        _counted_upto(narrow, [by, "_bin"], "_cut").join(ranks.drop("_lo", "_hi"), [by, "_bin"])
+    ).select(by, "_bin", "_cut", "percent", "_fraction", "_end", "_at")
+
+    bins = ranks.select(by, "_bin", "_cut").distinct()
     values = (
-        binned.join(bins, [by, "_bin"], "left_semi")
-        .groupBy(by, "_bin", "_x")
-        .agg(F.count(F.lit(1)).alias("_m"))
+        inside.join(bins, [by, "_bin", "_cut"], "left_semi")
+        .groupBy(by, "_bin", "_cut", "_x")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    in_bin = Window.partitionBy(by, "_bin").orderBy("_x")
-    located = values.withColumn("_v_upto", F.sum("_m").over(in_bin)).join(ranks, [by, "_bin"])
-    hits = located.filter(
-        (F.col("_at") < F.col("_v_upto")) & (F.col("_at") >= F.col("_v_upto") - F.col("_m"))
+    hits = _reached(
+        _counted_upto(values, [by, "_bin", "_cut"], "_x").join(ranks, [by, "_bin", "_cut"])
     )
 
     def end(name: str) -> Column:
         return F.max(F.when(F.col("_end") == name, F.col("_x")))
 
     fraction = F.max("_fraction")
+    between = end("lo") * (1 - fraction) + end("hi") * fraction
+    # at a rank, an infinite neighbour does not count
     return hits.groupBy(by, "percent").agg(
-        (end("lo") * (1 - fraction) + end("hi") * fraction).alias("result")
+        F.when(fraction == 0, end("lo")).otherwise(between).alias("result")
     )
 
 
