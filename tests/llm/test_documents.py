@@ -455,12 +455,12 @@ def lost_bytes(rows, parts=64, tasks=3):
         found = [b for t in tables for b in step(iter([t]))]
         return pa.Table.from_batches(found).sort_by("part").to_batches()
 
-    shared = list(substring_dedup._shared_bits(parts)(iter(shuffled(substring_dedup._seen(parts)))))
+    shared = list(substring_dedup._shared_bits(iter(shuffled(substring_dedup._seen(parts)))))
     shared = [r for b in shared for r in b.to_pylist()]
-    stretch = substring_dedup.FILTER_BITS // parts // 8
-    bits = np.zeros((parts, stretch), np.uint8)
+    stretch = substring_dedup.STRETCH_BITS // 8
+    bits = np.zeros((substring_dedup.FILTER_BITS // 8 // stretch, stretch), np.uint8)
     for r in shared:
-        bits[r["part"]] = substring_dedup._unpack(r["bits"], stretch, "u1")
+        bits[r["stretch"]] |= np.frombuffer(r["bits"], np.uint8)
     hot = np.concatenate([np.frombuffer(r["hot"], "<u8") for r in shared])
     contexts = shuffled(substring_dedup._contexts(
         parts, SimpleNamespace(value=bits.tobytes()), SimpleNamespace(value=hot)))
@@ -487,9 +487,10 @@ def test_passage_of_many_documents():
 
 
 @pytest.mark.parametrize("settings", [
-    {"HOT": 4, "HOT_HERE": 2},
-    {"HOT": 4, "HOT_HERE": 2, "SLICE": 7, "GATHER": 64, "CHUNK": 128},
-    {"HOT": 1, "HOT_HERE": 1, "SLICE": 16, "CHUNK": 100},
+    {"HOT": 4},
+    {"HOT": 4, "SLICE": 7, "GATHER": 64, "CHUNK": 128, "TOGETHER": 5},
+    {"HOT": 1, "SLICE": 16, "CHUNK": 100},
+    {"HOT": 40, "GATHER": 8, "CHUNK": 60, "parts": 1 << 20},
 ])
 def test_hot_grams_and_long_texts(monkeypatch, settings):
     draw = random.Random(3)
@@ -503,9 +504,11 @@ def test_hot_grams_and_long_texts(monkeypatch, settings):
     rows += [(900, "-" * 3000 + "q" * 60), (901, "k" * 10 + "-" * 500), (902, "x" + "ab" * 60)]
     rows += [(903, "y" * 55 + "ab" * 30)]
     draw.shuffle(rows)
+    settings = dict(settings)
+    parts = settings.pop("parts", 64)
     for name, value in settings.items():
         monkeypatch.setattr(substring_dedup, name, value)
-    lost, _, hot = lost_bytes(rows)
+    lost, _, hot = lost_bytes(rows, parts)
     assert hot and lost == {i: r[1] for i, r in H.without_earlier(rows).items()}
 
 

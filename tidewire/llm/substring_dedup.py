@@ -18,19 +18,22 @@ LENGTH = 50
 #: q-gram has the smallest hash of the string's q-grams. Equal strings hold equal anchors.
 GRAM = 16
 SIDE = LENGTH - GRAM
+#: Bytes of the buckets that a refinement starts from, and contexts refined together.
+FIRST = 8
+TOGETHER = 1 << 16
 #: Bits of the filter of shared q-grams; its size does not depend on data. If it fills up,
-#: more anchors are refined, with the same result.
-FILTER_BITS = 1 << 28
+#: more anchors are refined, with the same result. It is made of stretches that Spark's bitmap
+#: aggregates merge (their size is Spark's).
+FILTER_BITS, STRETCH_BITS = 1 << 28, 1 << 15
 #: Parts that anchors are dealt to by their hash. A part's anchors are in memory together, so
-#: the number follows the corpus: one for every so many bytes, between these bounds.
+#: the number follows the corpus: one for every so many bytes.
 BYTES_PER_PART = 1 << 22
-LEAST_PARTS, MOST_PARTS = 1 << 6, 1 << 16
+LEAST_PARTS = 1 << 6
 #: Anchors a task gathers before it passes them on.
 GATHER = 1 << 19
 CHUNK = 1 << 18
-#: A q-gram of so many documents is dealt string by string. Only flushes where it has at least
-#: HOT_HERE documents count it.
-HOT, HOT_HERE = 1 << 17, 32
+#: A q-gram of so many documents is dealt string by string.
+HOT = 1 << 17
 #: Anchors whose surroundings are looked at together.
 SLICE = 1 << 13
 
@@ -126,11 +129,18 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             number += len(at)
 
 
+def _spans(parts_of: np.ndarray) -> tuple[np.ndarray, list[slice]]:
+    """The parts that occur, and where each of them is; ``parts_of`` is sorted."""
+    heads = np.flatnonzero(np.concatenate([[True], parts_of[1:] != parts_of[:-1]]))
+    ends = np.append(heads[1:], len(parts_of))
+    return parts_of[heads].astype(np.int32), [slice(a, b) for a, b in zip(heads, ends)]
+
+
 def _seen(parts: int) -> Callable:
-    """Rows ``part, n, grams, several, hot, hot_docs`` of q-grams a task has met, each once.
+    """Rows ``part, n, grams, several, docs`` of q-grams a task has met, each once.
 
-    ``several`` marks those of more than one document; a q-gram of two tasks, or of two rows
-    of this output, has several documents anyway. ``hot`` are those of HOT_HERE documents.
+    ``several`` marks those of more than one document, ``docs`` says of how many; a q-gram of
+    two tasks, or of two rows of this output, has several documents anyway.
     """
     shift = np.uint64(64 - parts.bit_length() + 1)
 
@@ -140,24 +150,19 @@ def _seen(parts: int) -> Callable:
         order = np.argsort(grams, kind="stable")
         grams, docs = grams[order], docs[order]
         starts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
-        ends = np.concatenate([starts[1:], [len(grams)]]) - 1
-        several = docs[starts] != docs[ends]
         fresh = np.concatenate([[True], (grams[1:] != grams[:-1]) | (docs[1:] != docs[:-1])])
-        n_docs = np.add.reduceat(fresh.astype(np.uint32), starts)
+        n_docs = np.add.reduceat(fresh.astype("<u4"), starts)
+        several = n_docs > 1
         grams = grams[starts]
-        cut = np.searchsorted(grams >> shift, np.arange(parts + 1, dtype=np.uint64))
-        used = np.flatnonzero(np.diff(cut))
-        spans = [(cut[p], cut[p + 1]) for p in used]
+        used, spans = _spans(grams >> shift)
         # the top 48 bits are kept: a false twin only adds an anchor to refine
         low = (grams >> np.uint64(16)).astype("<u8").view("<u2").reshape(-1, 4)[:, :3]
-        often = [a + np.flatnonzero(n_docs[a:b] >= HOT_HERE) for a, b in spans]
         return pa.RecordBatch.from_arrays(
-            [pa.array(used.astype(np.int32)), pa.array([int(b - a) for a, b in spans], pa.int32()),
-             pa.array([low[a:b].tobytes() for a, b in spans], pa.binary()),
-             pa.array([np.packbits(several[a:b]).tobytes() for a, b in spans], pa.binary()),
-             pa.array([grams[o].astype("<u8").tobytes() for o in often], pa.binary()),
-             pa.array([n_docs[o].astype("<u4").tobytes() for o in often], pa.binary())],
-            names=["part", "n", "grams", "several", "hot", "hot_docs"],
+            [pa.array(used), pa.array([x.stop - x.start for x in spans], pa.int32()),
+             pa.array([low[x].tobytes() for x in spans], pa.binary()),
+             pa.array([np.packbits(several[x]).tobytes() for x in spans], pa.binary()),
+             pa.array([n_docs[x][several[x]].astype("<u4").tobytes() for x in spans], pa.binary())],
+            names=["part", "n", "grams", "several", "docs"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,41 +194,38 @@ def _parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
         yield held
 
 
-def _shared_bits(parts: int) -> Callable:
-    """``part, bits, hot``: the part's stretch of the filter, a bit for every shared q-gram,
-    and the q-grams of HOT documents."""
-    stretch = FILTER_BITS // parts
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _parts_of(batches):
-            low = np.concatenate([np.frombuffer(r["grams"], "<u2").reshape(-1, 3) for r in rows])
-            grams = np.zeros((len(low), 4), "<u2")
-            grams[:, :3] = low
-            grams = grams.view("<u8").ravel()
-            several = np.concatenate(
-                [np.unpackbits(np.frombuffer(r["several"], np.uint8), count=r["n"]) for r in rows]
-            )
-            order = np.argsort(grams)
-            grams, several = grams[order], several[order].astype(bool)
-            twin = grams[1:] == grams[:-1]
-            several[1:] |= twin
-            several[:-1] |= twin
-            bits = np.zeros(stretch, bool)
-            place = grams[several] >> np.uint64(48 - FILTER_BITS.bit_length() + 1)
-            bits[(place % np.uint64(stretch)).astype(np.int64)] = True
-            often, place = np.unique(
-                np.concatenate([np.frombuffer(r["hot"], "<u8") for r in rows]), return_inverse=True
-            )
-            docs = np.concatenate([np.frombuffer(r["hot_docs"], "<u4") for r in rows])
-            often = often[np.bincount(place, docs, len(often)) >= HOT]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([rows[0]["part"]], pa.int32()),
-                 pa.array([_pack(np.packbits(bits, bitorder="little"))], pa.binary()),
-                 pa.array([often.tobytes()], pa.binary())],
-                names=["part", "bits", "hot"],
-            )
-
-    return run
+def _shared_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``stretch, bits, hot``: of every part a bit for each shared q-gram, in the stretches of
+    the filter that it reaches, and the q-grams of HOT documents (their top 48 bits)."""
+    for rows in _parts_of(batches):
+        low = np.concatenate([np.frombuffer(r["grams"], "<u2").reshape(-1, 3) for r in rows])
+        grams = np.zeros((len(low), 4), "<u2")
+        grams[:, :3] = low
+        grams = grams.view("<u8").ravel()
+        docs = np.ones(len(grams), np.int64)
+        several = np.concatenate(
+            [np.unpackbits(np.frombuffer(r["several"], np.uint8), count=r["n"]) for r in rows]
+        )
+        docs[several.astype(bool)] = np.concatenate([np.frombuffer(r["docs"], "<u4") for r in rows])
+        order = np.argsort(grams)
+        grams = grams[order]
+        starts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        grams, docs = grams[starts], np.add.reduceat(docs[order], starts)
+        grams, docs = grams[docs > 1], docs[docs > 1]
+        if not len(grams):
+            continue
+        place = (grams >> np.uint64(48 - FILTER_BITS.bit_length() + 1)).astype(np.int64)
+        used, spans = _spans(place // STRETCH_BITS)
+        bits, often = [], []
+        for x in spans:
+            own = np.zeros(STRETCH_BITS, bool)
+            own[place[x] % STRETCH_BITS] = True
+            bits.append(np.packbits(own, bitorder="little").tobytes())
+            often.append(grams[x][docs[x] >= HOT].tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used), pa.array(bits, pa.binary()), pa.array(often, pa.binary())],
+            names=["stretch", "bits", "hot"],
+        )
 
 
 def _collapsed(block: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -301,7 +303,7 @@ def _contexts(parts: int, shared, hot) -> Callable:
                        [[_pack(lost[0])], [b""], [b""], *[[_pack(x)] for x in lost[1:]]])
         stay = np.flatnonzero(~gone)
         if not single and len(hot.value):
-            often = np.isin(even, hot.value)
+            often = np.isin(even >> np.uint64(16), hot.value)
             yield from strings(*[x[stay[often[stay]]] for x in (ids, keys, starts, block)])
             stay = stay[~often[stay]]
         counts = np.bincount(of[stay], minlength=len(heads))
@@ -314,10 +316,8 @@ def _contexts(parts: int, shared, hot) -> Callable:
         rank[order] = np.arange(len(heads))
         stay = stay[np.argsort(rank[number[of[stay]]], kind="stable")]
         heads, counts = heads[order], counts[order].astype(np.uint32)
-        cut = np.searchsorted(deal[heads] >> shift, np.arange(parts + 1, dtype=np.uint64))
         ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-        used = np.flatnonzero(np.diff(cut))
-        spans = [slice(cut[p], cut[p + 1]) for p in used]
+        used, spans = _spans(deal[heads] >> shift)
         own = [slice(ends[x.start], ends[x.stop]) for x in spans]
         yield rows(used, [x.stop - x.start for x in spans], [x.stop - x.start for x in own],
                    [*[[_pack(c[x]) for x in spans] for c in (ids[heads], counts, block[heads])],
@@ -368,34 +368,56 @@ def _contexts(parts: int, shared, hot) -> Callable:
     return run
 
 
-def _refined(groups: np.ndarray, sides: np.ndarray) -> Iterator[np.ndarray]:
-    """Bucket identifiers of ``groups`` refined by 0, 1, .. SIDE bytes of ``sides``.
-
-    One sort by all bytes puts the rows of every bucket at every depth side by side. Where two
-    neighbours first differ, their buckets part at that depth and at all later ones, so each
-    depth reuses the boundaries of the one before.
+def _numbered(keys: np.ndarray) -> np.ndarray:
+    """Bucket identifiers of equal keys; -1 for a key that no other one equals."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys) + 1, bool)
+    new[1:-1] = ordered[1:] != ordered[:-1]
+    bucket = np.cumsum(new[:-1], dtype=np.int32) - 1
+    bucket[new[:-1] & new[1:]] = -1
+    out = np.empty(len(keys), np.int32)
+    out[order] = bucket
+    return out
+
+
+def _refined(block: np.ndarray) -> list[np.ndarray]:
+    """For every place of contexts the bucket identifiers of the LENGTH bytes from there.
+
+    Bucket-pointer refinement: the first buckets are those of q-grams of FIRST bytes. Buckets
+    of ``span`` bytes are refined by sorting them on the bucket identifiers ``span`` places
+    further on, which makes buckets of twice the bytes; those are the sort keys of the next
+    refinement. Equal strings are at equal places of their contexts, so every place is sorted
+    for itself. A place whose bucket holds nothing else is settled (-1) and is sorted no more,
+    nor are places that reach beyond a context's own strings.
     """
-    wide = np.zeros((len(sides), 40), np.uint8)
-    wide[:, :SIDE] = sides
-    words = wide.view(">u8").astype(np.uint64)
-    order = np.lexsort([*[words[:, k] for k in reversed(range(words.shape[1]))], groups])
-    ordered, grouped = sides[order], groups[order]
-    differs = ordered[1:] != ordered[:-1]
-    depth = np.where(differs.any(axis=1), differs.argmax(axis=1), SIDE)
-    depth[grouped[1:] != grouped[:-1]] = -1
-    ids = np.empty(len(groups), np.int32)
-    for length in range(SIDE + 1):
-        ids[order] = np.concatenate([[0], np.cumsum(depth < length)])
-        yield ids.copy()
+    lefts, rights = block[:, -2].astype(np.int64), block[:, -1].astype(np.int64)
+    begin, end = SIDE - lefts, SIDE + GRAM + rights
+    ids = []
+    for place in range(LENGTH + SIDE - FIRST + 1):
+        live = np.flatnonzero((begin <= place) & (place + FIRST <= end))
+        own = np.full(len(block), -1, np.int32)
+        grams = np.ascontiguousarray(block[live, place: place + FIRST]).view("<u8").ravel()
+        own[live] = _numbered(grams)
+        ids.append(own)
+    span = FIRST
+    while span < LENGTH:
+        step = min(span, LENGTH - span)
+        for place, (own, further) in enumerate(zip(ids, ids[step:])):
+            live = np.flatnonzero((own >= 0) & (further >= 0))
+            ids[place] = np.full(len(block), -1, np.int32)
+            ids[place][live] = _numbered((own[live].astype(np.int64) << 32) | further[live])
+        ids = ids[:-step]
+        span += step
+    return ids
 
 
 def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc_id, text_key, start, end`` around every anchor that an earlier document has too.
 
-    A string at distance ``left`` before its anchor is the anchor's bucket refined by ``left``
-    bytes before and the rest after: the pair of both identifiers. Documents that are not the
-    smallest of a pair lose the string. All strings hold the anchor, so an anchor's lost
-    bytes are one run.
+    The strings around the anchors of a q-gram are refined to buckets of equal strings (see
+    ``_refined``). Documents that are not the smallest of a bucket lose the string. All
+    strings hold the anchor, so an anchor's lost bytes are one run.
     """
     names = ["m_id", "m_key", "start", "end"]
     for rows in _parts_of(batches):
@@ -429,29 +451,39 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _judged(ids: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Most and fewest bytes before the anchor of the strings that contexts lose; -1 for none."""
-    around, lefts, rights = block[:, : LENGTH + SIDE], block[:, -2], block[:, -1]
-    # the whole q-gram is the initial bucket, not its hash
-    middle = np.ascontiguousarray(around[:, SIDE: SIDE + GRAM]).view("<u8")
+    """Most and fewest bytes before the anchor of the strings that contexts lose; -1 for none.
+
+    Contexts of one q-gram are refined together, with those of other q-grams up to TOGETHER.
+    """
+    # the whole q-gram, not its hash; contexts of a q-gram of one document lose nothing
+    middle = np.ascontiguousarray(block[:, SIDE: SIDE + GRAM]).view("<u8")
     order = np.lexsort([middle[:, 0], middle[:, 1]])
-    change = (middle[order][1:] != middle[order][:-1]).any(axis=1)
-    group = np.empty(len(ids), np.int64)
-    group[order] = np.concatenate([[0], np.cumsum(change)])
-    after = list(_refined(group, around[:, SIDE + GRAM:]))
+    new = np.ones(len(ids), bool)
+    new[1:] = (middle[order[1:]] != middle[order[:-1]]).any(axis=1)
+    heads = np.flatnonzero(new)
+    sizes = np.diff(np.append(heads, len(ids)))
+    several = np.minimum.reduceat(ids[order], heads) < np.maximum.reduceat(ids[order], heads)
+    order, sizes = order[np.repeat(several, sizes)], sizes[several]
     first, last = np.full((2, len(ids)), -1, np.int64)
-    for left, before in enumerate(_refined(group, around[:, :SIDE][:, ::-1])):
-        right = SIDE - left
-        valid = np.flatnonzero((lefts >= left) & (rights >= right))
-        if not len(valid):
-            continue
-        pair = (before[valid].astype(np.int64) << 32) | after[right][valid]
-        order = np.argsort(pair)
-        pair, some = pair[order], valid[order]
-        heads = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
-        least = np.minimum.reduceat(ids[some], heads)
-        later = some[ids[some] > np.repeat(least, np.diff([*heads, len(some)]))]
-        first[later] = left
-        last[later[last[later] < 0]] = left
+    ends, start = np.cumsum(sizes), 0
+    while start < len(order):
+        fits = int(np.searchsorted(ends, start + TOGETHER, side="right")) - 1
+        stop = int(ends[fits]) if fits >= 0 and ends[fits] > start else int(
+            ends[np.searchsorted(ends, start, side="right")]
+        )
+        some = order[start:stop]
+        start = stop
+        own = ids[some]
+        # from the anchor on to the places before it, so that the fewest bytes come first
+        for place, bucket in reversed(list(enumerate(_refined(block[some])))):
+            live = np.flatnonzero(bucket >= 0)
+            if not len(live):
+                continue
+            least = np.full(int(bucket.max()) + 1, np.iinfo(np.int64).max)
+            np.minimum.at(least, bucket[live], own[live])
+            later = some[live[own[live] > least[bucket[live]]]]
+            first[later] = SIDE - place
+            last[later[last[later] < 0]] = SIDE - place
     return first, last
 
 
@@ -488,24 +520,26 @@ def earlier_runs(docs: DataFrame) -> DataFrame:
 
     Runs overlap. Two passes over the texts: the first finds the q-grams at anchors that more
     than one document has, as a filter of fixed size; the second moves the anchors that pass
-    it, with their surroundings, to the part of their hash, where buckets are refined.
+    it, with their surroundings, to the part of their hash, where buckets are refined. The
+    driver holds the filter (32 MB) and the hot q-grams, at most one for every HOT anchors
+    of the corpus.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = 1 << max(int(size // BYTES_PER_PART).bit_length(), 1)
-    parts = min(max(parts, LEAST_PARTS), MOST_PARTS)
+    parts = max(1 << max(int(size // BYTES_PER_PART).bit_length(), 1), LEAST_PARTS)
     rows = docs.select("doc_id", "text_key", "text")
     stretches = (
-        rows.mapInArrow(_seen(parts), "part int, n int, grams binary, several binary, "
-                                     "hot binary, hot_docs binary")
+        rows.mapInArrow(_seen(parts), "part int, n int, grams binary, several binary, docs binary")
         .repartition("part").sortWithinPartitions("part")
-        .mapInArrow(_shared_bits(parts), "part int, bits binary, hot binary")
+        .mapInArrow(_shared_bits, "stretch int, bits binary, hot binary")
+        .groupBy("stretch").agg(F.bitmap_or_agg("bits").alias("bits"),
+                                F.collect_list("hot").alias("hot"))
     )
-    bits = np.zeros((parts, FILTER_BITS // parts // 8), np.uint8)
+    bits = np.zeros((FILTER_BITS // STRETCH_BITS, STRETCH_BITS // 8), np.uint8)
     often = [np.zeros(0, "<u8")]
-    for part, packed, hot in stretches.collect():
-        bits[part] = _unpack(packed, bits.shape[1], "u1")
-        often.append(np.frombuffer(hot, "<u8"))
+    for stretch, own, hot in stretches.collect():
+        bits[stretch] = np.frombuffer(own, np.uint8)
+        often += [np.frombuffer(h, "<u8") for h in hot]
     shared = spark.sparkContext.broadcast(bits.tobytes())
     hot = spark.sparkContext.broadcast(np.concatenate(often))
     return (
