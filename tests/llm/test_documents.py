@@ -424,6 +424,17 @@ def test_strings(docs, rows):
     assert got == H.without_earlier(rows)
 
 
+def test_strings_of_a_given_table(spark):
+    """Whatever is removed from it are strings of an earlier document, and nothing else is."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    found = by_id(substring_dedup.remove_earlier(docs))
+    want = H.without_earlier(rows)
+    assert sum(n > 0 for _, n, _, _ in want.values()) > 50
+    assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"]))
+            for i, r in found.items()} == want
+
+
 def test_periodic_and_touching_strings(spark):
     rows = [
         (1, "ab" * 60, "a"), (2, "x" + "ab" * 40 + "y" * 60, "a"), (3, "y" * 55 + "ab" * 30, "a"),

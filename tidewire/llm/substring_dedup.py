@@ -34,6 +34,8 @@ GATHER = 1 << 19
 CHUNK = 1 << 18
 #: A q-gram of so many documents is dealt string by string.
 HOT = 1 << 17
+#: Parts into which the documents of one text are dealt for the join with its first one.
+SALTS = 16
 #: Anchors whose surroundings are looked at together.
 SLICE = 1 << 13
 
@@ -572,9 +574,11 @@ def remove_earlier(
     digests = settle(known.select("doc_id", "text_key", F.sha2("text", 256).alias("digest")))
     firsts = digests.groupBy(F.col("digest").alias("f_digest")).agg(
         F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")
-    ).filter("n > 1")
+    ).filter("n > 1").withColumn("f_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = digests.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    same = (F.col("digest") == F.col("f_digest")) & (F.col("salt") == F.col("f_salt"))
     copies = (
-        digests.join(firsts, F.col("digest") == F.col("f_digest")).filter("doc_id > first")
+        salted.join(firsts, same).filter("doc_id > first")
         .select(F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key"),
                 F.lit(0).cast("long").alias("start"), F.lit(1 << 40).alias("end")).distinct()
     )
