@@ -69,6 +69,19 @@ def test_quality_model(spark, judged):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in found)
 
 
+def test_quality_model_is_the_same_however_rows_are_dealt(spark, judged):
+    rows, labels = judged
+    table = spark.createDataFrame(labels, "doc_id long, quality int")
+    docs = H.documents(spark, rows)
+    shuffled = random.Random(1).sample(rows, len(rows))
+    other = H.documents(spark, shuffled).repartition(7)
+    scores = [
+        {r.doc_id: (r.score, r.predicted) for r in quality_model.classify(d, t).collect()}
+        for d, t in ((docs, table), (other, table.repartition(3)))
+    ]
+    assert scores[0] == scores[1] and len(set(scores[0].values())) > 5
+
+
 def test_quality_model_without_labels(spark, judged):
     docs = H.documents(spark, judged[0][:5])
     none = spark.createDataFrame([], "doc_id long, quality int")
@@ -147,7 +160,8 @@ def test_vectors_odd(spark):
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]),
             (7, [3.0, 4.0]), (8, [3.0, 4.0]), (8, [3.0, 4.0]), (9, [6.0, 8.0]), (None, [3.0, 4.0]),
             (10, [3.0, 4.0, 0.0])]
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr(
+        "*", *[f"'clash' {c}" for c in ("id", "key", "part", "code", "kept", "n_links", "bucket")])
     found = embedding_dedup.near_vectors(table).collect()
     assert len(found) == len(rows)
     at = {r.vec_id: r for r in found}

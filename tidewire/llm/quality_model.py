@@ -18,6 +18,9 @@ RIDGE = 1.0
 CUT = 4.0
 BINS = 1000
 THRESHOLD = 0.3
+#: Features and statistics are multiples of 1 / GRID, scores of 1 / SCORE_GRID, so that their
+#: sums are exact and do not depend on the order of rows, batches and partitions.
+GRID, SCORE_GRID = 1 << 16, 1 << 30
 #: Fold that calibrates; fold 0 is held out and the others fit the weights.
 CALIBRATION_FOLD = 1
 
@@ -85,18 +88,24 @@ def _features(batch: pa.RecordBatch, mean: np.ndarray, scale: np.ndarray) -> np.
     directions = random.standard_normal((len(STATISTICS), FEATURES)) / len(STATISTICS) ** 0.5
     phase = random.uniform(0, 2 * np.pi, FEATURES)
     waves = np.cos(x @ directions + phase) * (2 / FEATURES) ** 0.5
-    return np.column_stack([waves, np.ones(len(x))])
+    return np.column_stack([np.rint(waves * GRID) / GRID, np.ones(len(x))])
 
 
 def _normal_sums(mean: np.ndarray, scale: np.ndarray) -> Callable:
-    """Sums of a partition for the normal equations: rows ``i, j, value``, j = -1 for the target."""
+    """Sums of a partition for the normal equations: rows ``i, j, value``, j = -1 for the target.
+
+    Values are in units of GRID ** -2. Sums of a batch of up to 2 ** 21 rows are exact in double
+    precision, those of a partition in 64 bits.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        square, aim = np.zeros((FEATURES + 1,) * 2), np.zeros(FEATURES + 1)
+        square = np.zeros((FEATURES + 1,) * 2, np.int64)
+        aim = np.zeros(FEATURES + 1, np.int64)
         for batch in batches:
             z = _features(batch, mean, scale)
-            square += z.T @ z
-            aim += z.T @ batch.column(batch.schema.get_field_index("label")).to_numpy()
+            label = batch.column(batch.schema.get_field_index("label")).to_numpy()
+            square += np.rint(z.T @ z * GRID**2).astype(np.int64)
+            aim += np.rint(z.T @ label * GRID**2).astype(np.int64)
         i, j = np.triu_indices(FEATURES + 1)
         every = np.arange(FEATURES + 1)
         yield pa.RecordBatch.from_arrays(
@@ -114,9 +123,9 @@ def _scores(mean: np.ndarray, scale: np.ndarray, weights: np.ndarray, curve: tup
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = _features(batch, mean, scale) @ weights
+            raw = np.rint(_features(batch, mean, scale) @ weights * SCORE_GRID) / SCORE_GRID
             if curve is not None:
-                raw = np.interp(raw, *curve)
+                raw = np.rint(np.interp(raw, *curve) * SCORE_GRID) / SCORE_GRID
             keep = [batch.column(batch.schema.get_field_index(n)) for n in ("doc_id", "label")]
             yield pa.RecordBatch.from_arrays(
                 [*keep, pa.array(raw)], names=["doc_id", "label", "raw"]
@@ -139,6 +148,20 @@ def isotonic(value: np.ndarray, hits: np.ndarray, total: np.ndarray) -> tuple[li
     return [b[0] / b[2] for b in blocks], [b[1] / b[2] for b in blocks]
 
 
+def _moments(measured: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard deviation of every statistic, from exact sums."""
+    cells = [(F.col(n) * GRID).cast("decimal(18,0)") for n in STATISTICS]
+    n, *sums = measured.agg(
+        F.count(F.lit(1)), *[F.sum(x) for x in cells], *[F.sum(x * x) for x in cells]
+    ).first()
+    if not n:
+        return np.zeros(len(STATISTICS)), np.ones(len(STATISTICS))
+    first, second = (list(map(int, x)) for x in (sums[: len(cells)], sums[len(cells):]))
+    mean = np.array([s / (n * GRID) for s in first])
+    scale = np.sqrt([(q * n - s * s) / (n * GRID) ** 2 for s, q in zip(first, second)])
+    return mean, np.where(scale > 1e-9, scale, 1.0)
+
+
 def classify(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text",
     label: str = "quality",
@@ -150,7 +173,8 @@ def classify(
     equations where they lie; only those sums and a histogram of BINS scores reach the driver.
     A null text counts as empty; empty texts are scored like any other. Without labelled rows
     in a fold the scores are the share of label 1, or 0.5. Repeated rows are scored each; a
-    document with several labels teaches each of them. Null labels and ids teach nothing.
+    document with several labels teaches each of them. Null labels and ids teach nothing. All
+    sums over rows are exact, so reruns agree however rows are dealt.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     kinds = ", ".join(f"{n} double" for n in STATISTICS)
@@ -161,16 +185,13 @@ def classify(
     taught = measured.join(known, F.col("doc_id") == F.col("labelled")).drop("labelled").filter(
         fold(F.col("doc_id")) != 0
     )
-    moments = measured.agg(*[F.avg(n) for n in STATISTICS],
-                           *[F.stddev_pop(n) for n in STATISTICS]).first()
-    moments = np.array([m or 0.0 for m in moments])
-    mean, scale = np.split(moments, 2)
-    scale = np.where(scale > 1e-9, scale, 1.0)
+    mean, scale = _moments(measured)
 
     fitting = taught.filter(fold(F.col("doc_id")) != CALIBRATION_FOLD)
-    sums = fitting.mapInArrow(_normal_sums(mean, scale), "i int, j int, value double").groupBy(
+    sums = fitting.mapInArrow(_normal_sums(mean, scale), "i int, j int, value long").groupBy(
         "i", "j"
-    ).agg(F.sum("value").alias("value")).toPandas()
+    ).agg(F.sum(F.col("value").cast("decimal(19,0)")).alias("value")).toPandas()
+    sums["value"] = sums["value"].astype(float) / GRID**2
     square, aim = np.zeros((FEATURES + 1,) * 2), np.zeros(FEATURES + 1)
     target = sums["j"].to_numpy() < 0
     aim[sums["i"][target]] = sums["value"][target]
@@ -183,9 +204,11 @@ def classify(
         _scores(mean, scale, weights), "doc_id long, label double, raw double"
     )
     place = F.least(F.greatest(F.floor((F.col("raw") + 0.5) * (BINS / 2)), F.lit(0)), F.lit(BINS - 1))
+    whole = (F.col("raw") * SCORE_GRID).cast("decimal(20,0)")
     bins = sorted(
-        tuple(r) for r in scored.groupBy(place.alias("bin")).agg(
-            F.avg("raw"), F.sum("label"), F.count(F.lit(1))
+        (r.bin, int(r.raw) / r.n / SCORE_GRID, r.hits, r.n)
+        for r in scored.groupBy(place.alias("bin")).agg(
+            F.sum(whole).alias("raw"), F.sum("label").alias("hits"), F.count(F.lit(1)).alias("n")
         ).collect()
     )
     if bins and square[-1, -1]:
