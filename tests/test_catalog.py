@@ -1,9 +1,11 @@
 """Every catalog query equals its SQL twin on the smallest tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.check_oracle import connect, difference
+from tidewire.plans import catalog
 from tidewire.plans.catalog import QUERIES
 from tidewire.plans.oracle import ORACLE_SQL
 
@@ -28,3 +30,36 @@ def test_query(spark, db, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_dealt_stream_spreads_one_share_and_keeps_it_in_a_batch(spark):
+    """A text of most rows fills no file, and its copies and rows without a number share a batch."""
+    rows = spark.range(20_000, numPartitions=4).select(
+        F.when(F.col("id") % 5 > 0, F.lit(0)).otherwise(F.xxhash64("id")).alias("text"),
+        F.when(F.col("id") % 100 != 0, F.col("id")).alias("seq"),
+        F.concat(*[F.sha2(F.concat("id", F.lit(f"-{i}")), 512) for i in range(4)]).alias("body"),
+    )
+    for by, copies in (("text", 16_000), ("seq", 200)):
+        stream, base = catalog._interleaved(rows, F.col(by), "test")
+        seen = []
+
+        def count(batch, batch_id):
+            found = batch.groupBy(F.col(by) == F.lit(0) if by == "text" else F.col(by).isNull())
+            seen.append(dict(found.count().collect()))
+
+        query = stream.writeStream.foreachBatch(count).option(
+            "checkpointLocation", f"{base}/checkpoint"
+        ).trigger(availableNow=True).start()
+        assert query.awaitTermination(120) and query.exception() is None
+        assert sum(sum(s.values()) for s in seen) == 20_000 and len(seen) == 2
+        assert [s[True] for s in seen if s.get(True)] == [copies]
+        written = spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{base}/in")
+        sizes = [r[1] for r in written.groupBy(F.input_file_name()).count().collect()]
+        assert max(sizes) < 20_000 / 3
+
+
+def test_dealt_stream_of_few_rows(spark):
+    for numbers in ([], [None], [0], [5, 5, None]):
+        rows = spark.createDataFrame([(n, "x") for n in numbers], "seq long, value string")
+        stream, base = catalog._interleaved(rows, F.col("seq"), "few")
+        assert catalog._drained(stream, base).count() == len(numbers)

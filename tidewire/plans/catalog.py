@@ -792,19 +792,38 @@ def document_sentiment_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- Streams: the tables dealt over files, drained batch by batch, and read back -----------
 
-_FILES = 6
+_SHARES = 6
+_SHARES_A_BATCH = 3
 _BATCHES = 8
 _SEQ = T.StructField("arrival_seq", T.LongType())
 _DRAIN_SECONDS = 1800
 
 
 def _interleaved(rows: DataFrame, by: Column, name: str) -> tuple[DataFrame, str]:
-    """``rows`` as a stream of files that each hold every ``_FILES``-th one; three in a batch."""
+    """``rows`` as a stream of batches that each hold three of the ``_SHARES`` shares ``by`` gives.
+
+    Rows are dealt over tasks whatever their share, so that no task or file grows with a share.
+    """
     spark = rows.sparkSession
     base = f"{shared_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
-    dealt = rows.withColumn("file", F.pmod(by, F.lit(_FILES)).cast("int"))
-    dealt.repartition(_FILES, "file").write.partitionBy("file").parquet(f"{base}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).option(
+    share = F.coalesce(F.pmod(by, F.lit(_SHARES)), F.lit(0))
+    dealt = rows.withColumn("batch", F.floor(share / _SHARES_A_BATCH).cast("int"))
+    dealt.hint("rebalance").write.partitionBy("batch").parquet(f"{base}/dealt")
+    dealt = spark.read.schema(dealt.schema).parquet(f"{base}/dealt")
+    batches = [
+        dealt.filter(F.col("batch") == k).select(*rows.columns)
+        for k in range(_SHARES // _SHARES_A_BATCH)
+    ]
+    # written one after the other, so that modification times tell the order; the larger first,
+    # so that the files of one trigger hold each batch and none of the next
+    batches.sort(key=lambda batch: batch.rdd.getNumPartitions(), reverse=True)
+    files = None
+    for k, batch in enumerate(batches):
+        (batch.coalesce(files) if files else batch).write.parquet(f"{base}/in/{k}")
+        files = files or len(spark.read.schema(rows.schema).parquet(f"{base}/in/{k}").inputFiles())
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/dealt")
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).option(
         "recursiveFileLookup", True
     ).parquet(f"{base}/in")
     return stream, base
@@ -853,7 +872,7 @@ def _wire(shape: T.StructType) -> Column:
 
 
 def _by_content() -> Column:
-    """Copies of a text share a file, so that the first of them does not depend on chance."""
+    """Copies of a text share a batch, so that the first of them does not depend on chance."""
     return F.xxhash64(F.get_json_object("value", "$.body"))
 
 
