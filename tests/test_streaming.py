@@ -273,6 +273,43 @@ def test_first_of_batch(spark):
     assert dedup.first_of_batch(rows.limit(0), "key", "place").count() == 0
 
 
+def test_first_of_batch_of_some_keys(spark):
+    rows = spark.createDataFrame(
+        [("a", 3, "x"), ("a", 1, "y"), ("b", None, "p"), (None, 0, "q"), ("c", 5, "r"), ("c", 5, "r")],
+        "key string, place int, text string")
+    for marks, texts in ([["a"], ["y"]], [["c", "b", "z"], ["p", "r"]], [[None], []], [[], []]):
+        own = spark.createDataFrame([(m,) for m in marks], "mark string")
+        found = sorted(r.text for r in dedup.first_of_batch(rows, "key", "place", own).collect())
+        assert found == texts
+
+
+def test_copies_do_not_meet_at_the_marks(spark, work_dir, capsys):
+    """Keys and least ordinals are joined with the marks, not the rows, of which a key has most."""
+    rows = spark.range(5_000, numPartitions=4).select(
+        F.when(F.col("id") % 5 > 0, "hot").otherwise(F.col("id").cast("string")).alias("key"),
+        F.col("id").alias("place"), F.sha2(F.col("id").cast("string"), 512).alias("text"),
+    )
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    passed = []
+
+    def write(batch, _):
+        batch.explain("extended")
+        passed.extend(r.place for r in batch.collect())
+
+    was = spark.conf.get(broadcast)
+    spark.conf.set(broadcast, "-1")
+    try:
+        dedup.first_seen_writer(write, f"{work_dir}/m", "key", "place")(rows, 0)
+    finally:
+        spark.conf.set(broadcast, was)
+    assert sorted(passed) == sorted([1, *range(0, 5_000, 5)])
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical")[0]
+    assert plan.count("Join LeftSemi") == 1
+    below = plan.split("Join LeftSemi")[1].splitlines()[1:]
+    left = next(line for line in below if "- Filter" not in line and "- Project" not in line)
+    assert "Aggregate [" in left
+
+
 @pytest.mark.parametrize("live_seconds", [None, 3600])
 def test_first_seen_writer(spark, work_dir, live_seconds):
     shape = "key string, place long, text string"

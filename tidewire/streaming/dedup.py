@@ -34,15 +34,21 @@ def first_seen(rows: DataFrame, key: str, live_seconds: int | None = None) -> Da
     )
 
 
-def first_of_batch(rows: DataFrame, key: str, order: str) -> DataFrame:
+def first_of_batch(
+    rows: DataFrame, key: str, order: str, marks: DataFrame | None = None
+) -> DataFrame:
     """The row of each key with the least ``order``; nulls are last, ties give any of theirs.
 
     The least ordinals are found on two narrow columns, and only their rows are sorted, so a
-    key of a third of all rows costs its copies one pass. Rows without a key are left out.
+    key of a third of all rows costs its copies one pass. Rows without a key are left out, and
+    with ``marks`` (a column ``mark``) those whose key is not one of them: the ordinals are
+    joined with the marks, not the rows, whose copies of a key would meet in one task.
     """
     place = F.coalesce(F.col(order).cast("long"), F.lit(_LAST))
     keyed = rows.filter(F.col(key).isNotNull())
     least = keyed.groupBy(F.col(key).alias("least_key")).agg(F.min(place).alias("least_place"))
+    if marks is not None:
+        least = least.join(marks, F.col("least_key") == F.col("mark"), "left_semi")
     return (
         keyed.join(least, (F.col(key) == F.col("least_key")) & (place == F.col("least_place")))
         .select(*rows.columns).dropDuplicates([key])
@@ -90,8 +96,7 @@ def first_seen_writer(
                     {"marked_at": now, "hour": F.date_trunc("hour", now)}
                 ))
             own = _marks_of(tables, spark, batch_id)
-            rows = batch.join(own, F.col(key) == F.col("mark"), "left_semi")
-            write(first_of_batch(rows, key, order), batch_id)
+            write(first_of_batch(batch, key, order, own), batch_id)
             tables.commit(spark, batch_id)
         finally:
             batch.unpersist()
