@@ -63,3 +63,48 @@ def test_dealt_stream_of_few_rows(spark):
         rows = spark.createDataFrame([(n, "x") for n in numbers], "seq long, value string")
         stream, base = catalog._interleaved(rows, F.col("seq"), "few")
         assert catalog._drained(stream, base).count() == len(numbers)
+
+
+class Dealt(Exception):
+    """Where the rows of a stream lie; ends a query once they do."""
+
+
+@pytest.mark.parametrize("name", [
+    "stream_process_news",
+    "stream_dedup",
+])
+def test_stream_files_follow_the_size_of_tasks(spark, work_dir, monkeypatch, name):
+    """No file holds a sixth of the rows, nor near it, if tasks are to be small."""
+    ids = spark.range(3_000, numPartitions=6)
+    text = F.concat_ws(" ", *[F.sha2(F.concat("id", F.lit(f"-{i}")), 256) for i in range(4)])
+    ids.select(
+        F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"),
+        F.lit("web").alias("source"), F.length(text).cast("long").alias("n_chars"),
+    ).write.parquet(f"{work_dir}/documents.parquet")
+    ids.select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(1_704_067_200 + F.col("id")).alias("ts"),
+        F.col("id").alias("user_id"), F.lit("view").alias("event_type"),
+        F.col("id").cast("double").alias("value"), text.alias("props"),
+    ).write.parquet(f"{work_dir}/events.parquet")
+    deal = catalog._interleaved
+
+    def only_deal(*args):
+        raise Dealt(deal(*args)[1])
+
+    monkeypatch.setattr(catalog, "_interleaved", only_deal)
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+             "spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "0",
+             "spark.sql.shuffle.partitions": "16"}
+    was = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        with pytest.raises(Dealt) as dealt:
+            QUERIES[name](spark, work_dir)
+    finally:
+        for key, value in was.items():
+            spark.conf.set(key, value)
+    files = spark.read.option("recursiveFileLookup", True).parquet(f"{dealt.value}/in")
+    sizes = [r[1] for r in files.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 3_000 and max(sizes) < 3_000 / 12
