@@ -72,6 +72,7 @@ class Dealt(Exception):
 @pytest.mark.parametrize("name", [
     "stream_process_news",
     "stream_dedup",
+    "stream_process_stats",
 ])
 def test_stream_files_follow_the_size_of_tasks(spark, work_dir, monkeypatch, name):
     """No file holds a sixth of the rows, nor near it, if tasks are to be small."""
