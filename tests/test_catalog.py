@@ -75,6 +75,7 @@ class Dealt(Exception):
     "stream_process_stats",
     "stream_ingest",
     "stream_timeline",
+    "stream_scored_tables",
 ])
 def test_stream_files_follow_the_size_of_tasks(spark, work_dir, monkeypatch, name):
     """No file holds a sixth of the rows, nor near it, if tasks are to be small."""
